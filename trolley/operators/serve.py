@@ -196,10 +196,10 @@ def month_mix_deviation(lines: DataFrame, threshold_pp: float = 0.25, n: int = 3
     """
     s = _month_category_share(lines)
     med = s.groupBy("category").agg(F.median("share").alias("median_share"))
-    months = s.select("year_month").distinct()
-    cats = s.select("category").distinct()
-    # complete the domain: months x categories is bounded by (#months x #categories)
-    dom = months.join(cats, how="cross")
+    # complete the domain: every month gets every category (the category list
+    # is a dimension, passed as one scalar array)
+    cats = s.agg(F.array_sort(F.collect_set("category"))).scalar()
+    dom = s.select("year_month").distinct().select("year_month", F.explode(cats).alias("category"))
     full = (dom.join(s.select("year_month", "category", "share"), ["year_month", "category"], "left")
             .join(med, "category")
             .select("year_month", "category",
@@ -352,7 +352,9 @@ def uplift_projection(spark: SparkSession, dim_basket: DataFrame, day_basis: str
     days = F.col(day_basis)
     sc = spark.createDataFrame([(float(s),) for s in scenarios], "uplift_pct double")
     extra_daily = F.col("avg_basket") * F.col("uplift_pct") / 100.0 * F.col("trips") / days
-    return (sc.join(F.broadcast(base), how="cross")  # scenarios x one-row baseline
+    # the baseline is one row of scalars: attach it as scalar subqueries
+    sc = sc.select("uplift_pct", *[base.select(c).scalar().alias(c) for c in base.columns])
+    return (sc
             .select("uplift_pct",
                     F.round(F.col("avg_basket") * (1 + F.col("uplift_pct") / 100.0), 2).alias("new_basket"),
                     F.round(F.col("avg_basket") * F.col("uplift_pct") / 100.0, 2).alias("extra_per_basket"),
