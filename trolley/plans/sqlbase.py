@@ -36,8 +36,8 @@ def baskets_cte(name: str = "baskets", src: str = "lines", edges=params.SEGMENT_
 
 def zones_values() -> str:
     rows = ", ".join(f"({z[0]}, '{z[1]}', '{z[2]}', '{z[3]}', '{z[4]}')" for z in params.ZONES)
-    return (f"(SELECT * FROM (VALUES {rows}) "
-            f"z(zone_no, zone_assignment, zone_label, zone_location, intention))")
+    return (f"(SELECT CAST(zone_no AS BIGINT) AS zone_no, zone_assignment, zone_label, zone_location, "
+            f"intention FROM (VALUES {rows}) z(zone_no, zone_assignment, zone_label, zone_location, intention))")
 
 
 def layout_case(slot: str, sizes=params.ZONE_SIZES) -> str:
