@@ -120,9 +120,14 @@ def item_penetration(mc: DataFrame, index: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------- counting -----
-def _count_support(cands: DataFrame, mc: DataFrame, index: DataFrame) -> DataFrame:
-    """(cand) -> (cand, count) by containment in the grouped basket masks."""
-    n_cands = cands.count()
+def _count_support(cands: DataFrame, mc: DataFrame, index: DataFrame,
+                   n_cands_bound: int | None = None) -> DataFrame:
+    """(cand) -> (cand, count) by containment in the grouped basket masks.
+
+    ``n_cands_bound`` is an upper bound on the candidate rows known by the
+    caller (saves a counting job); without it the candidates are counted.
+    """
+    n_cands = n_cands_bound if n_cands_bound is not None else cands.count()
     if n_cands <= BROADCAST_CANDIDATES:
         j = mc.join(F.broadcast(cands), F.col("mask").bitwiseAND(F.col("cand")) == F.col("cand"))
         return j.groupBy("cand").agg(F.sum("n").alias("count"))
@@ -142,23 +147,86 @@ def _finish(freq: DataFrame, total: Column | int, names: Column) -> DataFrame:
                        mask_text("cand", names).alias("itemset"))
 
 
+# ---------------------------------------------------- enumeration path ----
+ENUM_LIMIT = 4_000_000
+
+
+def _expand_submasks(batches):
+    """mapInPandas body: (mask, n) -> (cand, count) for every non-empty sub-mask,
+    vectorised with numpy and pre-aggregated inside the batch."""
+    import numpy as np
+    import pandas as pd
+    for pdf in batches:
+        masks = pdf["mask"].to_numpy(dtype=np.int64)
+        ns = pdf["n"].to_numpy(dtype=np.int64)
+        bits = (masks[:, None] >> np.arange(63, dtype=np.int64)) & 1
+        pops = bits.sum(axis=1)
+        out_c, out_n = [], []
+        for k in np.unique(pops):
+            if k == 0:
+                continue
+            sel = pops == k
+            m, w = masks[sel], ns[sel]
+            # positions of the k set bits, per mask (row-major, ascending)
+            pos = np.nonzero(bits[sel])[1].reshape(-1, k)
+            codes = np.arange(1, 1 << k, dtype=np.int64)
+            take = (codes[:, None] >> np.arange(k, dtype=np.int64)) & 1        # (2^k-1, k)
+            weights = np.left_shift(np.int64(1), pos)                          # (masks, k)
+            subs = take @ weights.T                                            # (2^k-1, masks)
+            out_c.append(subs.T.reshape(-1))
+            out_n.append(np.repeat(w, len(codes)))
+        if out_c:
+            df = pd.DataFrame({"cand": np.concatenate(out_c), "count": np.concatenate(out_n)})
+            yield df.groupby("cand", as_index=False)["count"].sum()
+
+
+def frequent_itemsets(mc: DataFrame, index: DataFrame, min_support: float) -> DataFrame:
+    """Exact frequent itemsets, choosing the cheaper exact plan.
+
+    When the grouped masks are small in aggregate (sum of 2^popcount over
+    distinct masks below ``ENUM_LIMIT``), every sub-mask of every distinct
+    mask is emitted with the mask's basket count (numpy inside the tasks,
+    partially aggregated) and summed by a shuffle on the sub-mask: one job,
+    work bounded by the checked figure.  Otherwise the level-wise search
+    runs, whose candidate sets are pruned by the Apriori property.
+    """
+    from pyspark import StorageLevel
+    mc = mc.persist(StorageLevel.MEMORY_AND_DISK)
+    stats = mc.agg(F.sum("n").alias("total"),
+                   F.sum(F.pow(F.lit(2.0), F.bit_count("mask"))).alias("work")).first()
+    if stats["work"] is None or stats["work"] > ENUM_LIMIT:
+        return frequent_itemsets_levelwise(mc, index, min_support)
+    total = stats["total"]
+    sup = (mc.select("mask", "n").mapInPandas(_expand_submasks, "cand bigint, count bigint")
+           .groupBy("cand").agg(F.sum("count").alias("count"))
+           .filter(F.col("count") / F.lit(total) >= F.lit(min_support)))
+    return _finish(sup, F.lit(total), names_array(index))
+
+
 # ----------------------------------------------------------------- J2 ----
 def frequent_itemsets_levelwise(mc: DataFrame, index: DataFrame, min_support: float,
                                 max_len: int | None = None) -> DataFrame:
     """Apriori: level k candidates = frequent (k-1)-set + one higher item,
     pruned when any (k-1)-subset is infrequent, then counted."""
     from trolley.session import cut_lineage
-    mc = cut_lineage(mc)  # grouped masks: read once per level
+    from pyspark import StorageLevel
+    # grouped masks: read by every level; short lineage (scan + two
+    # aggregates), so a persisted copy is enough and is recomputable
+    mc = mc.persist(StorageLevel.MEMORY_AND_DISK)
     total = mc.agg(F.sum("n")).first()[0]
+    n_items = index.count()
     frequent = F.col("count") / F.lit(total) >= F.lit(min_support)  # support as a ratio, like the study
     singles = index.select(bit("idx").alias("cand"))
     # each level is checkpointed: level k is referenced twice by level k+1
-    # (extension and pruning), so an uncut lineage would double per level
-    level = cut_lineage(_count_support(singles, mc, index).filter(frequent)
+    # (extension and pruning), so an uncut lineage would double per level.
+    # One job per level computes and writes it; its row count bounds the
+    # next level's candidates (|level| x |items|) for the broadcast check.
+    level = cut_lineage(_count_support(singles, mc, index, n_items).filter(frequent)
                         .withColumn("top", top_bit("cand")))
+    n_level = level.count()
     out = [level.select("cand", "count")]
     k = 1
-    while (max_len is None or k < max_len) and level.limit(1).count() > 0:
+    while n_level > 0 and (max_len is None or k < max_len):
         k += 1
         # extend by a strictly higher item: each candidate is generated once
         ext = (level.select("cand", "top").alias("a")
@@ -168,9 +236,10 @@ def frequent_itemsets_levelwise(mc: DataFrame, index: DataFrame, min_support: fl
         subs = (ext.select("cand", F.explode(set_bits("cand")).alias("drop"))
                 .select("cand", (F.col("cand") - shl(one(), F.col("drop"))).alias("sub")))
         missing = subs.join(level.select(F.col("cand").alias("sub")), "sub", "left_anti").select("cand")
-        cands = cut_lineage(ext.join(missing, "cand", "left_anti").distinct())
-        level = cut_lineage(_count_support(cands, mc, index).filter(frequent)
+        cands = ext.join(missing, "cand", "left_anti")
+        level = cut_lineage(_count_support(cands, mc, index, n_level * n_items).filter(frequent)
                             .withColumn("top", top_bit("cand")))
+        n_level = level.count()
         out.append(level.select("cand", "count"))
     freq = out[0]
     for o in out[1:]:

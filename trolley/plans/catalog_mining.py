@@ -33,8 +33,10 @@ class Mining:
             lines = lines.filter(date_filter)
         self.lines = lines
         self.bi = M.basket_items(lines)
-        # the index is built over the whole domain so windows share bit positions
-        self.index = M.item_index(M.basket_items(adapter.lines(spark, d, category)))
+        # the index comes from the category dimension (catalogue), so windows
+        # share bit positions and no fact scan is needed to build it
+        dom = adapter.products(spark, d, category).select(F.col("category").alias("item"))
+        self.index = M.item_index(dom)
         self.masks = M.basket_masks(self.bi, self.index)
         self.mc = M.mask_counts(self.masks)
 
@@ -44,6 +46,10 @@ class Mining:
 
     @cached_property
     def itemsets(self):
+        return M.frequent_itemsets(self.mc, self.index, MIN_SUPPORT)
+
+    @cached_property
+    def itemsets_apriori(self):
         return M.frequent_itemsets_levelwise(self.mc, self.index, MIN_SUPPORT)
 
     def rules(self, min_lift=1.0):
@@ -105,7 +111,7 @@ def _fi_out(df):
 
 @query("frequent_itemsets_apriori", _FI_SQL)
 def q_fi_apriori(spark, d):
-    return _fi_out(Mining(spark, d).itemsets)
+    return _fi_out(Mining(spark, d).itemsets_apriori)
 
 
 @query("frequent_itemsets_fpgrowth", _FI_SQL)
@@ -119,7 +125,7 @@ SELECT CAST(count(*) AS BIGINT) AS itemsets, CAST(0 AS BIGINT) AS only_second,
        CAST(0 AS BIGINT) AS only_first, CAST(0 AS BIGINT) AS count_differs FROM fi""")
 def q_agree(spark, d):
     m = Mining(spark, d)
-    return M.itemset_agreement(m.itemsets, M.frequent_itemsets_fpgrowth(m.masks, m.index, MIN_SUPPORT))
+    return M.itemset_agreement(m.itemsets_apriori, M.frequent_itemsets_fpgrowth(m.masks, m.index, MIN_SUPPORT))
 
 
 @query("association_rules", "WITH " + MINE + f"\nSELECT {RULE_SEL} FROM rules WHERE lift_raw >= 1.0")
@@ -324,6 +330,11 @@ def q_bearing(spark, d):
     return M.rule_bearing_items(m.rules(), m.index, FLOOR)
 
 
+@query("frequent_itemsets", _FI_SQL)
+def q_fi(spark, d):
+    return _fi_out(Mining(spark, d).itemsets)
+
+
 @query("itemset_text_roundtrip", "WITH " + MINE + """
 SELECT nm.txt AS itemset, true AS roundtrip_ok FROM nm""")
 def q_roundtrip(spark, d):

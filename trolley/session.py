@@ -57,6 +57,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint (survives executor loss), never a local one."""
+    """Reliable checkpoint into the shared checkpoint folder (survives executor
+    loss), never a local one.  The input is persisted first so the checkpoint
+    write reads the computed blocks instead of recomputing the plan."""
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
