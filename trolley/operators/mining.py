@@ -200,7 +200,9 @@ def frequent_itemsets(mc: DataFrame, index: DataFrame, min_support: float) -> Da
     sup = (mc.select("mask", "n").mapInPandas(_expand_submasks, "cand bigint, count bigint")
            .groupBy("cand").agg(F.sum("count").alias("count"))
            .filter(F.col("count") / F.lit(total) >= F.lit(min_support)))
-    return _finish(sup, F.lit(total), names_array(index))
+    from trolley.session import cut_lineage
+    # small result read several times downstream (rules join it twice)
+    return cut_lineage(_finish(sup, F.lit(total), names_array(index)))
 
 
 # ----------------------------------------------------------------- J2 ----
@@ -244,7 +246,7 @@ def frequent_itemsets_levelwise(mc: DataFrame, index: DataFrame, min_support: fl
     freq = out[0]
     for o in out[1:]:
         freq = freq.unionByName(o)
-    return _finish(freq, F.lit(total), names_array(index))
+    return cut_lineage(_finish(freq, F.lit(total), names_array(index)))
 
 
 # ----------------------------------------------------------------- J1 ----
@@ -290,7 +292,7 @@ def association_rules(itemsets: DataFrame, n_baskets, index: DataFrame,
     n = n_baskets
     conf = F.col("n_full") / F.col("n_ante")
     lift = conf / (F.col("n_cons") / n)
-    return (r.select(mask_text("ante", names).alias("antecedents"),
+    out = (r.select(mask_text("ante", names).alias("antecedents"),
                      mask_text("cons", names).alias("consequents"),
                      F.round(F.col("n_ante") / n, 8).alias("antecedent_support"),
                      F.round(F.col("n_cons") / n, 8).alias("consequent_support"),
@@ -299,6 +301,8 @@ def association_rules(itemsets: DataFrame, n_baskets, index: DataFrame,
                      F.round(lift, 8).alias("lift"),
                      "ante", "cons", "full", "n_ante", "n_cons", "n_full")
             .filter(lift >= min_lift))
+    from trolley.session import cut_lineage
+    return cut_lineage(out)
 
 
 RULE_COLS = ["antecedents", "consequents", "antecedent_support", "consequent_support",

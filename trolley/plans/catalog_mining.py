@@ -38,7 +38,9 @@ class Mining:
         dom = adapter.products(spark, d, category).select(F.col("category").alias("item"))
         self.index = M.item_index(dom)
         self.masks = M.basket_masks(self.bi, self.index)
-        self.mc = M.mask_counts(self.masks)
+        # grouped masks are small (distinct item sets) and read by every step:
+        # persist once; they are recomputable from a short lineage
+        self.mc = M.mask_counts(self.masks).persist()
 
     @cached_property
     def n_baskets(self):
@@ -296,11 +298,28 @@ st AS (
   WHERE r.lift_raw >= 1.0)"""
 
 
+class _Window:
+    """Mining state for one window, sharing one pass over the lines."""
+
+    def __init__(self, index, mc):
+        self.index, self.mc = index, mc
+
+    def rules(self):
+        n = self.mc.agg(F.sum("n")).first()[0]
+        return M.association_rules(M.frequent_itemsets(self.mc, self.index, MIN_SUPPORT), n, self.index, 1.0)
+
+
 def _stability(spark, d):
-    split = F.col("sale_date") < F.lit(SPLIT_DATE).cast("date")
-    m1 = Mining(spark, d, date_filter=split)
-    m2 = Mining(spark, d, date_filter=~split)
-    return M.rule_stability(m1.rules(), m2.mc, strong=FLOOR)
+    """Both windows' grouped masks come from one pass: masks are grouped by
+    (window, mask) and split afterwards."""
+    m = Mining(spark, d)
+    dev = F.col("sale_date") < F.lit(SPLIT_DATE).cast("date")
+    win = (m.lines.select("basket_id", dev.alias("dev")).distinct())
+    wm = (m.masks.join(win, "basket_id").groupBy("dev", "mask").agg(F.count(F.lit(1)).alias("n"))
+          .persist())
+    w1 = _Window(m.index, wm.filter("dev").select("mask", "n"))
+    mc2 = wm.filter(~F.col("dev")).select("mask", "n")
+    return M.rule_stability(w1.rules(), mc2, strong=FLOOR)
 
 
 @query("rule_stability", "WITH " + _STAB + f"""
