@@ -117,3 +117,16 @@ def test_cooccurrence_is_symmetric(spark):
     c = {(r.item_a, r.item_b): r.baskets for r in M.cooccurrence(mc, idx).collect()}
     assert all(c[(a, b)] == c[(b, a)] for a, b in c)
     assert c[("A", "A")] == 4 and c[("A", "B")] == 3
+
+
+def test_local_search_reaches_exact_optimum(spark):
+    spec = [("AB", 10), ("CD", 8), ("EF", 6), ("AC", 4), ("A", 3), ("F", 2)]
+    idx, _, _, _, rules = _mine(spark, spec, 0.05)
+    strong = LY.strong_rule_table(rules, 1.0)
+    exact = LY.exact_layout(spark, strong, idx, [2, 2, 2]).first().best_support
+    states = LY.optimise_layout(spark, strong, idx, [2, 2, 2], restarts=6)
+    best = LY.optimise_summary(states).first()
+    assert abs(best.best_support - exact) < 1e-7
+    # zone sizes are kept by every swap
+    for r in states.collect():
+        assert sorted(bin(r[z]).count("1") for z in ("z1", "z2", "z3")) == [2, 2, 2]

@@ -198,3 +198,96 @@ def exact_layout(spark: SparkSession, rules: DataFrame, index: DataFrame, capaci
         states = cut_lineage(step.groupBy("state").agg(F.max("value").alias("value")))
     return states.agg(F.round(F.max("value"), 8).alias("best_support"),
                       F.lit(n).cast("bigint").alias("rule_bearing_items"))
+
+
+# ------------------------------------------------------ local search (L8) --
+def _zone_cols(n_zones: int):
+    return [f"z{k}" for k in range(1, n_zones + 1)]
+
+
+def state_from_layouts(layouts: DataFrame, index: DataFrame, n_zones: int) -> DataFrame:
+    """(layout_id, item, zone_no) -> one row per layout with zone masks z1..zZ."""
+    zm = zone_masks(layouts, index)
+    return (zm.groupBy(F.col("layout_id").alias("restart"))
+            .pivot("zone_no", list(range(1, n_zones + 1))).agg(F.first("zmask"))
+            .select("restart", *[F.coalesce(F.col(str(k)), F.lit(0).cast("bigint")).alias(f"z{k}")
+                                 for k in range(1, n_zones + 1)]))
+
+
+def _score_expr(n_zones: int):
+    m = F.col("mask")
+    cap = None
+    for z in _zone_cols(n_zones):
+        c = m.bitwiseAND(F.col(z)) == m
+        cap = c if cap is None else (cap | c)
+    return cap
+
+
+def score_states(states: DataFrame, rules: DataFrame, keys: list, n_zones: int) -> DataFrame:
+    """Captured support per state row (states carry z1..zZ)."""
+    j = states.join(F.broadcast(rules.select("mask", "support")), _score_expr(n_zones))
+    s = j.groupBy(*keys).agg(F.sum("support").alias("score"))
+    return states.join(s, keys, "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+
+
+def optimise_layout(spark: SparkSession, rules: DataFrame, index: DataFrame, sizes=params.ZONE_SIZES,
+                    restarts: int = 20, seed: int = 42, locked: list | None = None, max_steps: int = 60,
+                    start: DataFrame | None = None) -> DataFrame:
+    """Steepest-ascent local search over swaps, all restarts batched as rows.
+
+    Zone sizes are kept by construction (only swaps of two items in
+    different zones); ``locked`` items never move.  Each step generates every
+    legal swap of every restart (restarts x item pairs, bounded by the
+    63-item domain), scores them against the broadcast rule list, keeps the
+    best strictly improving swap per restart (ties: smaller item indexes) and
+    checkpoints the new states.  Stops when no restart improves.
+    Returns one row per restart: final score, steps taken and zone masks.
+    """
+    from trolley.session import cut_lineage
+    nz = len(sizes)
+    zc = _zone_cols(nz)
+    if rules.count() > BROADCAST_RULES:
+        raise ValueError("rule list too large to broadcast for the search")
+    if start is None:
+        start = random_layouts(spark, index, restarts, seed, sizes)
+    st = state_from_layouts(start, index, nz)
+    st = cut_lineage(score_states(st, rules, ["restart"], nz).withColumn("steps", F.lit(0)))
+    lock = set(locked or [])
+    idx = [(r["idx"], r["item"]) for r in index.orderBy("idx").collect()]  # <= 63 rows
+    movable = [i for i, it in idx if it not in lock]
+    pairs = spark.createDataFrame([(a, b) for x, a in enumerate(movable) for b in movable[x + 1:]],
+                                  "i int, j int")
+    active = st.count()
+    step = 0
+    while active and step < max_steps:
+        step += 1
+        bi, bj = shl(one(), F.col("i")), shl(one(), F.col("j"))
+        cand = st.join(F.broadcast(pairs), F.lit(True))  # restarts x bounded pair list
+        differs = None
+        for z in zc:
+            hi = F.col(z).bitwiseAND(bi) != 0
+            hj = F.col(z).bitwiseAND(bj) != 0
+            d = hi & hj
+            differs = d if differs is None else (differs | d)
+        cand = cand.filter(~differs)  # i and j in different zones
+        for z in zc:
+            hi = F.col(z).bitwiseAND(bi) != 0
+            hj = F.col(z).bitwiseAND(bj) != 0
+            cand = cand.withColumn(z, F.when(hi != hj, F.col(z).bitwiseXOR(bi.bitwiseOR(bj))).otherwise(F.col(z)))
+        cand = cand.select("restart", "i", "j", F.col("score").alias("cur"), "steps", *zc)
+        scored = score_states(cand, rules, ["restart", "i", "j"], nz)
+        w = Window.partitionBy("restart").orderBy(F.desc("score"), "i", "j")
+        best = (scored.filter(F.col("score") > F.col("cur") + 1e-12)
+                .withColumn("rk", F.row_number().over(w)).filter("rk = 1")
+                .select("restart", *zc, "score", (F.col("steps") + 1).alias("steps")))
+        nxt = (st.join(best.select("restart"), "restart", "left_anti").unionByName(best))
+        st = cut_lineage(nxt)
+        active = best.count()
+    return st.select("restart", F.round("score", 8).alias("score"), "steps", *zc)
+
+
+def optimise_summary(states: DataFrame) -> DataFrame:
+    best = states.agg(F.max("score")).scalar()
+    return states.agg(F.count(F.lit(1)).alias("restarts"), F.round(F.max("score"), 8).alias("best_support"),
+                      F.count_if(F.abs(F.col("score") - best) < 1e-9).alias("hits"),
+                      F.max("steps").alias("max_steps"), F.round(F.avg("score"), 8).alias("mean_support"))

@@ -17,7 +17,12 @@ from pyspark.sql import functions as F
 from trolley import params
 from trolley.functions.labels import iso_weekday, season_of_month, year_month, clip
 
-W_ALL = Window.partitionBy()  # "over ()" on an already aggregated, small result
+
+
+def _w_all():
+    """"over ()" on an already aggregated, small result."""
+    return Window.partitionBy()
+
 
 
 def money(c):
@@ -94,7 +99,7 @@ def zone_performance(lines: DataFrame, dim_category: DataFrame) -> DataFrame:
             .select("zone_assignment", "zone_label", "zone_location", "n_categories",
                     money("_rev").alias("revenue"),
                     F.round(F.lit(100.0) * F.col("_rev").cast("double")
-                            / F.sum(F.col("_rev").cast("double")).over(W_ALL), 2)
+                            / F.sum(F.col("_rev").cast("double")).over(_w_all()), 2)
                      .alias("revenue_share_pct"),
                     "baskets"))
 
@@ -106,10 +111,10 @@ def basket_segments(dim_basket: DataFrame) -> DataFrame:
     rv = F.col("_rev").cast("double")
     return per.select(
         "basket_segment", "baskets",
-        F.round(F.lit(100.0) * F.col("baskets") / F.sum("baskets").over(W_ALL), 2)
+        F.round(F.lit(100.0) * F.col("baskets") / F.sum("baskets").over(_w_all()), 2)
          .alias("share_of_baskets_pct"),
         money("_rev").alias("revenue"),
-        F.round(F.lit(100.0) * rv / F.sum(rv).over(W_ALL), 2).alias("share_of_revenue_pct"),
+        F.round(F.lit(100.0) * rv / F.sum(rv).over(_w_all()), 2).alias("share_of_revenue_pct"),
         F.round(rv / F.col("baskets"), 2).alias("avg_basket_value"))
 
 
@@ -174,9 +179,9 @@ def month_vs_others(dim_basket: DataFrame) -> DataFrame:
     """Every month against the mean of the other months (revenue, baskets)."""
     m = (dim_basket.groupBy(year_month("sale_date").alias("year_month"))
          .agg(F.sum("basket_value").cast("double").alias("rev"), F.count(F.lit(1)).alias("baskets")))
-    n = F.count(F.lit(1)).over(W_ALL)
-    other_rev = (F.sum("rev").over(W_ALL) - F.col("rev")) / (n - 1)
-    other_b = (F.sum("baskets").over(W_ALL) - F.col("baskets")) / (n - 1)
+    n = F.count(F.lit(1)).over(_w_all())
+    other_rev = (F.sum("rev").over(_w_all()) - F.col("rev")) / (n - 1)
+    other_b = (F.sum("baskets").over(_w_all()) - F.col("baskets")) / (n - 1)
     return m.select("year_month", F.round("rev", 2).alias("revenue"), "baskets",
                     F.round(other_rev, 2).alias("others_mean_revenue"),
                     F.round(F.lit(100.0) * (F.col("rev") - other_rev) / other_rev, 4)
@@ -331,10 +336,10 @@ def weekday_effects(daily: DataFrame) -> DataFrame:
     return per.select(
         "day_of_week", "day_name", F.round("mean_revenue", 2).alias("mean_revenue"), "days",
         F.round("total_revenue", 2).alias("total_revenue"),
-        (F.col("mean_revenue") == F.max("mean_revenue").over(W_ALL)).alias("best_mean"),
-        (F.col("mean_revenue") == F.min("mean_revenue").over(W_ALL)).alias("worst_mean"),
-        (F.col("total_revenue") == F.max("total_revenue").over(W_ALL)).alias("best_total"),
-        (F.col("total_revenue") == F.min("total_revenue").over(W_ALL)).alias("worst_total"))
+        (F.col("mean_revenue") == F.max("mean_revenue").over(_w_all())).alias("best_mean"),
+        (F.col("mean_revenue") == F.min("mean_revenue").over(_w_all())).alias("worst_mean"),
+        (F.col("total_revenue") == F.max("total_revenue").over(_w_all())).alias("best_total"),
+        (F.col("total_revenue") == F.min("total_revenue").over(_w_all())).alias("worst_total"))
 
 
 # --------------------------------------------------------------- F22 -----
@@ -439,7 +444,7 @@ def abc_summary(abc: DataFrame) -> DataFrame:
     per = abc.groupBy("abc_class").agg(F.count(F.lit(1)).alias("products"),
                                         F.sum("revenue").alias("_rev"))
     return per.select("abc_class", "products",
-                      F.round(F.lit(100.0) * F.col("_rev") / F.sum("_rev").over(W_ALL), 4)
+                      F.round(F.lit(100.0) * F.col("_rev") / F.sum("_rev").over(_w_all()), 4)
                        .alias("revenue_share_pct"))
 
 
@@ -448,6 +453,6 @@ def month_partial_flag(dim_basket: DataFrame) -> DataFrame:
     """Flag months in which the record starts or ends (partial months)."""
     m = (dim_basket.groupBy(year_month("sale_date").alias("year_month"))
          .agg(F.min("sale_date").alias("first_day"), F.max("sale_date").alias("last_day")))
-    lo, hi = F.min("year_month").over(W_ALL), F.max("year_month").over(W_ALL)
+    lo, hi = F.min("year_month").over(_w_all()), F.max("year_month").over(_w_all())
     return m.select("year_month", ((F.col("year_month") == lo) | (F.col("year_month") == hi))
                     .alias("is_partial"))

@@ -201,7 +201,7 @@ def q_reach(spark, d):
 TYPE = enum_mining_sql("p_type")
 
 
-EXACT_CAPS = (3, 3)
+EXACT_CAPS = (4, 2)
 
 
 def _exact_sql(caps=EXACT_CAPS) -> str:
@@ -225,3 +225,42 @@ SELECT round(max(v), 8) AS best_support,
 def q_exact(spark, d):
     lt = Layouts(spark, d, "p_type")
     return LY.exact_layout(spark, lt.rules, lt.index, list(EXACT_CAPS))
+
+
+@query("optimise_layout")
+def q_optimise(spark, d):
+    lt = Layouts(spark, d)
+    return LY.optimise_summary(LY.optimise_layout(spark, lt.rules, lt.index, SIZES, restarts=20))
+
+
+@query("optimise_layout_small")
+def q_optimise_small(spark, d):
+    """Local search on p_type (6 items, zones of 4 and 2): best restart must
+    reach the exact optimum."""
+    lt = Layouts(spark, d, "p_type")
+    states = LY.optimise_layout(spark, lt.rules, lt.index, list(EXACT_CAPS), restarts=8)
+    s = LY.optimise_summary(states)
+    ex = LY.exact_layout(spark, lt.rules, lt.index, list(EXACT_CAPS)).select("best_support").scalar()
+    return s.select("*", ex.alias("exact_support"))
+
+
+@query("layout_constraint_cost")
+def q_constraint_cost(spark, d):
+    """Best support found free vs with items locked in their given zone;
+    the price of the constraint is the difference (>= 0 up to search noise)."""
+    lt = Layouts(spark, d)
+    given = lt.given()
+    locked = [r["item"] for r in lt.index.orderBy("idx").limit(5).collect()]
+    free = LY.optimise_summary(LY.optimise_layout(spark, lt.rules, lt.index, SIZES, restarts=10))
+    # locked variant starts from the given layout so locked items sit in their zones
+    starts = None
+    for r in range(10):
+        s = given.withColumn("layout_id", F.lit(f"r{r}"))
+        starts = s if starts is None else starts.unionByName(s)
+    lk = LY.optimise_summary(LY.optimise_layout(spark, lt.rules, lt.index, SIZES, restarts=10,
+                                                locked=locked, start=starts))
+    f = free.select(F.lit("free").alias("variant"), "best_support")
+    k = lk.select(F.lit("locked").alias("variant"), "best_support")
+    out = f.unionByName(k)
+    fb = free.select("best_support").scalar()
+    return out.select("variant", "best_support", F.round(fb - F.col("best_support"), 8).alias("cost_vs_free"))
