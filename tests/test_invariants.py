@@ -130,3 +130,19 @@ def test_local_search_reaches_exact_optimum(spark):
     # zone sizes are kept by every swap
     for r in states.collect():
         assert sorted(bin(r[z]).count("1") for z in ("z1", "z2", "z3")) == [2, 2, 2]
+
+
+def test_topn_pairs_multiword_matches_brute_force(spark):
+    import random
+    from collections import Counter
+    from itertools import combinations
+    rnd = random.Random(7)
+    baskets = [sorted(rnd.sample(range(150), rnd.randint(1, 9))) for _ in range(400)]
+    rows = [(b, it) for b, items in enumerate(baskets) for it in items]
+    bi = spark.createDataFrame(rows, "basket_id long, item long")
+    n = 130
+    freq = Counter(it for items in baskets for it in items)
+    dom = set(sorted(freq, key=lambda x: (-freq[x], x))[:n])
+    want = Counter(p for items in baskets for p in combinations([x for x in items if x in dom], 2))
+    got = {(r.product_a, r.product_b): r.cooccurrences for r in M.pair_counts_topn(bi, n).collect()}
+    assert got == dict(want)

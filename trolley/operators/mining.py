@@ -481,3 +481,51 @@ def rule_bearing_items(rules: DataFrame, index: DataFrame, floor: float) -> Data
                .withColumn("in_rule", F.lit(True)))
     return (index.select("item").join(bearing, "item", "left")
             .select("item", F.coalesce("in_rule", F.lit(False)).alias("rule_bearing")))
+
+
+# ------------------------------------------------ wide domains (top-N) ----
+def domain_index(basket_items_df: DataFrame, n: int) -> DataFrame:
+    """The n items in most baskets (ties by item), indexed 0..n-1 in that order."""
+    c = basket_items_df.groupBy("item").agg(F.count(F.lit(1)).alias("baskets"))
+    top = c.orderBy(F.desc("baskets"), "item").limit(n)
+    w = Window.orderBy(F.desc("baskets"), "item")  # n rows (a parameter)
+    return top.select("item", (F.row_number().over(w) - 1).cast("int").alias("idx"))
+
+
+def pair_counts_topn(basket_items_df: DataFrame, n: int = 100) -> DataFrame:
+    """Exact basket co-occurrence counts for all pairs of the top-n items.
+
+    Each basket's domain items become ceil(n/63) word masks (63 bits each,
+    the sign bit unused) (bit_or partial
+    aggregates: skew-safe), baskets with identical signatures are grouped,
+    and pairs are expanded once per distinct signature with its basket count
+    as weight -- at most C(n, 2) pairs per signature, bounded by the parameter,
+    never per basket.
+    """
+    idx = domain_index(basket_items_df, n)
+    bits = MAX_ITEMS
+    words = (n + bits - 1) // bits
+    dom = basket_items_df.join(F.broadcast(idx), "item")  # n rows
+    wm = (dom.groupBy("basket_id", (F.col("idx") / bits).cast("int").alias("w"))
+          .agg(F.bit_or(shl(one(), F.col("idx") % bits)).alias("m")))
+    sig = wm.groupBy("basket_id").agg(*[
+        F.coalesce(F.max(F.when(F.col("w") == k, F.col("m"))), F.lit(0).cast("bigint")).alias(f"w{k}")
+        for k in range(words)])
+    sc = sig.groupBy(*[f"w{k}" for k in range(words)]).agg(F.count(F.lit(1)).alias("n"))
+    def offset(base):
+        # one-argument lambda: a second parameter would receive the element index
+        return lambda x: x + F.lit(base)
+
+    pos = None
+    for k in range(words):
+        p = F.transform(set_bits(F.col(f"w{k}")), offset(bits * k))
+        pos = p if pos is None else F.concat(pos, p)
+    e = sc.select("n", pos.alias("pos"))
+    pairs = (e.select("n", "pos", F.explode("pos").alias("a"))
+             .select("n", "a", F.explode(F.filter("pos", lambda x: x > F.col("a"))).alias("b")))
+    cnt = pairs.groupBy("a", "b").agg(F.sum("n").alias("cooccurrences"))
+    ia = idx.select(F.col("idx").alias("a"), F.col("item").alias("item_a"))
+    ib = idx.select(F.col("idx").alias("b"), F.col("item").alias("item_b"))
+    out = cnt.join(F.broadcast(ia), "a").join(F.broadcast(ib), "b")
+    return out.select(F.least("item_a", "item_b").alias("product_a"), F.greatest("item_a", "item_b").alias("product_b"),
+                      F.col("cooccurrences").cast("bigint"))

@@ -419,3 +419,50 @@ SELECT count(*) AS baskets, round(avg(value), 2) AS mean_value, round(median(val
   max(lines) AS max_lines, round(max(value), 2) AS max_value FROM per""")
 def q_audit_baskets(spark, d):
     return CL.audit_baskets(adapter.lines(spark, d))
+
+
+# ------------------------------------------------------------ A1 / A6 ------
+LETTERHEAD = ["STORE NAME", "ADDRESS LINE", "SALES REGISTER", "PERIOD: ALL", "", "PRINTED BY: SYSTEM",
+              "PAGE 1"]
+EXPORT_SQL = with_(L) + """SELECT basket_id AS invoice_no, product_id, CAST(sale_date AS DATE) AS sale_date,
+  quantity, round(CAST(amount AS DOUBLE), 2) AS total_amount FROM lines"""
+
+
+def _export_dir(spark, name):
+    from trolley.session import checkpoint_dir
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/exports/{name}-{uuid.uuid4().hex}"
+
+
+@query("ingest_pos_raw", EXPORT_SQL)
+def q_ingest(spark, d):
+    """Lines written as a raw export (letterhead + header + rows, day-first
+    dates) to the shared folder, then read back with an explicit schema."""
+    from trolley.sources import pos_csv
+    lines = adapter.lines(spark, d).select(
+        F.date_format("sale_date", "dd/MM/yyyy").alias("date"), F.col("basket_id").alias("invoice_no"),
+        F.col("product_id").alias("product"), F.col("quantity"),
+        F.col("amount").cast("double").alias("total_amount"))
+    path = _export_dir(spark, "pos")
+    pos_csv.write_export(lines, path, LETTERHEAD)
+    raw = pos_csv.read_export(spark, path, "date string, invoice_no string, product string, quantity string, "
+                                           "total_amount string")
+    return raw.select(F.col("invoice_no").cast("bigint").alias("invoice_no"),
+                      F.col("product").cast("bigint").alias("product_id"),
+                      F.try_to_date("date", "dd/MM/yyyy").alias("sale_date"),
+                      F.col("quantity").cast("double").alias("quantity"),
+                      F.round(F.col("total_amount").cast("double"), 2).alias("total_amount"))
+
+
+@query("write_artifact", with_(L) + """SELECT category, round(CAST(sum(amount) AS DOUBLE), 2) AS revenue,
+  count(DISTINCT basket_id) AS baskets FROM lines GROUP BY 1""")
+def q_artifact(spark, d):
+    """Category summary written as a one-file CSV artifact and read back."""
+    from trolley.sources import pos_csv
+    l = adapter.lines(spark, d)
+    cb = l.groupBy("category", "basket_id").agg(F.sum("amount").alias("a"))
+    summ = cb.groupBy("category").agg(F.round(F.sum("a").cast("double"), 2).alias("revenue"),
+                                      F.count(F.lit(1)).alias("baskets"))
+    path = _export_dir(spark, "artifact")
+    pos_csv.write_artifact(summ, path)
+    return spark.read.schema("category string, revenue double, baskets bigint").option("header", True).csv(path)

@@ -361,3 +361,15 @@ def q_roundtrip(spark, d):
     fi = Mining(spark, d).itemsets
     back = itemset_to_text(text_to_itemset("itemset"))
     return fi.select("itemset", (back == F.col("itemset")).alias("roundtrip_ok"))
+
+
+@query("top_pairs_products", with_(lines_cte("p_brand")) + """, bi AS (SELECT DISTINCT basket_id, product_id AS item FROM lines),
+top AS (SELECT item FROM bi GROUP BY item ORDER BY count(*) DESC, item LIMIT 100),
+d AS (SELECT bi.* FROM bi JOIN top USING (item))
+SELECT least(a.item, b.item) AS product_a, greatest(a.item, b.item) AS product_b, count(*) AS cooccurrences
+FROM d a JOIN d b ON a.basket_id = b.basket_id AND a.item < b.item
+GROUP BY 1, 2 ORDER BY cooccurrences DESC, product_a, product_b LIMIT 50""")
+def q_top_pairs_products(spark, d):
+    """Most frequent unordered pairs within the 100 products in most baskets."""
+    bi = M.basket_items(adapter.lines(spark, d), "product_id")
+    return (M.pair_counts_topn(bi, 100).orderBy(F.desc("cooccurrences"), "product_a", "product_b").limit(50))
