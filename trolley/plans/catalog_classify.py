@@ -164,3 +164,34 @@ def q_sweep(spark, d):
 def q_mlp(spark, d):
     tr, te, feats = _ml_frames(spark, d)
     return CF.accuracy(CF.mlp(tr, te, feats))
+
+
+@query("importance_compare")
+def q_importance(spark, d):
+    """Tree feature importances on F0 (presence flags) vs F1 (flags + basket
+    size, weekday, month): rank of each feature in both, and whether a flag
+    was displaced from the top 5 by a richer feature."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.sql import Window
+    c = Cls(spark, d)
+    f1 = CF.features_discrete(c.m.masks, c.m.lines, c.n_items)
+    lab = c.split.filter("is_train").select("basket_id", "label").join(f1, "basket_id")
+    f0_cols = [x for x in f1.columns if x.startswith("f_")]
+    f1_cols = [x for x in f1.columns if x not in ("basket_id",)]
+    spark_rows = []
+    for name, cols in (("f0", f0_cols), ("f1", f1_cols)):
+        pipe = Pipeline(stages=[StringIndexer(inputCol="label", outputCol="y", stringOrderType="alphabetAsc"),
+                                VectorAssembler(inputCols=cols, outputCol="features"),
+                                DecisionTreeClassifier(labelCol="y", maxDepth=5, seed=42)])
+        imp = pipe.fit(lab).stages[-1].featureImportances.toArray()  # one value per feature
+        spark_rows += [(name, col, float(v)) for col, v in zip(cols, imp)]
+    df = spark.createDataFrame(spark_rows, "model string, feature string, importance double")
+    w = Window.partitionBy("model").orderBy(F.desc("importance"), "feature")
+    r = df.withColumn("rank", F.row_number().over(w))
+    a = r.filter("model = 'f0'").select("feature", F.col("rank").alias("rank_f0"))
+    b = r.filter("model = 'f1'").select("feature", F.col("rank").alias("rank_f1"),
+                                        F.round("importance", 6).alias("importance_f1"))
+    return (b.join(a, "feature", "left")
+            .withColumn("displaced", (F.col("rank_f0") <= 5) & (F.col("rank_f1") > 5)))

@@ -376,3 +376,25 @@ def q_partial(spark, d):
 @query("basket_mean_ci")
 def q_ci(spark, d):
     return serve.basket_mean_ci(spark, _star(spark, d).dim_basket)
+
+
+# ------------------------------------------------------------------ A ----
+@query("scan_pruned", """SELECT l_orderkey AS basket_id, l_extendedprice AS amount, l_quantity AS quantity
+FROM lineitem WHERE l_quantity >= 10""")
+def q_scan_pruned(spark, d):
+    """Only the named columns reach the scan (ReadSchema) and the filter is
+    pushed into the parquet reader (PushedFilters)."""
+    from trolley.sources.tables import read_table
+    li = read_table(spark, d, "lineitem")
+    return (li.filter(F.col("l_quantity") >= 10)
+            .select(F.col("l_orderkey").alias("basket_id"), F.col("l_extendedprice").alias("amount"),
+                    F.col("l_quantity").alias("quantity")))
+
+
+@query("serve_view", with_(L, B) + """SELECT year_month, revenue FROM (
+  SELECT strftime(sale_date, '%Y-%m') AS year_month, round(CAST(sum(basket_value) AS DOUBLE), 2) AS revenue
+  FROM baskets GROUP BY 1) ORDER BY year_month""")
+def q_serve_view(spark, d):
+    """A serving view registered in the session catalog, read with projection and order."""
+    serve.monthly_revenue(_star(spark, d).dim_basket).createOrReplaceTempView("v_monthly_revenue")
+    return spark.table("v_monthly_revenue").select("year_month", "revenue").orderBy("year_month")
