@@ -17,7 +17,10 @@ TEST_FRACTION = 0.2
 
 
 def daily_by_series(lines: DataFrame, series_col: str | None = None) -> DataFrame:
-    sid = F.col(series_col).cast("string") if series_col else F.lit("ALL")
+    # the single-series default is derived from a column: a bare literal key
+    # would let the optimiser fold the series_id equi-joins into cross joins
+    sid = (F.col(series_col).cast("string") if series_col
+           else F.when(F.col("sale_date").isNotNull(), F.lit("ALL")))
     return (lines.groupBy(sid.alias("series_id"), F.col("sale_date").alias("date"))
             .agg(F.sum("amount").cast("double").alias("revenue")))
 
@@ -116,7 +119,7 @@ def all_forecasts(split: DataFrame) -> DataFrame:
     return out
 
 
-def fc_metrics(fc: DataFrame) -> DataFrame:
+def fc_metrics(fc: DataFrame, digits: int = 4, r2_digits: int = 6, ratio_digits: int | None = None) -> DataFrame:
     """R^2, MAE, RMSE, MAPE per (series, model) over rows with a prediction."""
     f = fc.filter(F.col("predicted").isNotNull())
     w = Window.partitionBy("series_id", "model")
@@ -129,9 +132,10 @@ def fc_metrics(fc: DataFrame) -> DataFrame:
         F.avg(F.when(F.col("actual") != 0, F.abs(err) / F.abs(F.col("actual")))).alias("mape"),
         F.sum(err * err).alias("sse"),
         F.sum(F.pow(F.col("actual") - F.col("mean_actual"), 2)).alias("sst"))
-    return g.select("series_id", "model", "n", F.round("mae", 4).alias("mae"),
-                    F.round("rmse", 4).alias("rmse"), F.round(F.col("mape") * 100, 4).alias("mape_pct"),
-                    F.round(1 - F.col("sse") / F.col("sst"), 6).alias("r2"))
+    rd = digits if ratio_digits is None else ratio_digits
+    return g.select("series_id", "model", "n", F.round("mae", digits).alias("mae"),
+                    F.round("rmse", rd).alias("rmse"), F.round(F.col("mape") * 100, rd).alias("mape_pct"),
+                    (F.round(1 - F.col("sse") / F.col("sst"), r2_digits) + F.lit(0.0)).alias("r2"))
 
 
 def fc_verdict(metrics: DataFrame, baselines=("naive_flat", "hist_mean", "persistence")) -> DataFrame:
