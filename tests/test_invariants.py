@@ -146,3 +146,16 @@ def test_topn_pairs_multiword_matches_brute_force(spark):
     want = Counter(p for items in baskets for p in combinations([x for x in items if x in dom], 2))
     got = {(r.product_a, r.product_b): r.cooccurrences for r in M.pair_counts_topn(bi, n).collect()}
     assert got == dict(want)
+
+
+def test_moves_respect_capacity_and_reach_exact(spark):
+    spec = [("ABC", 10), ("DE", 8), ("AF", 3), ("F", 2)]
+    idx, _, _, _, rules = _mine(spark, spec, 0.05)
+    strong = LY.strong_rule_table(rules, 1.0)
+    exact = LY.exact_layout(spark, strong, idx, [3, 3, 3]).first().best_support
+    states = LY.optimise_layout(spark, strong, idx, [2, 2, 2], restarts=6, capacities=[3, 3, 3])
+    best = LY.optimise_summary(states).first()
+    assert abs(best.best_support - exact) < 1e-7
+    for r in states.collect():
+        sizes = [bin(r[z]).count("1") for z in ("z1", "z2", "z3")]
+        assert sum(sizes) == 6 and max(sizes) <= 3

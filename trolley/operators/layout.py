@@ -232,11 +232,12 @@ def score_states(states: DataFrame, rules: DataFrame, keys: list, n_zones: int)
 
 def optimise_layout(spark: SparkSession, rules: DataFrame, index: DataFrame, sizes=params.ZONE_SIZES,
                     restarts: int = 20, seed: int = 42, locked: list | None = None, max_steps: int = 60,
-                    start: DataFrame | None = None) -> DataFrame:
+                    start: DataFrame | None = None, capacities: list | None = None) -> DataFrame:
     """Steepest-ascent local search over swaps, all restarts batched as rows.
 
-    Zone sizes are kept by construction (only swaps of two items in
-    different zones); ``locked`` items never move.  Each step generates every
+    Candidates are swaps of two items in different zones and, when
+    ``capacities`` leave room, moves of one item into a zone below its
+    capacity; ``locked`` items never move.  Each step generates every
     legal swap of every restart (restarts x item pairs, bounded by the
     63-item domain), scores them against the broadcast rule list, keeps the
     best strictly improving swap per restart (ties: smaller item indexes) and
@@ -257,6 +258,10 @@ def optimise_layout(spark: SparkSession, rules: DataFrame, index: DataFrame, siz
     movable = [i for i, it in idx if it not in lock]
     pairs = spark.createDataFrame([(a, b) for x, a in enumerate(movable) for b in movable[x + 1:]],
                                   "i int, j int")
+    caps = list(capacities) if capacities is not None else list(sizes)
+    moves = None
+    if any(c > s_ for c, s_ in zip(caps, sizes)):
+        moves = spark.createDataFrame([(a, k) for a in movable for k in range(1, nz + 1)], "i int, k int")
     active = st.count()
     step = 0
     while active and step < max_steps:
@@ -274,9 +279,11 @@ def optimise_layout(spark: SparkSession, rules: DataFrame, index: DataFrame, siz
             hi = F.col(z).bitwiseAND(bi) != 0
             hj = F.col(z).bitwiseAND(bj) != 0
             cand = cand.withColumn(z, F.when(hi != hj, F.col(z).bitwiseXOR(bi.bitwiseOR(bj))).otherwise(F.col(z)))
-        cand = cand.select("restart", "i", "j", F.col("score").alias("cur"), "steps", *zc)
-        scored = score_states(cand, rules, ["restart", "i", "j"], nz)
-        w = Window.partitionBy("restart").orderBy(F.desc("score"), "i", "j")
+        cand = cand.select("restart", "i", "j", F.lit(-1).alias("k"), F.col("score").alias("cur"), "steps", *zc)
+        if moves is not None:
+            cand = cand.unionByName(_move_candidates(st, moves, zc, caps))
+        scored = score_states(cand, rules, ["restart", "i", "j", "k"], nz)
+        w = Window.partitionBy("restart").orderBy(F.desc("score"), "i", "j", "k")
         best = (scored.filter(F.col("score") > F.col("cur") + 1e-12)
                 .withColumn("rk", F.row_number().over(w)).filter("rk = 1")
                 .select("restart", *zc, "score", (F.col("steps") + 1).alias("steps")))
@@ -286,6 +293,21 @@ def optimise_layout(spark: SparkSession, rules: DataFrame, index: DataFrame, siz
     return st.select("restart", F.round("score", 8).alias("score"), "steps", *zc)
 
 
+def _move_candidates(st: DataFrame, moves: DataFrame, zc: list, caps: list) -> DataFrame:
+    """Move item i into zone k (not its zone, below capacity): restarts x (i, k)."""
+    bi = shl(one(), F.col("i"))
+    c = st.join(F.broadcast(moves), F.lit(True))  # restarts x bounded (item, zone) list
+    ok_target, ok_room = F.lit(False), F.lit(False)
+    for m, z in enumerate(zc, start=1):
+        ok_target = ok_target | ((F.col("k") == m) & (F.col(z).bitwiseAND(bi) == 0))
+        ok_room = ok_room | ((F.col("k") == m) & (F.bit_count(F.col(z)) < caps[m - 1]))
+    c = c.filter(ok_target & ok_room)
+    for m, z in enumerate(zc, start=1):
+        c = c.withColumn(z, F.when(F.col("k") == m, F.col(z).bitwiseOR(bi))
+                         .when(F.col(z).bitwiseAND(bi) != 0, F.col(z) - bi).otherwise(F.col(z)))
+    return c.select("restart", "i", F.lit(-1).alias("j"), "k", F.col("score").alias("cur"), "steps", *zc)
+
+
 def optimise_summary(states: DataFrame) -> DataFrame:
     best = states.agg(F.max("score")).scalar()
     return states.agg(F.count(F.lit(1)).alias("restarts"), F.round(F.max("score"), 8).alias("best_support"),

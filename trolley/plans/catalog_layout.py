@@ -246,21 +246,32 @@ def q_optimise_small(spark, d):
 
 @query("layout_constraint_cost")
 def q_constraint_cost(spark, d):
-    """Best support found free vs with items locked in their given zone;
-    the price of the constraint is the difference (>= 0 up to search noise)."""
+    """Best support for the given layout and four searched variants: free,
+    locked (first 5 categories stay in their given zone), capacity (each zone
+    may hold one more category: moves allowed) and capacity + locked.  The
+    price of a constraint is free/capacity best minus the constrained best."""
     lt = Layouts(spark, d)
     given = lt.given()
     locked = [r["item"] for r in lt.index.orderBy("idx").limit(5).collect()]
-    free = LY.optimise_summary(LY.optimise_layout(spark, lt.rules, lt.index, SIZES, restarts=10))
-    # locked variant starts from the given layout so locked items sit in their zones
-    starts = None
-    for r in range(10):
-        s = given.withColumn("layout_id", F.lit(f"r{r}"))
-        starts = s if starts is None else starts.unionByName(s)
-    lk = LY.optimise_summary(LY.optimise_layout(spark, lt.rules, lt.index, SIZES, restarts=10,
-                                                locked=locked, start=starts))
-    f = free.select(F.lit("free").alias("variant"), "best_support")
-    k = lk.select(F.lit("locked").alias("variant"), "best_support")
-    out = f.unionByName(k)
-    fb = free.select("best_support").scalar()
-    return out.select("variant", "best_support", F.round(fb - F.col("best_support"), 8).alias("cost_vs_free"))
+    caps = [s_ + 1 for s_ in SIZES]
+
+    def starts(n):
+        out = None
+        for r in range(n):
+            s_ = given.withColumn("layout_id", F.lit(f"r{r}"))
+            out = s_ if out is None else out.unionByName(s_)
+        return out
+
+    def best(**kw):
+        st = LY.optimise_layout(spark, lt.rules, lt.index, SIZES, **kw)
+        return LY.optimise_summary(st).select("best_support").first()[0]
+
+    given_score = LY.score_layouts(lt.rules, given, lt.index).select("support_captured").first()[0]
+    rows = [("given", given_score), ("free", best(restarts=10)),
+            ("locked", best(restarts=1, locked=locked, start=starts(1))),
+            ("capacity", best(restarts=10, capacities=caps)),
+            ("capacity_locked", best(restarts=1, locked=locked, start=starts(1), capacities=caps))]
+    df = spark.createDataFrame([(v, float(x)) for v, x in rows], "variant string, best_support double")
+    free = dict(rows)["free"]
+    return df.select("variant", F.round("best_support", 8).alias("best_support"),
+                     F.round(F.lit(free) - F.col("best_support"), 8).alias("delta_vs_free"))
