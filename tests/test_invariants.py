@@ -159,3 +159,22 @@ def test_moves_respect_capacity_and_reach_exact(spark):
     for r in states.collect():
         sizes = [bin(r[z]).count("1") for z in ("z1", "z2", "z3")]
         assert sum(sizes) == 6 and max(sizes) <= 3
+
+
+def test_partitioned_prefix_share_matches_running_sum(spark):
+    import random
+    from decimal import Decimal
+    from trolley.operators.serve import prefix_share
+    rnd = random.Random(3)
+    rows = [(i, f"p{i}", Decimal(rnd.choice([5, 10, 10, 20, 37]) * 100 + rnd.randint(0, 3)))
+            for i in range(3000)]  # many ties in value
+    df = spark.createDataFrame(rows, "product_id long, product_name string, rev decimal(18,6)")
+    got = {r.product_id: (r.cum_pct, r.abc_class) for r in prefix_share(df, "rev", ["product_id"],
+                                                                          n_ranges=16).collect()}
+    total = sum(r[2] for r in rows)
+    cum = Decimal(0)
+    for pid, _, v in sorted(rows, key=lambda r: (-r[2], r[0])):
+        cum += v
+        cls = "A" if cum * 100 <= total * 70 else ("B" if cum * 100 <= total * 90 else "C")
+        assert got[pid][1] == cls
+        assert abs(got[pid][0] - float(cum * 100 / total)) < 1e-5

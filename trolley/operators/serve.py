@@ -413,14 +413,18 @@ def prefix_share(df: DataFrame, value: str, tiebreak: list, edges=params.ABC_EDG
        contiguous slice of the total order (ties split by the tiebreak);
     2. per-partition totals, one row per partition -> prefix offsets;
     3. running sum inside each partition plus the offset of earlier slices.
-    The range exchange is planned once and reused by both branches.  Class
-    edges are compared exactly in decimal: cum * 100 <= edge * total.
+    The range-partitioned copy (one row per product) is checkpointed so the
+    partition ids are data, identical for both branches.  Class edges are
+    compared exactly in decimal: cum * 100 <= edge * total.
     """
     spark = df.sparkSession
     n_ranges = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(value).desc()] + [F.col(c).asc() for c in tiebreak]
-    ranged = (df.repartitionByRange(n_ranges, *order)
-                .withColumn("_part", F.spark_partition_id()))
+    from trolley.session import cut_lineage
+    # partition ids are fixed once: two evaluations of a range exchange may
+    # sample different bounds, so both branches below must read one copy
+    ranged = cut_lineage(df.repartitionByRange(n_ranges, *order)
+                         .withColumn("_part", F.spark_partition_id()))
     totals = ranged.groupBy("_part").agg(F.sum(value).alias("_ptot"))
     offs = totals.select("_part", F.coalesce(F.sum("_ptot").over(
         Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
