@@ -434,8 +434,7 @@ def top_n_domain(basket_items_df: DataFrame, n: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------- J11 ----
-def rule_stability(rules: DataFrame, mc2: DataFrame, strong: float = params.STRONG_LIFT,
-                   top: int = 20) -> DataFrame:
+def rule_stability(rules: DataFrame, mc2: DataFrame, strong: float = params.STRONG_LIFT) -> DataFrame:
     """Lift of each window-1 rule recomputed on window 2 without re-mining.
 
     The window-2 counts of antecedent, consequent and whole itemset are
@@ -453,7 +452,6 @@ def rule_stability(rules: DataFrame, mc2: DataFrame, strong: float = params.STRO
          .join(cnt.select(F.col("cand").alias("full"), F.col("c2").alias("f2")), "full"))
     lift2 = F.when((F.col("a2") > 0) & (F.col("k2") > 0),
                    (F.col("f2") / F.col("a2")) / (F.col("k2") / total2))
-    w = Window.orderBy(F.desc("lift"), "antecedents", "consequents")
     return r.select("antecedents", "consequents", F.col("lift").alias("lift_dev"),
                     F.round(lift2, 8).alias("lift_val"),
                     F.round(lift2 / F.col("lift"), 8).alias("ratio"),
