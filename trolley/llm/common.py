@@ -180,3 +180,33 @@ def covered(n: int, start: np.ndarray, width: int) -> np.ndarray:
     np.add.at(delta, start, 1)
     np.add.at(delta, np.minimum(start + width, n), -1)
     return np.cumsum(delta[:n]) > 0
+
+
+# --------------------------------------------------------------- row-wise operators
+def fresh_name(columns: list[str], wanted: str) -> str:
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
+def append_struct(docs: DataFrame, name: str, ddl: str, schema: pa.Schema, compute, text: str = "text") -> DataFrame:
+    """``docs`` with one struct column more, computed from slices of its rows.
+
+    ``compute(slice)`` gets a RecordBatch of all columns and returns the
+    struct's columns by name.  Only the new column's name can clash; the
+    caller takes it from ``fresh_name``.
+    """
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+
+    inner = _parse_datatype_string(ddl)
+    out = StructType([*docs.schema.fields, StructField(name, inner)])
+
+    def run(batches):
+        for batch in batches:
+            for part in row_slices(batch, text):
+                made = compute(part)
+                struct = pa.StructArray.from_arrays([pa.array(made[f.name], f.type) for f in schema], fields=list(schema))
+                yield pa.RecordBatch.from_arrays([*part.columns, struct], names=[*part.schema.names, name])
+
+    return docs.mapInArrow(run, out)

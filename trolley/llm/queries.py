@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trolley.llm.common import read_table
+from trolley.llm.rules import quality_rules
 from trolley.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,4 +19,8 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
-QUERIES |= {f.__name__: f for f in (op4_simhash_near_dedup,)}
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES |= {f.__name__: f for f in (op4_simhash_near_dedup, op8_quality_rules)}
