@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trolley.llm.common import read_table
 from trolley.llm.rules import quality_rules
 from trolley.llm.simhash import near_duplicates
+from trolley.llm.tokens import token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,4 +24,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES |= {f.__name__: f for f in (op4_simhash_near_dedup, op8_quality_rules)}
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output(read_table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
+
+
+QUERIES |= {f.__name__: f for f in (op4_simhash_near_dedup, op7_token_output, op8_quality_rules)}
