@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trolley.llm.common import read_table
+from trolley.llm.decontam import contaminated
+from trolley.llm.mixing import document_rates, labelled_languages
 from trolley.llm.rules import quality_rules
 from trolley.llm.simhash import near_duplicates
 from trolley.llm.tokens import token_output
@@ -16,6 +18,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: shares of tokens that the mix aims at, by language
+MIX_WEIGHTS = {"en": 0.55, "fr": 0.17, "de": 0.17, "es": 0.11}
+
+
+def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -28,4 +38,10 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(read_table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
-QUERIES |= {f.__name__: f for f in (op4_simhash_near_dedup, op7_token_output, op8_quality_rules)}
+def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return document_rates(docs, labelled_languages(docs, read_table(spark, sf_dir, "labels")), MIX_WEIGHTS)
+
+
+QUERIES |= {f.__name__: f for f in (
+    op3_template_decontamination, op4_simhash_near_dedup, op7_token_output, op8_quality_rules, op10_soft_mixing)}

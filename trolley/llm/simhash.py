@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import cut_lineage, mix64, salted_left_join, text_column
+from trolley.llm.common import cut_lineage, fresh_name, mix64, salted_left_join, text_column
 from trolley.llm.graph import connected_components
 
 HASH_SEED = 42
@@ -42,17 +42,18 @@ def simhash(raw: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): fp is the SimHash as a signed long; null and empty texts have 0."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """(doc_id, row_key, fp): row_key is a hash of doc_id and text, fp the SimHash as a
+    signed long; null and empty texts have fp 0."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
         for batch in batches:
             text = text_column(batch, "text")
-            out = [simhash(v.as_buffer().to_pybytes() if v.is_valid else b"", shingle) for v in text]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(np.array(out, np.uint64).view(np.int64))], schema=schema)
+            out = [simhash(v.as_buffer().to_pybytes(), shingle) for v in text]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.array(out, np.uint64).view(np.int64))], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_key"), "text")
+            .mapInArrow(run, "doc_id long, row_key long, fp long"))
 
 
 def _masks(distance: int) -> list[int]:
@@ -110,6 +111,15 @@ def links(prints: DataFrame, distance: int = 2) -> DataFrame:
     return pairs.unionByName(stars).distinct()
 
 
+def _classes(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprinted rows, and for each fingerprint its smallest doc_id, number
+    of rows and class (root, a fingerprint)."""
+    rows = cut_lineage(fingerprints(docs, shingle))
+    prints = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")))
+    comp = connected_components(links(prints.select("fp"), distance)).withColumnRenamed("vertex", "fp")
+    return rows, prints.join(comp, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``.
 
@@ -120,13 +130,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     unless the class has no other; repeated rows stay repeated; other columns
     of ``docs`` are not looked at; an empty table gives an empty result.
     """
-    rows = cut_lineage(fingerprints(docs, shingle))
-    prints = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")))
-    comp = connected_components(links(prints.select("fp"), distance))
-    linked = prints.join(comp.withColumnRenamed("vertex", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rows, linked = _classes(docs, shingle, distance)
     ids = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("_rows")).where("_rows > 1")
     known = salted_left_join(linked.select("fp", "root"), ids.select("root", "component_id"), "root", F.col("fp"), 8)
     known = known.where("component_id is not null").select("fp", "component_id")
-    return (salted_left_join(rows, known, "fp", F.col("doc_id"), 64)
+    return (salted_left_join(rows, known, "fp", F.col("row_key"), 64)
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """One row of ``docs`` for each class of near duplicates, with its columns unchanged.
+
+    The row of the smallest doc_id stays (nulls last); among rows that share it
+    a hash of the text decides, and of fully repeated rows any one stays.
+    """
+    rows, linked = _classes(docs, shingle, distance)
+    best = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("best"))
+    key = fresh_name(docs.columns, "row_key")
+    keepers = cut_lineage(best.join(linked.select("fp", "root"), "fp").groupBy("root").agg(F.min("best").alias("best"))
+                          .select(F.col("best.row_key").alias(key)))
+    return (docs.withColumn(key, F.xxhash64(F.col("doc_id"), "text")).join(keepers, key, "left_semi")
+            .dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns]))
