@@ -16,7 +16,7 @@ from trolley.llm.common import cut_lineage, fresh_name
 LABELLED_ROWS = 5000
 #: word hashes of the classifier, and the words' worth of evidence that a posterior rests on at most
 FEATURES, EVIDENCE = 4096, 24
-ROUNDS, TOLERANCE = 30, 1e-9
+ROUNDS, TOLERANCE = 30, 1e-6
 
 
 def _words(text: Column) -> Column:
@@ -46,6 +46,14 @@ def fit_classifier(labelled: DataFrame) -> dict[str, list[float]]:
     return {k: [math.log(n / sum(table[k])) for n in table[k]] for k in sorted(table)}
 
 
+def _once(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``docs`` with the columns, worked out once a row: a later filter on them is not
+    rewritten into a second evaluation below."""
+    name = fresh_name(docs.columns, "once")
+    made = docs.withColumn(name, F.explode(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
+    return made.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"`{name}`.`{k}`").alias(k) for k in columns])
+
+
 def with_posteriors(docs: DataFrame, model: dict[str, list[float]], n_tokens: str, posterior: str) -> DataFrame:
     """``docs`` with its word count and an array of domain posteriors (in the model's order).
 
@@ -61,10 +69,11 @@ def with_posteriors(docs: DataFrame, model: dict[str, list[float]], n_tokens: st
         table = _numbers(values)
         return F.aggregate(codes, F.lit(0.0), lambda a, i: a + F.get(table, i)) * weight
 
-    out = docs.withColumn(codes, _codes(F.col("text"))).withColumn(n_tokens, n.cast("long"))
-    out = out.withColumn(scores, F.array(*[total(v) for v in model.values()])).drop(codes)
-    out = out.withColumn(scores, F.transform(scores, lambda s: F.exp(s - F.array_max(scores))))
-    return out.withColumn(posterior, F.transform(scores, lambda s: s / F.aggregate(scores, F.lit(0.0), lambda a, x: a + x))).drop(scores)
+    out = _once(docs, **{codes: _codes(F.col("text"))})
+    out = _once(out, **{n_tokens: n.cast("long"), scores: F.array(*[total(v) for v in model.values()])}).drop(codes)
+    out = _once(out, **{scores + "_": F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))}).drop(scores)
+    share = F.transform(scores + "_", lambda s: s / F.aggregate(scores + "_", F.lit(0.0), lambda a, x: a + x))
+    return _once(out, **{posterior: share}).drop(scores + "_")
 
 
 def _solve(a: list[list[float]], b: list[float]) -> list[float]:
@@ -140,7 +149,7 @@ def _columns(out: DataFrame, key: str, prefix: str, domains: list[str], steps: l
     posterior, rate = f"{prefix}_posterior", f"{prefix}_rate"
     chance = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     names = F.split(F.lit("\u0001".join(domains)), "\u0001")
-    out = out.withColumn(rate, rate_of(posterior, steps))
+    out = _once(out, **{rate: rate_of(posterior, steps)})
     out = out.withColumn(f"{prefix}_copies", (F.floor(rate) + F.when(chance < F.col(rate) - F.floor(rate), 1).otherwise(0)).cast("int"))
     return out.withColumn(f"{prefix}_domain", F.get(names, (F.array_position(posterior, F.array_max(posterior)) - 1).cast("int"))).drop(key)
 
