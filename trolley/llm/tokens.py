@@ -13,7 +13,6 @@ block's ids fit.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import cut_lineage, row_slices, shared_folder
+from trolley.llm.common import bytes_and_offsets, cut_lineage, row_slices, shared_folder, text_column, word_hashes
 
 END_ID = 2
 MAGIC = b"PFORBLK1"
@@ -38,8 +37,8 @@ _FOOT = struct.Struct("<QQQQ8s")
 _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("start", "<i8"), ("n", "<i8")])
 #: blocks that are packed or read in one go
 _GROUP = 256
-#: pieces of text whose ids a worker remembers
-_CACHE_SIZE = 400_000
+#: units of text whose ids a worker remembers
+_CACHE_SIZE = 1_000_000
 
 
 # ------------------------------------------------------------------- blocks
@@ -63,8 +62,10 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
             packed: list[bytes] = [b""] * len(rows)
             for w in np.unique(width):
                 mine = np.flatnonzero(width == w)
-                bits = (rest[mine][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-                rowsof = np.packbits(bits.astype(np.uint8).reshape(len(mine), -1), axis=1, bitorder="little")
+                kind = np.uint16 if w <= 16 else np.uint32
+                own = rest[mine].astype(kind).view(np.uint8).reshape(-1, kind().itemsize)
+                bits = np.unpackbits(own, axis=1, bitorder="little")[:, :w]
+                rowsof = np.packbits(bits.reshape(len(mine), -1), axis=1, bitorder="little")
                 for i, r in zip(mine, rowsof):
                     packed[i] = r.tobytes()
             for i, row in enumerate(rest):
@@ -81,9 +82,9 @@ def decode_block(raw: bytes) -> np.ndarray:
     size = (n * width + 7) // 8
     if width:
         bits = np.unpackbits(np.frombuffer(raw, np.uint8, size, at), bitorder="little")[:n * width].reshape(n, width)
-        wide = np.zeros((n, 32), np.uint8)
+        wide = np.zeros((n, 16 if width <= 16 else 32), np.uint8)
         wide[:, :width] = bits
-        ids = np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
+        ids = np.packbits(wide, axis=1, bitorder="little").view("<u2" if width <= 16 else "<u4").ravel().astype(np.uint32)
     else:
         ids = np.zeros(n, np.uint32)
     at += size
@@ -182,65 +183,150 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path), {}, {}
-
-
-#: white space that is no single space or line feed between two other characters
-_UNEVEN = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
+#: classes of bytes: letter, other, space, line feed, first byte of U+0080..U+00FF, its second byte,
+#: and bytes that send a text to the tokenizer whole (other white space and scripts)
+_OTHER, _LETTER, _SPACE, _FEED, _TWO, _SECOND, _WHOLE = range(7)
+_CLASS = np.full(256, _WHOLE, np.uint8)
+_CLASS[0x21:0x7F] = _OTHER
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_CLASS[0x20], _CLASS[0x0A] = _SPACE, _FEED
+_CLASS[0xC2], _CLASS[0xC3], _CLASS[0x80:0xC0] = _TWO, _TWO, _SECOND
 
 
-def encode_texts(path: str, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each text.
+def _units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where units begin, and which rows can't be cut into units.
 
     Byte-level BPE cuts a text before every single space or line feed that
-    stands between two other characters, so pieces cut there are encoded once
-    and remembered.  A text with any other white space, or with a special
-    token's string, goes to the tokenizer whole.
+    stands between two other characters, and where a run of letters begins or
+    ends (but after an apostrophe).
     """
-    tok, spaced, broken = _tokenizer(path)
-    special = [t.content for t in tok.get_added_tokens_decoder().values()]
-    line_feed = tok.encode("\n", add_special_tokens=False).ids
-    whole = [bool(_UNEVEN.search(t)) or len(line_feed) != 1 or any(s in t for s in special) for t in texts]
-    pieces = [None if w else t.replace("\n", " \n").split(" ") for t, w in zip(texts, whole)]
-    if len(spaced) > _CACHE_SIZE:
-        spaced.clear()
-    if len(broken) > _CACHE_SIZE:
-        broken.clear()
-
-    def learn(memory: dict, new: list[str], lead: str) -> None:
-        # a line feed between pieces is a token of its own, so the ids fall apart at it
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            ids = np.array(tok.encode_batch_fast([lead + f"\n{lead}".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cut = np.flatnonzero(ids == line_feed[0])
-            if len(cut) == len(some) - 1:
-                for key, own in zip(some, np.split(ids, cut)):
-                    memory[key] = (own if own is ids or not len(own) or own[0] != line_feed[0] else own[1:]).tobytes()
+    cls = _CLASS[data]
+    lead = np.flatnonzero(cls == _TWO)
+    code = (data[lead].astype(np.int64) & 3) << 6 | (data[np.minimum(lead + 1, len(data) - 1)] & 63)
+    letter = (code >= 0xC0) & (code != 0xD7) & (code != 0xF7) | np.isin(code, [0xAA, 0xB5, 0xBA])
+    kind = np.where(np.isin(code, [0x85, 0xA0]), _WHOLE, np.where(letter, _LETTER, _OTHER)).astype(np.uint8)
+    cls[lead], cls[lead + 1] = kind, kind
+    edge = np.zeros(len(data) + 1, bool)
+    edge[off] = True
+    blank = (cls == _SPACE) | (cls == _FEED)
+    bad = cls >= _SECOND
+    bad |= blank & (edge[:-1] | edge[1:])
+    bad[1:] |= blank[1:] & blank[:-1]
+    total = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(bad, out=total[1:])
+    start = edge[:-1] | blank
+    before, after = cls[:-1], cls[1:]
+    start[1:] |= (after == _LETTER) & ((before == _OTHER) & (data[:-1] != 0x27) | (before == _FEED))
+    start[1:] |= (after == _OTHER) & ((before == _LETTER) | (before == _FEED))
+    return np.flatnonzero(start), total[off[1:]] > total[off[:-1]]
+
+
+class Encoder:
+    """A tokenizers file with a memory of the units that its worker has met: an
+    open-addressed table from a unit's 64-bit hash to its ids.
+
+    A text with uneven white space, a character beyond U+00FF or a special
+    token's string goes to the tokenizer whole.
+    """
+
+    _BITS = 22
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
+        self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        self.feed = self.tok.encode("\n", add_special_tokens=False).ids
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.zeros(1 << self._BITS, np.uint64)
+        self.unit = np.zeros(1 << self._BITS, np.int32)
+        self.first, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.ids = np.zeros(1 << 18, np.uint32)
+        self.n_units = self.n_ids = 0
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Number of each hash's unit, -1 if it is new."""
+        slot = (h >> np.uint64(64 - self._BITS)).astype(np.int64)
+        out = np.full(len(h), -1, np.int64)
+        rest = np.arange(len(h))
+        while len(rest):
+            key = self.keys[slot[rest]]
+            hit = key == h[rest]
+            out[rest[hit]] = self.unit[slot[rest[hit]]]
+            rest = rest[~hit & (key != 0)]
+            slot[rest] = (slot[rest] + 1) & ((1 << self._BITS) - 1)
+        return out
+
+    def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
+        """Encodes new units; a line feed between two of them is a token of its own."""
+        found: list[np.ndarray] = []
+        groups = [units[at:at + 100] for at in range(0, len(units), 100)]
+        for some, enc in zip(groups, self.tok.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(enc.ids, np.uint32)
+            cut = np.flatnonzero(ids == self.feed[0])
+            if "\n" in some or len(cut) != len(some) - 1:
+                found += [np.array(self.tok.encode(u, add_special_tokens=False).ids, np.uint32) for u in some]
             else:
-                for key in some:
-                    memory[key] = np.array(tok.encode(lead + key, add_special_tokens=False).ids, "<u4").tobytes()
-
-    after_space, after_break = set(), set()
-    for p in pieces:
-        if p:
-            after_space.update(x for x in p[1:] if x[:1] != "\n")
-            after_break.update(x[1:] for x in p[1:] if x[:1] == "\n")
-            after_break.add(p[0])
-    learn(spaced, [x for x in after_space if x not in spaced], " ")
-    learn(broken, [x for x in after_break if x not in broken], "")
-    feed = np.array(line_feed, "<u4").tobytes()
-    out = []
-    for t, p in zip(texts, pieces):
-        if p is None:
-            out.append(np.array(tok.encode(t, add_special_tokens=False).ids, np.uint32))
-        else:
-            raw = b"".join([broken[p[0]], *[spaced[x] if x[:1] != "\n" else feed + broken[x[1:]] for x in p[1:]]])
-            out.append(np.frombuffer(raw, "<u4"))
-    return out
+                ends = [*cut.tolist(), len(ids)]
+                found += [ids[x:y] for x, y in zip([0, *[c + 1 for c in cut.tolist()]], ends)]
+        size = np.array([len(f) for f in found], np.int64)
+        while self.n_units + len(found) > len(self.first):
+            self.first, self.size = np.append(self.first, 0 * self.first), np.append(self.size, 0 * self.size)
+        while self.n_ids + size.sum() > len(self.ids):
+            self.ids = np.append(self.ids, 0 * self.ids)
+        own = slice(self.n_units, self.n_units + len(found))
+        self.first[own], self.size[own] = self.n_ids + np.cumsum(size) - size, size
+        self.ids[self.n_ids:self.n_ids + size.sum()] = np.concatenate(found)
+        mask, keys = (1 << self._BITS) - 1, self.keys
+        for i, h in enumerate(hashes.tolist()):
+            at = h >> (64 - self._BITS)
+            while keys[at]:
+                at = (at + 1) & mask
+            keys[at], self.unit[at] = h, self.n_units + i
+        self.n_units += len(found)
+        self.n_ids += int(size.sum())
+
+    def __call__(self, data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
+        """Ids of each row of the UTF-8 bytes."""
+        if self.n_units > _CACHE_SIZE:
+            self._forget()
+        n = len(off) - 1
+        if len(data) == 0:
+            return [np.zeros(0, np.uint32)] * n
+        raw = data.tobytes()
+        start, whole = _units(data, off)
+        if len(self.feed) != 1:
+            whole[:] = True
+        for s in self.special:
+            at = raw.find(s)
+            while at >= 0:
+                whole[np.searchsorted(off, at, "right") - 1] = True
+                at = raw.find(s, at + 1)
+        end = np.append(start[1:], len(data))
+        row = np.searchsorted(off, start, "right") - 1
+        plain = ~whole[row]
+        start, end, row = start[plain], end[plain], row[plain]
+        h = word_hashes(data, start, end) | np.uint64(1)
+        unit = self._find(h)
+        new = np.flatnonzero(unit < 0)
+        if len(new):
+            fresh, where = np.unique(h[new], return_index=True)
+            where = new[where]
+            self._learn(fresh, [raw[a:b].decode() for a, b in zip(start[where].tolist(), end[where].tolist())])
+            unit[new] = self._find(h[new])
+        size = self.size[unit]
+        stop = np.cumsum(size)
+        ids = self.ids[np.repeat(self.first[unit] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+        cut = np.append(0, stop)[np.searchsorted(row, np.arange(n + 1))]
+        return [np.array(self.tok.encode(raw[off[i]:off[i + 1]].decode(), add_special_tokens=False).ids, np.uint32) if whole[i]
+                else ids[cut[i]:cut[i + 1]] for i in range(n)]
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 # ------------------------------------------------------------------- jobs
@@ -258,8 +344,8 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
         for batch in batches:
             for rows in row_slices(batch, "text"):
                 writer = writer or ShardWriter(uri)
-                texts = [t or "" for t in rows.column(1).to_pylist()]
-                for doc_id, ids in zip(rows.column(0).to_pylist(), encode_texts(tokenizer, texts)):
+                encoded = _encoder(tokenizer)(*bytes_and_offsets(text_column(rows, "text")))
+                for doc_id, ids in zip(rows.column(0).to_pylist(), encoded):
                     writer.add(doc_id, np.append(ids, np.uint32(END_ID)).astype(np.uint32))
         if writer:
             writer.close()
