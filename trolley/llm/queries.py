@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trolley.llm import substring, suffix
 from trolley.llm.common import read_table
 from trolley.llm.decontam import contaminated
 from trolley.llm.mixing import document_rates, labelled_languages
@@ -22,6 +23,10 @@ ORACLES: dict[str, str] = {}
 MIX_WEIGHTS = {"en": 0.55, "fr": 0.17, "de": 0.17, "es": 0.11}
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(substring.remove_repeats(read_table(spark, sf_dir, "documents"), width=35))
+
+
 def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("row_key")
 
@@ -34,6 +39,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(suffix.remove_repeats(read_table(spark, sf_dir, "documents"), length=200))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(read_table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
@@ -44,4 +53,4 @@ def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (
-    op3_template_decontamination, op4_simhash_near_dedup, op7_token_output, op8_quality_rules, op10_soft_mixing)}
+    op2_substring_dedup, op3_template_decontamination, op4_simhash_near_dedup, op6_suffix_dedup, op7_token_output, op8_quality_rules, op10_soft_mixing)}
