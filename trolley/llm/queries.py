@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.llm import substring, suffix
+from trolley.llm import crf, substring, suffix, warc
 from trolley.llm.common import read_table
 from trolley.llm.decontam import contaminated
+from trolley.llm.extract import extract
 from trolley.llm.mixing import document_rates, labelled_languages
 from trolley.llm.rules import quality_rules
 from trolley.llm.simhash import near_duplicates
@@ -23,6 +24,10 @@ ORACLES: dict[str, str] = {}
 MIX_WEIGHTS = {"en": 0.55, "fr": 0.17, "de": 0.17, "es": 0.11}
 
 
+def op1_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.remove_repeats(read_table(spark, sf_dir, "documents"), width=35))
 
@@ -39,6 +44,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(read_table(spark, sf_dir, "pages"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digest(suffix.remove_repeats(read_table(spark, sf_dir, "documents"), length=200))
 
@@ -47,10 +56,15 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(read_table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return document_rates(docs, labelled_languages(docs, read_table(spark, sf_dir, "labels")), MIX_WEIGHTS)
 
 
 QUERIES |= {f.__name__: f for f in (
-    op2_substring_dedup, op3_template_decontamination, op4_simhash_near_dedup, op6_suffix_dedup, op7_token_output, op8_quality_rules, op10_soft_mixing)}
+    op1_crf_quality, op2_substring_dedup, op3_template_decontamination, op4_simhash_near_dedup, op5_warc_index,
+    op6_suffix_dedup, op7_token_output, op8_quality_rules, op9_main_text, op10_soft_mixing)}
