@@ -76,7 +76,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     else:  # a window may stand in a third of all documents: spread each over salts
         salts = 32
         found = (windows.withColumn("salt", F.pmod("row_key", F.lit(salts)))
-                 .join(bench.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long")), ["h", "salt"]))
+                 .join(bench.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), ["h", "salt"]))
     hits = cut_lineage(found.select("doc_id", "row_key", "item_id", "b_pos", (F.col("pos") - F.col("b_pos")).alias("shift")).distinct())
 
     runs = hits.groupBy("doc_id", "row_key", "item_id", "shift").agg(F.min("b_pos").alias("lo"), F.max("b_pos").alias("hi"))
