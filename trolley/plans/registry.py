@@ -20,7 +20,7 @@ def query(name: str, sql: str | None = None):
 
 
 CATALOGUES = ("catalog_star", "catalog_clean", "catalog_mining", "catalog_layout",
-              "catalog_forecast", "catalog_classify", "catalog_recommend", "catalog_quality", "catalog_cluster")
+              "catalog_forecast", "catalog_classify", "catalog_recommend", "catalog_quality", "catalog_cluster", "catalog_products")
 
 
 def load_all():
