@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from trolley import params
 from trolley.functions.labels import iso_weekday
 from trolley.operators.mining import bit, one, shl
-from trolley.operators.recommend import hash_fraction
 
 LABELS = params.SEGMENT_LABELS  # order also breaks ties (Small, Medium, Large)
 
@@ -39,30 +38,73 @@ def features_binary(masks: DataFrame, n_items: int) -> DataFrame:
     return masks.select("basket_id", *flag_cols(n_items))
 
 
-def features_discrete(masks: DataFrame, lines: DataFrame, n_items: int) -> DataFrame:
-    """F0 + distinct products, distinct categories, weekday and month one-hot."""
-    per = lines.groupBy("basket_id").agg(F.count_distinct("product_id").alias("n_products"),
-                                         F.first("sale_date").alias("d"))
-    j = masks.join(per, "basket_id")
+def calendar_months(lines: DataFrame) -> list:
+    """The calendar months (YYYY-MM) of the data in order: one per month of its span."""
+    return [r["m"] for r in lines.select(F.date_format("sale_date", "yyyy-MM").alias("m")).distinct().orderBy("m").collect()]
+
+
+def basket_extras(lines: DataFrame) -> DataFrame:
+    """Per basket: distinct products, distinct categories, first date.
+
+    Both counts are distributed: (basket, product) pairs are made distinct
+    before they are counted, so no basket is gathered into one buffer.
+    """
+    prod = (lines.groupBy("basket_id", "product_id").agg(F.min("sale_date").alias("d"))
+            .groupBy("basket_id").agg(F.count(F.lit(1)).alias("n_items"), F.min("d").alias("d")))
+    cat = lines.select("basket_id", "category").distinct().groupBy("basket_id").agg(F.count(F.lit(1)).alias("n_categories"))
+    return prod.join(cat, "basket_id")
+
+
+def extra_cols(months: list) -> list:
     wd = [(iso_weekday("d") == k).cast("int").alias(f"wd_{k}") for k in range(1, 8)]
-    mo = [(F.month("d") == k).cast("int").alias(f"mo_{k:02d}") for k in range(1, 13)]
-    return j.select("basket_id", *flag_cols(n_items), F.col("n_products").cast("bigint"),
-                    F.bit_count("mask").cast("bigint").alias("n_categories"), *wd, *mo)
+    mo = [(F.date_format("d", "yyyy-MM") == m).cast("int").alias(f"mo_{m.replace('-', '_')}") for m in months]
+    return ["n_items", "n_categories", *wd, *mo]
 
 
-def features_full(lines: DataFrame, index: DataFrame) -> DataFrame:
-    """quantity per item (pivot over the bounded, explicit domain)."""
+def features_discrete(masks: DataFrame, extras: DataFrame, n_items: int, months: list) -> DataFrame:
+    """F0 + distinct products, distinct categories, weekday and calendar-month flags."""
+    return masks.join(extras, "basket_id").select("basket_id", *flag_cols(n_items), *extra_cols(months))
+
+
+def features_full(lines: DataFrame, index: DataFrame, extras: DataFrame, months: list) -> DataFrame:
+    """quantity per item (pivot over the bounded, explicit domain) + the extras of F1."""
     items = [r["item"] for r in index.orderBy("idx").collect()]
     p = (lines.join(F.broadcast(index.withColumnRenamed("item", "category")), "category")
          .groupBy("basket_id").pivot("idx", list(range(len(items)))).agg(F.sum("quantity")))
-    return p.select("basket_id", *[F.round(F.coalesce(F.col(str(i)), F.lit(0.0)), 4).alias(f"q_{i:02d}")
-                                   for i in range(len(items))])
+    q = [F.round(F.coalesce(F.col(str(i)), F.lit(0.0)), 4).alias(f"q_{i:02d}") for i in range(len(items))]
+    return p.join(extras, "basket_id").select("basket_id", *q, *extra_cols(months))
+
+
+def patterns(features: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The labelled baskets with the exact feature row as their pattern."""
+    row = F.struct(*[c for c in features.columns if c != "basket_id"])
+    return labelled.drop("pattern").join(features.select("basket_id", row.alias("pattern")), "basket_id")
 
 
-def stratified_split(labelled: DataFrame, train_fraction: float = 0.7) -> DataFrame:
-    """Hash-threshold split applied within each label: every stratum keeps
-    its share in expectation, with no window over a (possibly huge) stratum."""
-    return labelled.withColumn("is_train", hash_fraction(F.col("basket_id")) < train_fraction)
+def split_hash(key) -> F.Column:
+    return F.conv(F.substring(F.md5(F.concat_ws("|", key.cast("string"), F.lit("42"))), 1, 8), 16, 10).cast("bigint")
+
+
+def stratified_split(labelled: DataFrame) -> DataFrame:
+    """Exactly 70 % of every label (rounded half up) is training, by hash order.
+
+    The rank is distributed: hashes are counted in 65,536 ranges per label; the
+    range in which a label's quota ends is ranked row by row, all others fall
+    on one side as a whole.
+    """
+    h = labelled.withColumn("_h", split_hash(F.col("basket_id"))).withColumn("_b", F.call_function("shiftright", F.col("_h"), F.lit(16)))
+    n = h.groupBy("label", "_b").agg(F.count(F.lit(1)).alias("n"))
+    so_far = Window.partitionBy("label").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    n = (n.withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0)))
+         .withColumn("quota", F.floor((F.sum("n").over(Window.partitionBy("label")) * 7 + 5) / 10)))
+    edge = n.filter((F.col("before") < F.col("quota")) & (F.col("before") + F.col("n") >= F.col("quota")))
+    edge = edge.select("label", F.col("_b").alias("_edge"), (F.col("quota") - F.col("before")).alias("_need"))  # a row per label
+    j = h.join(F.broadcast(edge), "label", "left")
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("_h", "basket_id"))
+    within = j.filter(F.col("_b") == F.col("_edge")).withColumn("is_train", rank <= F.col("_need"))
+    others = (j.filter(F.col("_edge").isNull() | (F.col("_b") != F.col("_edge")))
+              .withColumn("is_train", F.coalesce(F.col("_b") < F.col("_edge"), F.lit(False))))
+    return others.unionByName(within).drop("_h", "_b", "_edge", "_need")
 
 
 def feature_ceiling(patterns: DataFrame) -> DataFrame:
@@ -71,6 +113,7 @@ def feature_ceiling(patterns: DataFrame) -> DataFrame:
     pp = pl.groupBy("pattern").agg(F.max("n").alias("best"), F.sum("n").alias("tot"))
     return pp.agg(F.sum("tot").alias("baskets"), F.count(F.lit(1)).alias("patterns"),
                   F.count_if(F.col("tot") == 1).alias("singleton_patterns"),
+                  F.round(F.count_if(F.col("tot") == 1) / F.sum("tot"), 6).alias("singleton_basket_share"),
                   F.round(F.sum("best") / F.sum("tot"), 6).alias("ceiling"))
 
 
@@ -134,6 +177,9 @@ def mlp(train: DataFrame, test: DataFrame, feats: list, hidden=(64, 32), max_ite
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import MultilayerPerceptronClassifier
     from pyspark.ml.feature import StandardScaler
+    # counts and quantities are skewed: log1p before they are standardised
+    train = train.select(*[F.log1p(F.col(c).cast("double")).alias(c) if c in feats else c for c in train.columns])
+    test = test.select(*[F.log1p(F.col(c).cast("double")).alias(c) if c in feats else c for c in test.columns])
     lab, vec = _assemble(train, feats)
     vec.setOutputCol("raw")
     sc = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
@@ -147,3 +193,18 @@ def mlp(train: DataFrame, test: DataFrame, feats: list, hidden=(64, 32), max_ite
 def accuracy(pred: DataFrame) -> DataFrame:
     return pred.agg(F.count(F.lit(1)).alias("tested"),
                     F.round(F.avg((F.col("y") == F.col("p")).cast("double")), 6).alias("accuracy"))
+
+
+def tree_report(train: DataFrame, test: DataFrame, feats: list, depth: int = 5, seed: int = 42):
+    """Fitted tree's rule text (feature names put in), leaves and importances, and its test predictions."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import DecisionTreeClassifier
+    lab, vec = _assemble(train, feats)
+    dt = DecisionTreeClassifier(labelCol="y", featuresCol="features", maxDepth=depth, seed=seed, impurity="gini")
+    model = Pipeline(stages=[lab, vec, dt]).fit(train)
+    tree = model.stages[-1]
+    import re
+    rules = re.sub(r"feature (\d+)", lambda m: feats[int(m[1])], tree.toDebugString)
+    leaves = (tree.numNodes + 1) // 2  # a binary tree
+    return rules, leaves, dict(zip(feats, tree.featureImportances.toArray().tolist())), model.transform(test).select(
+        "basket_id", "label", F.col("y").cast("int").alias("y"), F.col("prediction").cast("int").alias("p"))

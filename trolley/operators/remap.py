@@ -103,34 +103,36 @@ def unmatched_rules(products: DataFrame, rules: DataFrame, matches: DataFrame) -
 def near_misses(products: DataFrame, unmatched: DataFrame, floor: float = 0.72, top: int = 3) -> DataFrame:
     """For unmatched name rules, candidate product names: names equal after
     removing all whitespace first; otherwise up to ``top`` names with
-    Levenshtein similarity >= floor.  The similarity join is blocked on the
-    first letter so it never forms all rule x name pairs."""
+    Levenshtein similarity >= floor.  Every name is compared: the unmatched
+    rules are a bounded parameter list and are broadcast."""
     names = products.select("product_name").distinct().select(
-        "product_name", F.lower(F.regexp_replace("product_name", r"\s+", "")).alias("squash"),
-        F.lower(F.substring("product_name", 1, 1)).alias("block"))
+        "product_name", F.lower(F.regexp_replace("product_name", r"\s+", "")).alias("squash"))
     u = unmatched.filter(F.col("kind") == "name").select(
-        "rule_no", "pattern", F.lower(F.regexp_replace("pattern", r"\s+", "")).alias("squash"),
-        F.lower(F.substring(F.trim("pattern"), 1, 1)).alias("block"))
+        "rule_no", "pattern", F.lower(F.regexp_replace("pattern", r"\s+", "")).alias("squash"))
     squash = (u.join(names, "squash").select("rule_no", "pattern", "product_name",
                                              F.lit(1.0).alias("similarity"), F.lit("squash").alias("how")))
     rest = u.join(squash.select("rule_no").distinct(), "rule_no", "left_anti")
     a, b = F.lower(F.col("pattern")), F.lower(F.col("product_name"))
     sim = 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))
-    cand = (rest.join(names.drop("squash"), "block").withColumn("similarity", F.round(sim, 6))
-            .filter(F.col("similarity") >= floor))
+    cand = (names.drop("squash").join(F.broadcast(rest), sim >= floor)
+            .withColumn("similarity", F.round(sim, 6)))
     w = Window.partitionBy("rule_no").orderBy(F.desc("similarity"), "product_name")
     simi = (cand.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= top)
             .select("rule_no", "pattern", "product_name", "similarity", F.lit("similar").alias("how")))
     return squash.unionByName(simi)
 
 
-def stay_conflicts(resolved: DataFrame, matches: DataFrame) -> DataFrame:
-    """Products moved by one rule and named by a 'stay' rule
-    (a rule whose destination is the product's current category)."""
-    moved = resolved.filter(F.col("status").isin("move", "duplicate")).select("product_id", "destination")
-    stay = matches.filter(F.col("destination") == F.col("category")).select(
-        "product_id", F.col("rule_no").alias("stay_rule"))
-    return moved.join(stay, "product_id")
+STAY_SCHEMA = "stay_no bigint, source string, pattern string"
+
+
+def stay_conflicts(matches: DataFrame, stays: DataFrame) -> DataFrame:
+    """Products that a rule claims while a stay family of the same category
+    names them too.  Every claim counts, whatever becomes of it; the stay list
+    is a bounded parameter table of its own and never moves anything."""
+    s = stays.select("stay_no", F.col("source").alias("category"), F.col("pattern").alias("stay_pattern"))
+    return (matches.join(F.broadcast(s), "category")
+            .filter(rlike(F.col("product_name"), F.concat(F.lit("(?i)"), F.col("stay_pattern"))))
+            .select("product_id", "product_name", "category", "rule_no", "destination", "stay_no"))
 
 
 def remap_report(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -162,28 +164,25 @@ def remap_invariants(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C10 ----
-KW_SCHEMA = "kw_no bigint, keyword string, expected string"
+KW_SCHEMA = "kw_no bigint, keyword string, expected array<string>"
+QUALIFIER_SCHEMA = "keyword string, word string"
 
 
-def audit_flags(products: DataFrame, keywords: DataFrame, qualifiers: list) -> DataFrame:
-    """Whole-word keyword hits that point to another category.
+def audit_flags(products: DataFrame, keywords: DataFrame, qualifiers: DataFrame) -> DataFrame:
+    """One row per (product, keyword) whose whole-word hit points to another category.
 
-    * anchor: a hit whose expected category equals the current one
-      suppresses every flag for the product;
-    * qualifier: a qualifier word in the name neutralises the hits;
-    * suggestion: expected category of the first remaining hit.
+    * anchor: if any hit keyword expects the current category, the product sits
+      right and none of its hits is reported;
+    * qualifier: a word of the keyword's own list anywhere in the name
+      neutralises that keyword and no other;
+    * suggestion: the first expected category of the keyword.
+    Both lists are bounded parameter tables.
     """
     hits = products.select("product_id", "product_name", "category").join(
         F.broadcast(keywords),
         rlike(F.col("product_name"), F.concat(F.lit("(?i)\\b"), F.col("keyword"), F.lit("\\b"))))
-    w = Window.partitionBy("product_id")
-    anchored = F.max((F.col("expected") == F.col("category")).cast("int")).over(w) == 1
-    qual = F.lit(False)
-    for q in qualifiers:
-        qual = qual | F.lower(F.col("product_name")).rlike(f"\\b{q}\\b")
-    h = hits.withColumn("anchored", anchored).withColumn("qualified", qual)
-    flagged = h.filter(~F.col("anchored") & ~F.col("qualified") & (F.col("expected") != F.col("category")))
-    return (flagged.groupBy("product_id", "product_name", "category")
-            .agg(F.count(F.lit(1)).alias("flags"),
-                 F.min_by("expected", "kw_no").alias("suggested"),
-                 F.array_join(F.array_sort(F.collect_set("keyword")), ", ").alias("keywords")))
+    anchored = hits.filter(F.array_contains("expected", F.col("category"))).select("product_id").distinct()
+    named = F.lower(F.col("product_name")).contains(F.col("word"))
+    neutral = hits.join(F.broadcast(qualifiers), "keyword").filter(named).select("product_id", "keyword").distinct()
+    return (hits.join(anchored, "product_id", "left_anti").join(neutral, ["product_id", "keyword"], "left_anti")
+            .select("product_id", "product_name", "category", F.col("expected")[0].alias("suggested"), "keyword"))

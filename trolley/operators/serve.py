@@ -142,13 +142,14 @@ def day_of_week(dim_basket: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- F8 -----
 def top_products(lines: DataFrame, dim_category: DataFrame) -> DataFrame:
     cat = dim_category.select(F.col("category_name").alias("category"), "zone_assignment")
-    pb = (lines.groupBy("product_name", "category", "basket_id")
+    # names repeat over the catalogue: the product key keeps them apart
+    pb = (lines.groupBy("product_id", "product_name", "category", "basket_id")
           .agg(F.sum("amount").alias("amount"), F.sum("quantity").alias("quantity")))
-    per = (pb.groupBy("product_name", "category")
+    per = (pb.groupBy("product_id", "product_name", "category")
            .agg(F.sum("amount").alias("_rev"), F.count(F.lit(1)).alias("transactions"),
                 F.sum("quantity").alias("_qty")))
     return (per.join(F.broadcast(cat), "category")
-            .select("product_name", F.col("category").alias("category_name"), "zone_assignment",
+            .select("product_id", "product_name", F.col("category").alias("category_name"), "zone_assignment",
                     money("_rev").alias("revenue"), "transactions",
                     F.round("_qty", 2).alias("units_sold")))
 

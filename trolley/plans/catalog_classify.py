@@ -25,19 +25,38 @@ class Cls:
         self.lab = (self.m.masks.join(self.b.select("basket_id", F.col("basket_segment").alias("label")), "basket_id")
                     .withColumn("pattern", F.col("mask")))
         self.split = CF.stratified_split(self.lab)
+        self.extras = CF.basket_extras(self.m.lines)
 
     @cached_property
     def n_items(self):
         return self.m.index.count()
 
+    @cached_property
+    def months(self):
+        return CF.calendar_months(self.m.lines)
+
+    def features(self, which):
+        if which == "binary":
+            return CF.features_binary(self.m.masks, self.n_items)
+        if which == "discrete":
+            return CF.features_discrete(self.m.masks, self.extras, self.n_items, self.months)
+        return CF.features_full(self.m.lines, self.m.index, self.extras, self.months)
+
+    def patterned(self, which):
+        """The split with the feature set's exact rows as patterns (the mask itself for the flags)."""
+        return self.split if which == "binary" else CF.patterns(self.features(which), self.split)
+
 
 BASE = with_(lines_cte("p_brand"), baskets_cte(),
              """idx AS (SELECT item, CAST(row_number() OVER (ORDER BY item) - 1 AS INTEGER) AS idx
         FROM (SELECT DISTINCT p_brand AS item FROM part))""",
              """bm AS (SELECT basket_id, bit_or(CAST(1 AS BIGINT) << idx) AS mask
        FROM (SELECT DISTINCT basket_id, category AS item FROM lines) JOIN idx USING (item) GROUP BY basket_id)""",
-             f"""lab AS (SELECT bm.basket_id, bm.mask AS pattern, b.basket_segment AS label, {HASH.replace('basket_id', 'bm.basket_id')} < 0.7 AS is_train
+             f"""lab0 AS (SELECT bm.basket_id, bm.mask AS pattern, b.basket_segment AS label,
+             {HASH.replace('basket_id', 'bm.basket_id').replace(' / 4294967296.0', '')} AS h
         FROM bm JOIN baskets b ON b.basket_id = bm.basket_id)""",
+             """lab AS (SELECT basket_id, pattern, label, row_number() OVER (PARTITION BY label ORDER BY h, basket_id)
+               <= (7 * count(*) OVER (PARTITION BY label) + 5) // 10 AS is_train FROM lab0)""",
              f"""maj AS (SELECT pattern, label AS pm FROM (
   SELECT pattern, label, row_number() OVER (PARTITION BY pattern ORDER BY count(*) DESC, {LAB_ORDER}) AS rk
   FROM lab WHERE is_train GROUP BY pattern, label) WHERE rk = 1)""",
@@ -60,24 +79,28 @@ def q_f0(spark, d):
     return CF.features_binary(c.m.masks, c.n_items)
 
 
-@query("basket_features_discrete", BASE + "SELECT bm.basket_id, " + ", ".join(
-    f"CAST((mask >> {i}) & 1 AS INTEGER) AS f_{i:02d}" for i in range(N_ITEMS))
-    + ", CAST(np AS BIGINT) AS n_products, CAST(bit_count(mask) AS BIGINT) AS n_categories, "
-    + ", ".join(f"CAST(isodow(d) = {k} AS INTEGER) AS wd_{k}" for k in range(1, 8)) + ", "
-    + ", ".join(f"CAST(month(d) = {k} AS INTEGER) AS mo_{k:02d}" for k in range(1, 13))
-    + " FROM bm JOIN (SELECT basket_id, count(DISTINCT product_id) AS np, min(sale_date) AS d FROM lines GROUP BY 1) x"
-      " USING (basket_id)")
+#: calendar months of the test tables (orders from 1995-01 to 2001-08)
+MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)][:80]
+_EXTRA_SQL = ("CAST(np AS BIGINT) AS n_items, CAST(nc AS BIGINT) AS n_categories, "
+              + ", ".join(f"CAST(isodow(d) = {k} AS INTEGER) AS wd_{k}" for k in range(1, 8)) + ", "
+              + ", ".join(f"CAST(strftime(d, '%Y-%m') = '{m}' AS INTEGER) AS mo_{m.replace('-', '_')}" for m in MONTHS))
+_PER_SQL = ("(SELECT basket_id, count(DISTINCT product_id) AS np, count(DISTINCT category) AS nc, min(sale_date) AS d "
+            "FROM lines GROUP BY 1) x")
+_F1_SQL = ("SELECT bm.basket_id, " + ", ".join(f"CAST((mask >> {i}) & 1 AS INTEGER) AS f_{i:02d}" for i in range(N_ITEMS))
+           + f", {_EXTRA_SQL} FROM bm JOIN {_PER_SQL} USING (basket_id)")
+_F2_SQL = ("SELECT q.*, " + _EXTRA_SQL + " FROM (SELECT basket_id, " + ", ".join(
+    f"round(coalesce(sum(quantity) FILTER (WHERE i.idx = {i}), 0.0), 4) AS q_{i:02d}" for i in range(N_ITEMS))
+    + f" FROM lines l JOIN idx i ON i.item = l.category GROUP BY basket_id) q JOIN {_PER_SQL} USING (basket_id)")
+
+
+@query("basket_features_discrete", BASE + _F1_SQL)
 def q_f1(spark, d):
-    c = Cls(spark, d)
-    return CF.features_discrete(c.m.masks, c.m.lines, c.n_items)
+    return Cls(spark, d).features("discrete")
 
 
-@query("basket_features_full", BASE + "SELECT basket_id, " + ", ".join(
-    f"round(coalesce(sum(quantity) FILTER (WHERE i.idx = {i}), 0.0), 4) AS q_{i:02d}" for i in range(N_ITEMS))
-    + " FROM lines l JOIN idx i ON i.item = l.category GROUP BY basket_id")
+@query("basket_features_full", BASE + _F2_SQL)
 def q_f2(spark, d):
-    c = Cls(spark, d)
-    return CF.features_full(c.m.lines, c.m.index)
+    return Cls(spark, d).features("full")
 
 
 @query("stratified_split", BASE + """SELECT label, is_train, count(*) AS baskets FROM lab GROUP BY 1, 2""")
@@ -85,28 +108,64 @@ def q_strat(spark, d):
     return Cls(spark, d).split.groupBy("label", "is_train").agg(F.count(F.lit(1)).alias("baskets"))
 
 
-@query("feature_ceiling", BASE + """, pl AS (SELECT pattern, label, count(*) AS n FROM lab GROUP BY 1, 2),
+_CEILING = """, pl AS (SELECT pattern, label, count(*) AS n FROM {src} GROUP BY 1, 2),
 pp AS (SELECT pattern, max(n) AS best, sum(n) AS tot FROM pl GROUP BY 1)
 SELECT CAST(sum(tot) AS BIGINT) AS baskets, count(*) AS patterns, count(*) FILTER (WHERE tot = 1) AS singleton_patterns,
-  round(sum(best) / sum(tot), 6) AS ceiling FROM pp""")
+  round(count(*) FILTER (WHERE tot = 1) / sum(tot), 6) AS singleton_basket_share,
+  round(sum(best) / sum(tot), 6) AS ceiling FROM pp"""
+_LOOKUP = """SELECT count(*) AS tested,
+  round(avg(CAST(label = prediction AS DOUBLE)), 6) AS accuracy, round(avg(CAST(unseen AS DOUBLE)), 6) AS unseen_share
+FROM {src}"""
+
+
+def _set_sql(features):
+    cols = "*COLUMNS(c -> c <> 'basket_id')"
+    return BASE.rstrip() + f""", ft AS ({features}),
+fp AS (SELECT l.basket_id, l.label, l.is_train, p.pattern FROM lab l JOIN (
+  SELECT basket_id, md5(concat_ws('|', {cols.replace('c ->', 'lambda c:')})) AS pattern FROM ft) p USING (basket_id)),
+fmaj AS (SELECT pattern, label AS pm FROM (
+  SELECT pattern, label, row_number() OVER (PARTITION BY pattern ORDER BY count(*) DESC, {LAB_ORDER}) AS rk
+  FROM fp WHERE is_train GROUP BY pattern, label) WHERE rk = 1),
+fpred AS (SELECT t.basket_id, t.label, coalesce(m.pm, (SELECT label FROM overall)) AS prediction, m.pm IS NULL AS unseen
+  FROM fp t LEFT JOIN fmaj m USING (pattern) WHERE NOT t.is_train)
+"""
+
+
+@query("feature_ceiling", BASE.rstrip() + _CEILING.format(src="lab"))
 def q_ceiling(spark, d):
     return CF.feature_ceiling(Cls(spark, d).lab)
 
 
-def _lookup(spark, d):
-    c = Cls(spark, d)
-    tr = c.split.filter("is_train")
-    te = c.split.filter(~F.col("is_train"))
-    return CF.pattern_lookup(tr, te)
+@query("feature_ceiling_discrete", _set_sql(_F1_SQL).rstrip() + _CEILING.format(src="fp"))
+def q_ceiling_discrete(spark, d):
+    return CF.feature_ceiling(Cls(spark, d).patterned("discrete"))
 
 
-@query("pattern_lookup", BASE + """SELECT count(*) AS tested,
-  round(avg(CAST(label = prediction AS DOUBLE)), 6) AS accuracy, round(avg(CAST(unseen AS DOUBLE)), 6) AS unseen_share
-FROM pred""")
+@query("feature_ceiling_full", _set_sql(_F2_SQL).rstrip() + _CEILING.format(src="fp"))
+def q_ceiling_full(spark, d):
+    return CF.feature_ceiling(Cls(spark, d).patterned("full"))
+
+
+def _lookup(spark, d, which="binary"):
+    p = Cls(spark, d).patterned(which)
+    return CF.pattern_lookup(p.filter("is_train"), p.filter(~F.col("is_train")))
+
+
+@query("pattern_lookup", BASE + _LOOKUP.format(src="pred"))
 def q_lookup(spark, d):
     return CF.lookup_summary(_lookup(spark, d))
 
 
+@query("pattern_lookup_discrete", _set_sql(_F1_SQL) + _LOOKUP.format(src="fpred"))
+def q_lookup_discrete(spark, d):
+    return CF.lookup_summary(_lookup(spark, d, "discrete"))
+
+
+@query("pattern_lookup_full", _set_sql(_F2_SQL) + _LOOKUP.format(src="fpred"))
+def q_lookup_full(spark, d):
+    return CF.lookup_summary(_lookup(spark, d, "full"))
+
+
 @query("basket_majority_baseline", BASE + """SELECT round(max(n) / sum(n), 6) AS majority_share FROM (
   SELECT label, count(*) AS n FROM lab WHERE NOT is_train GROUP BY 1)""")
 def q_majority(spark, d):
@@ -130,12 +189,32 @@ def q_report(spark, d):
     return CF.classifier_report(_lookup(spark, d))
 
 
-def _ml_frames(spark, d):
+def _ml_frames(spark, d, which="binary"):
+    from trolley.session import cut_lineage
     c = Cls(spark, d)
-    f0 = CF.features_binary(c.m.masks, c.n_items)
-    lab = c.split.select("basket_id", "label", "is_train").join(f0, "basket_id")
-    feats = [x for x in f0.columns if x.startswith("f_")]
-    return lab.filter("is_train"), lab.filter(~F.col("is_train")), feats
+    f = c.features(which)
+    lab = cut_lineage(c.split.select("basket_id", "label", "is_train").join(f, "basket_id"))
+    return lab.filter("is_train"), lab.filter(~F.col("is_train")), [x for x in f.columns if x != "basket_id"]
+
+
+@query("model_comparison")
+def q_models(spark, d):
+    """Tree and network on all three feature sets beside the lookup ceiling: accuracy, per-class
+    recall, and the tree's leaves."""
+    out = None
+    for which in ("binary", "discrete", "full"):
+        tr, te, feats = _ml_frames(spark, d, which)
+        rules, leaves, importances, pred = CF.tree_report(tr, te, feats, 5)
+        best = ", ".join(k for k, _ in sorted(importances.items(), key=lambda x: (-x[1], x[0]))[:5])
+        for model, p, n in (("tree", pred, leaves), ("mlp", CF.mlp(tr, te, feats), None)):
+            hit = F.col("y") == F.col("p")
+            row = p.agg(F.count(F.lit(1)).alias("tested"), F.avg(hit.cast("double")).alias("accuracy"),
+                        *[F.avg(F.when(F.col("label") == x, hit.cast("double"))).alias(f"recall_{x.lower()}") for x in CF.LABELS])
+            row = row.select(F.lit(which).alias("features"), F.lit(model).alias("model"), "*", F.lit(n).cast("int").alias("leaves"),
+                             F.lit(best if model == "tree" else None).cast("string").alias("top_features"),
+                             F.lit(rules if model == "tree" else None).cast("string").alias("rules"))
+            out = row if out is None else out.unionByName(row)
+    return out
 
 
 @query("decision_tree")
@@ -176,7 +255,7 @@ def q_importance(spark, d):
     from pyspark.ml.feature import StringIndexer, VectorAssembler
     from pyspark.sql import Window
     c = Cls(spark, d)
-    f1 = CF.features_discrete(c.m.masks, c.m.lines, c.n_items)
+    f1 = c.features("discrete")
     lab = c.split.filter("is_train").select("basket_id", "label").join(f1, "basket_id")
     f0_cols = [x for x in f1.columns if x.startswith("f_")]
     f1_cols = [x for x in f1.columns if x not in ("basket_id",)]

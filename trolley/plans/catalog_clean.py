@@ -35,9 +35,11 @@ REMAP_RULES = [
     (10, "regex", "*", r"\brod\b", "Brand#10", None),
     (11, "name", "Brand#11", "purple widget", "Brand#12", None),
 ]
-KEYWORDS = [(1, "widget", "Brand#1"), (2, "gear", "Brand#2"), (3, "ring", "Brand#3"),
-            (4, "plate", "Brand#4")]
-QUALIFIERS = ["small"]
+#: stay families: products of the category that should remain where they are
+STAYS = [(1, "Brand#12", r"\bgizmo\b"), (2, "Brand#13", r"^red\b"), (3, "Brand#2", r"\brod\b"), (4, "Brand#25", "nothing")]
+KEYWORDS = [(1, "widget", ["Brand#1", "Brand#11"]), (2, "gear", ["Brand#2"]), (3, "ring", ["Brand#3", "Brand#13", "Brand#23"]),
+            (4, "plate", ["Brand#4"]), (5, "small", ["Brand#5"])]
+QUALIFIERS = [("gear", "small"), ("gear", "old"), ("plate", "hot"), ("widget", "red")]
 
 
 def _sqlstr(v):
@@ -140,15 +142,16 @@ def q_drop_cat(spark, d):
     return l.groupBy("category").agg(F.count(F.lit(1)).alias("lines"))
 
 
-_DEDUP_COLS = "l_orderkey, l_partkey, l_quantity, l_extendedprice"
+@query("dedupe_rows", """SELECT (SELECT count(*) FROM lineitem) AS rows_before,
+  (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS rows_after,
+  (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicates""")
+def q_dedupe(spark, d):
+    return CL.dedupe_rows(read_table(spark, d, "lineitem"))
 
 
-@query("dedupe_rows", f"""SELECT (SELECT count(*) FROM lineitem) AS rows_before,
-  (SELECT count(*) FROM (SELECT DISTINCT {_DEDUP_COLS} FROM lineitem)) AS rows_after,
-  (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT {_DEDUP_COLS} FROM lineitem))
-    AS duplicates""")
-def q_dedupe(spark, d):
-    return CL.dedupe_rows(read_table(spark, d, "lineitem", *[c.strip() for c in _DEDUP_COLS.split(",")]))
+@query("duplicate_groups", """SELECT l_orderkey, l_partkey, count(*) AS count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
+def q_dup_groups(spark, d):
+    return CL.duplicate_groups(read_table(spark, d, "lineitem", "l_orderkey", "l_partkey"))
 
 
 @query("drop_null_key", """SELECT count(*) AS rows_before, count(l.l_orderkey) AS rows_after
@@ -178,15 +181,15 @@ def q_lineno(spark, d):
     return l.select("basket_id", "product_id", "store_id", "src_line", F.col("line_no").cast("bigint"))
 
 
-_NP = """np AS (SELECT product_name, product_group, category FROM (
-  SELECT *, row_number() OVER (PARTITION BY product_name ORDER BY basket_id, src_line, product_id, store_id) AS rk
+_NP = """np AS (SELECT product_id, product_name, product_group, category FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY basket_id, src_line, store_id) AS rk
   FROM lines) WHERE rk = 1)"""
 
 
 @query("normalise_products", with_(L, _NP) + "SELECT * FROM np")
 def q_nprod(spark, d):
-    return CL.first_by_ordinal(adapter.lines(spark, d), "product_name", ["product_group", "category"],
-                               ["basket_id", "src_line", "product_id", "store_id"])
+    return CL.first_by_ordinal(adapter.lines(spark, d), "product_id", ["product_name", "product_group", "category"],
+                               ["basket_id", "src_line", "store_id"])
 
 
 @query("normalise_transactions", with_(L) + """SELECT basket_id, sale_date, customer_id FROM (
@@ -199,16 +202,15 @@ def q_ntx(spark, d):
 
 @query("resolve_keys", with_(L, _NP) + """SELECT l.basket_id, l.product_id, l.store_id, l.src_line,
   np.product_group, np.category AS product_category, t.o_custkey AS customer_id
-FROM lines l JOIN np USING (product_name) JOIN orders t ON t.o_orderkey = l.basket_id""")
+FROM lines l JOIN np USING (product_id) JOIN orders t ON t.o_orderkey = l.basket_id""")
 def q_resolve_keys(spark, d):
     l = adapter.lines(spark, d)
-    np_ = CL.first_by_ordinal(l, "product_name", ["product_group", "category"],
-                              ["basket_id", "src_line", "product_id", "store_id"])
+    np_ = CL.first_by_ordinal(l, "product_id", ["product_group", "category"], ["basket_id", "src_line", "store_id"])
     t = adapter.transactions(spark, d)
-    return (l.select("basket_id", "product_id", "store_id", "src_line", "product_name")
-            .join(np_.withColumnRenamed("category", "product_category"), "product_name")
+    return (l.select("basket_id", "product_id", "store_id", "src_line")
+            .join(np_.withColumnRenamed("category", "product_category"), "product_id")
             .join(t.select("basket_id", "customer_id"), "basket_id")
-            .drop("product_name"))
+            .select("basket_id", "product_id", "store_id", "src_line", "product_group", "product_category", "customer_id"))
 
 
 @query("segment_basket", with_(L, B) + "SELECT basket_id, round(CAST(basket_value AS DOUBLE), 2) AS basket_value, "
@@ -281,16 +283,14 @@ def q_unmatched(spark, d):
 
 
 @query("remap_near_miss", with_(L, PRODS_SQL, RULES_SQL, MATCH_SQL, _UNMATCHED) + r""",
-names AS (SELECT DISTINCT product_name, lower(regexp_replace(product_name, '\s+', '', 'g')) AS squash,
-          lower(substr(product_name, 1, 1)) AS block FROM prods),
-u AS (SELECT rule_no, pattern, lower(regexp_replace(pattern, '\s+', '', 'g')) AS squash,
-      lower(substr(trim(pattern), 1, 1)) AS block FROM un WHERE kind = 'name'),
+names AS (SELECT DISTINCT product_name, lower(regexp_replace(product_name, '\s+', '', 'g')) AS squash FROM prods),
+u AS (SELECT rule_no, pattern, lower(regexp_replace(pattern, '\s+', '', 'g')) AS squash FROM un WHERE kind = 'name'),
 sq AS (SELECT u.rule_no, u.pattern, n.product_name, 1.0 AS similarity, 'squash' AS how
        FROM u JOIN names n USING (squash)),
 cand AS (SELECT u.rule_no, u.pattern, n.product_name,
                 round(1 - levenshtein(lower(u.pattern), lower(n.product_name))
                       / greatest(length(lower(u.pattern)), length(lower(n.product_name))), 6) AS similarity
-         FROM u JOIN names n USING (block) WHERE u.rule_no NOT IN (SELECT rule_no FROM sq)),
+         FROM u JOIN names n ON true WHERE u.rule_no NOT IN (SELECT rule_no FROM sq)),
 si AS (SELECT rule_no, pattern, product_name, similarity, 'similar' AS how FROM (
         SELECT *, row_number() OVER (PARTITION BY rule_no ORDER BY similarity DESC, product_name) AS rk
         FROM cand WHERE similarity >= 0.72) WHERE rk <= 3)
@@ -300,12 +300,14 @@ def q_near(spark, d):
     return RM.near_misses(r.products, RM.unmatched_rules(r.products, r.rules, r.matches))
 
 
-@query("remap_stay_conflicts", REMAP + """SELECT r.product_id, r.destination, m.rule_no AS stay_rule
-FROM res r JOIN m ON m.product_id = r.product_id AND m.destination = m.category
-WHERE r.status IN ('move', 'duplicate')""")
+_STAYS = "stays AS " + _values(STAYS, ["stay_no", "source", "pattern"], ["BIGINT", "VARCHAR", "VARCHAR"])
+
+
+@query("remap_stay_conflicts", with_(L, PRODS_SQL, RULES_SQL, MATCH_SQL, _STAYS) + """SELECT m.product_id, m.product_name, m.category,
+  m.rule_no, m.destination, s.stay_no
+FROM m JOIN stays s ON s.source = m.category AND regexp_matches(m.product_name, '(?i)' || s.pattern)""")
 def q_stay(spark, d):
-    r = Remap(spark, d)
-    return RM.stay_conflicts(r.resolved, r.matches)
+    return RM.stay_conflicts(Remap(spark, d).matches, spark.createDataFrame(STAYS, RM.STAY_SCHEMA))
 
 
 @query("remap_report", REMAP + """, b AS (SELECT category_before AS category, count(DISTINCT product_id) AS n
@@ -338,21 +340,19 @@ def q_invariants(spark, d):
     return RM.remap_invariants(m.withColumn("category", F.col("category_before")), m)
 
 
-_KW = "kw AS " + _values(KEYWORDS, ["kw_no", "keyword", "expected"], ["BIGINT", "VARCHAR", "VARCHAR"])
+_KW = "kw AS (SELECT * FROM (VALUES " + ", ".join(
+    f"(CAST({n} AS BIGINT), '{k}', [{', '.join(repr(c) for c in e)}])" for n, k, e in KEYWORDS) + ") v(kw_no, keyword, expected))"
+_QU = "qu AS " + _values(QUALIFIERS, ["keyword", "word"], ["VARCHAR", "VARCHAR"])
 
 
-@query("audit_flags", with_(PRODS_SQL, _KW) + r""",
-hits AS (SELECT p.*, k.kw_no, k.keyword, k.expected,
-                max(CAST(k.expected = p.category AS INTEGER)) OVER (PARTITION BY p.product_id) = 1 AS anchored,
-                regexp_matches(lower(p.product_name), '\bsmall\b') AS qualified
-         FROM prods p JOIN kw k ON regexp_matches(p.product_name, '(?i)\b' || k.keyword || '\b'))
-SELECT product_id, product_name, category, count(*) AS flags, arg_min(expected, kw_no) AS suggested,
-       array_to_string(list_sort(list_distinct(list(keyword))), ', ') AS keywords
-FROM hits WHERE NOT anchored AND NOT qualified AND expected <> category GROUP BY 1, 2, 3""")
+@query("audit_flags", with_(PRODS_SQL, _KW, _QU) + r""",
+hits AS (SELECT p.*, k.* FROM prods p JOIN kw k ON regexp_matches(p.product_name, '(?i)\b' || k.keyword || '\b'))
+SELECT product_id, product_name, category, expected[1] AS suggested, keyword FROM hits h
+WHERE NOT EXISTS (SELECT 1 FROM hits a WHERE a.product_id = h.product_id AND list_contains(a.expected, a.category))
+  AND NOT EXISTS (SELECT 1 FROM qu WHERE qu.keyword = h.keyword AND contains(lower(h.product_name), qu.word))""")
 def q_flags(spark, d):
-    p = adapter.products(spark, d)
-    kw = spark.createDataFrame(KEYWORDS, RM.KW_SCHEMA)
-    return RM.audit_flags(p, kw, QUALIFIERS)
+    return RM.audit_flags(adapter.products(spark, d), spark.createDataFrame(KEYWORDS, RM.KW_SCHEMA),
+                          spark.createDataFrame(QUALIFIERS, RM.QUALIFIER_SCHEMA))
 
 
 @query("audit_category_summary", with_(L) + """SELECT category, count(DISTINCT product_id) AS products,

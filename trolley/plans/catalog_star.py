@@ -156,10 +156,10 @@ def q_dow(spark, d):
 
 
 @query("v_top_products", with_(L, C) + """
-SELECT l.product_name, l.category AS category_name, c.zone_assignment,
+SELECT l.product_id, l.product_name, l.category AS category_name, c.zone_assignment,
        round(CAST(sum(l.amount) AS DOUBLE), 2) AS revenue, count(DISTINCT l.basket_id) AS transactions,
        round(sum(l.quantity), 2) AS units_sold
-FROM lines l JOIN dim_category c ON l.category = c.category_name GROUP BY 1, 2, 3""")
+FROM lines l JOIN dim_category c ON l.category = c.category_name GROUP BY 1, 2, 3, 4""")
 def q_topprod(spark, d):
     s = _star(spark, d)
     return serve.top_products(s.lines, s.dim_category)
