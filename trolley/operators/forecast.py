@@ -38,85 +38,44 @@ def chrono_split(daily: DataFrame, test_fraction: float = TEST_FRACTION) -> Data
                         .cast("bigint")))
 
 
-def _test(split: DataFrame, model: str, pred) -> DataFrame:
-    return (split.filter(~F.col("is_train"))
-            .select("series_id", F.lit(model).alias("model"), "date",
-                    F.col("revenue").alias("actual"), pred.alias("predicted")))
+#: the fixed framing forecasts the whole test span from the training days; the
+#: rolling framing forecasts each test day from all days before it
+FRAMING = {"naive_flat": "fixed", "hist_mean": "fixed", "seasonal_fixed": "fixed", "dow_fixed": "fixed", "dow_trend": "fixed",
+           "persistence": "rolling", "expanding_mean": "rolling", "seasonal_naive": "rolling", "dow_rolling": "rolling"}
+BASELINES = {"fixed": ("naive_flat", "hist_mean", "seasonal_fixed"), "rolling": ("persistence", "expanding_mean", "seasonal_naive")}
 
 
-def _train_stats(split: DataFrame) -> DataFrame:
-    tr = split.filter("is_train")
-    return tr.groupBy("series_id").agg(F.max_by("revenue", "date").alias("last_value"),
-                                       F.avg("revenue").alias("train_mean"))
+def with_models(split: DataFrame) -> DataFrame:
+    """Every model's value for every day, as columns.
 
-
-def fc_naive_flat(split: DataFrame) -> DataFrame:
-    return _test(split.join(_train_stats(split), "series_id"), "naive_flat", F.col("last_value"))
-
-
-def fc_hist_mean(split: DataFrame) -> DataFrame:
-    return _test(split.join(_train_stats(split), "series_id"), "hist_mean", F.col("train_mean"))
-
-
-def fc_seasonal_fixed(split: DataFrame) -> DataFrame:
-    lw = (split.filter("is_train").groupBy("series_id", "weekday")
-          .agg(F.max_by("revenue", "date").alias("last_wd")))
-    return _test(split.join(lw, ["series_id", "weekday"], "left"), "seasonal_fixed", F.col("last_wd"))
-
-
-def fc_persistence(split: DataFrame) -> DataFrame:
-    w = Window.partitionBy("series_id").orderBy("date")
-    return _test(split.withColumn("p", F.lag("revenue").over(w)), "persistence", F.col("p"))
-
-
-def fc_expanding_mean(split: DataFrame) -> DataFrame:
-    w = Window.partitionBy("series_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
-    return _test(split.withColumn("p", F.avg("revenue").over(w)), "expanding_mean", F.col("p"))
-
-
-def fc_seasonal_naive(split: DataFrame) -> DataFrame:
-    w = Window.partitionBy("series_id", "weekday").orderBy("date")
-    return _test(split.withColumn("p", F.lag("revenue").over(w)), "seasonal_naive", F.col("p"))
-
-
-def fc_dow_fixed(split: DataFrame) -> DataFrame:
-    """OLS on 7 weekday dummies without intercept = weekday means of train."""
-    m = split.filter("is_train").groupBy("series_id", "weekday").agg(F.avg("revenue").alias("wm"))
-    return _test(split.join(m, ["series_id", "weekday"], "left"), "dow_fixed", F.col("wm"))
-
-
-def fc_dow_trend(split: DataFrame) -> DataFrame:
-    """Weekday dummies + linear trend, closed form (Frisch-Waugh):
-    slope = sum((t - t_w)(y - y_w)) / sum((t - t_w)^2) over train,
-    prediction = y_w + slope (t - t_w)."""
-    tr = split.filter("is_train")
-    wm = tr.groupBy("series_id", "weekday").agg(F.avg("revenue").alias("yw"),
-                                                F.avg(F.col("day_index").cast("double")).alias("tw"))
-    dev = tr.join(wm, ["series_id", "weekday"])
-    slope = (dev.groupBy("series_id")
-             .agg((F.sum((F.col("day_index") - F.col("tw")) * (F.col("revenue") - F.col("yw")))
-                   / F.sum(F.pow(F.col("day_index") - F.col("tw"), 2))).alias("slope")))
-    j = split.join(wm, ["series_id", "weekday"], "left").join(slope, "series_id")
-    return _test(j, "dow_trend", F.col("yw") + F.col("slope") * (F.col("day_index") - F.col("tw")))
-
-
-def fc_dow_rolling(split: DataFrame) -> DataFrame:
-    """Weekday mean refitted before every day (earlier same-weekday days only)."""
-    w = (Window.partitionBy("series_id", "weekday").orderBy("date")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return _test(split.withColumn("p", F.avg("revenue").over(w)), "dow_rolling", F.col("p"))
-
-
-MODELS = (fc_naive_flat, fc_hist_mean, fc_seasonal_fixed, fc_persistence, fc_expanding_mean,
-          fc_seasonal_naive, fc_dow_fixed, fc_dow_trend, fc_dow_rolling)
+    All are windows over one series (the weekday windows lie within it), so the
+    days are shuffled once and scanned once.  The weekday model with trend is
+    closed form (Frisch-Waugh): slope = sum((t - t_w)(y - y_w)) / sum((t - t_w)^2)
+    over the training days, prediction y_w + slope (t - t_w).
+    """
+    series, day = Window.partitionBy("series_id"), Window.partitionBy("series_id", "weekday")
+    before = lambda w: w.orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    y = F.when(F.col("is_train"), F.col("revenue"))
+    t = F.when(F.col("is_train"), F.col("day_index").cast("double"))
+    latest = F.when(F.col("is_train"), F.struct("date", "revenue"))
+    out = (split.withColumn("naive_flat", F.max(latest).over(series)["revenue"])
+           .withColumn("hist_mean", F.avg(y).over(series))
+           .withColumn("seasonal_fixed", F.max(latest).over(day)["revenue"])
+           .withColumn("dow_fixed", F.avg(y).over(day)).withColumn("_tw", F.avg(t).over(day))
+           .withColumn("persistence", F.lag("revenue").over(series.orderBy("date")))
+           .withColumn("expanding_mean", F.avg("revenue").over(before(series)))
+           .withColumn("seasonal_naive", F.lag("revenue").over(day.orderBy("date")))
+           .withColumn("dow_rolling", F.avg("revenue").over(before(day))))
+    slope = F.sum((t - F.col("_tw")) * (y - F.col("dow_fixed"))).over(series) / F.sum(F.pow(t - F.col("_tw"), 2)).over(series)
+    return out.withColumn("trend", slope * (F.col("day_index") - F.col("_tw"))).withColumn("dow_trend", F.col("dow_fixed") + F.col("trend"))
 
 
 def all_forecasts(split: DataFrame) -> DataFrame:
-    out = None
-    for m in MODELS:
-        f = m(split)
-        out = f if out is None else out.unionByName(f)
-    return out
+    """(series_id, model, framing, date, actual, predicted) of all nine models over the test days."""
+    cells = ", ".join(f"'{m}', '{f}', {m}" for m, f in FRAMING.items())
+    return (with_models(split).filter(~F.col("is_train"))
+            .select("series_id", "date", F.col("revenue").alias("actual"), F.expr(f"stack({len(FRAMING)}, {cells}) AS (model, framing, predicted)"))
+            .select("series_id", "model", "framing", "date", "actual", "predicted"))
 
 
 def fc_metrics(fc: DataFrame, digits: int = 4, r2_digits: int = 6, ratio_digits: int | None = None) -> DataFrame:
@@ -138,36 +97,45 @@ def fc_metrics(fc: DataFrame, digits: int = 4, r2_digits: int = 6, ratio_digits:
                     (F.round(1 - F.col("sse") / F.col("sst"), r2_digits) + F.lit(0.0)).alias("r2"))
 
 
-def fc_verdict(metrics: DataFrame, baselines=("naive_flat", "hist_mean", "persistence")) -> DataFrame:
-    """Best model per series by MAE; % MAE change against each baseline."""
-    best = metrics.groupBy("series_id").agg(F.min_by(F.struct("mae", "model"), F.struct("mae", "model"))
-                                            .alias("b"), F.max("r2").alias("best_r2"))
-    best = best.select("series_id", F.col("b.model").alias("best_model"), F.col("b.mae").alias("best_mae"),
-                       (F.col("best_r2") > 0).alias("any_r2_positive"))
-    base = metrics.filter(F.col("model").isin(*baselines)).select(
-        "series_id", F.col("model").alias("baseline"), F.col("mae").alias("baseline_mae"))
-    return (best.join(base, "series_id")
-            .select("series_id", "best_model", "best_mae", "any_r2_positive", "baseline",
-                    F.round(F.lit(100.0) * (F.col("best_mae") - F.col("baseline_mae")) / F.col("baseline_mae"), 4)
-                    .alias("mae_change_pct")))
-
-
-def fc_window_check(fc: DataFrame, months=(9, 10)) -> DataFrame:
-    """Mean fitted and actual inside/outside a calendar window; peak day."""
-    inside = F.month("date").isin(*months)
-    return fc.groupBy("series_id", "model").agg(
-        F.round(F.avg(F.when(inside, F.col("actual"))), 4).alias("actual_in"),
-        F.round(F.avg(F.when(~inside, F.col("actual"))), 4).alias("actual_out"),
-        F.round(F.avg(F.when(inside, F.col("predicted"))), 4).alias("fitted_in"),
-        F.round(F.avg(F.when(~inside, F.col("predicted"))), 4).alias("fitted_out"),
-        F.max_by("date", F.struct("actual", "date")).alias("peak_day"),
-        F.month(F.max_by("date", F.struct("actual", "date"))).isin(*months).alias("peak_inside"))
-
-
-def fc_error_structure(fc: DataFrame, months=(9, 10)) -> DataFrame:
+def fc_verdict(metrics: DataFrame) -> DataFrame:
+    """Within each framing: every model against the framing's baselines.
+
+    mae_change_pct is the share of the baseline's MAE that the model saves
+    (positive: better); is_best marks the framing's least MAE.
+    """
+    framing = F.create_map(*[F.lit(x) for kv in FRAMING.items() for x in kv])
+    m = metrics.select("series_id", "model", "mae", "r2", framing[F.col("model")].alias("framing"))
+    w = Window.partitionBy("series_id", "framing")
+    m = (m.withColumn("is_best", F.col("model") == F.min(F.struct("mae", "model")).over(w)["model"])
+          .withColumn("any_r2_positive", F.max("r2").over(w) > 0))
+    names = F.create_map(*[x for k, v in BASELINES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    base = m.filter(F.array_contains(names[F.col("framing")], F.col("model")))
+    base = base.select("series_id", "framing", F.col("model").alias("baseline"), F.col("mae").alias("baseline_mae"))
+    j = m.join(base, ["series_id", "framing"]).filter(F.col("model") != F.col("baseline"))
+    return j.select("series_id", "framing", "model", "baseline", "is_best", "any_r2_positive",
+                    F.round(F.lit(100.0) * (F.col("baseline_mae") - F.col("mae")) / F.col("baseline_mae"), 4).alias("mae_change_pct"),
+                    (F.col("mae") < F.col("baseline_mae")).alias("beats"))
+
+
+def fc_window_check(split: DataFrame, start: str, end: str) -> DataFrame:
+    """Does the curve fitted to the training days peak inside a named window that the
+    model is not told of?  Fitted mean inside and outside, the date of the
+    fitted maximum and that of the trend's (first of equals)."""
+    inside = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    first_peak = lambda v: F.max_by("date", F.struct(F.round(v, 6), -F.unix_date("date")))
+    t = with_models(split).filter("is_train").select(
+        "series_id", "date", F.expr("stack(2, 'dow_fixed', dow_fixed, 0D, 'dow_trend', dow_trend, trend) AS (model, fitted, trend)"))
+    g = t.groupBy("series_id", "model").agg(
+        F.round(F.avg(F.when(inside, F.col("fitted"))), 4).alias("fitted_in"),
+        F.round(F.avg(F.when(~inside, F.col("fitted"))), 4).alias("fitted_out"),
+        first_peak(F.col("fitted")).alias("fitted_peak"), first_peak(F.col("trend")).alias("trend_peak"))
+    return g.withColumn("peak_inside", F.col("fitted_peak").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+
+
+def fc_error_structure(fc: DataFrame, days: list) -> DataFrame:
     """Share of squared error on named days; MAE and R^2 without them."""
     f = fc.filter(F.col("predicted").isNotNull())
-    named = F.month("date").isin(*months)
+    named = F.col("date").cast("string").isin(*days)
     err2 = F.pow(F.col("actual") - F.col("predicted"), 2)
     rest = f.filter(~named)
     w = Window.partitionBy("series_id", "model")
@@ -211,41 +179,51 @@ def spark_range_months(m: DataFrame, horizon: int) -> DataFrame:
 
 
 # --------------------------------------------------------------- O7 -------
-def fc_additive(split: DataFrame, n_changepoints: int = 10, penalty: float = 10.0) -> DataFrame:
-    """Trend + weekly seasonality fitted per series by ridge regression
-    (weekday dummies + hinge changepoints), one pandas group per series.
+#: ridge penalties of the trend's changepoints: stiff follows the long run, flexible may chase a peak
+PENALTY = {"additive": 10.0, "additive_flexible": 0.1}
+ADDITIVE_SCHEMA = ("series_id string, model string, framing string, date date, actual double, predicted double, "
+                   "lower double, upper double")
 
-    The changepoint penalty is the flexibility knob; prediction intervals come
-    from residual quantiles of the train fit.
-    """
-    schema = ("series_id string, model string, date date, actual double, predicted double, "
-              "lower double, upper double")
 
+def fc_additive(split: DataFrame, n_changepoints: int = 10) -> DataFrame:
+    """Trend with hinge changepoints + weekly seasonality, ridge-fitted per series:
+    fixed with a stiff and a flexible trend, and rolling (the stiff one refitted on
+    all days before each test day).  One pandas group per series, as long as
+    its calendar; intervals are residual quantiles of the fit.
+    """
     def fit(pdf):
         import numpy as np
         import pandas as pd
         pdf = pdf.sort_values("date")
         t = pdf["day_index"].to_numpy(dtype=float)
-        scale = max(t.max(), 1.0)
-        ts = t / scale
-        tr = pdf["is_train"].to_numpy()
-        cps = np.quantile(ts[tr], np.linspace(0, 0.8, n_changepoints + 2)[1:-1]) if tr.sum() > 2 else []
-        wd = pdf["weekday"].to_numpy()
-        cols = [np.ones_like(ts), ts] + [(wd == d).astype(float) for d in range(2, 8)]
-        cols += [np.maximum(ts - c, 0.0) for c in cps]
-        X = np.column_stack(cols)
+        ts = t / max(t.max(), 1.0)
+        train = pdf["is_train"].to_numpy()
         y = pdf["revenue"].to_numpy(dtype=float)
-        pen = np.zeros(X.shape[1])
-        pen[8:] = penalty
-        A = X[tr].T @ X[tr] + np.diag(pen)
-        beta = np.linalg.solve(A, X[tr].T @ y[tr])
-        pred = X @ beta
-        res = y[tr] - pred[tr]
-        lo, hi = np.quantile(res, [0.1, 0.9]) if len(res) else (0.0, 0.0)
-        te = ~tr
-        return pd.DataFrame({"series_id": pdf["series_id"].to_numpy()[te], "model": "additive",
-                             "date": pdf["date"].to_numpy()[te], "actual": y[te], "predicted": pred[te],
-                             "lower": pred[te] + lo, "upper": pred[te] + hi})
+        weekday = pdf["weekday"].to_numpy()
+        season = [(weekday == k).astype(float) for k in range(2, 8)]
+
+        def predict(use, at, penalty):
+            cps = np.quantile(ts[use], np.linspace(0, 0.8, n_changepoints + 2)[1:-1]) if use.sum() > 2 else []
+            x = np.column_stack([np.ones_like(ts), ts, *season, *[np.maximum(ts - c, 0.0) for c in cps]])
+            pen = np.full(x.shape[1], 1e-9)
+            pen[8:] = penalty
+            beta = np.linalg.solve(x[use].T @ x[use] + np.diag(pen), x[use].T @ y[use])
+            rest = y[use] - x[use] @ beta
+            low, high = np.quantile(rest, [0.1, 0.9]) if len(rest) else (0.0, 0.0)
+            return x[at] @ beta, low, high
+
+        test, rows = np.flatnonzero(~train), []
+        for model, penalty in PENALTY.items():
+            p, low, high = predict(train, test, penalty)
+            rows += [(model, "fixed", i, v, v + low, v + high) for i, v in zip(test, p)]
+        for i in test:
+            p, low, high = predict(np.arange(len(y)) < i, [i], PENALTY["additive"])
+            rows.append(("additive_rolling", "rolling", i, p[0], p[0] + low, p[0] + high))
+        out = pd.DataFrame(rows, columns=["model", "framing", "i", "predicted", "lower", "upper"])
+        at = out["i"].to_numpy(dtype=int)
+        out["series_id"] = pdf["series_id"].iloc[0]
+        out["date"], out["actual"] = pdf["date"].to_numpy()[at], y[at]
+        return out[["series_id", "model", "framing", "date", "actual", "predicted", "lower", "upper"]]
 
     return (split.select("series_id", "date", "revenue", "is_train", "weekday", "day_index")
-            .groupBy("series_id").applyInPandas(fit, schema))
+            .groupBy("series_id").applyInPandas(fit, ADDITIVE_SCHEMA))

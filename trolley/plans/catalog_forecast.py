@@ -33,7 +33,8 @@ SPLIT = with_(L, """daily AS (SELECT 'ALL' AS series_id, sale_date AS date, CAST
      avg(revenue) OVER (PARTITION BY series_id, weekday ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS dow_rolling
    FROM split)""",
               """fc AS (
-  SELECT l.series_id, m.model, l.date, l.revenue AS actual,
+  SELECT l.series_id, m.model, CASE WHEN m.model IN ('persistence', 'expanding_mean', 'seasonal_naive', 'dow_rolling')
+           THEN 'rolling' ELSE 'fixed' END AS framing, l.date, l.revenue AS actual,
          CASE m.model WHEN 'naive_flat' THEN t.last_value WHEN 'hist_mean' THEN t.train_mean
               WHEN 'seasonal_fixed' THEN w.last_wd WHEN 'persistence' THEN l.persistence
               WHEN 'expanding_mean' THEN l.expanding_mean WHEN 'seasonal_naive' THEN l.seasonal_naive
@@ -58,7 +59,7 @@ def _split(spark, d):
 
 
 def _rounded(df):
-    return df.select("series_id", "model", "date", F.round("actual", 4).alias("actual"),
+    return df.select("series_id", "model", "framing", "date", F.round("actual", 4).alias("actual"),
                      F.round("predicted", 4).alias("predicted"))
 
 
@@ -68,18 +69,18 @@ def q_split(spark, d):
     return s.select("series_id", "date", F.round("revenue", 4).alias("revenue"), "is_train", "weekday", "day_index")
 
 
-def _model_query(name, fn):
-    sql = SPLIT + (f"SELECT series_id, model, date, round(actual, 4) AS actual, round(predicted, 4) AS predicted "
+def _model_query(name):
+    sql = SPLIT + (f"SELECT series_id, model, framing, date, round(actual, 4) AS actual, round(predicted, 4) AS predicted "
                    f"FROM fc WHERE model = '{name}'")
 
     @query(f"fc_{name}", sql)
     def q(spark, d):
-        return _rounded(fn(_split(spark, d)))
+        return _rounded(FC.all_forecasts(_split(spark, d)).filter(F.col("model") == name))
     return q
 
 
-for _fn in FC.MODELS:
-    _model_query(_fn.__name__[3:], _fn)
+for _name in FC.FRAMING:
+    _model_query(_name)
 
 
 @query("fc_metrics", SPLIT + "SELECT * FROM metrics")
@@ -87,41 +88,51 @@ def q_metrics(spark, d):
     return FC.fc_metrics(FC.all_forecasts(_split(spark, d)))
 
 
-@query("fc_verdict", SPLIT + """, best AS (
-  SELECT series_id, model AS best_model, mae AS best_mae,
-         row_number() OVER (PARTITION BY series_id ORDER BY mae, model) AS rk,
-         max(r2) OVER (PARTITION BY series_id) > 0 AS any_r2_positive FROM metrics)
-SELECT b.series_id, b.best_model, b.best_mae, b.any_r2_positive, m.model AS baseline,
-       round(100.0 * (b.best_mae - m.mae) / m.mae, 4) AS mae_change_pct
-FROM best b JOIN metrics m ON m.series_id = b.series_id AND m.model IN ('naive_flat', 'hist_mean', 'persistence')
-WHERE b.rk = 1""")
+@query("fc_verdict", SPLIT + """, v AS (
+  SELECT *, CASE WHEN model IN ('persistence', 'expanding_mean', 'seasonal_naive', 'dow_rolling') THEN 'rolling' ELSE 'fixed' END AS framing
+  FROM metrics),
+b AS (SELECT *, row_number() OVER (PARTITION BY series_id, framing ORDER BY mae, model) = 1 AS is_best,
+        max(r2) OVER (PARTITION BY series_id, framing) > 0 AS any_r2_positive FROM v)
+SELECT m.series_id, m.framing, m.model, x.model AS baseline, m.is_best, m.any_r2_positive,
+       round(100.0 * (x.mae - m.mae) / x.mae, 4) AS mae_change_pct, m.mae < x.mae AS beats
+FROM b m JOIN b x ON x.series_id = m.series_id AND x.framing = m.framing AND x.model <> m.model
+  AND x.model IN ('naive_flat', 'hist_mean', 'seasonal_fixed', 'persistence', 'expanding_mean', 'seasonal_naive')""")
 def q_verdict(spark, d):
     return FC.fc_verdict(FC.fc_metrics(FC.all_forecasts(_split(spark, d))))
 
 
-@query("fc_window_check", SPLIT + """
-SELECT series_id, model,
-       round(avg(actual) FILTER (WHERE month(date) IN (9, 10)), 4) AS actual_in,
-       round(avg(actual) FILTER (WHERE month(date) NOT IN (9, 10)), 4) AS actual_out,
-       round(avg(predicted) FILTER (WHERE month(date) IN (9, 10)), 4) AS fitted_in,
-       round(avg(predicted) FILTER (WHERE month(date) NOT IN (9, 10)), 4) AS fitted_out,
-       arg_max(date, actual) AS peak_day, month(arg_max(date, actual)) IN (9, 10) AS peak_inside
-FROM fc GROUP BY 1, 2""")
+#: the window whose peak is looked for, and the days whose errors are singled out (test parameters)
+WINDOW = ("1998-09-22", "1998-10-02")
+NAMED_DAYS = ["2001-04-13", "2001-04-14"]
+
+
+@query("fc_window_check", SPLIT + f""", f AS (
+  SELECT s.series_id, m.model, s.date, CASE m.model WHEN 'dow_fixed' THEN w.wm ELSE w.wm + sl.slope * (s.day_index - w.tw) END AS fitted,
+         CASE m.model WHEN 'dow_fixed' THEN 0.0 ELSE sl.slope * (s.day_index - w.tw) END AS trend
+  FROM split s JOIN wstat w USING (series_id, weekday) JOIN slope sl USING (series_id)
+  CROSS JOIN (VALUES ('dow_fixed'), ('dow_trend')) m(model) WHERE s.is_train),
+i AS (SELECT *, date BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}' AS ins,
+        row_number() OVER (PARTITION BY series_id, model ORDER BY round(fitted, 6) DESC, date) AS pf,
+        row_number() OVER (PARTITION BY series_id, model ORDER BY round(trend, 6) DESC, date) AS pt FROM f)
+SELECT series_id, model, round(avg(fitted) FILTER (WHERE ins), 4) AS fitted_in, round(avg(fitted) FILTER (WHERE NOT ins), 4) AS fitted_out,
+       max(date) FILTER (WHERE pf = 1) AS fitted_peak, max(date) FILTER (WHERE pt = 1) AS trend_peak,
+       max(date) FILTER (WHERE pf = 1) BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}' AS peak_inside
+FROM i GROUP BY 1, 2""")
 def q_window(spark, d):
-    return FC.fc_window_check(FC.all_forecasts(_split(spark, d)))
+    return FC.fc_window_check(_split(spark, d), *WINDOW)
 
 
 @query("fc_error_structure", SPLIT + """, f AS (SELECT * FROM fc WHERE predicted IS NOT NULL),
 a AS (SELECT series_id, model,
-             round(100.0 * sum(CASE WHEN month(date) IN (9, 10) THEN power(actual - predicted, 2) ELSE 0.0 END)
+             round(100.0 * sum(CASE WHEN CAST(date AS VARCHAR) IN ('2001-04-13', '2001-04-14') THEN power(actual - predicted, 2) ELSE 0.0 END)
                    / sum(power(actual - predicted, 2)), 4) AS named_sq_error_pct FROM f GROUP BY 1, 2),
 b AS (SELECT series_id, model, round(avg(abs(actual - predicted)), 4) AS mae_without,
              round(1 - sum(power(actual - predicted, 2)) / sum(power(actual - m, 2)), 6) AS r2_without
       FROM (SELECT *, avg(actual) OVER (PARTITION BY series_id, model) AS m FROM f
-            WHERE month(date) NOT IN (9, 10)) GROUP BY 1, 2)
+            WHERE CAST(date AS VARCHAR) NOT IN ('2001-04-13', '2001-04-14')) GROUP BY 1, 2)
 SELECT * FROM a LEFT JOIN b USING (series_id, model)""")
 def q_errstruct(spark, d):
-    return FC.fc_error_structure(FC.all_forecasts(_split(spark, d)))
+    return FC.fc_error_structure(FC.all_forecasts(_split(spark, d)), NAMED_DAYS)
 
 
 @query("fc_monthly_linear", with_(L, """m AS (SELECT strftime(sale_date, '%Y-%m') AS year_month,
@@ -140,7 +151,8 @@ def q_monthly_linear(spark, d):
 
 @query("fc_additive")
 def q_additive(spark, d):
-    return FC.fc_additive(_split(spark, d))
+    """Per store: every series is a group of its own."""
+    return FC.fc_additive(FC.chrono_split(FC.daily_by_series(adapter.lines(spark, d), "store_id")))
 
 
 # one series per supplier (store): every model runs for all series at once
