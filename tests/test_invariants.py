@@ -124,7 +124,7 @@ def test_local_search_reaches_exact_optimum(spark):
     idx, _, _, _, rules = _mine(spark, spec, 0.05)
     strong = LY.strong_rule_table(rules, 1.0)
     exact = LY.exact_layout(spark, strong, idx, [2, 2, 2]).first().best_support
-    states = LY.optimise_layout(spark, strong, idx, [2, 2, 2], restarts=6)
+    states = LY.optimise_layout(spark, strong, idx, LY.layout_in_order(idx, ["item"], [2, 2, 2]), 3, capacities=[2, 2, 2], restarts=12)
     best = LY.optimise_summary(states).first()
     assert abs(best.best_support - exact) < 1e-7
     # zone sizes are kept by every swap
@@ -153,7 +153,7 @@ def test_moves_respect_capacity_and_reach_exact(spark):
     idx, _, _, _, rules = _mine(spark, spec, 0.05)
     strong = LY.strong_rule_table(rules, 1.0)
     exact = LY.exact_layout(spark, strong, idx, [3, 3, 3]).first().best_support
-    states = LY.optimise_layout(spark, strong, idx, [2, 2, 2], restarts=6, capacities=[3, 3, 3])
+    states = LY.optimise_layout(spark, strong, idx, LY.layout_in_order(idx, ["item"], [2, 2, 2]), 3, capacities=[3, 3, 3], restarts=12)
     best = LY.optimise_summary(states).first()
     assert abs(best.best_support - exact) < 1e-7
     for r in states.collect():

@@ -201,111 +201,158 @@ def exact_layout(spark: SparkSession, rules: DataFrame, index: DataFrame, capaci
 
 
 # ------------------------------------------------------ local search (L8) --
-def _zone_cols(n_zones: int):
-    return [f"z{k}" for k in range(1, n_zones + 1)]
-
-
-def state_from_layouts(layouts: DataFrame, index: DataFrame, n_zones: int) -> DataFrame:
-    """(layout_id, item, zone_no) -> one row per layout with zone masks z1..zZ."""
-    zm = zone_masks(layouts, index)
-    return (zm.groupBy(F.col("layout_id").alias("restart"))
-            .pivot("zone_no", list(range(1, n_zones + 1))).agg(F.first("zmask"))
-            .select("restart", *[F.coalesce(F.col(str(k)), F.lit(0).cast("bigint")).alias(f"z{k}")
-                                 for k in range(1, n_zones + 1)]))
-
-
-def _score_expr(n_zones: int):
-    m = F.col("mask")
-    cap = None
-    for z in _zone_cols(n_zones):
-        c = m.bitwiseAND(F.col(z)) == m
-        cap = c if cap is None else (cap | c)
-    return cap
-
-
-def score_states(states: DataFrame, rules: DataFrame, keys: list, n_zones: int) -> DataFrame:
-    """Captured support per state row (states carry z1..zZ)."""
-    j = states.join(F.broadcast(rules.select("mask", "support")), _score_expr(n_zones))
-    s = j.groupBy(*keys).agg(F.sum("support").alias("score"))
-    return states.join(s, keys, "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-
-
-def optimise_layout(spark: SparkSession, rules: DataFrame, index: DataFrame, sizes=params.ZONE_SIZES,
-                    restarts: int = 20, seed: int = 42, locked: list | None = None, max_steps: int = 60,
-                    start: DataFrame | None = None, capacities: list | None = None) -> DataFrame:
-    """Steepest-ascent local search over swaps, all restarts batched as rows.
-
-    Candidates are swaps of two items in different zones and, when
-    ``capacities`` leave room, moves of one item into a zone below its
-    capacity; ``locked`` items never move.  Each step generates every
-    legal swap of every restart (restarts x item pairs, bounded by the
-    63-item domain), scores them against the broadcast rule list, keeps the
-    best strictly improving swap per restart (ties: smaller item indexes) and
-    checkpoints the new states.  Stops when no restart improves.
-    Returns one row per restart: final score, steps taken and zone masks.
+def _climb(masks, support, n_items: int, home, allowed, room, fixed, start):
+    """Steepest ascent from ``start`` (zone of each movable item): the best improving
+    move or, where zones are limited, swap, until none improves.  Returns the
+    zones, the score and the steps taken."""
+    import numpy as np
+    movable = np.array(sorted(start), dtype=np.int64)
+    n_zones = len(fixed)
+    zone = dict(start)
+    z = np.array(fixed, dtype=np.int64)
+    for i, k in zone.items():
+        z[k] |= np.int64(1) << np.int64(i)
+
+    def captured(zone_masks):
+        """Support of the rules inside each mask (any shape)."""
+        flat = np.asarray(zone_masks, dtype=np.int64).ravel()
+        out = np.concatenate([((part[:, None] & masks) == masks) @ support for part in np.array_split(flat, max(1, len(flat) // 512))]) \
+            if len(flat) else np.zeros(0)
+        return out.reshape(np.shape(zone_masks))
+
+    trace = []
+    while True:
+        now = captured(z)
+        count = np.bincount([zone[i] for i in movable], minlength=n_zones) if len(movable) else np.zeros(n_zones, int)
+        cand = []  # kind, item, other item (or -1), from, to
+        for i in movable.tolist():
+            cand += [(i, -1, zone[i], k) for k in allowed[i] if k != zone[i] and (room is None or count[k] < room[k])]
+        if room is not None:
+            cand += [(i, j, zone[i], zone[j]) for x, i in enumerate(movable.tolist()) for j in movable.tolist()[x + 1:]
+                     if zone[i] != zone[j] and zone[j] in allowed[i] and zone[i] in allowed[j]]
+        if not cand:
+            break
+        c = np.array(cand, dtype=np.int64)
+        bit_i = np.int64(1) << c[:, 0]
+        bit_j = np.where(c[:, 1] >= 0, np.int64(1) << np.maximum(c[:, 1], 0), np.int64(0))
+        gain = (captured(z[c[:, 2]] & ~bit_i | bit_j) + captured(z[c[:, 3]] & ~bit_j | bit_i) - now[c[:, 2]] - now[c[:, 3]])
+        best = int(np.argmax(gain))
+        if gain[best] <= 1e-9:
+            break
+        i, j, here, there = cand[best]
+        z[here], z[there] = z[here] & ~bit_i[best] | bit_j[best], z[there] & ~bit_j[best] | bit_i[best]
+        zone[i] = there
+        if j >= 0:
+            zone[j] = here
+        trace.append((i, j, here, there, float(gain[best])))
+
+    # among equal scores, nearest home: displacements that cost nothing are undone
+    moved = True
+    while moved:
+        moved = False
+        count = np.bincount([zone[i] for i in movable], minlength=n_zones) if len(movable) else np.zeros(n_zones, int)
+        for i in movable.tolist():
+            here, there = zone[i], home[i]
+            if here == there or there not in allowed[i] or room is not None and count[there] >= room[there]:
+                continue
+            b = np.int64(1) << np.int64(i)
+            new = captured([z[here] & ~b, z[there] | b])
+            if new.sum() >= captured([z[here], z[there]]).sum() - 1e-9:
+                z[here], z[there], zone[i], moved = z[here] & ~b, z[there] | b, there, True
+                count[here], count[there] = count[here] - 1, count[there] + 1
+    return zone, float(captured(z).sum()), trace
+
+
+def optimise_layout(spark: SparkSession, rules: DataFrame, index: DataFrame, home: DataFrame, n_zones: int,
+                    capacities: list | None = None, locked: dict | None = None, forbidden: dict | None = None,
+                    restarts: int = 200, seed: int = 42, also_from: list | None = None) -> DataFrame:
+    """Local search for the layout that captures most support; a row per restart.
+
+    ``home`` (item, zone_no) is the reference layout: restart 0 starts there, the
+    others at random feasible places, further ones at the layouts
+    ``also_from`` ({item: zone}).  ``locked`` {item: zone} never move,
+    ``forbidden`` {item: [zones]} are banned, ``capacities`` (None: unlimited)
+    count all of a zone's items.  Only items in rules are searched; the others
+    go home if that is allowed and has room, else to the first zone that is.
+
+    Restarts are independent, so each is one row of a distributed range and
+    climbs to its end: no step limit.  What a task is given is the distinct
+    rule sets over the domain of at most 63 items and their support.
     """
-    from trolley.session import cut_lineage
-    nz = len(sizes)
-    zc = _zone_cols(nz)
-    if rules.count() > BROADCAST_RULES:
-        raise ValueError("rule list too large to broadcast for the search")
-    if start is None:
-        start = random_layouts(spark, index, restarts, seed, sizes)
-    st = state_from_layouts(start, index, nz)
-    st = cut_lineage(score_states(st, rules, ["restart"], nz).withColumn("steps", F.lit(0)))
-    lock = set(locked or [])
-    idx = [(r["idx"], r["item"]) for r in index.orderBy("idx").collect()]  # <= 63 rows
-    movable = [i for i, it in idx if it not in lock]
-    pairs = spark.createDataFrame([(a, b) for x, a in enumerate(movable) for b in movable[x + 1:]],
-                                  "i int, j int")
-    caps = list(capacities) if capacities is not None else list(sizes)
-    moves = None
-    if any(c > s_ for c, s_ in zip(caps, sizes)):
-        moves = spark.createDataFrame([(a, k) for a in movable for k in range(1, nz + 1)], "i int, k int")
-    active = st.count()
-    step = 0
-    while active and step < max_steps:
-        step += 1
-        bi, bj = shl(one(), F.col("i")), shl(one(), F.col("j"))
-        cand = st.join(F.broadcast(pairs), F.lit(True))  # restarts x bounded pair list
-        differs = None
-        for z in zc:
-            hi = F.col(z).bitwiseAND(bi) != 0
-            hj = F.col(z).bitwiseAND(bj) != 0
-            d = hi & hj
-            differs = d if differs is None else (differs | d)
-        cand = cand.filter(~differs)  # i and j in different zones
-        for z in zc:
-            hi = F.col(z).bitwiseAND(bi) != 0
-            hj = F.col(z).bitwiseAND(bj) != 0
-            cand = cand.withColumn(z, F.when(hi != hj, F.col(z).bitwiseXOR(bi.bitwiseOR(bj))).otherwise(F.col(z)))
-        cand = cand.select("restart", "i", "j", F.lit(-1).alias("k"), F.col("score").alias("cur"), "steps", *zc)
-        if moves is not None:
-            cand = cand.unionByName(_move_candidates(st, moves, zc, caps))
-        scored = score_states(cand, rules, ["restart", "i", "j", "k"], nz)
-        w = Window.partitionBy("restart").orderBy(F.desc("score"), "i", "j", "k")
-        best = (scored.filter(F.col("score") > F.col("cur") + 1e-12)
-                .withColumn("rk", F.row_number().over(w)).filter("rk = 1")
-                .select("restart", *zc, "score", (F.col("steps") + 1).alias("steps")))
-        nxt = (st.join(best.select("restart"), "restart", "left_anti").unionByName(best))
-        st = cut_lineage(nxt)
-        active = best.count()
-    return st.select("restart", F.round("score", 8).alias("score"), "steps", *zc)
-
-
-def _move_candidates(st: DataFrame, moves: DataFrame, zc: list, caps: list) -> DataFrame:
-    """Move item i into zone k (not its zone, below capacity): restarts x (i, k)."""
-    bi = shl(one(), F.col("i"))
-    c = st.join(F.broadcast(moves), F.lit(True))  # restarts x bounded (item, zone) list
-    ok_target, ok_room = F.lit(False), F.lit(False)
-    for m, z in enumerate(zc, start=1):
-        ok_target = ok_target | ((F.col("k") == m) & (F.col(z).bitwiseAND(bi) == 0))
-        ok_room = ok_room | ((F.col("k") == m) & (F.bit_count(F.col(z)) < caps[m - 1]))
-    c = c.filter(ok_target & ok_room)
-    for m, z in enumerate(zc, start=1):
-        c = c.withColumn(z, F.when(F.col("k") == m, F.col(z).bitwiseOR(bi))
-                         .when(F.col(z).bitwiseAND(bi) != 0, F.col(z) - bi).otherwise(F.col(z)))
-    return c.select("restart", "i", F.lit(-1).alias("j"), "k", F.col("score").alias("cur"), "steps", *zc)
+    import json
+
+    import numpy as np
+    import pandas as pd
+    names = [r["item"] for r in index.orderBy("idx").collect()]
+    at = {n: i for i, n in enumerate(names)}
+    sets = rules.groupBy("mask").agg(F.sum("support").alias("support")).orderBy("mask").collect()
+    masks, support = np.array([r["mask"] for r in sets], np.int64), np.array([r["support"] for r in sets], float)
+    home_of = {at[r["item"]]: r["zone_no"] - 1 for r in home.select("item", "zone_no").collect()}
+    lock = {at[k]: v - 1 for k, v in (locked or {}).items()}
+    ban = {at[k]: {z - 1 for z in v} for k, v in (forbidden or {}).items()}
+    bearing = int(np.bitwise_or.reduce(masks)) if len(masks) else 0
+    movable = [i for i in range(len(names)) if bearing >> i & 1 and i not in lock]
+    allowed = {i: [z for z in range(n_zones) if z not in ban.get(i, ())] for i in range(len(names))}
+    room = None if capacities is None else [c - sum(v == z for v in lock.values()) for z, c in enumerate(capacities)]
+    fixed = [0] * n_zones
+    for i, z in lock.items():
+        fixed[z] |= 1 << i
+    warm = [{at[k]: v - 1 for k, v in w.items()} for w in (also_from or [])]
+
+    def place(order, prefer):
+        count, zone = [0] * n_zones, {}
+        for i in order:
+            for z in prefer(i):
+                if z in allowed[i] and (room is None or count[z] < room[z]):
+                    zone[i] = z
+                    count[z] += 1
+                    break
+            else:
+                return None
+        return zone
+
+    def one_restart(r: int):
+        rng = np.random.default_rng([seed, r])
+        if r == 0 or r > restarts - 1:
+            base = home_of if r == 0 else warm[r - restarts]
+            start = place(movable, lambda i: [base[i], *range(n_zones)])
+        else:
+            start = next(z for z in (place(rng.permutation(movable).tolist(), lambda i: rng.permutation(n_zones).tolist())
+                                     for _ in range(1000)) if z is not None)
+        return _climb(masks, support, len(names), home_of, allowed, room, fixed, start)
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for r in pdf["id"]:
+                zone, score, trace = one_restart(int(r))
+                zone = dict(zone) | lock
+                count = [sum(v == z for v in zone.values()) for z in range(n_zones)]
+                for i in range(len(names)):
+                    if i not in zone:  # in no rule: home, or the first zone with room
+                        for z in [home_of[i], *range(n_zones)]:
+                            if z in allowed[i] and (capacities is None or count[z] < capacities[z]):
+                                zone[i] = z
+                                count[z] += 1
+                                break
+                named = [{"step": k + 1, "item": names[i], "with": None if j < 0 else names[j], "from": a + 1, "to": b + 1, "gain": round(g, 8)}
+                         for k, (i, j, a, b, g) in enumerate(trace)]
+                zm = [sum(1 << i for i, v in zone.items() if v == z) for z in range(n_zones)]
+                rows.append((int(r), round(score, 8), len(trace), *zm, json.dumps(named)))
+            yield pd.DataFrame(rows, columns=["restart", "score", "steps", *zc, "trace"])
+
+    zc = [f"z{k}" for k in range(1, n_zones + 1)]
+    schema = "restart long, score double, steps int, " + ", ".join(f"{z} long" for z in zc) + ", trace string"
+    total = restarts + len(warm)
+    return spark.range(0, total, 1, min(total, 64)).mapInPandas(run, schema)
+
+
+def best_restart(states: DataFrame, index: DataFrame, n_zones: int, layout_id: str) -> DataFrame:
+    """(layout_id, item, zone_no) of the best restart (ties: the first)."""
+    best = states.orderBy(F.desc("score"), "restart").limit(1)
+    zones = F.array(*[F.struct(F.lit(k).cast("bigint").alias("zone_no"), F.col(f"z{k}").alias("m")) for k in range(1, n_zones + 1)])
+    z = best.select(F.explode(zones).alias("z")).select("z.zone_no", F.explode(set_bits(F.col("z.m"))).alias("idx"))
+    return z.join(F.broadcast(index), "idx").select(F.lit(layout_id).alias("layout_id"), "item", "zone_no")
 
 
 def optimise_summary(states: DataFrame) -> DataFrame:

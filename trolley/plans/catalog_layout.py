@@ -227,51 +227,78 @@ def q_exact(spark, d):
     return LY.exact_layout(spark, lt.rules, lt.index, list(EXACT_CAPS))
 
 
+def _numbered(lt, sizes):
+    """The reference layout: items by name into zones of the given sizes."""
+    return LY.layout_in_order(lt.index, ["item"], sizes)
+
+
 @query("optimise_layout")
 def q_optimise(spark, d):
     lt = Layouts(spark, d)
-    return LY.optimise_summary(LY.optimise_layout(spark, lt.rules, lt.index, SIZES, restarts=20))
+    return LY.optimise_summary(LY.optimise_layout(spark, lt.rules, lt.index, lt.given(), len(SIZES), capacities=list(SIZES)))
+
+
+@query("optimise_layout_trace")
+def q_optimise_trace(spark, d):
+    """The moves from the reference layout, step by step."""
+    lt = Layouts(spark, d)
+    st = LY.optimise_layout(spark, lt.rules, lt.index, lt.given(), len(SIZES), capacities=list(SIZES), restarts=1)
+    step = "array<struct<step:int,item:string,`with`:string,`from`:int,`to`:int,gain:double>>"
+    return st.select(F.explode(F.from_json("trace", step)).alias("s")).select("s.*")
 
 
 @query("optimise_layout_small")
 def q_optimise_small(spark, d):
-    """Local search on p_type (6 items, zones of 4 and 2): best restart must
+    """Local search on p_type (6 items, zones of 4 and 2): the best restart must
     reach the exact optimum."""
     lt = Layouts(spark, d, "p_type")
-    states = LY.optimise_layout(spark, lt.rules, lt.index, list(EXACT_CAPS), restarts=8)
-    s = LY.optimise_summary(states)
+    states = LY.optimise_layout(spark, lt.rules, lt.index, _numbered(lt, EXACT_CAPS), len(EXACT_CAPS), capacities=list(EXACT_CAPS), restarts=50)
     ex = LY.exact_layout(spark, lt.rules, lt.index, list(EXACT_CAPS)).select("best_support").scalar()
-    return s.select("*", ex.alias("exact_support"))
+    return LY.optimise_summary(states).select("*", ex.alias("exact_support"))
 
 
 @query("layout_constraint_cost")
 def q_constraint_cost(spark, d):
-    """Best support for the given layout and four searched variants: free,
-    locked (first 5 categories stay in their given zone), capacity (each zone
-    may hold one more category: moves allowed) and capacity + locked.  The
-    price of a constraint is free/capacity best minus the constrained best."""
+    """The given layout and four searches of 200 restarts: zone sizes unlimited or as
+    given, each without and with constraints (the first five categories locked
+    in their zone, the last two banned from zone 1).  The price of the constraints
+    is the best support without them minus that with them; the freer search also
+    starts from the best layout of the tighter one, so no price is negative."""
+    lt = Layouts(spark, d)
+    given, n = lt.given(), len(SIZES)
+    items = [r["item"] for r in lt.index.orderBy("item").collect()]
+    zone = {r["item"]: r["zone_no"] for r in given.collect()}
+    rules_of = {"locked": {i: zone[i] for i in items[:5]}, "forbidden": {i: [1] for i in items[-2:]}}
+    rows = []
+    for sizes, caps in (("capacity", list(SIZES)), ("unlimited", None)):
+        tight = LY.optimise_layout(spark, lt.rules, lt.index, given, n, capacities=caps, **rules_of).persist()
+        layout = {r["item"]: r["zone_no"] for r in LY.best_restart(tight, lt.index, n, "x").collect()}
+        free = LY.optimise_layout(spark, lt.rules, lt.index, given, n, capacities=caps, also_from=[layout])
+        for kind, st in (("constrained", tight), ("free", free)):
+            s = LY.optimise_summary(st).select(F.lit(f"{sizes}_{kind}").alias("variant"), F.lit(sizes).alias("sizes"), "restarts", "hits",
+                                               F.col("best_support"))
+            rows.append(s)
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    given_score = LY.score_layouts(lt.rules, given, lt.index).select(
+        F.lit("given").alias("variant"), F.lit("capacity").alias("sizes"), F.lit(None).cast("long").alias("restarts"),
+        F.lit(None).cast("long").alias("hits"), F.col("support_captured").alias("best_support"))
+    out = out.unionByName(given_score)
+    from pyspark.sql import Window
+    w = Window.partitionBy("sizes")  # five rows
+    best = F.max(F.when(F.col("variant").endswith("_free"), F.col("best_support"))).over(w)
+    return out.withColumn("price", F.round(best - F.col("best_support"), 8)).drop("sizes")
+
+
+@query("placement_comparison_optimised")
+def q_place_opt(spark, d):
+    """Random mean, frequency order, the given layout and the optimised one."""
     lt = Layouts(spark, d)
-    given = lt.given()
-    locked = [r["item"] for r in lt.index.orderBy("idx").limit(5).collect()]
-    caps = [s_ + 1 for s_ in SIZES]
-
-    def starts(n):
-        out = None
-        for r in range(n):
-            s_ = given.withColumn("layout_id", F.lit(f"r{r}"))
-            out = s_ if out is None else out.unionByName(s_)
-        return out
-
-    def best(**kw):
-        st = LY.optimise_layout(spark, lt.rules, lt.index, SIZES, **kw)
-        return LY.optimise_summary(st).select("best_support").first()[0]
-
-    given_score = LY.score_layouts(lt.rules, given, lt.index).select("support_captured").first()[0]
-    rows = [("given", given_score), ("free", best(restarts=10)),
-            ("locked", best(restarts=1, locked=locked, start=starts(1))),
-            ("capacity", best(restarts=10, capacities=caps)),
-            ("capacity_locked", best(restarts=1, locked=locked, start=starts(1), capacities=caps))]
-    df = spark.createDataFrame([(v, float(x)) for v, x in rows], "variant string, best_support double")
-    free = dict(rows)["free"]
-    return df.select("variant", F.round("best_support", 8).alias("best_support"),
-                     F.round(F.lit(free) - F.col("best_support"), 8).alias("delta_vs_free"))
+    st = LY.optimise_layout(spark, lt.rules, lt.index, lt.given(), len(SIZES), capacities=list(SIZES))
+    best = LY.best_restart(st, lt.index, len(SIZES), "optimised")
+    sc = LY.score_layouts(lt.rules, lt.all_layouts().unionByName(best), lt.index)
+    strategy = F.when(F.col("layout_id").startswith("random_"), "random_mean").otherwise(F.col("layout_id"))
+    return sc.groupBy(strategy.alias("strategy")).agg(F.round(F.avg("rules_captured"), 6).alias("rules_captured"),
+                                                      F.round(F.avg("support_captured"), 6).alias("support_captured"),
+                                                      F.round(F.avg("capture_rate"), 6).alias("capture_rate"))
