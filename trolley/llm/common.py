@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: bytes of text that numpy code looks at in one go; a longer single text is taken whole
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -38,7 +38,7 @@ _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("start", "<i8"), ("n", "<i8
 #: blocks that are packed or read in one go
 _GROUP = 256
 #: units of text whose ids a worker remembers
-_CACHE_SIZE = 1_000_000
+_CACHE_SIZE = 500_000
 
 
 # ------------------------------------------------------------------- blocks
@@ -229,7 +229,7 @@ class Encoder:
     token's string goes to the tokenizer whole.
     """
 
-    _BITS = 22
+    _BITS = 21
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
