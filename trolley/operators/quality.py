@@ -112,7 +112,7 @@ def gate_summary(checks: DataFrame) -> DataFrame:
 
 def enforce(checks: DataFrame) -> None:
     """Fail the job when any check failed (call after writing the report)."""
-    bad = checks.filter(~F.col("ok")).select("check_group", "check_name").limit(20).collect()
+    bad = checks.filter(~F.col("ok")).select("check_group", "check_name").collect()  # one row per check
     if bad:
         raise RuntimeError("quality gate failed: " + "; ".join(f"{r[0]}/{r[1]}" for r in bad))
 
@@ -164,11 +164,10 @@ def append_to_table(spark: SparkSession, path: str, batch: DataFrame, key: list)
     """Insert-if-absent into a parquet table.  New rows are written as an
     appended part; the target is never overwritten while it is being read.
     Returns the number of inserted rows."""
-    from pyspark.sql.utils import AnalysisException
-    try:
-        existing = spark.read.parquet(path)
-    except AnalysisException:
-        existing = None
+    # only a table that isn't there is an empty one: any other error must fail the load
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    existing = spark.read.parquet(path) if there else None
     new = batch.dropDuplicates(key) if existing is None else idempotent_append(existing, batch, key)
     from trolley.session import cut_lineage
     new = cut_lineage(new)  # fixes the set of inserted rows before writing

@@ -454,6 +454,19 @@ def q_ingest(spark, d):
                       F.round(F.col("total_amount").cast("double"), 2).alias("total_amount"))
 
 
+@query("ingest_rejects", "SELECT * FROM (VALUES ('header', CAST(1 AS BIGINT)), ('too few fields', CAST("
+       + str(len(LETTERHEAD)) + " AS BIGINT))) v(reason, lines)")
+def q_rejects(spark, d):
+    """Lines of the export that are no data rows, by reason."""
+    from trolley.sources import pos_csv
+    lines = adapter.lines(spark, d).select(F.date_format("sale_date", "dd/MM/yyyy").alias("date"), F.col("basket_id").alias("invoice_no"),
+                                           F.col("product_name").alias("product"))
+    path = _export_dir(spark, "pos-rejects")
+    pos_csv.write_export(lines, path, LETTERHEAD)
+    return (pos_csv.export_rejects(spark, path, "date string, invoice_no string, product string")
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("lines")))
+
+
 @query("write_artifact", with_(L) + """SELECT category, round(CAST(sum(amount) AS DOUBLE), 2) AS revenue,
   count(DISTINCT basket_id) AS baskets FROM lines GROUP BY 1""")
 def q_artifact(spark, d):
