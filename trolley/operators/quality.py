@@ -7,101 +7,169 @@ result has been produced (and written, if the caller writes it).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TOL = 0.011
 
 
-def _count(df: DataFrame):
-    return df.agg(F.count(F.lit(1)).cast("double")).scalar()
+def median_of(df: DataFrame, value: str, width: float) -> DataFrame:
+    """Exact median of a column in one row, without gathering it in one task.
 
+    Values are counted in ranges of ``width``; only the range (or two) that holds
+    the middle is ordered row by row.
+    """
+    v = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    v = v.withColumn("b", F.floor(F.col("v") / F.lit(width)))
+    n = v.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    so_far = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    n = n.withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0))).withColumn("total", F.sum("n").over(Window.partitionBy()))
+    lo, hi = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1  # ranks of the middle
+    mid = n.filter((F.col("before") < hi) & (F.col("before") + F.col("n") >= lo)).select("b", "before", lo.alias("lo"), hi.alias("hi"))
+    rank = F.col("before") + F.row_number().over(Window.partitionBy("b").orderBy("v"))
+    return (v.join(F.broadcast(mid), "b").withColumn("rank", rank).filter(F.col("rank").between(F.col("lo"), F.col("hi")))
+            .agg(F.avg("v").alias("median")))
 
-def check_rows(spark: SparkSession, group: str, checks: list) -> DataFrame:
-    """checks: [(name, actual Column, expected Column, mode)] mode 'eq' | 'tol'."""
-    out = None
+
+def _stack(row: DataFrame, group: str, checks: list) -> DataFrame:
+    """checks: [(name, actual, expected, mode)] over one wide row; mode 'eq', 'tol' or 'text'."""
+    cells = []
     for name, actual, expected, mode in checks:
-        ok = (F.abs(actual - expected) <= TOL) if mode == "tol" else (actual == expected)
-        row = spark.range(1).select(F.lit(group).alias("check_group"), F.lit(name).alias("check_name"),
-                                    actual.cast("double").alias("actual"),
-                                    expected.cast("double").alias("expected"),
-                                    F.coalesce(ok, F.lit(False)).alias("ok"))
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
-def completeness(spark, star, raw) -> DataFrame:
-    return check_rows(spark, "COMPLETENESS", [
-        ("fact rows", _count(star.fact_sales), _count(raw["lineitem"]), "eq"),
-        ("basket rows", _count(star.dim_basket), _count(raw["transactions"]), "eq"),
-        ("product rows", _count(star.dim_product), _count(raw["part"]), "eq"),
-        ("category rows", _count(star.dim_category), _count(raw["part"].select("p_brand").distinct()), "eq"),
-        ("date rows", _count(star.dim_date), _count(raw["transactions"].select("sale_date").distinct()), "eq"),
-    ])
-
-
-def integrity(spark, star) -> DataFrame:
-    f, b, p, d, c = star.fact_sales, star.dim_basket, star.dim_product, star.dim_date, star.dim_category
-    zero = F.lit(0.0)
-    return check_rows(spark, "INTEGRITY", [
-        ("orphan facts without basket", _count(f.join(b, "basket_id", "left_anti")), zero, "eq"),
-        ("orphan facts without product", _count(f.join(p, "product_id", "left_anti")), zero, "eq"),
-        ("orphan facts without date", _count(f.join(d, "date_key", "left_anti")), zero, "eq"),
-        ("categories without zone", _count(c.filter(F.col("zone_assignment").isNull()
-                                                    | (F.col("zone_assignment") == ""))), zero, "eq"),
-        ("zones present", c.agg(F.count_distinct("zone_assignment").cast("double")).scalar(), F.lit(5.0), "eq"),
-        ("duplicate basket keys", _count(b.groupBy("basket_id").count().filter("count > 1")), zero, "eq"),
-        ("duplicate basket/line pairs", _count(f.groupBy("basket_id", "line_no").count().filter("count > 1")),
-         zero, "eq"),
-        ("non-positive amounts", _count(f.filter(F.col("amount") <= 0)), zero, "eq"),
-        ("non-positive quantities", _count(f.filter(F.col("quantity") <= 0)), zero, "eq"),
-    ])
-
-
-def consistency(spark, star, raw) -> DataFrame:
-    f, b = star.fact_sales, star.dim_basket
-    li = raw["lineitem"]
-    per = f.groupBy("basket_id").agg(F.sum("amount").alias("s"), F.count(F.lit(1)).alias("n"))
-    bj = b.join(per, "basket_id")
-    orders_vs_lines = (raw["orders"].join(li.groupBy("l_orderkey").agg(F.sum("l_extendedprice").alias("s")),
-                                          F.col("o_orderkey") == F.col("l_orderkey"))
-                       .filter(F.abs(F.col("o_totalprice") - F.col("s")) > 0.01))
-    return check_rows(spark, "CONSISTENCY", [
-        ("fact grain matches source lines", _count(f) - _count(li), F.lit(0.0), "eq"),
-        ("revenue reconciles to source",
-         F.round(F.abs(f.agg(F.sum("amount").cast("double")).scalar()
-                       - li.agg(F.sum(F.col("l_extendedprice").cast("decimal(18,6)")).cast("double")).scalar()), 2),
-         F.lit(0.0), "eq"),
-        ("basket values reconcile to lines",
-         _count(bj.filter(F.abs(F.col("basket_value") - F.col("s")) > 0.01)), F.lit(0.0), "eq"),
-        ("basket item counts reconcile", _count(bj.filter(F.col("n_items") != F.col("n"))), F.lit(0.0), "eq"),
-        ("order totals reconcile to lines", _count(orders_vs_lines), F.lit(0.0), "eq"),
-    ])
-
-
-def accuracy(spark, star, raw, edges) -> DataFrame:
-    """Headline values from the star against the same figures recomputed
-    independently from the raw tables (the expectation table)."""
-    b = star.dim_basket
-    rb = raw["raw_baskets"]  # (basket_id, value double) straight from lineitem
-    seg = lambda lab: _count(b.filter(F.col("basket_segment") == lab))
-    lo, hi = edges
-    rseg = {
-        "Small": _count(rb.filter(F.col("value") < lo)),
-        "Medium": _count(rb.filter((F.col("value") >= lo) & (F.col("value") <= hi))),
-        "Large": _count(rb.filter(F.col("value") > hi)),
-    }
-    return check_rows(spark, "ACCURACY", [
-        ("total revenue", b.agg(F.round(F.sum("basket_value").cast("double"), 2)).scalar(),
-         rb.agg(F.round(F.sum("value"), 2)).scalar(), "tol"),
-        ("average basket value", b.agg(F.round(F.avg(F.col("basket_value").cast("double")), 2)).scalar(),
-         rb.agg(F.round(F.avg("value"), 2)).scalar(), "tol"),
-        ("median basket value", b.agg(F.round(F.median(F.col("basket_value").cast("double")), 2)).scalar(),
-         rb.agg(F.round(F.median("value"), 2)).scalar(), "tol"),
-        ("small baskets", seg("Small"), rseg["Small"], "eq"),
-        ("medium baskets", seg("Medium"), rseg["Medium"], "eq"),
-        ("large baskets", seg("Large"), rseg["Large"], "eq"),
-    ])
+        if mode == "text":
+            ok, number, text = actual == expected, [F.lit(None).cast("double")] * 2, [actual, expected]
+        else:
+            ok = F.abs(actual - expected) <= TOL if mode == "tol" else actual == expected
+            number, text = [actual.cast("double"), expected.cast("double")], [F.lit(None).cast("string")] * 2
+        cells.append(F.struct(F.lit(group).alias("check_group"), F.lit(name).alias("check_name"), number[0].alias("actual"),
+                              number[1].alias("expected"), text[0].alias("actual_text"), text[1].alias("expected_text"),
+                              F.coalesce(ok, F.lit(False)).alias("ok")))
+    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+
+def _top(df: DataFrame, name: str, by, alias: str) -> DataFrame:
+    """The name with the largest value (ties: the first by name), as one row."""
+    return df.agg(F.min_by(name, F.struct((-by), F.col(name))).alias(alias))
+
+
+class Figures:
+    """Everything that the checks compare, in one row of the star's side and one of the
+    source's.  Fact and baskets are written once and read narrow; each side is
+    a handful of aggregates whatever the number of checks."""
+
+    def __init__(self, star, raw):
+        from trolley.session import cut_lineage
+        self.star, self.raw = star, raw
+        self.fact, self.basket = cut_lineage(star.fact_sales), cut_lineage(star.dim_basket)
+
+    def of_star(self) -> DataFrame:
+        s, f, b = self.star, self.fact, self.basket
+        # bounded dimensions: their keys flag orphans without a scan per check
+        flagged = (f.join(s.dim_product.select("product_id", F.lit(1).alias("_p")), "product_id", "left")
+                   .join(s.dim_date.select("date_key", F.lit(1).alias("_d")), "date_key", "left"))
+        per_line = flagged.groupBy("basket_id", "line_no").agg(
+            F.count(F.lit(1)).alias("k"), F.sum("amount").alias("s"), F.count_if(F.col("_p").isNull()).alias("no_product"),
+            F.count_if(F.col("_d").isNull()).alias("no_date"), F.count_if(F.col("amount") <= 0).alias("bad_amount"),
+            F.count_if(F.col("quantity") <= 0).alias("bad_quantity"))
+        per = per_line.groupBy("basket_id").agg(
+            F.sum("k").alias("n"), F.sum("s").alias("s"), F.count_if(F.col("k") > 1).alias("twice"),
+            *[F.sum(c).alias(c) for c in ("no_product", "no_date", "bad_amount", "bad_quantity")])
+        bk = b.groupBy("basket_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("basket_value").alias("value"),
+                                        F.sum("n_items").alias("items"), F.max("basket_segment").alias("segment"))
+        j = bk.join(per, "basket_id", "full_outer")
+        value = F.col("value").cast("double")
+        wide = j.agg(
+            F.sum("n").alias("fact_rows"), F.sum("rows").alias("basket_rows"), F.sum("s").alias("fact_revenue"),
+            F.sum(F.when(F.col("rows").isNull(), F.col("n")).otherwise(0)).alias("no_basket"),
+            *[F.sum(c).alias(c) for c in ("twice", "no_product", "no_date", "bad_amount", "bad_quantity")],
+            F.count_if(F.col("rows") > 1).alias("basket_twice"),
+            F.count_if(F.abs(F.col("value") - F.col("s")) > 0.01).alias("value_off"),
+            F.count_if(F.col("items") != F.col("n")).alias("items_off"),
+            F.round(F.sum("value").cast("double"), 2).alias("revenue"), F.round(F.avg(value), 2).alias("mean"),
+            *[F.count_if(F.col("segment") == x).alias(f"seg_{x}") for x in ("Small", "Medium", "Large")],
+            F.round(F.lit(100.0) * F.sum(F.when(F.col("segment") == "Large", F.col("value"))).cast("double") / F.sum("value").cast("double"), 1).alias("large_share"))
+        cat = (f.groupBy("category_key", "basket_id").agg(F.sum("amount").alias("a"))
+               .groupBy("category_key").agg(F.count(F.lit(1)).alias("baskets"), F.sum("a").alias("a")))
+        cat = cat.join(s.dim_category.select("category_key", "category_name", "zone_assignment"), "category_key")
+        zone = cat.groupBy("zone_assignment").agg(F.sum("a").alias("a"))
+        day = b.groupBy(F.date_format("sale_date", "EEEE").alias("day")).agg(F.sum("basket_value").alias("a"))
+        month = b.groupBy(F.date_format("sale_date", "yyyy-MM").alias("month")).agg(F.sum("basket_value").alias("a"))
+        dims = [s.dim_product.agg(F.count(F.lit(1)).alias("products")), s.dim_date.agg(F.count(F.lit(1)).alias("dates")),
+                s.dim_category.agg(F.count(F.lit(1)).alias("categories"), F.count_distinct("zone_assignment").alias("zones"),
+                                   F.count_if(F.col("zone_assignment").isNull() | (F.col("zone_assignment") == "")).alias("no_zone")),
+                median_of(b, "basket_value", 500.0).select(F.round("median", 2).alias("median")),
+                _top(cat, "category_name", F.col("baskets"), "top_category"), _top(zone, "zone_assignment", F.col("a"), "top_zone"),
+                _top(day, "day", F.col("a"), "top_day"), _top(month, "month", F.col("a"), "top_month")]
+        return _beside(wide, dims)
+
+    def of_source(self, edges) -> DataFrame:
+        """The same figures recomputed from the raw tables (the expectation row)."""
+        li, o, part = self.raw["lineitem"], self.raw["orders"], self.raw["part"]
+        lo, hi = edges
+        per = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(18,6)")).alias("s"))
+        j = per.join(o.select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day")), F.col("l_orderkey") == F.col("o_orderkey"))
+        v = F.col("s").cast("double")
+        wide = j.agg(
+            F.sum("n").alias("src_rows"), F.count(F.lit(1)).alias("src_baskets"), F.sum("s").alias("src_revenue"),
+            F.count_if(F.abs(F.col("o_totalprice") - v) > 0.01).alias("totals_off"), F.count_distinct("day").alias("src_dates"),
+            F.round(F.sum("s").cast("double"), 2).alias("src_revenue_r"), F.round(F.avg(v), 2).alias("src_mean"),
+            F.count_if(v < lo).alias("src_Small"), F.count_if((v >= lo) & (v <= hi)).alias("src_Medium"), F.count_if(v > hi).alias("src_Large"),
+            F.round(F.lit(100.0) * F.sum(F.when(v > hi, F.col("s"))).cast("double") / F.sum("s").cast("double"), 1).alias("src_large_share"))
+        bc = li.join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand", "l_orderkey").agg(
+            F.sum(F.col("l_extendedprice").cast("decimal(18,6)")).alias("a"))
+        cat = bc.groupBy("p_brand").agg(F.count(F.lit(1)).alias("baskets"), F.sum("a").alias("a"))
+        zone = cat.join(self.star.layout.join(F.broadcast(self.star.zones), "zone_no").select(F.col("category").alias("p_brand"), "zone_assignment"),
+                        "p_brand").groupBy("zone_assignment").agg(F.sum("a").alias("a"))
+        day = j.groupBy(F.date_format("day", "EEEE").alias("d")).agg(F.sum("s").alias("a"))
+        month = j.groupBy(F.date_format("day", "yyyy-MM").alias("m")).agg(F.sum("s").alias("a"))
+        dims = [part.agg(F.count(F.lit(1)).alias("src_products"), F.count_distinct("p_partkey").alias("src_product_keys"),
+                         F.count_distinct("p_brand").alias("src_categories")),
+                li.agg(F.count(F.lit(1)).alias("src_lines"), F.count_distinct("l_orderkey").alias("src_keys")),
+                median_of(per, "s", 500.0).select(F.round("median", 2).alias("src_median")),
+                _top(cat, "p_brand", F.col("baskets"), "src_top_category"), _top(zone, "zone_assignment", F.col("a"), "src_top_zone"),
+                _top(day, "d", F.col("a"), "src_top_day"), _top(month, "m", F.col("a"), "src_top_month")]
+        return _beside(wide, dims)
+
+    def checks(self, edges, groups=("completeness", "integrity", "consistency", "accuracy")) -> DataFrame:
+        row = _beside(self.of_star(), [self.of_source(edges)])
+        c, zero = F.col, F.lit(0)
+        sets = {
+            "completeness": [
+                ("source line items", c("src_lines"), c("src_rows"), "eq"), ("source transactions", c("src_keys"), c("src_baskets"), "eq"),
+                ("source products", c("src_products"), c("src_product_keys"), "eq"), ("fact rows", c("fact_rows"), c("src_lines"), "eq"),
+                ("basket rows", c("basket_rows"), c("src_baskets"), "eq"), ("product rows", c("products"), c("src_products"), "eq"),
+                ("category rows", c("categories"), c("src_categories"), "eq"), ("date rows", c("dates"), c("src_dates"), "eq")],
+            "integrity": [
+                ("orphan facts without basket", c("no_basket"), zero, "eq"), ("orphan facts without product", c("no_product"), zero, "eq"),
+                ("orphan facts without date", c("no_date"), zero, "eq"), ("categories without zone", c("no_zone"), zero, "eq"),
+                ("zones present", c("zones"), F.lit(5), "eq"), ("duplicate basket keys", c("basket_twice"), zero, "eq"),
+                ("duplicate basket/line pairs", c("twice"), zero, "eq"), ("non-positive amounts", c("bad_amount"), zero, "eq"),
+                ("non-positive quantities", c("bad_quantity"), zero, "eq")],
+            "consistency": [
+                ("fact grain matches source lines", c("fact_rows") - c("src_lines"), zero, "eq"),
+                ("revenue reconciles to source", F.round(F.abs(c("fact_revenue") - c("src_revenue")).cast("double"), 2), F.lit(0.0), "eq"),
+                ("basket values reconcile to lines", c("value_off"), zero, "eq"), ("basket item counts reconcile", c("items_off"), zero, "eq"),
+                ("order totals reconcile to lines", c("totals_off"), zero, "eq")],
+            "accuracy": [
+                ("total revenue", c("revenue"), c("src_revenue_r"), "tol"), ("average basket value", c("mean"), c("src_mean"), "tol"),
+                ("median basket value", c("median"), c("src_median"), "tol"), ("small baskets", c("seg_Small"), c("src_Small"), "eq"),
+                ("medium baskets", c("seg_Medium"), c("src_Medium"), "eq"), ("large baskets", c("seg_Large"), c("src_Large"), "eq"),
+                ("large baskets' revenue share", c("large_share"), c("src_large_share"), "tol"),
+                ("top category by baskets", c("top_category"), c("src_top_category"), "text"),
+                ("highest revenue day", c("top_day"), c("src_top_day"), "text"), ("peak month", c("top_month"), c("src_top_month"), "text"),
+                ("top zone by revenue", c("top_zone"), c("src_top_zone"), "text")]}
+        out = None
+        for g in groups:
+            part = _stack(row, g.upper(), sets[g])
+            out = part if out is None else out.unionByName(part)
+        return out
+
+
+def _beside(row: DataFrame, others: list) -> DataFrame:
+    """One-row frames side by side, joined on a constant that keeps the join an equi-join."""
+    out = row.withColumn("_one", F.lit(1))
+    for o in others:
+        out = out.join(F.broadcast(o.withColumn("_one", F.lit(1))), "_one")
+    return out.drop("_one")
 
 
 def gate_summary(checks: DataFrame) -> DataFrame:

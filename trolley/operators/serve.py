@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trolley import params
+from trolley.operators.quality import median_of
 from trolley.functions.labels import iso_weekday, season_of_month, year_month, clip
 
 
@@ -47,7 +48,7 @@ def kpi_summary(spark: SparkSession, dim_basket: DataFrame, dim_category: DataFr
         b.agg(money(F.sum("basket_value"))).scalar().alias("total_revenue"),
         b.agg(F.round(F.avg(F.col("basket_value").cast("double")), 2)).scalar()
          .alias("avg_basket_value"),
-        b.agg(F.round(F.median(F.col("basket_value").cast("double")), 2)).scalar()
+        median_of(b, "basket_value", 500.0).agg(F.round(F.first("median"), 2)).scalar()
          .alias("median_basket_value"),
         dim_category.agg(F.count(F.lit(1))).scalar().alias("n_categories"),
         dim_product.agg(F.count(F.lit(1))).scalar().alias("n_products"),
