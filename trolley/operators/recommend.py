@@ -38,9 +38,11 @@ def rule_recs(rules: DataFrame, index: DataFrame) -> DataFrame:
                                           F.max("support").alias("support")))
 
 
-def recommend(recs: DataFrame, k: int = 5) -> DataFrame:
+def recommend(recs: DataFrame, k: int | None = 5) -> DataFrame:
+    """The k best recommendations of each item by lift; all of them without k."""
     w = Window.partitionBy("item").orderBy(F.desc("lift"), "rec")
-    return (recs.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
+    ranked = recs.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    return ((ranked if k is None else ranked.filter(F.col("rank") <= k))
             .select("item", "rank", "rec", F.round("confidence", 8).alias("confidence"),
                     F.round("lift", 8).alias("lift"), F.round("support", 8).alias("support")))
 
@@ -64,23 +66,25 @@ def evaluate(test_masks: DataFrame, recm: DataFrame, pop_rank: DataFrame, n_item
       = its popularity rank minus known items ranked above it; hit if <= budget;
     * random (matched / top-n): expected hit = budget / pool size (closed form).
     """
-    t = (test_masks.filter(F.bit_count("mask") >= 2)
+    # both tables have a row per domain item (<= 63): as literal arrays they make
+    # the evaluation one pass over the baskets, without joins or shuffles
+    rec_of, rank_of = {r["idx"]: r["recmask"] for r in recm.collect()}, {r["idx"]: r["prank"] for r in pop_rank.collect()}
+    domain = range(max([*rank_of, *rec_of], default=0) + 1)
+    longs = lambda vs: F.array(*[F.lit(v).cast("bigint") for v in vs])
+    recs = longs([rec_of.get(i, 0) for i in domain])
+    ranks = longs([rank_of.get(i, 0) for i in domain])
+    # items ranked above each item, as a mask
+    above = longs([sum(1 << j for j, r in rank_of.items() if r < rank_of.get(i, 0)) for i in domain])
+    e = (test_masks.filter(F.bit_count("mask") >= 2)
          .withColumn("tidx", top_bit("mask"))
-         .withColumn("known", F.col("mask") - shl(one(), F.col("tidx"))))
-    kn = t.select("basket_id", "known", F.explode(set_bits("known")).alias("idx"))
-    recs = (kn.join(F.broadcast(recm), "idx", "left")  # <= 63 rows
-            .groupBy("basket_id").agg(F.bit_or(F.coalesce("recmask", F.lit(0).cast("bigint"))).alias("rm")))
-    ranks = pop_rank.select("idx", "prank")
-    above = (kn.join(F.broadcast(ranks), "idx")
-             .join(t.select("basket_id", "tidx"), "basket_id")
-             .join(F.broadcast(ranks.select(F.col("idx").alias("tidx"), F.col("prank").alias("trank"))), "tidx")
-             .groupBy("basket_id").agg(F.count_if(F.col("prank") < F.col("trank")).alias("known_above")))
-    e = (t.join(recs, "basket_id").join(above, "basket_id", "left")
-         .join(F.broadcast(ranks.select(F.col("idx").alias("tidx"), F.col("prank").alias("trank"))), "tidx"))
+         .withColumn("known", F.col("mask") - shl(one(), F.col("tidx")))
+         .withColumn("rm", F.aggregate(set_bits("known"), F.lit(0).cast("bigint"), lambda a, i: a.bitwiseOR(F.get(recs, i))))
+         .withColumn("trank", F.get(ranks, F.col("tidx")))
+         .withColumn("known_above", F.bit_count(F.col("known").bitwiseAND(F.get(above, F.col("tidx"))))))
     recset = F.col("rm").bitwiseAND(F.bitwise_not(F.col("known")))
     budget = F.bit_count(recset)
     pool = F.lit(n_items) - F.bit_count("known")
-    eff_rank = F.col("trank") - F.coalesce("known_above", F.lit(0))
+    eff_rank = F.col("trank") - F.col("known_above")
     return e.select(
         "basket_id", F.col("tidx").alias("target_idx"), budget.cast("bigint").alias("budget"),
         (budget > 0).alias("covered"),

@@ -106,7 +106,7 @@ def q_recommend(spark, d):
 
 @query("recs_table", SQL + "SELECT item, rec, lift, CAST(rank AS BIGINT) AS rank FROM top")
 def q_recs_table(spark, d):
-    t = R.recommend(Rec(spark, d).recs, 10 ** 6)
+    t = R.recommend(Rec(spark, d).recs, None)
     return t.select("item", "rec", "lift", "rank")
 
 
