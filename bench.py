@@ -22,7 +22,8 @@ HEADLINE = [
     "dim_basket", "fact_sales", "v_kpi_summary", "v_monthly_revenue", "v_category_performance",
     "abc_analysis", "daily_series", "frequent_itemsets_apriori", "frequent_itemsets_fpgrowth",
     "association_rules", "rule_significance", "cooccurrence", "score_layout", "placement_random",
-    "rule_stability",
+    "rule_stability", "brand_itemsets", "product_itemsets", "product_itemsets_fpgrowth", "product_rules",
+    "recommender_eval", "product_recommender_eval", "dq_gate", "fc_metrics", "optimise_layout",
 ]
 
 

@@ -302,3 +302,19 @@ def q_place_opt(spark, d):
     return sc.groupBy(strategy.alias("strategy")).agg(F.round(F.avg("rules_captured"), 6).alias("rules_captured"),
                                                       F.round(F.avg("support_captured"), 6).alias("support_captured"),
                                                       F.round(F.avg("capture_rate"), 6).alias("capture_rate"))
+
+
+@query("brand_itemsets", BRAND + """
+SELECT nm.txt AS itemset, CAST(bit_count(fi.s) AS BIGINT) AS size, CAST(fi.cnt AS BIGINT) AS count, round(fi.cnt / n, 8) AS support
+FROM fi JOIN nm USING (s), tot""")
+def q_brand_itemsets(spark, d):
+    """Frequent itemsets over the 25 categories of the study's shape."""
+    m = Mining(spark, d, "p_brand")
+    return m.itemsets.select("itemset", "size", "count", F.round("support", 8).alias("support"))
+
+
+@query("brand_rules", BRAND + """
+SELECT rule_id, support, lift FROM rules WHERE lift_raw >= 1.0""")
+def q_brand_rules(spark, d):
+    r = Mining(spark, d, "p_brand").rules()
+    return r.select(F.concat_ws(" -> ", "antecedents", "consequents").alias("rule_id"), "support", "lift")
