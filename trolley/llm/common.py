@@ -41,11 +41,19 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: lost executors lose nothing."""
-    path = shared_folder(df.sparkSession)
+def cut_lineage(df: DataFrame, shrink: int = 1) -> DataFrame:
+    """``df`` written to the shared folder and read back: lost executors lose nothing.
+
+    Tables much smaller than the corpus are written in ``shrink`` times fewer
+    files than there are shuffle partitions, which spares the folder (and
+    every later read) thousands of tiny files.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    if shrink > 1:
+        df = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // shrink))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # --------------------------------------------------------------- salted lookup

@@ -63,10 +63,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     an empty table on either side gives no rows; other columns are not looked at.
     """
     items = cut_lineage(benchmark.select("item_id", template_tokens(F.col("text")).alias("words"))
-                        .where(F.size("words") >= WIDTH).distinct())
+                        .where(F.size("words") >= WIDTH).distinct(), shrink=16)
     bench = items.select("item_id", "words", F.posexplode(_windows(_template_hashes(F.col("words")))).alias("b_pos", "h"))
     literal = F.size(F.filter(F.slice("words", F.col("b_pos") + 1, F.lit(WIDTH)), lambda w: w >= _AFTER))
-    bench = cut_lineage(bench.where(literal >= MIN_LITERALS).select("h", "item_id", "b_pos"))
+    bench = cut_lineage(bench.where(literal >= MIN_LITERALS).select("h", "item_id", "b_pos"), shrink=16)
 
     key = F.xxhash64("doc_id", "text")
     codes = docs.select("doc_id", key.alias("row_key"), _template_hashes(template_tokens(F.col("text"))).alias("codes"))
@@ -77,11 +77,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         salts = 32
         found = (windows.withColumn("salt", F.pmod("row_key", F.lit(salts)))
                  .join(bench.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), ["h", "salt"]))
-    hits = cut_lineage(found.select("doc_id", "row_key", "item_id", "b_pos", (F.col("pos") - F.col("b_pos")).alias("shift")).distinct())
+    hits = cut_lineage(found.select("doc_id", "row_key", "item_id", "b_pos", (F.col("pos") - F.col("b_pos")).alias("shift")).distinct(), shrink=8)
 
     runs = hits.groupBy("doc_id", "row_key", "item_id", "shift").agg(F.min("b_pos").alias("lo"), F.max("b_pos").alias("hi"))
     slotted = items.where(F.exists("words", lambda w: w < _AFTER))
-    todo = cut_lineage(runs.join(slotted, "item_id"))
+    todo = cut_lineage(runs.join(slotted, "item_id"), shrink=8)
     wanted = todo.select("row_key").distinct()
     texts = (docs.select(key.alias("row_key"), "text").join(wanted, "row_key").dropDuplicates(["row_key"])
              .select("row_key", template_tokens(F.col("text")).alias("doc_words")))
@@ -115,5 +115,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns unchanged."""
     name = fresh_name(docs.columns, "row_key")
-    found = cut_lineage(contaminated(docs.select("doc_id", "text"), benchmark).select(F.col("row_key").alias(name)).distinct())
+    found = cut_lineage(contaminated(docs.select("doc_id", "text"), benchmark).select(F.col("row_key").alias(name)).distinct(), shrink=8)
     return docs.withColumn(name, F.xxhash64("doc_id", "text")).join(found, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

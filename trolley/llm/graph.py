@@ -18,19 +18,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     every round.  No edges: no rows.
     """
     both = cut_lineage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                       .where("a <> b").distinct())
+                       .where("a <> b").distinct(), shrink=8)
     labels = cut_lineage(both.groupBy(F.col("a").alias("vertex"))
-                         .agg(F.min("b").alias("_m")).select("vertex", F.least("vertex", "_m").alias("root")))
+                         .agg(F.min("b").alias("_m")).select("vertex", F.least("vertex", "_m").alias("root")), shrink=8)
     while True:
         near = (both.join(labels.withColumnRenamed("vertex", "b"), "b")
                 .groupBy(F.col("a").alias("vertex")).agg(F.min("root").alias("_near")))
         moved = (labels.join(near, "vertex", "left")
                  .select("vertex", F.col("root").alias("_old"), F.least("root", "_near").alias("root")))
-        moved = cut_lineage(moved)
         target = moved.select(F.col("vertex").alias("root"), F.col("root").alias("_next"))
         used = moved.groupBy("root").agg(F.lit(1).alias("_one"))
         step = salted_left_join(moved, used.join(target, "root").drop("_one"), "root", F.col("vertex"))
-        new = cut_lineage(step.select("vertex", "_old", F.least("root", "_next").alias("root")))
+        new = cut_lineage(step.select("vertex", "_old", F.least("root", "_next").alias("root")), shrink=8)
         changed = new.where("root <> _old").limit(1).count()
         labels = new.select("vertex", "root")
         if not changed:

@@ -206,10 +206,10 @@ def references(docs: DataFrame) -> dict[str, dict]:
     them exactly.
     """
     by_lang = docs.groupBy(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    by_lang = cut_lineage(by_lang)
+    by_lang = cut_lineage(by_lang, shrink=16)
     total = by_lang.agg(F.sum("n")).first()[0] or 0
     known = sorted(r.lang for r in by_lang.where((F.col("n") >= LANGUAGE_SHARE * total) & (F.col("lang") != POOLED)).collect())
-    first = cut_lineage(_local_counts(docs, known, None).groupBy("lang", "kind", "code").agg(F.sum("n").alias("n")))
+    first = cut_lineage(_local_counts(docs, known, None).groupBy("lang", "kind", "code").agg(F.sum("n").alias("n")), shrink=16)
     sizes = first.where("kind = 't'").select("lang", F.col("n").alias("size"))
     found = first.where("kind = 'w'").join(F.broadcast(sizes), "lang").where(F.col("n") >= COMMON_SHARE / 2 * F.col("size")).collect()
     wanted: dict[str, np.ndarray] = {}

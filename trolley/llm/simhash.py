@@ -88,7 +88,7 @@ def links(prints: DataFrame, distance: int = 2) -> DataFrame:
     keyed = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks]))
                           .alias("mask", "key"))
     sizes = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    keyed = cut_lineage(keyed.join(sizes, ["mask", "key"]))
+    keyed = cut_lineage(keyed.join(sizes, ["mask", "key"]), shrink=4)
 
     small = keyed.where(F.col("n") <= PAIR_GROUP).select("mask", "key", "fp", *pivot)
     left = small.select("mask", "key", F.col("fp").alias("a"), *[F.col(f"p{i}").alias(f"l{i}") for i in range(len(PIVOTS))])
@@ -115,7 +115,7 @@ def _classes(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, D
     """The fingerprinted rows, and for each fingerprint its smallest doc_id, number
     of rows and class (root, a fingerprint)."""
     rows = cut_lineage(fingerprints(docs, shingle))
-    prints = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")))
+    prints = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")), shrink=4)
     comp = connected_components(links(prints.select("fp"), distance)).withColumnRenamed("vertex", "fp")
     return rows, prints.join(comp, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
@@ -149,6 +149,6 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     best = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("best"))
     key = fresh_name(docs.columns, "row_key")
     keepers = cut_lineage(best.join(linked.select("fp", "root"), "fp").groupBy("root").agg(F.min("best").alias("best"))
-                          .select(F.col("best.row_key").alias(key)))
+                          .select(F.col("best.row_key").alias(key)), shrink=4)
     return (docs.withColumn(key, F.xxhash64(F.col("doc_id"), "text")).join(keepers, key, "left_semi")
             .dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -356,7 +356,8 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ordered = (rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
                .sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text"))
-    return cut_lineage(ordered.mapInArrow(run, "part long, uri string, n_ids long, n_docs long"))
+    manifest = ordered.mapInArrow(run, "part long, uri string, n_ids long, n_docs long")
+    return cut_lineage(manifest.repartition(1))  # a row per shard file
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:

@@ -177,7 +177,8 @@ def write_index(captures: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "uri": [uri], "first": [directory[0].split(" ", 1)[0]]})
 
     ordered = captures.repartitionByRange("key", "page_id", "nth").sortWithinPartitions("key", "page_id", "nth")
-    return cut_lineage(ordered.select(*_CAPTURE_NAMES).mapInArrow(run, "part long, uri string, first string"))
+    shards = ordered.select(*_CAPTURE_NAMES).mapInArrow(run, "part long, uri string, first string")
+    return cut_lineage(shards.repartition(1))  # a row per index file
 
 
 class CaptureIndex:
