@@ -63,6 +63,24 @@ def test_byte_strings_against_brute_force(spark, odd_docs, odd_rows, no_docs, pr
     assert rows(suffix.remove_repeats(no_docs)) == []
 
 
+def test_hot_anchors_and_small_collections_give_the_same(spark, prose, monkeypatch):
+    shared, rows = prose(45, 31), []
+    for i in range(14):
+        rows.append((i, f"{prose(20, 100 + i)} {shared} {prose(20, 200 + i)}"))
+    rows += [(50, shared + shared), (51, rows[0][1][:500])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    raw = [list(t.encode()) for _, t in rows]
+    want = sorted(((i, sum(g)) for (i, _), g in zip(rows, cover(raw, 200))), key=repr)
+    for hot, collection in ((50_000, 20_000), (3, 20_000), (0, 1), (50_000, 5)):
+        monkeypatch.setattr(suffix, "HOT", hot)
+        monkeypatch.setattr(suffix, "COLLECTION", collection)
+        assert rows_of(suffix.remove_repeats(docs)) == want
+
+
+def rows_of(df):
+    return sorted(((r.doc_id, r.n_removed) for r in df.collect()), key=repr)
+
+
 def test_column_rounds_on_random_collections():
     rng = np.random.default_rng(2)
     length = 10

@@ -91,20 +91,19 @@ def answer(sent: DataFrame, columns: int, judge: Callable[[list[np.ndarray]], np
         some = [i for i, f in enumerate(out) if f.any()]
         return pa.table([rows.column("unit").combine_chunks().take(pa.array(some, pa.int64())),
                          rows.column("bucket").combine_chunks().take(pa.array(some, pa.int64())),
-                         pa.array([np.packbits(np.unpackbits(out[i][:, None], axis=1, bitorder="little")[:, :2]).tobytes() for i in some],
+                         pa.array([np.packbits(np.unpackbits(out[i][:, None], axis=1, bitorder="little")[:, :4]).tobytes() for i in some],
                                   pa.binary())], schema=_BITS)
 
     return sent.groupBy("bucket").applyInArrow(run, "unit int, bucket int, bits binary")
 
 
 def answers(bits: pa.Table, first: np.ndarray, buckets: int) -> np.ndarray:
-    """The flags (0 to 3) of a unit's records, whose first column is ``first``."""
+    """The flags (0 to 15) of a unit's records, whose first column is ``first``."""
     flags = np.zeros(len(first), np.uint8)
     bucket = _bucket_of(first, buckets)
     for b, raw in zip(bits.column("bucket").to_pylist(), bits.column("bits").to_pylist()):
         a, e = np.searchsorted(bucket, [b, b + 1])
-        pair = np.unpackbits(np.frombuffer(raw, np.uint8))[:2 * (e - a)].reshape(-1, 2)
-        flags[a:e] = pair[:, 0] | pair[:, 1] << 1
+        flags[a:e] = np.packbits(np.unpackbits(np.frombuffer(raw, np.uint8))[:4 * (e - a)].reshape(-1, 4), axis=1, bitorder="little")[:, 0]
     return flags
 
 

@@ -25,7 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm.common import BYTE_BASE, BYTE_CODE, covered, mix64, prefix_hash, span_hash
-from trolley.llm.echo import Unit, _bucket_of, answer, answers, dealt, send
+from trolley.llm.echo import Unit, _bucket_of, answer, answers, dealt, occurs_twice, send
+
+#: above so many different segments under one anchor, their windows are compared one by one;
+#: so many documents make up a collection at most, unless they are of one anchor
+HOT, COLLECTION = 50_000, 20_000
+_SENDS, _TWIN, _HOT = 1, 2, 4
 
 _SEGMENTS = pa.schema([("bucket", pa.int32()), ("anchor", pa.int64()), ("seg", pa.int64()), ("unit", pa.int32()),
                        ("left", pa.int32()), ("text", pa.binary())])
@@ -81,21 +86,30 @@ class _Segments:
         self.distinct = [self.anchor[self.example], self.seg[self.example]]
         self.twice = np.bincount(self.which, minlength=len(self.example)) > 1
 
+    def hot_windows(self, unit: Unit, flags: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Place and hash of every window whose anchor is hot."""
+        mine = np.flatnonzero((flags & _HOT > 0)[self.which]) if len(self.which) else np.zeros(0, np.int64)
+        if not len(mine):
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        place = np.concatenate([np.arange(a, a + n) for a, n in zip(self.first[mine].tolist(), self.n[mine].tolist())])
+        return place, mix64(span_hash(prefix_hash(BYTE_CODE[unit.data], BYTE_BASE), place, place + length))
+
 
 def _elect(records: list[np.ndarray]) -> np.ndarray:
-    """1: the anchor has other segments too, and this record sends the segment's text;
-    2: the same segment stands in another unit, so all of its windows are repeated."""
+    """_SENDS: the anchor has other segments too, and this record sends the segment's
+    text; _TWIN: the same segment stands in another unit, so all of its windows are
+    repeated; _HOT: the anchor has too many different segments for one collection."""
     anchor, seg = records
     order = np.lexsort((seg, anchor))
     a, s = anchor[order], seg[order]
     new_a = np.append(True, a[1:] != a[:-1])
     new_s = new_a | np.append(True, s[1:] != s[:-1])
     group = np.cumsum(new_a) - 1
-    several = np.bincount(group[new_s])[group] > 1
+    segments = np.bincount(group[new_s])[group]
     number = np.cumsum(new_s) - 1
     twin = np.bincount(number)[number] > 1
     flags = np.empty(len(order), np.uint8)
-    flags[order] = (several & new_s) | twin.astype(np.uint8) << 1
+    flags[order] = _SENDS * ((segments > 1) & new_s) | _TWIN * twin | _HOT * (segments > HOT)
     return flags
 
 
@@ -163,7 +177,9 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
 
     Equal segments need no columns: all of their windows are repeated.  Of each
     different segment one copy is compared, so thousands of copies of a text
-    cost as much as one.
+    cost as much as one.  Under an anchor with more than HOT different segments (a
+    string in very many surroundings) each window is a document of its own,
+    dealt by its content and sent once a unit.
     """
     rows, _, buckets = dealt(docs)
     sent = send(rows, buckets, lambda unit: _Segments(unit, length).distinct)
@@ -172,23 +188,37 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     def texts(mine: pa.Table, bits: pa.Table) -> pa.Table:
         unit = Unit(mine)
         s = _Segments(unit, length)
-        mine = np.flatnonzero(answers(bits, s.distinct[0], buckets) & 1)
-        ex, raw = s.example[mine], unit.data.tobytes()
-        a, b = s.first[ex], s.first[ex] + s.n[ex] + length - 1
-        return pa.table([pa.array(_bucket_of(s.anchor[ex], buckets), pa.int32()), pa.array(s.anchor[ex].view(np.int64)),
-                         pa.array(s.seg[ex].view(np.int64)), pa.array(np.full(len(ex), unit.number), pa.int32()),
-                         pa.array(s.left[ex], pa.int32()),
+        flags, raw = answers(bits, s.distinct[0], buckets), unit.data.tobytes()
+        ex = s.example[np.flatnonzero((flags & _SENDS > 0) & (flags & _HOT == 0))]
+        place, window = s.hot_windows(unit, flags, length)
+        _, one = np.unique(window, return_index=True)  # a unit sends a window once
+        a = np.concatenate([s.first[ex], place[one]])
+        b = np.concatenate([s.first[ex] + s.n[ex] + length - 1, place[one] + length])
+        anchor = np.concatenate([s.anchor[ex], window[one]])
+        seg = np.concatenate([s.seg[ex], window[one]])
+        left = np.concatenate([s.left[ex], np.zeros(len(one), np.int64)])
+        return pa.table([pa.array(_bucket_of(anchor, buckets), pa.int32()), pa.array(anchor.view(np.int64)),
+                         pa.array(seg.view(np.int64)), pa.array(np.full(len(a), unit.number), pa.int32()), pa.array(left, pa.int32()),
                          pa.array([raw[x:y] for x, y in zip(a.tolist(), b.tolist())], pa.binary())], schema=_SEGMENTS)
 
     def compare(rows: pa.Table) -> pa.Table:
-        text, left = rows.column("text").to_pylist(), rows.column("left").to_numpy().astype(np.int64)
-        flags = column_rounds(rows.column("anchor").to_numpy(), left, text, length)
-        some = np.flatnonzero(flags.any(axis=1))
-        reach = length - length // 2
-        out = [np.packbits(flags[i, reach - left[i]:reach - left[i] + len(text[i]) - length + 1]).tobytes() for i in some]
-        take = pa.array(some, pa.int64())
-        return pa.table([rows.column("unit").combine_chunks().take(take), pa.array(np.full(len(some), -1), pa.int32()),
-                         rows.column("seg").combine_chunks().take(take), pa.array(out, pa.binary())], schema=_FOUND)
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("anchor", "ascending")]))
+        anchor = rows.column("anchor").to_numpy()
+        ends = np.flatnonzero(np.append(anchor[1:] != anchor[:-1], True)) + 1 if len(anchor) else np.zeros(0, np.int64)
+        reach, at, found = length - length // 2, 0, []
+        while at < len(anchor):
+            # whole anchors, as many as make up a collection
+            to = int(ends[max(np.searchsorted(ends, at + COLLECTION, "right") - 1, np.searchsorted(ends, at, "right"))])
+            part = rows.slice(at, to - at)
+            text, left = part.column("text").to_pylist(), part.column("left").to_numpy().astype(np.int64)
+            flags = column_rounds(anchor[at:to], left, text, length)
+            some = np.flatnonzero(flags.any(axis=1))
+            take = pa.array(some, pa.int64())
+            found.append(pa.table([part.column("unit").take(take), pa.array(np.full(len(some), -1), pa.int32()), part.column("seg").take(take),
+                                   pa.array([np.packbits(flags[i, reach - left[i]:reach - left[i] + len(text[i]) - length + 1]).tobytes()
+                                             for i in some], pa.binary())], schema=_FOUND))
+            at = to
+        return pa.concat_tables(found).combine_chunks() if found else _FOUND.empty_table()
 
     ddl = "bucket int, anchor long, seg long, unit int, left int, text binary"
     segments = rows.groupBy("unit").cogroup(heard.groupBy("unit")).applyInArrow(texts, ddl)
@@ -200,7 +230,8 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
         s = _Segments(unit, length)
         echo = bits.filter(pc.greater_equal(bits.column("bucket"), 0))
         single = bits.filter(pc.less(bits.column("bucket"), 0))
-        whole = s.twice | (answers(echo, s.distinct[0], buckets) > 1)
+        flags = answers(echo, s.distinct[0], buckets)
+        whole = s.twice | (flags & _TWIN > 0)
         n = len(unit.data)
         repeated = np.zeros(n + 1, np.int64)
         w = whole[s.which] if len(s.which) else np.zeros(0, bool)
@@ -208,7 +239,12 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
         np.add.at(repeated, s.first[w] + s.n[w], -1)
         start = np.cumsum(repeated[:n]) > 0
         index = {h: i for i, h in enumerate(s.seg[s.example].view(np.int64).tolist())}
+        place, window = s.hot_windows(unit, flags, length)
+        elsewhere = single.column("seg").to_numpy().view(np.uint64)
+        start[place[occurs_twice(window) | np.isin(window, elsewhere)]] = True
         for seg, raw in zip(single.column("seg").to_pylist(), single.column("bits").to_pylist()):
+            if seg not in index:  # a window of a hot anchor
+                continue
             ex = s.example[index[seg]]
             start[s.first[ex]:s.first[ex] + s.n[ex]] |= np.unpackbits(np.frombuffer(raw, np.uint8))[:s.n[ex]].astype(bool)
         gone = covered(n, np.flatnonzero(start), length)
