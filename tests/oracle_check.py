@@ -93,8 +93,8 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/") and not a.startswith("-")]
     spark = get_spark("local[8]", 8, extra={"spark.driver.memory": "8g"})
-    from trolley.plans.registry import load_all
-    qs, sql = load_all()
+    import __spark_entry__
+    qs, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     con = duck(sf_dir)
     todo = names or sorted(qs)
     fails = 0
