@@ -25,6 +25,8 @@ from trolley.llm.common import cut_lineage, row_slices, salted_left_join, shared
 MIN_REVISIT = 100
 #: an archive file is closed beyond this size; an index block holds so many captures
 ARCHIVE_BYTES, BLOCK_LINES = 1 << 30, 256
+#: compressed records that a task reads back
+LOOKUP_BYTES = 32 << 20
 LEVEL = 4
 _FOOT = struct.Struct("<QQ8s")
 _MAGIC = b"CAPTIDX1"
@@ -248,6 +250,8 @@ def read_back(captures: DataFrame, index: DataFrame) -> DataFrame:
     Lookups go in key order, so a block is read once for neighbouring keys.
     """
     shards = [(r.first, r.uri) for r in index.orderBy("part").collect()]
+    # a lookup is a few bytes but reads a record: tasks are sized by the records' bytes
+    tasks = max(32, (captures.agg(F.sum("length")).first()[0] or 0) // LOOKUP_BYTES)
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                         ("record_type", pa.string()), ("refers_to", pa.int64())])
 
@@ -262,7 +266,7 @@ def read_back(captures: DataFrame, index: DataFrame) -> DataFrame:
                 out.append((page_id, *parse_record(found.read(uri, int(offset), int(length)))))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, schema)], schema=schema)
 
-    return (captures.select("key", "page_id", "nth").repartitionByRange("key", "page_id", "nth").sortWithinPartitions("key", "page_id", "nth")
+    return (captures.select("key", "page_id", "nth").repartitionByRange(int(tasks), "key", "page_id", "nth").sortWithinPartitions("key", "page_id", "nth")
             .mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"))
 
 
