@@ -12,12 +12,14 @@ from trolley.llm.common import read_table
 from trolley.llm.decontam import contaminated
 from trolley.llm.extract import extract
 from trolley.llm.mixing import document_rates, labelled_languages
+from trolley.llm.oracles import ORACLES
 from trolley.llm.rules import quality_rules
 from trolley.llm.simhash import near_duplicates
 from trolley.llm.tokens import token_output
 
+__all__ = ["MIX_WEIGHTS", "ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 #: shares of tokens that the mix aims at, by language
