@@ -41,4 +41,47 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
        sha256(unhex(coalesce(kept, x))) AS kept_sha256
 FROM s LEFT JOIN cut USING (r)"""
 
-ORACLES = {"op2_substring_dedup": OP2, "op5_warc_index": OP5, "op6_suffix_dedup": OP6}
+
+OP8 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS lang,
+                  regexp_extract_all(coalesce(text, ''), '{SPACE}') AS ws FROM documents),
+known AS (SELECT lang FROM d WHERE lang <> '*' GROUP BY 1 HAVING count(*) >= 0.001 * (SELECT count(*) FROM d)),
+k AS (SELECT d.*, len(ws) AS n, CASE WHEN known.lang IS NULL THEN '*' ELSE d.lang END AS ref FROM d LEFT JOIN known USING (lang)),
+ch AS (SELECT r, lang, ref, length(t) AS size, [
+    length(regexp_replace(t, '[^a-z]', '', 'g')), length(regexp_replace(t, '[^A-Z]', '', 'g')), length(regexp_replace(t, '[^0-9]', '', 'g')),
+    length(regexp_replace(t, '[^\x20\x09-\x0D]', '', 'g')), length(regexp_replace(t, '[^.,;:!?''"()-]', '', 'g')),
+    length(regexp_replace(t, '[^\x00-\x08\x0E-\x1F#$%&*+/<=>@\[\\\]^_`{{|}}~\x7F]', '', 'g')), length(regexp_replace(t, '[\x00-\x7F]', '', 'g'))] AS c FROM k),
+cl AS (SELECT r, ref, size, i, c[i] AS x FROM ch, range(1, 8) t(i)),
+cref0 AS (SELECT ref, i, sum(x) AS x FROM cl GROUP BY 1, 2 HAVING ref <> '*' UNION ALL SELECT '*', i, sum(x) FROM cl GROUP BY 2),
+cref AS (SELECT ref, i, x / greatest(sum(x) OVER (PARTITION BY ref), 1) AS q FROM cref0),
+cjs AS (SELECT r, any_value(size) AS size, sqrt(greatest(sum(
+          (CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2), 0)) AS js
+        FROM (SELECT cl.r, cl.size, cl.x / greatest(cl.size, 1) AS p, q FROM cl JOIN cref ON cref.ref = cl.ref AND cref.i = cl.i) GROUP BY 1),
+word AS (SELECT r, ref, n, p, ws[p] AS w FROM k, range(1, len(ws) + 1) t(p)),
+cnt AS (SELECT r, ref, w, count(*) AS x FROM word GROUP BY 1, 2, 3),
+tot AS (SELECT ref, w, sum(x) AS x FROM cnt GROUP BY 1, 2 HAVING ref <> '*' UNION ALL SELECT '*', w, sum(x) FROM cnt GROUP BY 2),
+sz AS (SELECT ref, sum(x) AS size FROM tot GROUP BY 1),
+common AS (SELECT tot.ref, w, x, size FROM tot JOIN sz USING (ref) WHERE x >= 0.002 * size),
+wref AS (SELECT ref, w, x / size AS q FROM common UNION ALL SELECT ref, NULL, (any_value(size) - sum(x)) / any_value(size) FROM common GROUP BY 1),
+hit AS (SELECT cnt.r, cnt.w, cnt.x FROM cnt JOIN common ON common.ref = cnt.ref AND common.w = cnt.w),
+wh AS (SELECT r, w, x FROM hit UNION ALL
+       SELECT k.r, NULL, n - coalesce(s, 0) FROM k LEFT JOIN (SELECT r, sum(x) AS s FROM hit GROUP BY 1) USING (r)),
+wjs AS (SELECT r, sqrt(greatest(sum(
+          (CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2), 0)) AS js
+        FROM (SELECT k.r, coalesce(wh.x, 0) / k.n AS p, q FROM k JOIN wref USING (ref)
+              LEFT JOIN wh ON wh.r = k.r AND wh.w IS NOT DISTINCT FROM wref.w WHERE k.n > 0) GROUP BY 1),
+win AS (SELECT r, p, count(*) OVER (PARTITION BY r, h) AS m FROM (
+          SELECT r, p, array_to_string(ws[p:p + 4], ' ') AS h FROM k, range(1, len(ws) - 3) t(p) WHERE len(ws) >= 5)),
+rep AS (SELECT r, count(DISTINCT p + j) AS m FROM win, range(0, 5) t(j) WHERE win.m > 1 GROUP BY 1),
+ln AS (SELECT r, count(*) - count(DISTINCT l) AS m FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM k)
+       WHERE regexp_matches(l, '{SPACE}') GROUP BY 1),
+base AS (SELECT k.r, doc_id, CAST(n AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+                CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(ln.m, 0) AS n_dup_lines,
+                coalesce(rep.m, 0) AS n_repeat_words FROM k LEFT JOIN ln USING (r) LEFT JOIN rep USING (r)),
+v AS (SELECT base.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, coalesce(cjs.js, 0) AS c, cjs.size, coalesce(wjs.js, 0) AS w
+      FROM base LEFT JOIN cjs USING (r) LEFT JOIN wjs USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (size >= 200 AND c > 0.15 + 2.6 / sqrt(size)) AND NOT (n_words >= 30 AND w > 0.22 + 1.6 / sqrt(n_words)) AS kept,
+       round(c, 6) AS char_js, round(w, 6) AS word_js FROM v"""
+
+ORACLES = {"op2_substring_dedup": OP2, "op5_warc_index": OP5, "op6_suffix_dedup": OP6, "op8_quality_rules": OP8}

@@ -284,7 +284,9 @@ def with_verdicts(docs: DataFrame, name: str, char_limit: tuple[float, float] =
 def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, kept and the two distances, for every row."""
     name = fresh_name(docs.columns, "rules")
-    return with_verdicts(docs.select("doc_id", "text", "lang"), name).select("doc_id", f"{name}.*")
+    counts = [f"{name}.{f.name}" for f in _SCHEMA if not f.name.endswith("_js")]
+    return with_verdicts(docs.select("doc_id", "text", "lang"), name).select(
+        "doc_id", *counts, *[F.round(f"{name}.{c}", 6).alias(c) for c in ("char_js", "word_js")])
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
