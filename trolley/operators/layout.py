@@ -24,7 +24,7 @@ BROADCAST_RULES = 500_000
 
 def strong_rule_table(rules: DataFrame, floor: float) -> DataFrame:
     """(rule_id, mask, size, support, lift) for rules with lift >= floor."""
-    return (rules.filter(F.col("lift") >= floor)
+    return (rules.filter(F.col("lift_raw") >= floor)
             .select(F.concat_ws(" -> ", "antecedents", "consequents").alias("rule_id"),
                     F.col("full").alias("mask"), F.bit_count("full").cast("bigint").alias("size"),
                     F.col("n_full").alias("n_full"), "support", "lift"))

@@ -298,7 +298,7 @@ def association_rules(itemsets: DataFrame, n_baskets, index: DataFrame,
                      F.round(F.col("n_cons") / n, 8).alias("consequent_support"),
                      F.round(F.col("n_full") / n, 8).alias("support"),
                      F.round(conf, 8).alias("confidence"),
-                     F.round(lift, 8).alias("lift"),
+                     F.round(lift, 8).alias("lift"), lift.alias("lift_raw"),
                      "ante", "cons", "full", "n_ante", "n_cons", "n_full")
             .filter(lift >= min_lift))
     from trolley.session import cut_lineage
@@ -348,7 +348,7 @@ def rule_significance(rules: DataFrame, n_baskets: int, alpha: float = 0.05) ->
 
 # ----------------------------------------------------------------- J6 ----
 def rule_revenue_impact(rules: DataFrame, n_baskets, avg_basket, n: int = 20) -> DataFrame:
-    affected = F.col("support") * n_baskets
+    affected = F.col("n_full").cast("double")  # the count itself: a rounded support would be off by baskets
     return (rules.select("antecedents", "consequents", "lift",
                          F.round(affected, 4).alias("baskets_affected"),
                          F.round(affected * avg_basket, 2).alias("revenue_impact"))
@@ -452,10 +452,10 @@ def rule_stability(rules: DataFrame, mc2: DataFrame, strong: float = params.STRO
          .join(cnt.select(F.col("cand").alias("full"), F.col("c2").alias("f2")), "full"))
     lift2 = F.when((F.col("a2") > 0) & (F.col("k2") > 0),
                    (F.col("f2") / F.col("a2")) / (F.col("k2") / total2))
-    return r.select("antecedents", "consequents", F.col("lift").alias("lift_dev"),
+    return r.select("antecedents", "consequents", F.col("lift").alias("lift_dev"), F.col("lift_raw").alias("lift_order"),
                     F.round(lift2, 8).alias("lift_val"),
-                    F.round(lift2 / F.col("lift"), 8).alias("ratio"),
-                    (F.col("lift") >= strong).alias("strong_dev"),
+                    F.round(lift2 / F.col("lift_raw"), 8).alias("ratio"),
+                    (F.col("lift_raw") >= strong).alias("strong_dev"),
                     (lift2 >= strong).alias("strong_val"))
 
 
@@ -474,7 +474,7 @@ def stability_summary(stab: DataFrame, low: float = 0.5) -> DataFrame:
 # ---------------------------------------------------------------- J12 ----
 def rule_bearing_items(rules: DataFrame, index: DataFrame, floor: float) -> DataFrame:
     names = names_array(index)
-    bearing = (rules.filter(F.col("lift") >= floor)
+    bearing = (rules.filter(F.col("lift_raw") >= floor)
                .select(F.explode(mask_to_items("full", names)).alias("item")).distinct()
                .withColumn("in_rule", F.lit(True)))
     return (index.select("item").join(bearing, "item", "left")

@@ -50,7 +50,7 @@ rules AS (
          round((f.cnt / a.cnt) / (c.cnt / n), 8) AS lift, (f.cnt / a.cnt) / (c.cnt / n) AS lift_raw
   FROM fi f JOIN fi a ON (f.s & a.s) = a.s AND a.s <> f.s JOIN fi c ON c.s = f.s - a.s
   JOIN nm na ON na.s = a.s JOIN nm nc ON nc.s = f.s - a.s, tot WHERE bit_count(f.s) >= 2),
-strong AS (SELECT * FROM rules WHERE lift_raw >= 1.0 AND lift >= {FLOOR})"""
+strong AS (SELECT * FROM rules WHERE lift_raw >= 1.0 AND lift_raw >= {FLOOR})"""
 
 
 BRAND = enum_mining_sql("p_brand")

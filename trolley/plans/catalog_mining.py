@@ -136,12 +136,13 @@ def q_rules(spark, d):
 
 
 @query("filter_rules", "WITH " + MINE + f"""
-SELECT {RULE_SEL} FROM rules WHERE lift_raw >= 1.0 AND lift_raw >= {FLOOR} AND confidence >= 0.3
+SELECT {RULE_SEL} FROM rules WHERE lift_raw >= 1.0 AND lift_raw >= {FLOOR} AND n_full / n_ante >= 0.3
 ORDER BY lift_raw DESC, antecedents, consequents LIMIT 10""")
 def q_filter_rules(spark, d):
     r = Mining(spark, d).rules()
-    return (r.filter((F.col("lift") >= FLOOR) & (F.col("confidence") >= 0.3))
-            .orderBy(F.desc("lift"), "antecedents", "consequents").limit(10).select(*M.RULE_COLS))
+    confidence = F.col("n_full") / F.col("n_ante")
+    return (r.filter((F.col("lift_raw") >= FLOOR) & (confidence >= 0.3))
+            .orderBy(F.desc("lift_raw"), "antecedents", "consequents").limit(10).select(*M.RULE_COLS))
 
 
 @query("strong_rules", "WITH " + MINE + f"""
@@ -192,8 +193,8 @@ def _baskets_avg(spark, d, category="p_type"):
 
 @query("rule_revenue_impact", "WITH " + MINE + """,
 bv AS (SELECT avg(v) AS av FROM (SELECT CAST(sum(amount) AS DOUBLE) AS v FROM lines GROUP BY basket_id))
-SELECT antecedents, consequents, lift, round(support * n, 4) AS baskets_affected,
-       round(support * n * av, 2) AS revenue_impact
+SELECT antecedents, consequents, lift, round(CAST(n_full AS DOUBLE), 4) AS baskets_affected,
+       round(CAST(n_full AS DOUBLE) * av, 2) AS revenue_impact
 FROM rules, tot, bv WHERE lift_raw >= 1.0
 ORDER BY revenue_impact DESC, antecedents, consequents LIMIT 20""")
 def q_impact(spark, d):
@@ -323,14 +324,14 @@ def _stability(spark, d):
 
 
 @query("rule_stability", "WITH " + _STAB + f"""
-SELECT antecedents, consequents, lift_dev, round(l2, 8) AS lift_val, round(l2 / lift_dev, 8) AS ratio,
-       lift_dev >= {FLOOR} AS strong_dev, l2 >= {FLOOR} AS strong_val FROM st""")
+SELECT antecedents, consequents, lift_dev, round(l2, 8) AS lift_val, round(l2 / lift_raw, 8) AS ratio,
+       lift_raw >= {FLOOR} AS strong_dev, l2 >= {FLOOR} AS strong_val FROM st""")
 def q_stability(spark, d):
-    return _stability(spark, d)
+    return _stability(spark, d).drop("lift_order")
 
 
 @query("stability_summary", "WITH " + _STAB + f""",
-x AS (SELECT round(l2 / lift_dev, 8) AS ratio, lift_dev >= {FLOOR} AS sd, l2 >= {FLOOR} AS sv FROM st)
+x AS (SELECT round(l2 / lift_raw, 8) AS ratio, lift_raw >= {FLOOR} AS sd, l2 >= {FLOOR} AS sv FROM st)
 SELECT count(*) AS rules, count(*) FILTER (WHERE ratio IS NULL) AS undefined,
        round(median(ratio), 6) AS median_ratio, round(min(ratio), 6) AS min_ratio,
        round(max(ratio), 6) AS max_ratio, round(avg(ratio), 6) AS mean_ratio,
@@ -342,7 +343,7 @@ def q_stability_summary(spark, d):
 
 @query("rule_bearing_items", "WITH " + MINE + f""",
 b AS (SELECT DISTINCT i.item FROM rules r JOIN idx i ON (r.full_ >> i.idx) & 1 = 1
-      WHERE r.lift_raw >= 1.0 AND r.lift >= {FLOOR})
+      WHERE r.lift_raw >= 1.0 AND r.lift_raw >= {FLOOR})
 SELECT idx.item, b.item IS NOT NULL AS rule_bearing FROM idx LEFT JOIN b USING (item)""")
 def q_bearing(spark, d):
     m = Mining(spark, d)
@@ -373,3 +374,25 @@ def q_top_pairs_products(spark, d):
     """Most frequent unordered pairs within the 100 products in most baskets."""
     bi = M.basket_items(adapter.lines(spark, d), "product_id")
     return (M.pair_counts_topn(bi, 100).orderBy(F.desc("cooccurrences"), "product_a", "product_b").limit(50))
+
+
+@query("stability_strongest", "WITH " + _STAB + """,
+s2 AS (SELECT antecedents, consequents, lift_dev, lift_raw, round(l2, 8) AS lift_val, round(l2 / lift_raw, 8) AS ratio FROM st)
+SELECT antecedents, consequents, lift_dev, lift_val, ratio, row_number() OVER (ORDER BY lift_raw DESC, antecedents, consequents) AS rank
+FROM s2 QUALIFY rank <= 20""")
+def q_stability_strongest(spark, d):
+    """The 20 strongest rules of the development window beside their lift in the other."""
+    st = _stability(spark, d)
+    from pyspark.sql import Window
+    top = st.orderBy(F.desc("lift_order"), "antecedents", "consequents").limit(20)
+    rank = F.row_number().over(Window.orderBy(F.desc("lift_order"), "antecedents", "consequents"))  # 20 rows
+    return top.select("antecedents", "consequents", "lift_dev", "lift_val", "ratio", rank.cast("bigint").alias("rank"))
+
+
+@query("stability_least", "WITH " + _STAB + """
+SELECT antecedents, consequents, lift_dev, round(l2, 8) AS lift_val, round(l2 / lift_raw, 8) AS ratio FROM st
+WHERE l2 IS NOT NULL ORDER BY round(l2 / lift_raw, 8), antecedents, consequents LIMIT 10""")
+def q_stability_least(spark, d):
+    """The 10 rules whose lift held least."""
+    st = _stability(spark, d).filter(F.col("ratio").isNotNull())
+    return st.orderBy("ratio", "antecedents", "consequents").limit(10).select("antecedents", "consequents", "lift_dev", "lift_val", "ratio")
