@@ -134,3 +134,25 @@ def test_no_nested_loop_in_wide_mining(spark):
     df = spark.createDataFrame([(i % 50, i % 7) for i in range(300)], "basket_id long, item long").distinct()
     plan = W.frequent_itemsets(W.baskets(df), 2)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_kmeans_finds_planted_clusters_and_their_number(spark):
+    import numpy as np
+    from trolley.operators import cluster as K
+    rng = np.random.default_rng(0)
+    x = np.concatenate([rng.normal(c, 0.05, (8, 2)) for c in ((0, 0), (5, 0), (0, 5))])
+    best = K.best_fits(K.kmeans_fits(spark, x, range(2, 7))).collect()
+    assert [r.k for r in best if r.is_best_k] == [3]
+    three = next(r for r in best if r.k == 3)
+    assert list(three.labels) == [0] * 8 + [1] * 8 + [2] * 8 and three.silhouette > 0.95
+
+
+def test_embedding_keeps_distances(spark):
+    import numpy as np
+    from trolley.operators import cluster as K
+    p = np.random.default_rng(1).normal(size=(6, 4))
+    d = np.sqrt(((p[:, None] - p) ** 2).sum(axis=2))
+    index = spark.createDataFrame([(f"i{k}", k) for k in range(6)], "item string, idx int")
+    rows = [(f"i{a}", f"i{b}", float(d[a, b])) for a in range(6) for b in range(a + 1, 6)]
+    _, x = K.embedded(spark.createDataFrame(rows, "item_a string, item_b string, distance double"), index)
+    assert np.allclose(np.sqrt(((x[:, None] - x) ** 2).sum(axis=2)), d, atol=1e-6)

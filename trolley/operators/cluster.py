@@ -35,46 +35,98 @@ def freq_distance(mc: DataFrame, index: DataFrame) -> DataFrame:
             .select("item_a", "item_b", F.round(F.sqrt(F.coalesce("d2", F.lit(0.0))), 6).alias("distance")))
 
 
-def wide_vectors(long_df: DataFrame, index: DataFrame):
-    """Long (item_a, item_b, value) -> (item, features vector) for pyspark.ml."""
-    from pyspark.ml.feature import VectorAssembler
-    n = index.count()
-    piv = (long_df.join(index.withColumnRenamed("item", "item_b"), "item_b")
-           .groupBy("item_a").pivot("idx", list(range(n))).agg(F.first("value")))
-    cols = [str(i) for i in range(n)]
-    return VectorAssembler(inputCols=cols, outputCol="features").transform(piv.fillna(0.0, cols)) \
-        .select(F.col("item_a").alias("item"), "features")
-
-
-def kmeans_sweep(vectors: DataFrame, ks=range(2, 11), seed: int = 42, restarts: int = 10) -> DataFrame:
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    from trolley.session import cut_lineage
-    spark = vectors.sparkSession
-    vectors = cut_lineage(vectors)  # item-sized; every fit re-reads it
-    rows = []
-    for k in ks:
-        best = None
-        for r in range(restarts):
-            model = KMeans(k=k, seed=seed + r, maxIter=100).fit(vectors)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model)
-        sil = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(best[1].transform(vectors))
-        rows.append((k, float(best[0]), float(sil)))
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette_sq_euclidean double")
-
-
-def kmeans_assign(vectors: DataFrame, k: int, seed: int = 42) -> DataFrame:
-    """Assignment with clusters relabelled by their smallest member (stable ids)."""
-    from pyspark.ml.clustering import KMeans
-    from trolley.session import cut_lineage
-    vectors = cut_lineage(vectors)
-    pred = KMeans(k=k, seed=seed, maxIter=100).fit(vectors).transform(vectors)
-    first = pred.groupBy("prediction").agg(F.min("item").alias("first"))
-    w = Window.orderBy("first")  # k rows
-    lab = first.select("prediction", (F.row_number().over(w) - 1).alias("cluster"))
-    return pred.join(lab, "prediction").select("item", F.col("cluster").cast("bigint"))
+def item_matrix(long_df: DataFrame, index: DataFrame):
+    """(names, matrix) of a long (item_a, item_b, value) table over the bounded domain (at most 63 x 63)."""
+    import numpy as np
+    names = [r["item"] for r in index.orderBy("idx").collect()]
+    at = {n: i for i, n in enumerate(names)}
+    out = np.zeros((len(names), len(names)))
+    for r in long_df.collect():
+        out[at[r["item_a"]], at[r["item_b"]]] = r["value"]
+    return names, out
+
+
+def embedded(dist: DataFrame, index: DataFrame):
+    """(names, points) with the given distances: k-means sees nothing of its points but
+    their distances, so these stand for the items' rows over all baskets."""
+    import numpy as np
+    long = dist.select("item_a", "item_b", F.col("distance").alias("value"))
+    names, d = item_matrix(long.unionByName(long.select(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "value")), index)
+    n = len(names)
+    centre = np.eye(n) - 1 / n
+    value, vector = np.linalg.eigh(-0.5 * centre @ (d ** 2) @ centre)
+    return names, vector * np.sqrt(np.maximum(value, 0))
+
+
+def kmeans_fits(spark, points, ks, restarts: int = 10, seed: int = 42) -> DataFrame:
+    """(k, restart, inertia, silhouette, labels) of every fit; each is a row of a
+    distributed range.  Starts are k-means++ draws, silhouettes Euclidean.
+
+    ``points`` is the bounded item matrix.  Labels number clusters by their first
+    item.
+    """
+    import numpy as np
+    import pandas as pd
+    x = np.asarray(points, float)
+    ks = [k for k in ks if 1 <= k <= len(x)]
+
+    def fit(k, restart):
+        rng = np.random.default_rng([seed, k, restart])
+        centre = x[[rng.integers(len(x))]]
+        while len(centre) < k:
+            d2 = ((x[:, None] - centre) ** 2).sum(axis=2).min(axis=1)
+            p = d2 / d2.sum() if d2.sum() > 0 else np.full(len(x), 1 / len(x))
+            centre = np.vstack([centre, x[rng.choice(len(x), p=p)]])
+        label = None
+        while True:
+            d2 = ((x[:, None] - centre) ** 2).sum(axis=2)
+            new = d2.argmin(axis=1)
+            if label is not None and (new == label).all():
+                break
+            label = new
+            centre = np.array([x[label == c].mean(axis=0) if (label == c).any() else centre[c] for c in range(k)])
+        order = {c: i for i, c in enumerate(dict.fromkeys(label.tolist()))}
+        return np.array([order[c] for c in label]), float(d2.min(axis=1).sum())
+
+    def silhouette(label):
+        d = np.sqrt(((x[:, None] - x) ** 2).sum(axis=2))
+        out = []
+        for i, c in enumerate(label):
+            own = (label == c) & (np.arange(len(x)) != i)
+            if not own.any() or len(set(label)) < 2:
+                out.append(0.0)
+                continue
+            a, b = d[i, own].mean(), min(d[i, label == o].mean() for o in set(label) if o != c)
+            out.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
+        return float(np.mean(out))
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for i in pdf["id"]:
+                k, restart = ks[int(i) // restarts], int(i) % restarts
+                label, inertia = fit(k, restart)
+                rows.append((k, restart, inertia, silhouette(label), label.tolist()))
+            yield pd.DataFrame(rows, columns=["k", "restart", "inertia", "silhouette", "labels"])
+
+    n = len(ks) * restarts
+    return spark.range(0, n, 1, max(1, min(n, 32))).mapInPandas(run, "k int, restart int, inertia double, silhouette double, labels array<int>")
+
+
+def best_fits(fits: DataFrame) -> DataFrame:
+    """Of each k the fit of least inertia (ties: the first restart); is_best_k marks the
+    k of the largest silhouette."""
+    w = Window.partitionBy("k").orderBy(F.round("inertia", 9), "restart")
+    best = fits.withColumn("rk", F.row_number().over(w)).filter("rk = 1").drop("rk")
+    top = F.max(F.struct(F.round("silhouette", 9), -F.col("k"))).over(Window.partitionBy())  # a row per k
+    return best.withColumn("is_best_k", F.col("k") == -top["col2"])
+
+
+def assignment(best: DataFrame, names: list, k: int) -> DataFrame:
+    """(item, cluster) of the best fit with k clusters."""
+    items = F.array(*map(F.lit, names))
+    return (best.filter(F.col("k") == k).select(F.posexplode("labels").alias("i", "cluster"))
+            .select(F.get(items, F.col("i")).alias("item"), F.col("cluster").cast("bigint").alias("cluster")))
 
 
 def silhouette_euclidean(dist: DataFrame, assign: DataFrame) -> DataFrame:

@@ -64,16 +64,31 @@ def q_silhouette(spark, d):
     return K.silhouette_euclidean(K.freq_distance(m.mc, m.index), given)
 
 
+def _points(m, space):
+    return K.item_matrix(K.cooc_features(m.mc, m.index), m.index) if space == "cooccurrence" else K.embedded(K.freq_distance(m.mc, m.index), m.index)
+
+
 @query("kmeans_sweep")
 def q_sweep(spark, d):
-    m = _m(spark, d)
-    return K.kmeans_sweep(K.wide_vectors(K.cooc_features(m.mc, m.index), m.index), range(2, 11), restarts=3)
+    """Both feature spaces, k from 2 to 10, ten starts each; the best k by silhouette."""
+    m, out = _m(spark, d), None
+    for space in ("cooccurrence", "frequency"):
+        _, x = _points(m, space)
+        best = K.best_fits(K.kmeans_fits(spark, x, range(2, 11)))
+        one = best.select(F.lit(space).alias("space"), "k", F.round("inertia", 6).alias("inertia"), F.round("silhouette", 6).alias("silhouette"), "is_best_k")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("kmeans_assign")
 def q_assign(spark, d):
-    m = _m(spark, d)
-    return K.kmeans_assign(K.wide_vectors(K.cooc_features(m.mc, m.index), m.index), 3)
+    """Clusters of the co-occurrence rows (k = 3) and of the frequency space (k = 5)."""
+    m, out = _m(spark, d), None
+    for space, k in (("cooccurrence", 3), ("frequency", 5)):
+        names, x = _points(m, space)
+        one = K.assignment(K.best_fits(K.kmeans_fits(spark, x, [k])), names, k).select(F.lit(space).alias("space"), "item", "cluster")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("layout_from_clusters")
@@ -81,6 +96,7 @@ def q_layout_clusters(spark, d):
     """i-th cluster -> i-th zone, then scored against the strong rules."""
     from trolley.plans.catalog_layout import Layouts
     lt = Layouts(spark, d)
-    a = K.kmeans_assign(K.wide_vectors(K.cooc_features(lt.m.mc, lt.index), lt.index), 5)
+    names, x = _points(lt.m, "cooccurrence")
+    a = K.assignment(K.best_fits(K.kmeans_fits(spark, x, [5])), names, 5)
     lay = a.select(F.lit("clusters").alias("layout_id"), "item", (F.col("cluster") + 1).alias("zone_no"))
     return LY.score_layouts(lt.rules, lay, lt.index)
