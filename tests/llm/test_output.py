@@ -130,6 +130,15 @@ def test_main_text_of_the_given_pages(spark):
         assert got[r.page_id].n_chars == len(got[r.page_id].text)
 
 
+def test_odd_markup_takes_linear_time():
+    import time
+    for odd in ("<!--" * 50_000, "<a " * 50_000, "&" * 200_000, "<b>x" * 50_000, "<div>x" * 50_000, "</p>" * 50_000, "<p>x<b>" * 50_000,
+                "<ul><li>" * 20_000 + "<p>x" * 20_000, "<" * 200_000, "<span>" * 50_000 + "<p>x" * 5_000):
+        start = time.time()
+        extract.main_text(odd)
+        assert time.time() - start < 20, odd[:20]
+
+
 def test_extraction_of_odd_rows(spark):
     rows = [(1, None, None), (None, "u", ""), (1, None, None), (2, "v", "<p>" + "word, " * 200_000), (3, "w", "<" * 5000), (4, "x", "<div>" * 3000 + "deep")]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")

@@ -29,6 +29,12 @@ def test_reworded_items_are_found(spark, prose, odd_docs, no_docs):
     assert decontam.drop_contaminated(odd_docs, bench(spark, ITEM)).count() == odd_docs.count()
 
 
+def test_long_runs_take_linear_time(spark):
+    runs = [(i, c * 300_000 + " " + ITEM) for i, c in enumerate([".", "\n", " ", "\"", "7", "A", "é", "<", "\u0002"])]
+    docs = spark.createDataFrame(runs, "doc_id long, text string")
+    assert {r.doc_id for r in decontam.contaminated(docs, bench(spark, ITEM)).collect()} == set(range(len(runs)))
+
+
 def test_shuffled_join_finds_the_same(spark, monkeypatch):
     d = "/root/testdata/sf0.001"
     docs, items = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/benchmark.parquet")

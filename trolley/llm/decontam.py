@@ -28,10 +28,11 @@ def template_tokens(text: Column) -> Column:
     """Lower-cased words without punctuation; names, numbers and units after
     numbers carry their placeholder's mark in front of their value.
 
-    A name is a capitalised word that begins no sentence.
+    A name is a capitalised word that begins no sentence.  The runs of marks and
+    white space that a pattern looks through are bounded, so long runs take linear time.
     """
     t = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "\u0001\u0002\u0003\u0004", "    "),
-                         r"(^|[.!?:][^\p{L}\p{N}\s]*\s+|[\r\n]\s*)(?=\p{Lu})", "$1\u0001")
+                         r"(^|[.!?:][^\p{L}\p{N}\s]{0,3}\s{1,16}|[\r\n]\s{0,16})(?=\p{Lu})", "$1\u0001")
     t = F.regexp_replace(t, r"(\s[\"'(\[]*)(?=\p{Lu}\p{Ll})", f"$1{_NAME}")
     joined = F.regexp_replace(t, r"(?<=\p{N})[.,:/](?=\p{N})", "")
     number = F.regexp_replace(joined, r"(^|[^\p{L}\p{N}])(?=\p{N})", f"$1{_NUMBER}")

@@ -30,6 +30,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
          "option": {"option"}}
 _CONTAINERS = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "div", "section", "article", "main", "body", "blockquote"}
+#: open elements that an implied or explicit end is looked for in
+_REACH = 512
 PUNCTUATION = frozenset(".,;:!?…。，、；：！？")
 #: share of the fused scores' standard deviation that a path has to reach
 THRESHOLD = 0.2
@@ -38,24 +40,27 @@ PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl table figure".spl
 KERNEL = (0.25, 0.5, 0.25)
 
 _WORD = re.compile(r"[a-z]+")
+_UNENDED = re.compile(r"<(?=[^<>]*<)")
 #: white space that the markup language collapses, and no-break and other spaces alike
 _BLANK = re.compile(r"\s+")
 
 
 class _Page(HTMLParser):
-    """Text nodes in page order: block number, tag path, text."""
+    """Text nodes in page order: block number, tag path, text.  Paths are numbered;
+    ``parent`` and ``tag`` lead from a path to the root (path 0), so deep nesting
+    costs no more than flat markup."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool]] = []
+        #: open elements: name, whether outside the article by its words, path, whether within an article
+        self.stack: list[tuple[str, bool, int, bool]] = []
         self.block = 0
-        self.nodes: list[tuple[int, tuple[str, ...], str]] = []
+        self.nodes: list[tuple[int, int, str]] = []
+        self.path: dict[tuple[int, str], int] = {}
+        self.parent, self.tag = [0], [""]
 
-    def _outside(self, tag: str, attrs: list) -> bool:
-        if tag in BOILERPLATE_TAGS:
-            return True
-        inside = any(t in ("article", "main") for t, _ in self.stack)
-        if tag == "header" and not inside:
+    def _outside(self, tag: str, attrs: list, inside: bool) -> bool:
+        if tag in BOILERPLATE_TAGS or tag == "header" and not inside:
             return True
         for name, value in attrs:
             if name in ("class", "id", "role", "aria-label") and value and tag not in ("html", "body", "main"):
@@ -76,28 +81,35 @@ class _Page(HTMLParser):
             elif tag == "hr":
                 self.block += 1
             return
-        ends = {"p"} | _ENDS.get(tag, set()) if tag in BLOCKS else set()
-        for i in range(len(self.stack) - 1, -1, -1):
-            open_ = self.stack[i][0]
-            if open_ in ends:
-                self._pop_to(i)
-                ends = ends - {"p"} if open_ == "p" else ends
-            elif open_ in _CONTAINERS:
-                break
-        if tag in ("article", "main") and any(t in ("nav", "header") for t, _ in self.stack):
-            # an article doesn't begin in a menu: its end tag is missing
-            self._pop_to(next(i for i, (t, _) in enumerate(self.stack) if t in ("nav", "header")))
         if tag in BLOCKS:
             self.block += 1
-        outside = bool(self.stack) and self.stack[-1][1]
-        self.stack.append((tag, outside or self._outside(tag, attrs)))
+            ends = {"p"} | _ENDS.get(tag, set())
+            for i in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - _REACH), -1):
+                open_ = self.stack[i][0]
+                if open_ in ends:
+                    self._pop_to(i)
+                    if open_ != "p":
+                        break
+                elif open_ in _CONTAINERS:
+                    break
+        if tag in ("article", "main"):
+            # an article doesn't begin in a menu: its end tag is missing
+            menu = next((i for i, e in enumerate(self.stack[:_REACH]) if e[0] in ("nav", "header")), None)
+            if menu is not None:
+                self._pop_to(menu)
+        _, outside, above, inside = self.stack[-1] if self.stack else ("", False, 0, False)
+        if (above, tag) not in self.path:
+            self.path[above, tag] = len(self.tag)
+            self.parent.append(above)
+            self.tag.append(tag)
+        self.stack.append((tag, outside or self._outside(tag, attrs, inside), self.path[above, tag], inside or tag in ("article", "main")))
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, -1, -1):
+        for i in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - _REACH), -1):
             if self.stack[i][0] == tag:
                 if tag in BLOCKS:
                     self.block += 1
@@ -105,52 +117,53 @@ class _Page(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if not (self.stack and self.stack[-1][1]) and data:
-            self.nodes.append((self.block, tuple(t for t, _ in self.stack), data))
+        if data and not (self.stack and self.stack[-1][1]):
+            self.nodes.append((self.block, self.stack[-1][2] if self.stack else 0, data))
 
 
-def _content(nodes: list[tuple[int, tuple[str, ...], str]]) -> list[bool]:
+def _content(page: _Page) -> list[bool]:
     """Which nodes stand on paths whose smoothed, fused ratios reach the threshold."""
     chars: dict = defaultdict(int)
     marks: dict = defaultdict(int)
     count: dict = defaultdict(int)
     solid = []
-    for i, (_, path, text) in enumerate(nodes):
+    for _, path, text in page.nodes:
         size = len(text.strip())
         if size:
-            solid.append(i)
+            solid.append(path)
             chars[path] += size
             marks[path] += sum(map(text.count, PUNCTUATION))
             count[path] += 1
     if not solid:
-        return [False] * len(nodes)
-    ratio = np.array([[chars[p] / count[p], marks[p] / count[p]] for p in (nodes[i][1] for i in solid)])
+        return [False] * len(page.nodes)
+    ratio = np.array([[chars[p] / count[p], marks[p] / count[p]] for p in solid])
     padded = np.pad(ratio, ((1, 1), (0, 0)), mode="edge")
     smooth = sum(w * padded[k:k + len(ratio)] for k, w in enumerate(KERNEL))
     fused = smooth[:, 0] * (1 + smooth[:, 1])
     # a path passes as a whole: short paragraphs stay with the long ones
     best: dict = defaultdict(float)
-    for i, score in zip(solid, fused):
-        best[nodes[i][1]] = max(best[nodes[i][1]], score)
+    for path, score in zip(solid, fused):
+        best[path] = max(best[path], score)
     least = THRESHOLD * fused.std()
     passing = {p for p, score in best.items() if score >= least}
     # headings, lists and the like beside passing paths belong to the same article, and so does all that lies within them
-    parents = {p[:-1] for p in passing if p}
-
-    def content(path: tuple[str, ...]) -> bool:
-        return any(path[:k] in passing or k and path[k - 1] in PROSE and path[:k - 1] in parents for k in range(len(path), -1, -1))
-
-    verdict = {p: content(p) for p in {path for _, path, _ in nodes}}
-    return [verdict[path] for _, path, _ in nodes]
+    beside = {page.parent[p] for p in passing if p}
+    verdict = [False] * len(page.tag)
+    for p in range(len(page.tag)):  # a path's number is larger than its parent's
+        verdict[p] = p in passing or p > 0 and (verdict[page.parent[p]] or page.tag[p] in PROSE and page.parent[p] in beside)
+    return [verdict[path] for _, path, _ in page.nodes]
 
 
 def main_text(html: str) -> str:
     """The article: blocks in page order, one line feed between two."""
     page = _Page()
+    if html.count("<") > 2 * html.count(">") + 1000:
+        # thousands of tags without an end would be looked at again and again: they are text
+        html = _UNENDED.sub("&lt;", html)
     page.feed(html)
     page.close()
     blocks: dict[int, list[str]] = {}
-    for (block, _, text), content in zip(page.nodes, _content(page.nodes)):
+    for (block, _, text), content in zip(page.nodes, _content(page)):
         if content or block in blocks:
             blocks.setdefault(block, []).append(text)
     lines = (_BLANK.sub(" ", "".join(parts)).strip() for parts in blocks.values())

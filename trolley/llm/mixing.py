@@ -191,7 +191,9 @@ def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]) -> Da
     Posteriors are a function of the text, so they are worked out again beside
     the rows; a join would shuffle the texts.
     """
-    prefix = fresh_name([c[:3] for c in docs.columns], "mix")
+    prefix = "mix"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
     model, _, steps = _fitted(docs, labelled, weights, prefix)
     key, copies = f"{prefix}_key", f"{prefix}_copies"
     out = with_posteriors(docs.withColumn(key, F.xxhash64("doc_id", "text")), model, f"{prefix}_tokens", f"{prefix}_posterior")
