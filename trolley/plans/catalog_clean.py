@@ -454,8 +454,11 @@ def q_ingest(spark, d):
                       F.round(F.col("total_amount").cast("double"), 2).alias("total_amount"))
 
 
-@query("ingest_rejects", "SELECT * FROM (VALUES ('header', CAST(1 AS BIGINT)), ('too few fields', CAST("
-       + str(len(LETTERHEAD)) + " AS BIGINT))) v(reason, lines)")
+_BLANK = sum(not t.strip() for t in LETTERHEAD)
+
+
+@query("ingest_rejects", f"""SELECT reason, CAST(lines AS BIGINT) AS lines FROM (VALUES ('header', 1), ('blank line', {_BLANK}),
+  ('too few fields', {len(LETTERHEAD) - _BLANK})) v(reason, lines) WHERE lines > 0""")
 def q_rejects(spark, d):
     """Lines of the export that are no data rows, by reason."""
     from trolley.sources import pos_csv
