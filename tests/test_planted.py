@@ -156,3 +156,13 @@ def test_embedding_keeps_distances(spark):
     rows = [(f"i{a}", f"i{b}", float(d[a, b])) for a in range(6) for b in range(a + 1, 6)]
     _, x = K.embedded(spark.createDataFrame(rows, "item_a string, item_b string, distance double"), index)
     assert np.allclose(np.sqrt(((x[:, None] - x) ** 2).sum(axis=2)), d, atol=1e-6)
+
+
+def test_rebuild_rewrites_the_table(spark, tmp_path):
+    path = str(tmp_path / "products")
+    spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "product_id long, category string").write.parquet(path)
+    old = spark.read.parquet(path)
+    new = old.selectExpr("product_id", "if(product_id = 2, 'Z', category) AS category")
+    report = {r.state: r.products for r in Q.rebuild_table(spark, path, new, "product_id", "category").collect()}
+    assert report == {"relabelled": 1, "unchanged": 2}
+    assert {r.product_id: r.category for r in spark.read.parquet(path).collect()} == {1: "A", 2: "Z", 3: "C"}

@@ -84,6 +84,13 @@ def score_detail(rules: DataFrame, layouts: DataFrame, index: DataFrame, zones:
                     "zone_no", "zone_assignment", "intention"))
 
 
+def intention_counts(rules: DataFrame, layouts: DataFrame, index: DataFrame, zones: DataFrame) -> DataFrame:
+    """Per layout and intention class of the capturing zone: rules and support."""
+    z = zones.select("zone_no", "intention")
+    cap = captures(rules, layouts, index).join(rules.select("rule_id", "support"), "rule_id").join(F.broadcast(z), "zone_no")
+    return cap.groupBy("layout_id", "intention").agg(F.count(F.lit(1)).alias("rules"), F.round(F.sum("support"), 8).alias("support"))
+
+
 def zone_breakdown(rules: DataFrame, layouts: DataFrame, index: DataFrame, zones: DataFrame) -> DataFrame:
     """Per (layout, zone): rules captured and share of captured support, zero zones kept."""
     cap = captures(rules, layouts, index).join(rules.select("rule_id", "support"), "rule_id")

@@ -243,3 +243,20 @@ def append_to_table(spark: SparkSession, path: str, batch: DataFrame, key: list)
     if n:
         new.write.mode("append").parquet(path)
     return n
+
+
+def rebuild_table(spark: SparkSession, path: str, new: DataFrame, key: str, label: str) -> DataFrame:
+    """Rewrites the table at ``path`` with ``new`` and reports, by key, what was
+    relabelled, unchanged, added or dropped.
+
+    The new rows are fixed before the old files go, so a query over the old
+    table may be what they come from.
+    """
+    from trolley.session import cut_lineage
+    old = cut_lineage(spark.read.parquet(path).select(key, F.col(label).alias("_old")))
+    new = cut_lineage(new)
+    new.write.mode("overwrite").parquet(path)
+    j = old.withColumn("_o", F.lit(True)).join(new.select(key, F.col(label).alias("_new"), F.lit(True).alias("_n")), key, "full_outer")
+    state = (F.when(F.col("_o").isNull(), "added").when(F.col("_n").isNull(), "dropped")
+             .when(F.col("_old").eqNullSafe(F.col("_new")), "unchanged").otherwise("relabelled"))
+    return j.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("products"))

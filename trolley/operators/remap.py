@@ -146,6 +146,18 @@ def remap_report(before: DataFrame, after: DataFrame) -> DataFrame:
                     .alias("delta"))
 
 
+def moves_by_section(resolved: DataFrame, matches: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Products that each rule moves (its share of those with status move or
+    duplicate, by the first rule) beside the estimate it came with."""
+    moved = resolved.filter(F.col("status").isin("move", "duplicate")).groupBy(F.col("first_rule").alias("rule_no")).agg(
+        F.count(F.lit(1)).alias("moved"))
+    hit = matches.groupBy("rule_no").agg(F.count(F.lit(1)).alias("matched"))
+    j = estimates.join(hit, "rule_no", "left").join(moved, "rule_no", "left")
+    n = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    return j.select("rule_no", "estimate", n("matched").alias("matched"), n("moved").alias("moved"),
+                    (n("matched") - F.col("estimate")).alias("difference"))
+
+
 def moves_by_destination(remapped: DataFrame) -> DataFrame:
     m = remapped.filter(F.col("category") != F.col("category_before"))
     return (m.groupBy(F.col("category").alias("destination"))

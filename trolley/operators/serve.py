@@ -77,12 +77,14 @@ def _category_basket_pairs(lines: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- F3 -----
 def category_performance(lines: DataFrame, dim_category: DataFrame, dim_basket: DataFrame) -> DataFrame:
     total = dim_basket.agg(F.count(F.lit(1))).scalar()
-    per = (_category_basket_pairs(lines).groupBy("category")
-           .agg(F.sum("amount").alias("_rev"), F.count(F.lit(1)).alias("baskets")))
+    n_lines = dim_basket.agg(F.sum("n_items")).scalar()
+    pairs = lines.groupBy("category", "basket_id").agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n"))
+    per = pairs.groupBy("category").agg(F.sum("amount").alias("_rev"), F.count(F.lit(1)).alias("baskets"), F.sum("n").alias("_lines"))
     return (per.join(dim_category, per.category == dim_category.category_name)
             .select("category_name", "zone_assignment", "zone_location",
                     money("_rev").alias("revenue"), "baskets",
-                    F.round(F.lit(100.0) * F.col("baskets") / total, 2).alias("basket_penetration_pct")))
+                    F.round(F.lit(100.0) * F.col("baskets") / total, 2).alias("basket_penetration_pct"),
+                    F.round(F.lit(100.0) * F.col("_lines") / n_lines, 2).alias("line_share_pct")))
 
 
 # ---------------------------------------------------------------- F4 -----
@@ -140,6 +142,16 @@ def day_of_week(dim_basket: DataFrame) -> DataFrame:
                        .alias("avg_basket"))
 
 
+def weekday_extremes(days: DataFrame) -> DataFrame:
+    """Busiest and quietest weekday by revenue and the one with the best average basket
+    (ties: the earlier weekday), from the seven rows of ``day_of_week``."""
+    def first(value, alias):
+        return F.min_by("day_name", F.struct(value, F.col("day_of_week"))).alias(alias)
+
+    return days.agg(first(-F.col("revenue"), "highest_revenue_day"), first(F.col("revenue"), "lowest_revenue_day"),
+                    first(-F.col("avg_basket"), "highest_average_day"), first(F.col("transactions"), "quietest_day"))
+
+
 # ---------------------------------------------------------------- F8 -----
 def top_products(lines: DataFrame, dim_category: DataFrame) -> DataFrame:
     cat = dim_category.select(F.col("category_name").alias("category"), "zone_assignment")

@@ -322,6 +322,20 @@ def q_report(spark, d):
     return RM.remap_report(m.withColumn("category", F.col("category_before")), m)
 
 
+#: products that the author of each rule expected it to name
+ESTIMATES = [(r[0], 10 * r[0]) for r in REMAP_RULES]
+_EST = "est AS " + _values(ESTIMATES, ["rule_no", "estimate"], ["BIGINT", "BIGINT"])
+
+
+@query("remap_sections", with_(L, PRODS_SQL, RULES_SQL, MATCH_SQL, _EST) + """
+SELECT rule_no, estimate, coalesce(h.n, 0) AS matched, coalesce(v.n, 0) AS moved, coalesce(h.n, 0) - estimate AS difference
+FROM est LEFT JOIN (SELECT rule_no, count(*) AS n FROM m GROUP BY 1) h USING (rule_no)
+LEFT JOIN (SELECT first_rule AS rule_no, count(*) AS n FROM res WHERE status IN ('move', 'duplicate') GROUP BY 1) v USING (rule_no)""")
+def q_sections(spark, d):
+    r = Remap(spark, d)
+    return RM.moves_by_section(r.resolved, r.matches, spark.createDataFrame(ESTIMATES, "rule_no bigint, estimate bigint"))
+
+
 @query("remap_moves_by_destination", REMAP + """SELECT category_after AS destination,
   count(DISTINCT product_id) AS products, round(CAST(sum(amount) AS DOUBLE), 2) AS revenue
 FROM remapped WHERE category_after <> category_before GROUP BY 1""")

@@ -120,6 +120,16 @@ def q_detail(spark, d):
     return LY.score_detail(lt.rules, lt.given(), lt.index, zones_df(spark))
 
 
+@query("layout_intentions", BRAND + GIVEN_SQL + f""",
+z AS {zones_values()}
+SELECT 'given' AS layout_id, z.intention, count(*) AS rules, round(sum(s.support), 8) AS support
+FROM cap c JOIN strong s ON s.rule_id = c.rule_id JOIN z ON z.zone_no = c.zone_no WHERE c.layout_id = 'given' GROUP BY 2""")
+def q_intentions(spark, d):
+    """Captured rules by what their zone assists or creates."""
+    lt = Layouts(spark, d)
+    return LY.intention_counts(lt.rules, lt.given(), lt.index, zones_df(spark))
+
+
 @query("zone_capture_breakdown", BRAND + GIVEN_SQL + f""",
 z AS {zones_values()},
 per AS (SELECT zone_no, count(*) AS rc, sum(support) AS sup FROM cap WHERE layout_id = 'given' GROUP BY 1)

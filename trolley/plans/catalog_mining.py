@@ -396,3 +396,20 @@ def q_stability_least(spark, d):
     """The 10 rules whose lift held least."""
     st = _stability(spark, d).filter(F.col("ratio").isNotNull())
     return st.orderBy("ratio", "antecedents", "consequents").limit(10).select("antecedents", "consequents", "lift_dev", "lift_val", "ratio")
+
+
+@query("cooccurrence_products", with_(lines_cte("p_brand")) + """, bi AS (SELECT DISTINCT basket_id, product_id AS item FROM lines),
+top AS (SELECT item FROM bi GROUP BY item ORDER BY count(*) DESC, item LIMIT 20),
+d AS (SELECT bi.* FROM bi JOIN top USING (item)),
+c AS (SELECT a.item AS item_a, b.item AS item_b, count(*) AS n FROM d a JOIN d b ON a.basket_id = b.basket_id AND a.item <> b.item GROUP BY 1, 2)
+SELECT a.item AS item_a, b.item AS item_b, coalesce(c.n, 0) AS baskets FROM top a JOIN top b ON true
+LEFT JOIN c ON c.item_a = a.item AND c.item_b = b.item""")
+def q_cooc_products(spark, d):
+    """Full matrix of the 20 products in most baskets, zero on the diagonal."""
+    bi = M.basket_items(adapter.lines(spark, d), "product_id")
+    top = M.domain_index(bi, 20).select("item")
+    pairs = M.pair_counts_topn(bi, 20)
+    both = (pairs.toDF("item_a", "item_b", "n").unionByName(pairs.toDF("item_b", "item_a", "n")))
+    cells = top.select(F.col("item").alias("item_a")).crossJoin(F.broadcast(top.select(F.col("item").alias("item_b"))))  # 20 x 20
+    return (cells.join(both, ["item_a", "item_b"], "left")
+            .select("item_a", "item_b", F.coalesce("n", F.lit(0)).cast("bigint").alias("baskets")))

@@ -296,3 +296,18 @@ def q_kpi_merge(spark, d):
     j = old.withColumnRenamed("value", "old").join(new.withColumnRenamed("value", "new"), "key", "full_outer")
     return j.select("key", F.coalesce("new", "old").alias("value"),
                     (F.col("new").isNotNull() & ~F.col("new").eqNullSafe(F.col("old"))).alias("changed"))
+
+
+@query("full_rebuild_table", _remap_sql() + """, pc AS (SELECT DISTINCT product_id, category_before, category_after FROM remapped)
+SELECT CASE WHEN category_before = category_after THEN 'unchanged' ELSE 'relabelled' END AS state, count(*) AS products FROM pc GROUP BY 1""")
+def q_rebuild_table(spark, d):
+    """The product table written with the old categories, rewritten with the remapped ones
+    and compared."""
+    import uuid
+
+    from trolley.plans.catalog_clean import Remap
+    from trolley.session import checkpoint_dir
+    pc = Remap(spark, d).remapped().select("product_id", "category_before", "category").distinct()
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}-products"
+    pc.select("product_id", F.col("category_before").alias("category")).write.parquet(path)
+    return Q.rebuild_table(spark, path, pc.select("product_id", "category"), "product_id", "category")

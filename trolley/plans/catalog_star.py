@@ -102,7 +102,8 @@ def q_monthly(spark, d):
 SELECT c.category_name, c.zone_assignment, c.zone_location,
        round(CAST(sum(l.amount) AS DOUBLE), 2) AS revenue, count(DISTINCT l.basket_id) AS baskets,
        round(100.0 * count(DISTINCT l.basket_id) / (SELECT count(DISTINCT basket_id) FROM lines), 2)
-         AS basket_penetration_pct
+         AS basket_penetration_pct,
+       round(100.0 * count(*) / (SELECT count(*) FROM lines), 2) AS line_share_pct
 FROM lines l JOIN dim_category c ON l.category = c.category_name
 GROUP BY 1, 2, 3""")
 def q_catperf(spark, d):
@@ -155,6 +156,15 @@ def q_dow(spark, d):
     return serve.day_of_week(_star(spark, d).dim_basket)
 
 
+@query("weekday_extremes", with_(L, B) + """, w AS (
+SELECT isodow(sale_date) AS k, dayname(sale_date) AS day, round(CAST(sum(basket_value) AS DOUBLE), 2) AS revenue, count(*) AS n,
+       round(CAST(sum(basket_value) AS DOUBLE) / count(*), 2) AS a FROM baskets GROUP BY 1, 2)
+SELECT (SELECT day FROM w ORDER BY revenue DESC, k LIMIT 1) AS highest_revenue_day, (SELECT day FROM w ORDER BY revenue, k LIMIT 1) AS lowest_revenue_day,
+       (SELECT day FROM w ORDER BY a DESC, k LIMIT 1) AS highest_average_day, (SELECT day FROM w ORDER BY n, k LIMIT 1) AS quietest_day""")
+def q_weekday_extremes(spark, d):
+    return serve.weekday_extremes(serve.day_of_week(_star(spark, d).dim_basket))
+
+
 @query("v_top_products", with_(L, C) + """
 SELECT l.product_id, l.product_name, l.category AS category_name, c.zone_assignment,
        round(CAST(sum(l.amount) AS DOUBLE), 2) AS revenue, count(DISTINCT l.basket_id) AS transactions,
