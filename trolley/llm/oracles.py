@@ -3,6 +3,8 @@ alone: no hashing of windows into units, no anchors, no archives."""
 
 from __future__ import annotations
 
+from trolley.llm.rules import CHAR_GUARD, CHAR_LIMIT, WORD_GUARD, WORD_LIMIT
+
 SPACE = r"[^\x20\x09-\x0D]+"
 
 OP2 = rf"""
@@ -81,7 +83,8 @@ base AS (SELECT k.r, doc_id, CAST(n AS BIGINT) AS n_words, CAST(length(regexp_re
 v AS (SELECT base.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, coalesce(cjs.js, 0) AS c, cjs.size, coalesce(wjs.js, 0) AS w
       FROM base LEFT JOIN cjs USING (r) LEFT JOIN wjs USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (size >= 200 AND c > 0.15 + 2.6 / sqrt(size)) AND NOT (n_words >= 30 AND w > 0.22 + 1.6 / sqrt(n_words)) AS kept,
+       NOT base_failed AND NOT (size >= {CHAR_GUARD} AND c > {CHAR_LIMIT[0]} + {CHAR_LIMIT[1]} / sqrt(size))
+       AND NOT (n_words >= {WORD_GUARD} AND w > {WORD_LIMIT[0]} + {WORD_LIMIT[1]} / sqrt(n_words)) AS kept,
        round(c, 6) AS char_js, round(w, 6) AS word_js FROM v"""
 
 ORACLES = {"op2_substring_dedup": OP2, "op5_warc_index": OP5, "op6_suffix_dedup": OP6, "op8_quality_rules": OP8}

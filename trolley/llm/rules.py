@@ -34,7 +34,7 @@ MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
 COMMON_SHARE = 0.002
 #: a text of n characters (words) is rejected beyond base + slack / sqrt(n): sampling noise moves
 #: short texts away from any reference; below the guards the distance is not judged at all
-CHAR_LIMIT, WORD_LIMIT = (0.15, 2.6), (0.22, 1.6)
+CHAR_LIMIT, WORD_LIMIT = (0.17, 2.6), (0.30, 1.6)
 CHAR_GUARD, WORD_GUARD = 200, 30
 #: a language gets references of its own from this share of all documents (so there are at most 1000)
 LANGUAGE_SHARE = 0.001
