@@ -29,6 +29,23 @@ def test_reworded_items_are_found(spark, prose, odd_docs, no_docs):
     assert decontam.drop_contaminated(odd_docs, bench(spark, ITEM)).count() == odd_docs.count()
 
 
+def test_slot_values_may_repeat_and_one_odd_slot_costs_its_windows_only(spark):
+    twice = "the baker in town buys 2 more ovens for the shop and after 2 weeks of work sells them all again to pay the rent of the mill near the old bridge"
+    cows = "on the farm by the lake there are 3 cows and 5 goats that eat the same green grass all day long until the farmer takes them home for the night"
+    near = ("in the evening the old teacher Anna went down to the river with a red boat and a long rope to look for her lost dog while the "
+            "others stayed at home and later that night Anna came back with the dog in the boat")
+    anew = near.replace("red", "12 foot").replace("long", "30 metre")
+    docs = spark.createDataFrame([
+        (1, twice.replace("buys 2", "buys 6").replace("after 2", "after 7")), (2, cows.replace("3 cows and 5", "4 cows and 4")),
+        (3, near.replace("night Anna", "night Maria")), (4, anew.replace("12", "14").replace("30", "40").replace("night Anna", "night Maria")),
+        (5, UNLIKE)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs, bench(spark, twice, cows, near, anew, ITEM)).collect()}
+    assert {(1, 0), (2, 1), (3, 2), (4, 3)} <= set(got) and all(i < 5 for i, _ in got)
+    assert got[1, 0].share == got[2, 1].share == 1.0 and got[1, 0].reworded and got[2, 1].reworded
+    # all words but the changed name are covered by windows that don't touch it
+    assert got[3, 2].covered == got[3, 2].item_words - 1 and not got[3, 2].reworded and got[4, 3].reworded
+
+
 def test_long_runs_take_linear_time(spark):
     runs = [(i, c * 300_000 + " " + ITEM) for i, c in enumerate([".", "\n", " ", "\"", "7", "A", "é", "<", "\u0002"])]
     docs = spark.createDataFrame(runs, "doc_id long, text string")

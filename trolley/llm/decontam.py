@@ -1,6 +1,6 @@
 """Benchmark decontamination by template windows: numbers, names and units
 become typed placeholders, windows of the templates are joined by hash, and the
-values in the slots must map one to one.  DataFrame functions throughout."""
+names in the slots must map one to one.  DataFrame functions throughout."""
 
 from __future__ import annotations
 
@@ -46,6 +46,16 @@ def _template_hashes(tokens: Column) -> Column:
     return F.transform(tokens, lambda w: F.when(w < _AFTER, F.xxhash64(F.substring(w, 1, 1))).otherwise(F.xxhash64(w)))
 
 
+def _kind(w: Column) -> Column:
+    """The mark of a placeholder, or an empty string."""
+    return F.when(w < _AFTER, F.substring(w, 1, 1)).otherwise("")
+
+
+def _value(w: Column) -> Column:
+    """The token without its mark."""
+    return F.when(w < _AFTER, F.substring(w, 2, 1 << 30)).otherwise(w)
+
+
 def _windows(codes: Column) -> Column:
     n = F.size(codes)
     return F.when(n >= WIDTH, F.transform(F.sequence(F.lit(0), F.greatest(n - WIDTH, F.lit(0))),
@@ -57,9 +67,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     row_key (hash of doc_id and text), covered (words of the item found),
     item_words, share, n_slots, reworded (some slot has another value).
 
-    Slots: within one alignment each value of the item must stand for one value
-    of the document and the reverse, else the alignment doesn't count.  Null or
-    empty texts, and texts or items of fewer than WIDTH words, match nothing;
+    Slots: the windows of an alignment are judged by runs without a gap.  Numbers
+    and units may take any value.  Within a run a name of the item should stand
+    for one name of the document and the reverse: where it does not, the pair
+    that is most frequent for both its names holds, and any other pair of
+    different names (of equally frequent ones each) is odd.  A window with an
+    odd pair doesn't count; if a run has more odd than other name slots, only
+    its windows with the item's own values do.  Null or empty texts, and texts or items of fewer than WIDTH words, match nothing;
     repeated rows of documents give one row, repeated items one each by item_id;
     an empty table on either side gives no rows; other columns are not looked at.
     """
@@ -78,30 +92,44 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         salts = 32
         found = (windows.withColumn("salt", F.pmod("row_key", F.lit(salts)))
                  .join(bench.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), ["h", "salt"]))
-    hits = cut_lineage(found.select("doc_id", "row_key", "item_id", "b_pos", (F.col("pos") - F.col("b_pos")).alias("shift")).distinct(), shrink=8)
-
-    runs = hits.groupBy("doc_id", "row_key", "item_id", "shift").agg(F.min("b_pos").alias("lo"), F.max("b_pos").alias("hi"))
-    slotted = items.where(F.exists("words", lambda w: w < _AFTER))
+    hits = found.select("doc_id", "row_key", "item_id", "b_pos", (F.col("pos") - F.col("b_pos")).alias("shift")).distinct()
+    along = Window.partitionBy("doc_id", "row_key", "item_id", "shift").orderBy("b_pos")
+    hits = hits.withColumn("gap", F.col("b_pos") - F.lag("b_pos").over(along))
+    hits = cut_lineage(hits.withColumn("run", F.sum(F.when(F.col("gap") <= WIDTH, 0).otherwise(1)).over(along)).drop("gap"), shrink=8)
+
+    run = ["row_key", "item_id", "shift", "run"]
+    runs = hits.groupBy(*run).agg(F.min("b_pos").alias("lo"), F.max("b_pos").alias("hi"))
+    slotted = items.where(F.exists("words", lambda w: _kind(w) != ""))
     todo = cut_lineage(runs.join(slotted, "item_id"), shrink=8)
     wanted = todo.select("row_key").distinct()
     texts = (docs.select(key.alias("row_key"), "text").join(wanted, "row_key").dropDuplicates(["row_key"])
              .select("row_key", template_tokens(F.col("text")).alias("doc_words")))
-    size = F.col("hi") - F.col("lo") + WIDTH
-    slots = F.filter(F.zip_with(F.slice("words", F.col("lo") + 1, size),
-                                F.slice("doc_words", F.col("lo") + F.col("shift") + 1, size),
-                                lambda b, d: F.struct(b.alias("b"), d.alias("d"))),
-                     lambda p: (p["b"] < _AFTER) & (F.substring(p["b"], 1, 1) == F.substring(p["d"], 1, 1)))
-    checked = (todo.join(texts, "row_key").select("row_key", "item_id", "shift", slots.alias("slots"))
-               .select("row_key", "item_id", "shift", F.size("slots").alias("n_slots"),
-                       F.exists("slots", lambda p: p["b"] != p["d"]).alias("reworded"),
-                       F.size(F.array_distinct("slots")).alias("pairs"),
-                       F.size(F.array_distinct(F.transform("slots", lambda p: p["b"]))).alias("from"),
-                       F.size(F.array_distinct(F.transform("slots", lambda p: p["d"]))).alias("to")))
-    judged = hits.join(checked, ["row_key", "item_id", "shift"], "left").where(
-        F.col("pairs").isNull() | ((F.col("pairs") == F.col("from")) & (F.col("pairs") == F.col("to"))))
+    aligned = F.transform(F.sequence("lo", F.col("hi") + WIDTH - 1), lambda i: F.struct(
+        i.alias("pos"), F.get("words", i).alias("b"), F.get("doc_words", (i + F.col("shift")).cast("int")).alias("d")))
+    slots = F.filter(aligned, lambda p: (_kind(p["b"]) != "") & (_kind(p["b"]) == _kind(p["d"])))
+    pairs = (todo.join(texts, "row_key").select(*run, F.explode(slots).alias("s"))
+             .groupBy(*run, _kind(F.col("s.b")).alias("kind"), _value(F.col("s.b")).alias("b"), _value(F.col("s.d")).alias("d"))
+             .agg(F.collect_list("s.pos").alias("at")).withColumn("n", F.size("at")))
+
+    def leads(side: str) -> Column:
+        """The pair is the most frequent one of its value on this side, without a tie."""
+        by = Window.partitionBy(*run, "kind", side).orderBy(F.desc("n"))
+        return (F.row_number().over(by) == 1) & (F.coalesce(F.lead("n").over(by), F.lit(0)) < F.col("n"))
+
+    named = F.col("kind") == _NAME
+    pairs = pairs.withColumn("odd", named & (F.col("b") != F.col("d")) & ~(leads("b") & leads("d")))
+    whole = Window.partitionBy(*run)
+    pairs = cut_lineage(pairs.withColumn("trusted", F.sum(F.when(named, F.when(F.col("odd"), -F.col("n")).otherwise(F.col("n"))).otherwise(0)).over(whole) >= 0)
+                        .withColumn("n_slots", F.sum("n").over(whole)), shrink=8)
+    counts = pairs.groupBy(*run).agg(F.max("n_slots").alias("n_slots"))
+    touched = (pairs.where("b <> d").select(*run, (F.col("odd") | ~F.col("trusted")).alias("odd"), F.explode("at").alias("pos"))
+               .select(*run, "odd", F.explode(F.sequence(F.col("pos") - WIDTH + 1, F.col("pos"))).alias("b_pos"))
+               .groupBy(*run, "b_pos").agg(F.max("odd").alias("odd")))
+    judged = (hits.join(touched, [*run, "b_pos"], "left").where(~F.coalesce("odd", F.lit(False)))
+              .join(counts, run, "left").withColumn("reworded", F.col("odd").isNotNull()))
 
     places = judged.groupBy("doc_id", "row_key", "item_id", "b_pos").agg(
-        F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"), F.min(F.coalesce("reworded", F.lit(False))).alias("reworded"))
+        F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"), F.min("reworded").alias("reworded"))
     following = F.lead("b_pos").over(Window.partitionBy("doc_id", "row_key", "item_id").orderBy("b_pos")) - F.col("b_pos")
     covered = (places.withColumn("new", F.least(F.coalesce(following, F.lit(WIDTH)), F.lit(WIDTH)))
                .groupBy("doc_id", "row_key", "item_id")
