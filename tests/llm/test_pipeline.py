@@ -46,6 +46,19 @@ def test_slot_values_may_repeat_and_one_odd_slot_costs_its_windows_only(spark):
     assert got[3, 2].covered == got[3, 2].item_words - 1 and not got[3, 2].reworded and got[4, 3].reworded
 
 
+def test_sentence_starts_and_number_words_are_slots(spark):
+    anna = "Anna has 12 apples in a basket. Anna gives 5 of them to Bob. Bob eats 2 of them and Anna takes 3 apples back to the basket."
+    boys = "At the old school three boys share a bag of red marbles after four of them had lost all of their own"
+    names = "we saw Tom and Ann and Joe and Sue at the fair with Kim and Max and Eva by the gate"
+    docs = spark.createDataFrame([
+        (1, anna.replace("Anna", "Clara").replace("Bob", "Dave").replace("12", "30").replace("5", "8")),
+        (2, boys.replace("three", "seven").replace("four", "nine")), (3, names.lower()), (4, names.upper()), (5, anna), (6, anna.upper()),
+        (7, "The dog sleeps. The cat eats. The bird sings in a tree and the fish swims.")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs, bench(spark, anna, boys, names)).collect()}
+    assert set(got) == {(1, 0), (2, 1), (3, 2), (4, 2), (5, 0), (6, 0)}
+    assert all(r.share == 1.0 for r in got.values()) and {k[0] for k, r in got.items() if r.reworded} == {1, 2}
+
+
 def test_long_runs_take_linear_time(spark):
     runs = [(i, c * 300_000 + " " + ITEM) for i, c in enumerate([".", "\n", " ", "\"", "7", "A", "é", "<", "\u0002"])]
     docs = spark.createDataFrame(runs, "doc_id long, text string")

@@ -14,46 +14,70 @@ WIDTH = 8
 MIN_LITERALS = 4
 #: a document is contaminated if it covers this share of an item, or so many of its words
 MIN_SHARE, MIN_RUN = 0.5, 20
-#: up to so many benchmark windows (24 bytes each) are sent to every executor; more are joined by shuffle
+#: up to so many benchmark windows (24 bytes each, up to three for each place) are sent to every executor; more are joined by shuffle
 BROADCAST_WINDOWS = 500_000
 #: units of measure that count as such directly after a number (fixed values)
 UNITS = ("mm cm dm m km in ft yd mi mile miles metre metres meter meters mg g kg lb lbs oz ton tons ml cl l litre litres "
          "liter liters s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month "
          "months year years mph kmh percent dollar dollars euro euros cent cents pound pounds degree degrees").split()
 
-_NAME, _NUMBER, _UNIT, _AFTER = "\u0002", "\u0003", "\u0004", "\u0005"
+#: capitalised sentence starts that are no names, and words that are numbers (fixed values)
+FUNCTION_WORDS = ("a about after again all also although an and another any are as at because before both but by can could did do does "
+                  "during each either even every few find finally first for from give given had has have he her here his how however i if "
+                  "in instead into is it its last later let many may more most much my neither no not now of on once only or other our out "
+                  "over own she should since so some sometimes still such suppose than that the their them then there these they this "
+                  "those though through thus to today together under until up was we were what when where whether which while who whose "
+                  "why will with without would yesterday yet you your").split()
+NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
+                "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen").split()
+
+_START, _NAME, _NUMBER, _UNIT, _AFTER = "\u0001", "\u0002", "\u0003", "\u0004", "\u0005"
 
 
 def template_tokens(text: Column) -> Column:
     """Lower-cased words without punctuation; names, numbers and units after
-    numbers carry their placeholder's mark in front of their value.
+    numbers carry their placeholder's mark in front of their value, capitals
+    that begin a sentence the mark of a start.
 
     A name is a capitalised word that begins no sentence.  The runs of marks and
     white space that a pattern looks through are bounded, so long runs take linear time.
     """
     t = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "\u0001\u0002\u0003\u0004", "    "),
-                         r"(^|[.!?:][^\p{L}\p{N}\s]{0,3}\s{1,16}|[\r\n]\s{0,16})(?=\p{Lu})", "$1\u0001")
+                         r"(^|[.!?:][^\p{L}\p{N}\s]{0,3}\s{1,16}|[\r\n]\s{0,16})(?=\p{Lu})", f"$1{_START}")
     t = F.regexp_replace(t, r"(\s[\"'(\[]*)(?=\p{Lu}\p{Ll})", f"$1{_NAME}")
     joined = F.regexp_replace(t, r"(?<=\p{N})[.,:/](?=\p{N})", "")
     number = F.regexp_replace(joined, r"(^|[^\p{L}\p{N}])(?=\p{N})", f"$1{_NUMBER}")
     unit = F.regexp_replace(number, rf"(?i)({_NUMBER}\p{{N}}+)\s*(?=(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}]))", f"$1 {_UNIT}")
     t = F.when(t.rlike(r"\p{N}"), unit).otherwise(t)
-    t = F.regexp_replace(F.lower(t), r"[^\p{L}\p{N}\u0002-\u0004]+", " ")
+    t = F.regexp_replace(F.lower(t), r"[^\p{L}\p{N}\u0001-\u0004]+", " ")
     return F.split(F.trim(t), " ")
 
 
-def _template_hashes(tokens: Column) -> Column:
-    return F.transform(tokens, lambda w: F.when(w < _AFTER, F.xxhash64(F.substring(w, 1, 1))).otherwise(F.xxhash64(w)))
+def _value(w: Column) -> Column:
+    """The token without its mark."""
+    return F.when(w < _AFTER, F.substring(w, 2, 1 << 30)).otherwise(w)
 
 
-def _kind(w: Column) -> Column:
-    """The mark of a placeholder, or an empty string."""
-    return F.when(w < _AFTER, F.substring(w, 1, 1)).otherwise("")
+def _wide(w: Column) -> Column:
+    """The placeholder's mark in the wide template, or an empty string: sentence starts that
+    are no function words are names too, and number words are numbers."""
+    bare = _value(w)
+    return (F.when((w >= _NAME) & (w < _AFTER), F.substring(w, 1, 1)).when(bare.isin(NUMBER_WORDS), _NUMBER)
+            .when((w < _NAME) & (w != "") & ~bare.isin(FUNCTION_WORDS), _NAME).otherwise(""))
 
 
-def _value(w: Column) -> Column:
-    """The token without its mark."""
-    return F.when(w < _AFTER, F.substring(w, 2, 1 << 30)).otherwise(w)
+def _narrow(w: Column) -> Column:
+    """The placeholder's mark in the narrow template: sentence starts and number words are literal."""
+    return F.when((w >= _NAME) & (w < _AFTER), F.substring(w, 1, 1)).otherwise("")
+
+
+def _untitled(w: Column) -> Column:
+    """The placeholder's mark where names are literal, as in copies without or all in capitals."""
+    return F.when((w >= _NUMBER) & (w < _AFTER), F.substring(w, 1, 1)).otherwise("")
+
+
+def _template_hashes(tokens: Column, kind) -> Column:
+    return F.transform(tokens, lambda w: F.xxhash64(F.when(kind(w) != "", kind(w)).otherwise(_value(w))))
 
 
 def _windows(codes: Column) -> Column:
@@ -67,6 +91,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     row_key (hash of doc_id and text), covered (words of the item found),
     item_words, share, n_slots, reworded (some slot has another value).
 
+    A window matches by either of two templates: the narrow one takes sentence
+    starts and number words literally, the wide one takes them for names (unless
+    they are FUNCTION_WORDS) and numbers.  Items have a third one with literal
+    names, for copies without capitals or all in capitals.
+
     Slots: the windows of an alignment are judged by runs without a gap.  Numbers
     and units may take any value.  Within a run a name of the item should stand
     for one name of the document and the reverse: where it does not, the pair
@@ -79,13 +108,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     items = cut_lineage(benchmark.select("item_id", template_tokens(F.col("text")).alias("words"))
                         .where(F.size("words") >= WIDTH).distinct(), shrink=16)
-    bench = items.select("item_id", "words", F.posexplode(_windows(_template_hashes(F.col("words")))).alias("b_pos", "h"))
-    literal = F.size(F.filter(F.slice("words", F.col("b_pos") + 1, F.lit(WIDTH)), lambda w: w >= _AFTER))
-    bench = cut_lineage(bench.where(literal >= MIN_LITERALS).select("h", "item_id", "b_pos"), shrink=16)
+    forms = []
+    for kind in (_narrow, _wide, _untitled):
+        form = items.select("item_id", "words", F.posexplode(_windows(_template_hashes(F.col("words"), kind))).alias("b_pos", "h"))
+        literal = F.size(F.filter(F.slice("words", F.col("b_pos") + 1, F.lit(WIDTH)), lambda w: kind(w) == ""))
+        forms.append(form.where(literal >= MIN_LITERALS).select("h", "item_id", "b_pos"))
+    bench = cut_lineage(forms[0].unionByName(forms[1]).unionByName(forms[2]).distinct(), shrink=16)
 
     key = F.xxhash64("doc_id", "text")
-    codes = docs.select("doc_id", key.alias("row_key"), _template_hashes(template_tokens(F.col("text"))).alias("codes"))
-    windows = codes.select("doc_id", "row_key", F.posexplode(_windows(F.col("codes"))).alias("pos", "h"))
+    codes = (docs.select("doc_id", key.alias("row_key"), template_tokens(F.col("text")).alias("words"))
+             .select("doc_id", "row_key", _template_hashes(F.col("words"), _narrow).alias("narrow"),
+                     _template_hashes(F.col("words"), _wide).alias("wide")))
+    # both templates' windows in turn, two for each place
+    windows = (codes.select("doc_id", "row_key", F.posexplode(F.flatten(F.zip_with(
+        _windows(F.col("narrow")), _windows(F.col("wide")), lambda a, b: F.array(a, b)))).alias("nth", "h"))
+        .withColumn("pos", F.shiftright("nth", 1)).drop("nth"))
     if bench.count() <= BROADCAST_WINDOWS:
         found = windows.join(F.broadcast(bench), "h")
     else:  # a window may stand in a third of all documents: spread each over salts
@@ -99,16 +136,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     run = ["row_key", "item_id", "shift", "run"]
     runs = hits.groupBy(*run).agg(F.min("b_pos").alias("lo"), F.max("b_pos").alias("hi"))
-    slotted = items.where(F.exists("words", lambda w: _kind(w) != ""))
+    slotted = items.where(F.exists("words", lambda w: _wide(w) != ""))
     todo = cut_lineage(runs.join(slotted, "item_id"), shrink=8)
     wanted = todo.select("row_key").distinct()
     texts = (docs.select(key.alias("row_key"), "text").join(wanted, "row_key").dropDuplicates(["row_key"])
              .select("row_key", template_tokens(F.col("text")).alias("doc_words")))
     aligned = F.transform(F.sequence("lo", F.col("hi") + WIDTH - 1), lambda i: F.struct(
         i.alias("pos"), F.get("words", i).alias("b"), F.get("doc_words", (i + F.col("shift")).cast("int")).alias("d")))
-    slots = F.filter(aligned, lambda p: (_kind(p["b"]) != "") & (_kind(p["b"]) == _kind(p["d"])))
+    slots = F.filter(aligned, lambda p: (_wide(p["b"]) != "") & (_wide(p["b"]) == _wide(p["d"])))
     pairs = (todo.join(texts, "row_key").select(*run, F.explode(slots).alias("s"))
-             .groupBy(*run, _kind(F.col("s.b")).alias("kind"), _value(F.col("s.b")).alias("b"), _value(F.col("s.d")).alias("d"))
+             .groupBy(*run, _wide(F.col("s.b")).alias("kind"), _value(F.col("s.b")).alias("b"), _value(F.col("s.d")).alias("d"))
              .agg(F.collect_list("s.pos").alias("at")).withColumn("n", F.size("at")))
 
     def leads(side: str) -> Column:
