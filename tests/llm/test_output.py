@@ -139,6 +139,21 @@ def test_odd_markup_takes_linear_time():
         assert time.time() - start < 20, odd[:20]
 
 
+def test_ends_and_stray_marks_are_read_alike_at_any_size():
+    import time
+    text = "<div><p>It is long enough to count, and has marks. So it stays.</p></div>"
+    for n in (5, 600, 5000):
+        for odd in ("<a>x", "<font>x"):
+            assert extract.main_text("<nav>" + odd * n + "</nav>" + text) == "It is long enough to count, and has marks. So it stays."
+        # a mark within an attribute or a comment doesn't end the element, however many there are
+        page = "<p>" + "<b title='x < y < z'>word, </b><!-- < < < -->" * n + "</p>"
+        assert extract.main_text(page) == ("word, " * n).strip()
+    for odd in ("<!--x>" * 50_000, "<div>" * 50_000 + "<p>x</div>" * 50_000, "<p><i>" * 50_000):
+        start = time.time()
+        extract.main_text(odd)
+        assert time.time() - start < 20, odd[:20]
+
+
 def test_extraction_of_odd_rows(spark):
     rows = [(1, None, None), (None, "u", ""), (1, None, None), (2, "v", "<p>" + "word, " * 200_000), (3, "w", "<" * 5000), (4, "x", "<div>" * 3000 + "deep")]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")

@@ -30,8 +30,6 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
          "option": {"option"}}
 _CONTAINERS = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "div", "section", "article", "main", "body", "blockquote"}
-#: open elements that an implied or explicit end is looked for in
-_REACH = 512
 PUNCTUATION = frozenset(".,;:!?…。，、；：！？")
 #: share of the fused scores' standard deviation that a path has to reach
 THRESHOLD = 0.2
@@ -40,7 +38,6 @@ PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl table figure".spl
 KERNEL = (0.25, 0.5, 0.25)
 
 _WORD = re.compile(r"[a-z]+")
-_UNENDED = re.compile(r"<(?=[^<>]*<)")
 #: white space that the markup language collapses, and no-break and other spaces alike
 _BLANK = re.compile(r"\s+")
 
@@ -54,6 +51,9 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         #: open elements: name, whether outside the article by its words, path, whether within an article
         self.stack: list[tuple[str, bool, int, bool]] = []
+        #: where the open elements of a name stand in the stack
+        self.open: dict[str, list[int]] = defaultdict(list)
+        self.uncommented = False
         self.block = 0
         self.nodes: list[tuple[int, int, str]] = []
         self.path: dict[tuple[int, str], int] = {}
@@ -70,9 +70,18 @@ class _Page(HTMLParser):
                 return True
         return False
 
+    def parse_comment(self, i, report=True):
+        # once a comment has no end, none after it has one
+        k = -1 if self.uncommented else super().parse_comment(i, report)
+        self.uncommented = k < 0
+        return k
+
+    def _nearest(self, tags) -> int:
+        return max((at[-1] for t in tags if (at := self.open.get(t))), default=-1)
+
     def _pop_to(self, index: int) -> None:
-        del self.stack[index:]
-        self.block += 1
+        while len(self.stack) > index:
+            self.open[self.stack.pop()[0]].pop()
 
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
@@ -83,25 +92,25 @@ class _Page(HTMLParser):
             return
         if tag in BLOCKS:
             self.block += 1
-            ends = {"p"} | _ENDS.get(tag, set())
-            for i in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - _REACH), -1):
-                open_ = self.stack[i][0]
-                if open_ in ends:
-                    self._pop_to(i)
-                    if open_ != "p":
-                        break
-                elif open_ in _CONTAINERS:
+            ends, within = {"p"} | _ENDS.get(tag, set()), self._nearest(_CONTAINERS)
+            while (i := self._nearest(ends)) > within:
+                ended = self.stack[i][0]
+                self._pop_to(i)
+                self.block += 1
+                if ended != "p":
                     break
         if tag in ("article", "main"):
             # an article doesn't begin in a menu: its end tag is missing
-            menu = next((i for i, e in enumerate(self.stack[:_REACH]) if e[0] in ("nav", "header")), None)
+            menu = min((at[0] for t in ("nav", "header") if (at := self.open.get(t))), default=None)
             if menu is not None:
                 self._pop_to(menu)
+                self.block += 1
         _, outside, above, inside = self.stack[-1] if self.stack else ("", False, 0, False)
         if (above, tag) not in self.path:
             self.path[above, tag] = len(self.tag)
             self.parent.append(above)
             self.tag.append(tag)
+        self.open[tag].append(len(self.stack))
         self.stack.append((tag, outside or self._outside(tag, attrs, inside), self.path[above, tag], inside or tag in ("article", "main")))
 
     def handle_startendtag(self, tag, attrs):
@@ -109,12 +118,10 @@ class _Page(HTMLParser):
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - _REACH), -1):
-            if self.stack[i][0] == tag:
-                if tag in BLOCKS:
-                    self.block += 1
-                del self.stack[i:]
-                return
+        if self.open.get(tag):
+            if tag in BLOCKS:
+                self.block += 1
+            self._pop_to(self.open[tag][-1])
 
     def handle_data(self, data):
         if data and not (self.stack and self.stack[-1][1]):
@@ -157,9 +164,9 @@ def _content(page: _Page) -> list[bool]:
 def main_text(html: str) -> str:
     """The article: blocks in page order, one line feed between two."""
     page = _Page()
-    if html.count("<") > 2 * html.count(">") + 1000:
-        # thousands of tags without an end would be looked at again and again: they are text
-        html = _UNENDED.sub("&lt;", html)
+    # no tag ends behind the last ">": what begins there is text, and is not looked at again and again
+    last = html.rfind(">") + 1
+    html = html[:last] + html[last:].replace("<", "&lt;")
     page.feed(html)
     page.close()
     blocks: dict[int, list[str]] = {}
