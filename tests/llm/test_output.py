@@ -139,6 +139,17 @@ def test_odd_markup_takes_linear_time():
         assert time.time() - start < 20, odd[:20]
 
 
+def test_words_of_boilerplate_in_names_of_the_article():
+    text = "It is long enough to count, and has marks. So it stays."
+    for a, b in (("<article class='post has-sidebar'>", "</article>"), ("<div id='content' class='no-sidebar'>", "</div>"),
+                 ("<article><h2 id='related-work'>Related work</h2>", "</article>"), ("<article><section id='search'>", "</section></article>"),
+                 ("<main><section aria-label='Social history'>", "</section></main>"), ("<div class='shared-research-notice'>", "</div>")):
+        got = extract.main_text(f"<nav>Home</nav>{a}<p>{text}</p>{b}<footer>End</footer>")
+        assert got == ("Related work\n" if "h2" in a else "") + text
+    for odd in ("class='ad'", "class='x cookie-banner'", "id='site-nav'", "id=relatedPosts", "role=search", "aria-label='Social share links'"):
+        assert extract.main_text(f"<article><p>{text}</p></article><div {odd}><p>{text}</p></div>") == text
+
+
 def test_ends_and_stray_marks_are_read_alike_at_any_size():
     import time
     text = "<div><p>It is long enough to count, and has marks. So it stays.</p></div>"

@@ -15,13 +15,21 @@ from pyspark.sql import functions as F
 
 from trolley.llm.common import row_slices
 
-#: paths through these elements, or through elements of such class, id or role words, are no article (fixed values)
+#: paths through these elements, or through elements whose class, id, role or label is such a word or a compound of such
+#: words with PARTS, are no article; a value that merely holds such a word lowers the score of its paths (fixed values)
 BOILERPLATE_TAGS = frozenset(("head title nav footer aside form script style noscript template button select option textarea "
                               "iframe object svg math canvas audio video dialog menu input label fieldset").split())
 BOILERPLATE_WORDS = frozenset(("ad ads advert advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr "
                                "notice alert popup modal newsletter subscribe nav navbar navigation menu breadcrumb breadcrumbs "
                                "sidebar footer masthead comment comments respond replies disqus share sharing social related "
                                "recommended widget login signup search toolbar pagination pager skip hidden").split())
+BOILERPLATE_PARTS = frozenset(("area bar block body bottom box btn button buttons container feed form global header icons inner item items "
+                               "left link links list main module nav page panel post posts primary right secondary section site slot "
+                               "top wrap wrapper").split())
+#: such words say whether something is there, not what an element is
+STATES = frozenset("has no not with without show hide hides".split())
+DOUBT = 0.5
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLOCKS = frozenset(("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
                     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section "
                     "summary table tbody td tfoot th thead title tr ul").split())
@@ -38,6 +46,8 @@ PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl table figure".spl
 KERNEL = (0.25, 0.5, 0.25)
 
 _WORD = re.compile(r"[a-z]+")
+#: words of a value: at marks, digits and from lower case to upper
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: white space that the markup language collapses, and no-break and other spaces alike
 _BLANK = re.compile(r"\s+")
 
@@ -49,26 +59,40 @@ class _Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        #: open elements: name, whether outside the article by its words, path, whether within an article
+        #: open elements: name, whether outside the article, path, whether within an article
         self.stack: list[tuple[str, bool, int, bool]] = []
         #: where the open elements of a name stand in the stack
         self.open: dict[str, list[int]] = defaultdict(list)
         self.uncommented = False
         self.block = 0
         self.nodes: list[tuple[int, int, str]] = []
-        self.path: dict[tuple[int, str], int] = {}
-        self.parent, self.tag = [0], [""]
+        self.path: dict[tuple[int, str, bool], int] = {}
+        self.parent, self.tag, self.weight = [0], [""], [1.0]
 
-    def _outside(self, tag: str, attrs: list, inside: bool) -> bool:
+    def _judge(self, tag: str, attrs: list, inside: bool) -> tuple[bool, bool]:
+        """Whether the element is outside the article; whether its words cast doubt on it.
+
+        Words never count against articles, nor a name or label (id, aria-label)
+        against headings, or against sections within an article: those name
+        what the text is about.
+        """
         if tag in BOILERPLATE_TAGS or tag == "header" and not inside:
-            return True
+            return True, False
+        doubt = False
         for name, value in attrs:
-            if name in ("class", "id", "role", "aria-label") and value and tag not in ("html", "body", "main"):
-                if not BOILERPLATE_WORDS.isdisjoint(_WORD.findall(value.lower())):
-                    return True
+            if name in ("class", "id", "role", "aria-label") and value and tag not in ("html", "body", "main", "article"):
+                if name in ("id", "aria-label") and (tag in HEADINGS or tag == "section" and inside):
+                    continue
+                for one in value.split() if name in ("class", "role") else [value]:
+                    words = _WORD.findall(_HUMP.sub(" ", one).lower())
+                    if BOILERPLATE_WORDS.isdisjoint(words) or not STATES.isdisjoint(words):
+                        continue
+                    if all(w in BOILERPLATE_WORDS or w in BOILERPLATE_PARTS for w in words):
+                        return True, False
+                    doubt = True
             elif name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-        return False
+                return True, False
+        return False, doubt
 
     def parse_comment(self, i, report=True):
         # once a comment has no end, none after it has one
@@ -106,12 +130,14 @@ class _Page(HTMLParser):
                 self._pop_to(menu)
                 self.block += 1
         _, outside, above, inside = self.stack[-1] if self.stack else ("", False, 0, False)
-        if (above, tag) not in self.path:
-            self.path[above, tag] = len(self.tag)
+        beyond, doubt = self._judge(tag, attrs, inside)
+        path = self.path.setdefault((above, tag, doubt), len(self.tag))
+        if path == len(self.tag):
             self.parent.append(above)
             self.tag.append(tag)
+            self.weight.append(self.weight[above] * (DOUBT if doubt else 1.0))
         self.open[tag].append(len(self.stack))
-        self.stack.append((tag, outside or self._outside(tag, attrs, inside), self.path[above, tag], inside or tag in ("article", "main")))
+        self.stack.append((tag, outside or beyond, path, inside or tag in ("article", "main")))
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -146,7 +172,7 @@ def _content(page: _Page) -> list[bool]:
     ratio = np.array([[chars[p] / count[p], marks[p] / count[p]] for p in solid])
     padded = np.pad(ratio, ((1, 1), (0, 0)), mode="edge")
     smooth = sum(w * padded[k:k + len(ratio)] for k, w in enumerate(KERNEL))
-    fused = smooth[:, 0] * (1 + smooth[:, 1])
+    fused = smooth[:, 0] * (1 + smooth[:, 1]) * np.array([page.weight[p] for p in solid])
     # a path passes as a whole: short paragraphs stay with the long ones
     best: dict = defaultdict(float)
     for path, score in zip(solid, fused):
