@@ -104,6 +104,31 @@ def test_keys_sort_hosts_in_reverse():
     assert " " not in warc.url_key("bad:[url with spaces\n")
 
 
+def test_hosts_with_spaces_are_found(spark):
+    assert warc.url_key("http://a b.com/x") == "com,a%20b)/x"
+    rows = [(1, "http://a b.com/x", "y"), (2, "http://ü\u3000x.de/ ", "z"), (3, "http://a,b)c.com/", None), (4, "//\u00a0/", "v")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted((tuple(r) for r in warc.archive(pages).collect()), key=key) == brute_archive(rows)
+
+
+def test_a_lookup_reads_one_block_of_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 16)
+    rows = [(i if i % 50 else None, None if i % 3 else f"http://h{i}.com/", f"page {i}") for i in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    folder = shared_folder(spark)
+    found = warc.write_archives(pages, folder)
+    index = warc.CaptureIndex([(r.first, r.uri) for r in warc.write_index(found, folder).orderBy("part").collect()])
+    want = sorted(found.collect(), key=lambda r: (r.key, r.page_id is not None, r.page_id or 0, r.nth))
+    reads, read = [], index.read
+    monkeypatch.setattr(index, "read", lambda *a: reads.append(a) or read(*a))
+    for r in (want[0], want[200], want[-1]):
+        del reads[:]
+        line = index.capture(r.key, r.page_id, r.nth)
+        # the footer, the directory, the block
+        assert line[3:] == [r.uri, str(r.offset), str(r.length)] and len(reads) <= 3
+    assert [int(x[2]) for x in index.captures("")] == [r.nth for r in want if r.key == ""]
+
+
 PAGE = ("<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a='</p>';</script></head><body><header><p>Site name, motto.</p>"
         "</header><nav><ul><li><a href=x>Home</a></li></ul></nav><div class='ad'>Buy now, buy more, buy all. Really.</div><article><h1>Head &amp; line</h1>"
         "<p>First  paragraph,\nwith <b>bold</b> words. It is long enough to count, and has marks.</p><p><b>Second one &lt;here&gt;.<br><p>Third.</p>"

@@ -9,7 +9,7 @@ import re
 import struct
 import uuid
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import OrderedDict
 from urllib.parse import quote, urlsplit
 
@@ -42,7 +42,8 @@ def url_key(url: str | None) -> str:
     except ValueError:
         return f"){quote(url, safe='')}"
     rest = parts.path + (f"?{parts.query}" if parts.query else "") + (f"#{parts.fragment}" if parts.fragment else "")
-    return f"{','.join(reversed(host.split('.')))}{f':{port}' if port else ''}){quote(rest, safe='/?#=&%~:+,;@!$()*-._')}"
+    host = ",".join(quote(label, safe=":%~") for label in reversed(host.split(".")))
+    return f"{host}{f':{port}' if port else ''}){quote(rest, safe='/?#=&%~:+,;@!$()*-._')}"
 
 
 def with_roles(pages: DataFrame) -> DataFrame:
@@ -142,14 +143,19 @@ def _line(key: str, page_id: int | None, nth: int, uri: str, offset: int, length
     return f"{key} {'' if page_id is None else page_id} {nth} {uri} {offset} {length}"
 
 
+def _place(line: list[str]) -> tuple[str, bool, int, int]:
+    """What the index is sorted by (null page_ids first), of a split line or directory entry."""
+    return line[0], line[1] != "", int(line[1] or 0), int(line[2])
+
+
 def _footer(at: int, size: int) -> bytes:
     return _FOOT.pack(at, size, _MAGIC)
 
 
 def write_index(captures: DataFrame, folder: str) -> DataFrame:
     """Sorts the captures by key into index shards of compressed blocks, each shard with
-    its sparse directory (first key and place of every block) at its end; returns
-    (part, uri, first) per shard."""
+    its sparse directory (first capture and place of every block) at its end; returns
+    (part, uri, first) per shard, where first is the first capture's key, page_id and nth."""
     def run(batches):
         part, uri, out, at = TaskContext.get().partitionId(), f"{folder}/index-{uuid.uuid4().hex}.cdx", None, 0
         directory: list[str] = []
@@ -161,7 +167,7 @@ def write_index(captures: DataFrame, folder: str) -> DataFrame:
                 some, pending = pending[:BLOCK_LINES], pending[BLOCK_LINES:]
                 raw = zlib.compress("\n".join(some).encode(), LEVEL)
                 out.write(raw)
-                directory.append(f"{some[0].split(' ', 1)[0]} {at} {len(raw)}")
+                directory.append(f"{' '.join(some[0].split(' ')[:3])} {at} {len(raw)}")
                 at += len(raw)
 
         for batch in batches:
@@ -176,7 +182,7 @@ def write_index(captures: DataFrame, folder: str) -> DataFrame:
             raw = zlib.compress("\n".join(directory).encode(), LEVEL)
             out.write(raw + _footer(at, len(raw)))
             out.close()
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "uri": [uri], "first": [directory[0].split(" ", 1)[0]]})
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "uri": [uri], "first": [directory[0].rsplit(" ", 2)[0]]})
 
     ordered = captures.repartitionByRange("key", "page_id", "nth").sortWithinPartitions("key", "page_id", "nth")
     shards = ordered.select(*_CAPTURE_NAMES).mapInArrow(run, "part long, uri string, first string")
@@ -184,15 +190,16 @@ def write_index(captures: DataFrame, folder: str) -> DataFrame:
 
 
 class CaptureIndex:
-    """Looks captures up by URL key: the shard by its first key, the block by the
-    shard's directory, the lines of one block by its range."""
+    """Looks captures up by URL key, or one capture by key, page_id and nth: the shard
+    by its first capture, the block by the shard's directory, the lines of one block
+    by its range.  One directory and one block are held at a time."""
 
     def __init__(self, shards: list[tuple[str, str]]):
-        self.first = [f for f, _ in shards]
+        self.first = [_place(f.split(" ")) for f, _ in shards]
         self.uri = [u for _, u in shards]
         self.files: OrderedDict[str, pa.NativeFile] = OrderedDict()
-        self.directory: tuple[int, list] = (-1, [])
-        self.block: tuple[tuple[int, int], list] = ((-1, -1), [])
+        self.directory: tuple[int, list, list] = (-1, [], [])
+        self.block: tuple[tuple[int, int], list, list] = ((-1, -1), [], [])
 
     def _file(self, uri: str) -> pa.NativeFile:
         if uri not in self.files:
@@ -208,36 +215,43 @@ class CaptureIndex:
         file.seek(offset)
         return file.read(length)
 
-    def _directory(self, shard: int) -> list[tuple[str, int, int]]:
+    def _directory(self, shard: int) -> tuple[list[tuple], list[tuple[int, int]]]:
+        """The first captures of the shard's blocks, and offset and length of the blocks."""
         if self.directory[0] != shard:
             size = self._file(self.uri[shard]).size()
             at, n, magic = _FOOT.unpack(self.read(self.uri[shard], size - _FOOT.size, _FOOT.size))
             if magic != _MAGIC:
                 raise ValueError(f"{self.uri[shard]} is no capture index")
-            lines = zlib.decompress(self.read(self.uri[shard], at, n)).decode().split("\n")
-            self.directory = (shard, [(k, int(o), int(s)) for k, o, s in (x.split(" ") for x in lines)])
-        return self.directory[1]
+            lines = [x.split(" ") for x in zlib.decompress(self.read(self.uri[shard], at, n)).decode().split("\n")]
+            self.directory = (shard, [_place(x) for x in lines], [(int(x[3]), int(x[4])) for x in lines])
+        return self.directory[1:]
 
-    def _lines(self, shard: int, number: int) -> list[list[str]]:
+    def _lines(self, shard: int, number: int) -> tuple[list[tuple], list[list[str]]]:
+        """The block's lines, and what they are sorted by."""
         if self.block[0] != (shard, number):
-            _, at, n = self._directory(shard)[number]
-            self.block = ((shard, number), [x.split(" ") for x in zlib.decompress(self.read(self.uri[shard], at, n)).decode().split("\n")])
-        return self.block[1]
+            at, n = self._directory(shard)[1][number]
+            lines = [x.split(" ") for x in zlib.decompress(self.read(self.uri[shard], at, n)).decode().split("\n")]
+            self.block = ((shard, number), [_place(x) for x in lines], lines)
+        return self.block[1:]
+
+    def capture(self, key: str, page_id: int | None, nth: int) -> list[str]:
+        """The index line of one capture, from the one block that can hold it."""
+        wanted = (key, page_id is not None, page_id or 0, nth)
+        shard = max(0, bisect_right(self.first, wanted) - 1)
+        places, lines = self._lines(shard, max(0, bisect_right(self._directory(shard)[0], wanted) - 1))
+        at = bisect_left(places, wanted)
+        if at == len(places) or places[at] != wanted:
+            raise KeyError(wanted)
+        return lines[at]
 
     def captures(self, key: str):
         """Index lines of the key, from the last block that begins before it on."""
-        shard = max(0, bisect_right(self.first, key) - 1)
-        while shard > 0 and self.first[shard] == key:
-            shard -= 1
-        while shard < len(self.uri) and self.first[shard] <= key:
-            keys = [k for k, _, _ in self._directory(shard)]
-            number = max(0, bisect_right(keys, key) - 1)
-            while number > 0 and keys[number] == key:
-                number -= 1
-            while number < len(keys) and keys[number] <= key:
-                for line in self._lines(shard, number):
-                    if line[0] == key:
-                        yield line
+        shard = max(0, bisect_left(self.first, (key,)) - 1)
+        while shard < len(self.uri) and self.first[shard][0] <= key:
+            blocks = self._directory(shard)[0]
+            number = max(0, bisect_left(blocks, (key,)) - 1)
+            while number < len(blocks) and blocks[number][0] <= key:
+                yield from (line for line in self._lines(shard, number)[1] if line[0] == key)
                 number += 1
             shard += 1
 
@@ -247,7 +261,8 @@ def read_back(captures: DataFrame, index: DataFrame) -> DataFrame:
     found through the index and read from the archives.
 
     The index has one row per shard; those rows are all that the tasks are given.
-    Lookups go in key order, so a block is read once for neighbouring keys.
+    Lookups go in the index's order, so a block is read once for its neighbours and
+    a key of any number of captures is never held as a whole.
     """
     shards = [(r.first, r.uri) for r in index.orderBy("part").collect()]
     # a lookup is a few bytes but reads a record: tasks are sized by the records' bytes
@@ -258,11 +273,9 @@ def read_back(captures: DataFrame, index: DataFrame) -> DataFrame:
     def run(batches):
         found = CaptureIndex(shards)
         for batch in batches:
-            out, key, lines = [], None, {}
-            for wanted, page_id, nth in zip(*[c.to_pylist() for c in batch.columns]):
-                if wanted != key:
-                    key, lines = wanted, {int(x[2]): x for x in found.captures(wanted)}
-                _, _, _, uri, offset, length = lines[nth]
+            out = []
+            for key, page_id, nth in zip(*[c.to_pylist() for c in batch.columns]):
+                _, _, _, uri, offset, length = found.capture(key, page_id, nth)
                 out.append((page_id, *parse_record(found.read(uri, int(offset), int(length)))))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, schema)], schema=schema)
 
