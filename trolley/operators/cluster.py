@@ -1,5 +1,6 @@
 """Item clustering (K): co-occurrence features, basket-space distances,
-k-means sweep and assignment (pyspark.ml), Euclidean silhouette."""
+k-means sweep and assignment (NumPy fits, each a row of a distributed range),
+Euclidean silhouette."""
 
 from __future__ import annotations
 
