@@ -156,6 +156,14 @@ def test_links_in_a_crowded_block(spark, monkeypatch):
         assert [root.get(p, p) for p in prints] == want
 
 
+def test_links_at_distance_one_in_a_crowded_block(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PAIR_GROUP", 2)
+    prints = [0, 1, 3, 4, 6, 7, 12, 24, 25, 40, 1 << 20, 3 << 20]
+    want = {(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() == 1}
+    got = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"), 1)
+    assert {(r.a, r.b) for r in got.collect()} == want
+
+
 def test_components_of_a_long_chain(spark):
     from trolley.llm.graph import connected_components
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101), (5, 5)], "a long, b long")

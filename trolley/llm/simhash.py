@@ -78,8 +78,9 @@ def links(prints: DataFrame, distance: int = 2) -> DataFrame:
     inequality), the survivors are verified bit by bit.  Under a block key
     with more than PAIR_GROUP fingerprints no pairs are formed: fingerprints
     within two bits share a midpoint one bit away from both, so members are
-    linked to the least member of each midpoint (``distance`` 2 or less); that
-    is exact for connectivity and linear in the group.
+    linked to the least member of each midpoint (``distance`` 2), or to the
+    midpoint itself where it is a member (``distance`` 1); that is exact for
+    connectivity and linear in the group.
     """
     if not 0 <= distance <= 2:
         raise ValueError("midpoints serve distances up to 2")
@@ -104,6 +105,10 @@ def links(prints: DataFrame, distance: int = 2) -> DataFrame:
     flips = (keyed.where(F.col("n") > PAIR_GROUP)
              .select("mask", "fp", F.explode(free).alias("bit"))
              .select("mask", "fp", F.col("fp").bitwiseXOR(F.col("bit")).alias("mid")))
+    if distance < 2:  # neighbours of a midpoint are two bits apart: only a midpoint that is a fingerprint links
+        prints_at = flips.where("fp = mid").select("mask", "mid")
+        stars = flips.where("fp < mid").join(prints_at, ["mask", "mid"]).select(F.col("fp").alias("a"), F.col("mid").alias("b"))
+        return pairs.unionByName(stars).distinct()
     least = flips.groupBy("mask", "mid").agg(F.min("fp").alias("a"), F.max("fp").alias("_top")).where("a < _top").drop("_top")
     stars = (flips.join(least, ["mask", "mid"]).where("fp <> a")
              .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("a"))) <= distance)
