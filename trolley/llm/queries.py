@@ -13,6 +13,7 @@ from trolley.llm.decontam import contaminated
 from trolley.llm.extract import extract
 from trolley.llm.mixing import document_rates, labelled_languages
 from trolley.llm.oracles import ORACLES
+from trolley.llm.piecewise import edited_likeness
 from trolley.llm.rules import quality_rules
 from trolley.llm.simhash import near_duplicates
 from trolley.llm.tokens import token_output
@@ -67,6 +68,11 @@ def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_rates(docs, labelled_languages(docs, read_table(spark, sf_dir, "labels")), MIX_WEIGHTS)
 
 
+def op11_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES |= {f.__name__: f for f in (
     op1_crf_quality, op2_substring_dedup, op3_template_decontamination, op4_simhash_near_dedup, op5_warc_index,
-    op6_suffix_dedup, op7_token_output, op8_quality_rules, op9_main_text, op10_soft_mixing)}
+    op6_suffix_dedup, op7_token_output, op8_quality_rules, op9_main_text, op10_soft_mixing,
+    op11_piecewise_fingerprints)}
