@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trolley.llm import crf, substring, suffix, warc
+from trolley.llm.align import alignments
 from trolley.llm.common import read_table
 from trolley.llm.decontam import contaminated
 from trolley.llm.extract import extract
@@ -72,7 +73,11 @@ def op11_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(read_table(spark, sf_dir, "documents"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignments(read_table(spark, sf_dir, "documents"), keep_groups=False).drop("groups")
+
+
 QUERIES |= {f.__name__: f for f in (
     op1_crf_quality, op2_substring_dedup, op3_template_decontamination, op4_simhash_near_dedup, op5_warc_index,
     op6_suffix_dedup, op7_token_output, op8_quality_rules, op9_main_text, op10_soft_mixing,
-    op11_piecewise_fingerprints)}
+    op11_piecewise_fingerprints, op12_tokenizer_alignment)}
