@@ -87,4 +87,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND NOT (n_words >= {WORD_GUARD} AND w > {WORD_LIMIT[0]} + {WORD_LIMIT[1]} / sqrt(n_words)) AS kept,
        round(c, 6) AS char_js, round(w, 6) AS word_js FROM v"""
 
-ORACLES = {"op2_substring_dedup": OP2, "op5_warc_index": OP5, "op6_suffix_dedup": OP6, "op8_quality_rules": OP8}
+OP13 = r"""
+WITH t AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(x, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM t),
+n AS (SELECT lang, sum(len(ws)) AS n FROM p GROUP BY 1),
+g AS (SELECT lang, m, array_to_string(ws[s:s + m - 1], ' ') AS phrase
+      FROM p, range(1, 5) a(m), range(1, len(ws) + 1) b(s) WHERE s + m - 1 <= len(ws)),
+f AS (SELECT lang, m, phrase, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY 1, 2, 3 HAVING count(*) >= 30),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1),
+part AS (SELECT lang, m, phrase, a, k, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail
+         FROM c, range(1, 4) t(k) WHERE k < m),
+cut AS (SELECT part.lang, part.m, part.phrase, a, k, l.f AS l, r.f AS r, (2000000 * a) // (l.f + r.f) AS score
+        FROM part JOIN f l ON l.lang = part.lang AND l.phrase = head JOIN f r ON r.lang = part.lang AND r.phrase = tail),
+low AS (SELECT lang, m, phrase, a, l, r, score FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+sub AS (SELECT lang, array_to_string(ws[s:s + m2 - 1], ' ') AS phrase, max(a) AS most
+        FROM c, range(2, 4) t(m2), range(1, 4) u(s) WHERE m2 < m AND s + m2 - 1 <= m GROUP BY 1, 2),
+kept AS (SELECT low.* FROM low LEFT JOIN sub USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a),
+top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score FROM top JOIN n USING (lang) WHERE rank <= 2000"""
+
+ORACLES = {"op2_substring_dedup": OP2, "op5_warc_index": OP5, "op6_suffix_dedup": OP6, "op8_quality_rules": OP8, "op13_collocations": OP13}

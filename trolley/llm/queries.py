@@ -16,6 +16,7 @@ from trolley.llm.mixing import document_rates, labelled_languages
 from trolley.llm.oracles import ORACLES
 from trolley.llm.piecewise import edited_likeness
 from trolley.llm.rules import quality_rules
+from trolley.llm.setm import collocations
 from trolley.llm.simhash import near_duplicates
 from trolley.llm.tokens import token_output
 
@@ -77,7 +78,11 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignments(read_table(spark, sf_dir, "documents"), keep_groups=False).drop("groups")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES |= {f.__name__: f for f in (
     op1_crf_quality, op2_substring_dedup, op3_template_decontamination, op4_simhash_near_dedup, op5_warc_index,
     op6_suffix_dedup, op7_token_output, op8_quality_rules, op9_main_text, op10_soft_mixing,
-    op11_piecewise_fingerprints, op12_tokenizer_alignment)}
+    op11_piecewise_fingerprints, op12_tokenizer_alignment, op13_collocations)}
