@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.operators.mining import bit, cooccurrence, domain_pairs
+from trolley.operators.mining import cooccurrence
 
 
 def cooc_features(mc: DataFrame, index: DataFrame) -> DataFrame:
@@ -23,17 +23,20 @@ def cooc_features(mc: DataFrame, index: DataFrame) -> DataFrame:
 
 def freq_distance(mc: DataFrame, index: DataFrame) -> DataFrame:
     """Euclidean distance between items in standardised basket space without
-    building basket-sized vectors: d^2(a, b) = sum over baskets holding exactly
-    one of a, b of 1 / (p (1 - p)), p = basket size / number of items
-    (baskets with p in {0, 1} have zero variance and are skipped)."""
+    building basket-sized vectors: a basket of share p of all items weighs
+    w = 1 / (p (1 - p)) and d^2(a, b) = w_a + w_b - 2 w_ab, where w_a is the weight
+    of the baskets that hold a, w_ab of those that hold both: one weighted
+    co-occurrence pass (baskets with p in {0, 1} have zero variance and are skipped)."""
     k = index.agg(F.count(F.lit(1))).scalar()
     p = F.bit_count("mask") / k
     m = mc.withColumn("w", F.col("n") / (p * (1 - p))).filter((p > 0) & (p < 1))
-    pairs = domain_pairs(index).filter(F.col("ia") < F.col("ib"))
-    one_of = ((F.col("mask").bitwiseAND(bit("ia")) != 0) != (F.col("mask").bitwiseAND(bit("ib")) != 0))
-    d2 = (m.join(F.broadcast(pairs), one_of).groupBy("item_a", "item_b").agg(F.sum("w").alias("d2")))
-    return (pairs.select("item_a", "item_b").join(d2, ["item_a", "item_b"], "left")
-            .select("item_a", "item_b", F.round(F.sqrt(F.coalesce("d2", F.lit(0.0))), 6).alias("distance")))
+    gram = cooccurrence(m, index, weight="w")
+    own = gram.filter(F.col("item_a") == F.col("item_b"))
+    both = gram.filter(F.col("item_a") < F.col("item_b"))
+    d2 = (both.join(F.broadcast(own.select("item_a", F.col("baskets").alias("wa"))), "item_a")  # <= 63 rows
+          .join(F.broadcast(own.select("item_b", F.col("baskets").alias("wb"))), "item_b")
+          .withColumn("d2", F.greatest(F.col("wa") + F.col("wb") - 2 * F.col("baskets"), F.lit(0.0))))
+    return d2.select("item_a", "item_b", F.round(F.sqrt("d2"), 6).alias("distance"))
 
 
 def item_matrix(long_df: DataFrame, index: DataFrame):

@@ -6,9 +6,8 @@ zone mask = bit_or over the zone's items, and a rule is captured iff
 rule_mask & zone_mask = rule_mask for some zone.  Zones are disjoint, so a
 rule is captured by at most one zone per layout.
 
-Many layouts are scored in one job (random baselines, candidate moves of a
-local search), which is where Spark pays off: the layouts side is the large
-one, the rule side is small and broadcast after a size check.
+Many layouts are scored in one job (random baselines): rules meet the distinct
+zones through the containment index, an equi-join on each rule's rarest item.
 """
 
 from __future__ import annotations
@@ -17,10 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trolley import params
+from trolley.operators.containment import Index
 from trolley.operators.mining import bit, set_bits, shl, one
 
-BROADCAST_RULES = 500_000
-
 
 def strong_rule_table(rules: DataFrame, floor: float) -> DataFrame:
     """(rule_id, mask, size, support, lift) for rules with lift >= floor."""
@@ -38,19 +36,11 @@ def zone_masks(layouts: DataFrame, index: DataFrame) -> DataFrame:
 def captures(rules: DataFrame, layouts: DataFrame, index: DataFrame) -> DataFrame:
     """(layout_id, rule_id, zone_no) for every captured rule."""
     zm = zone_masks(layouts, index)
-    r = rules.select("rule_id", "mask")
-    if r.count() <= BROADCAST_RULES:
-        j = zm.join(F.broadcast(r), F.col("mask").bitwiseAND(F.col("zmask")) == F.col("mask"))
-        return j.select("layout_id", "rule_id", "zone_no")
-    # large rule sets: equi-join rule items with placements, captured when all
-    # items are placed and they share one zone
-    ri = r.select("rule_id", "mask", F.explode(set_bits("mask")).alias("idx"))
-    pl = layouts.join(F.broadcast(index), "item").select("layout_id", "idx", "zone_no")
-    g = (ri.join(pl, "idx").groupBy("layout_id", "rule_id", "mask")
-         .agg(F.count(F.lit(1)).alias("placed"), F.min("zone_no").alias("zone_no"),
-              F.max("zone_no").alias("zmax")))
-    return (g.filter((F.col("placed") == F.bit_count("mask")) & (F.col("zone_no") == F.col("zmax")))
-            .select("layout_id", "rule_id", "zone_no"))
+    # many layouts share zones, many rules share their items: each mask meets each once
+    zones = Index(zm.select("zmask").distinct(), set_bits("zmask"))
+    met = zones.contained(rules.select("mask").distinct(), "mask", set_bits("mask"),
+                          F.col("mask").bitwiseAND(F.col("zmask")) == F.col("mask"))
+    return met.join(zm, "zmask").join(rules.select("rule_id", "mask"), "mask").select("layout_id", "rule_id", "zone_no")
 
 
 def score_layouts(rules: DataFrame, layouts: DataFrame, index: DataFrame) -> DataFrame:
@@ -74,8 +64,8 @@ def score_detail(rules: DataFrame, layouts: DataFrame, index: DataFrame, zones:
     """Every (layout, rule): captured?, capturing zone, intention class."""
     cap = captures(rules, layouts, index)
     ids = layouts.select("layout_id").distinct()
-    # every layout x rule pair: the rule side is size-checked in captures()
-    allr = ids.join(F.broadcast(rules.select("rule_id", "support", "lift")), F.lit(True))
+    # the result is every layout x rule pair
+    allr = ids.crossJoin(rules.select("rule_id", "support", "lift"))
     z = zones.select("zone_no", "zone_assignment", "intention")
     return (allr.join(cap, ["layout_id", "rule_id"], "left")
             .join(F.broadcast(z), "zone_no", "left")

@@ -12,9 +12,8 @@ Representation
   min(#baskets, 2^items) and in practice far smaller than #baskets.
 
 Itemsets are bitmasks as well; a basket contains itemset c iff mask & c = c.
-Support counting is a join of candidates with ``mask_counts`` on that
-predicate; the candidate side is broadcast only after its row count is checked,
-beyond the limit an equi-join on single items is used instead.
+Support counting joins candidates with ``mask_counts`` through the containment
+index (``containment.py``): an equi-join on each candidate's rarest item.
 """
 
 from __future__ import annotations
@@ -23,9 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trolley import params
+from trolley.operators.containment import Index
 
 MAX_ITEMS = 63
-BROADCAST_CANDIDATES = 200_000
 
 
 def one() -> Column:
@@ -113,31 +112,23 @@ def one_hot(masks: DataFrame, index: DataFrame) -> DataFrame:
 
 def item_penetration(mc: DataFrame, index: DataFrame) -> DataFrame:
     total = mc.agg(F.sum("n")).scalar()
-    per = (mc.join(F.broadcast(index), F.col("mask").bitwiseAND(bit("idx")) != 0)
+    per = (mc.select("n", F.explode(set_bits("mask")).alias("idx")).join(F.broadcast(index), "idx")  # <= 63 rows
            .groupBy("item").agg(F.sum("n").alias("baskets")))
     return per.select("item", F.col("baskets").cast("bigint"),
                       F.round(F.col("baskets") / total, 6).alias("support"))
 
 
 # ----------------------------------------------------------- counting -----
-def _count_support(cands: DataFrame, mc: DataFrame, index: DataFrame,
-                   n_cands_bound: int | None = None) -> DataFrame:
-    """(cand) -> (cand, count) by containment in the grouped basket masks.
+def mask_index(mc: DataFrame, keep: bool = False) -> Index:
+    """The grouped basket masks, posted under their items."""
+    return Index(mc, set_bits("mask"), keep)
 
-    ``n_cands_bound`` is an upper bound on the candidate rows known by the
-    caller (saves a counting job); without it the candidates are counted.
-    """
-    n_cands = n_cands_bound if n_cands_bound is not None else cands.count()
-    if n_cands <= BROADCAST_CANDIDATES:
-        j = mc.join(F.broadcast(cands), F.col("mask").bitwiseAND(F.col("cand")) == F.col("cand"))
-        return j.groupBy("cand").agg(F.sum("n").alias("count"))
-    # beyond the broadcast limit: equi-join on items.  A mask contains the
-    # candidate iff it contains each of its items.
-    ci = cands.join(F.broadcast(index), F.col("cand").bitwiseAND(bit("idx")) != 0).select("cand", "idx")
-    mi = mc.join(F.broadcast(index), F.col("mask").bitwiseAND(bit("idx")) != 0).select("mask", "n", "idx")
-    hits = (ci.join(mi, "idx").groupBy("cand", "mask", "n").agg(F.count(F.lit(1)).alias("hit"))
-            .filter(F.col("hit") == F.bit_count("cand")))
-    return hits.groupBy("cand").agg(F.sum("n").alias("count"))
+
+def count_support(cands: DataFrame, held: Index, weight: str = "n") -> DataFrame:
+    """(cand) -> (cand, count) by containment in the grouped basket masks; a
+    candidate in no basket has no row."""
+    inside = F.col("mask").bitwiseAND(F.col("cand")) == F.col("cand")
+    return held.contained(cands, "cand", set_bits("cand"), inside).groupBy("cand").agg(F.sum(weight).alias("count"))
 
 
 def _finish(freq: DataFrame, total: Column | int, names: Column) -> DataFrame:
@@ -215,17 +206,16 @@ def frequent_itemsets_levelwise(mc: DataFrame, index: DataFrame, min_support: fl
     # grouped masks: read by every level; short lineage (scan + two
     # aggregates), so a persisted copy is enough and is recomputable
     mc = mc.persist(StorageLevel.MEMORY_AND_DISK)
+    held = mask_index(mc, keep=True)
     total = mc.agg(F.sum("n")).first()[0]
-    n_items = index.count()
     frequent = F.col("count") / F.lit(total) >= F.lit(min_support)  # support as a ratio, like the study
     singles = index.select(bit("idx").alias("cand"))
     # each level is checkpointed: level k is referenced twice by level k+1
     # (extension and pruning), so an uncut lineage would double per level.
-    # One job per level computes and writes it; its row count bounds the
-    # next level's candidates (|level| x |items|) for the broadcast check.
-    level = cut_lineage(_count_support(singles, mc, index, n_items).filter(frequent)
+    # One job per level computes and writes it.
+    level = cut_lineage(count_support(singles, held).filter(frequent)
                         .withColumn("top", top_bit("cand")))
-    n_level = level.count()
+    n_level = level.limit(1).count()
     out = [level.select("cand", "count")]
     k = 1
     while n_level > 0 and (max_len is None or k < max_len):
@@ -239,9 +229,9 @@ def frequent_itemsets_levelwise(mc: DataFrame, index: DataFrame, min_support: fl
                 .select("cand", (F.col("cand") - shl(one(), F.col("drop"))).alias("sub")))
         missing = subs.join(level.select(F.col("cand").alias("sub")), "sub", "left_anti").select("cand")
         cands = ext.join(missing, "cand", "left_anti")
-        level = cut_lineage(_count_support(cands, mc, index, n_level * n_items).filter(frequent)
+        level = cut_lineage(count_support(cands, held).filter(frequent)
                             .withColumn("top", top_bit("cand")))
-        n_level = level.count()
+        n_level = level.limit(1).count()
         out.append(level.select("cand", "count"))
     freq = out[0]
     for o in out[1:]:
@@ -406,16 +396,17 @@ def domain_pairs(index: DataFrame) -> DataFrame:
     return a.join(F.broadcast(b), "ib")
 
 
-def cooccurrence(mc: DataFrame, index: DataFrame, diagonal: bool = True) -> DataFrame:
-    """Item x item basket counts from grouped masks (symmetric, long form)."""
+def cooccurrence(mc: DataFrame, index: DataFrame, diagonal: bool = True, weight: str = "n") -> DataFrame:
+    """Item x item basket counts from grouped masks (symmetric, long form); of
+    another ``weight`` of the masks its sums, as they are."""
     pairs = domain_pairs(index)
     if not diagonal:
         pairs = pairs.filter(F.col("ia") != F.col("ib"))
-    pm = pairs.select("item_a", "item_b", (bit("ia").bitwiseOR(bit("ib"))).alias("pm"))
-    hit = mc.join(F.broadcast(pm), F.col("mask").bitwiseAND(F.col("pm")) == F.col("pm"))
-    counts = hit.groupBy("item_a", "item_b").agg(F.sum("n").cast("bigint").alias("baskets"))
-    return (pairs.select("item_a", "item_b").join(counts, ["item_a", "item_b"], "left")
-            .select("item_a", "item_b", F.coalesce("baskets", F.lit(0)).cast("bigint").alias("baskets")))
+    kind = "bigint" if weight == "n" else "double"
+    pm = pairs.withColumn("cand", bit("ia").bitwiseOR(bit("ib")))
+    counts = count_support(pm.filter(F.col("ia") <= F.col("ib")).select("cand"), mask_index(mc), weight)
+    return (pm.join(counts, "cand", "left")
+            .select("item_a", "item_b", F.coalesce(F.col("count").cast(kind), F.lit(0).cast(kind)).alias("baskets")))
 
 
 # ---------------------------------------------------------------- J10 ----
@@ -444,8 +435,7 @@ def rule_stability(rules: DataFrame, mc2: DataFrame, strong: float = params.STRO
     total2 = mc2.agg(F.sum("n")).scalar()
     sets = (rules.select(F.col("ante").alias("cand")).unionByName(rules.select(F.col("cons").alias("cand")))
             .unionByName(rules.select(F.col("full").alias("cand"))).distinct())
-    hit = (mc2.join(F.broadcast(sets), F.col("mask").bitwiseAND(F.col("cand")) == F.col("cand"))
-           .groupBy("cand").agg(F.sum("n").alias("c2")))
+    hit = count_support(sets, mask_index(mc2)).withColumnRenamed("count", "c2")
     cnt = sets.join(hit, "cand", "left").select("cand", F.coalesce("c2", F.lit(0)).alias("c2"))
     r = (rules.join(cnt.select(F.col("cand").alias("ante"), F.col("c2").alias("a2")), "ante")
          .join(cnt.select(F.col("cand").alias("cons"), F.col("c2").alias("k2")), "cons")
