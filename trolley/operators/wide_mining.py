@@ -1,14 +1,18 @@
 """Itemsets, rules and recommendations over a domain of any width (products).
 
-Baskets are sorted arrays of the domain's items.  One plan serves every size:
-single items are counted first, infrequent ones leave the arrays, equal arrays
-are counted once, and from the pairs on candidates meet only the baskets that
-hold their two lowest items (an equi-join), the rest is a containment test on
-the joined row.
+Itemsets are mined vertically.  Baskets are numbered in blocks; a block keeps a
+bitmap of its baskets per item.  The bitmaps lie in prefix classes: the class of
+an itemset holds, restricted to the itemset's baskets, the bitmaps of the items
+that may follow.  A class intersects its bitmaps pair by pair in every block,
+the counts are added over the blocks, and what is frequent makes the classes of
+the next level.  No basket emits its pairs, and no item, class or basket is
+ever in one task as a whole.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,46 +34,115 @@ def top_domain(basket_items: DataFrame, n: int) -> DataFrame:
     return basket_items.join(F.broadcast(top), "item")  # n rows, a parameter
 
 
-def frequent_itemsets(basket_arrays: DataFrame, min_count: int) -> DataFrame:
+#: baskets to a block
+BLOCK = 1 << 13
+_CLASS_DDL = "prefix array<int>, block long, n_baskets int, items array<int>, bits binary"
+_CLASS = pa.schema([("prefix", pa.list_(pa.int32())), ("block", pa.int64()), ("n_baskets", pa.int32()),
+                    ("items", pa.list_(pa.int32())), ("bits", pa.binary())])
+_PAIR = pa.schema([("prefix", pa.list_(pa.int32())), ("x", pa.int32()), ("y", pa.int32()), ("n", pa.int64())])
+
+
+def _sheet(bits: bytes, n_items: int) -> np.ndarray:
+    """One row of packed baskets per item."""
+    return np.frombuffer(bits, np.uint8).reshape(n_items, -1)
+
+
+def _shared(sheet: np.ndarray, x: int) -> np.ndarray:
+    """How many baskets each later item shares with item x; only bytes in which x has any are looked at."""
+    at = np.flatnonzero(sheet[x])
+    return np.bitwise_count(sheet[x + 1:, at] & sheet[x, at]).sum(axis=1, dtype=np.int64)
+
+
+def _classes(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, _CLASS)], schema=_CLASS)
+
+
+def _blocks(held: DataFrame) -> DataFrame:
+    """The class of the empty itemset, a row per block of baskets: (block, place, item) rows as bitmaps."""
+    def run(rows: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return _CLASS.empty_table()
+        items, which = np.unique(rows.column("item").to_numpy(), return_inverse=True)
+        places, at = np.unique(rows.column("place").to_numpy(), return_inverse=True)
+        sheet = np.zeros((len(items), (len(places) + 7) // 8), np.uint8)
+        np.bitwise_or.at(sheet, (which, at >> 3), np.uint8(1) << (at & 7).astype(np.uint8))
+        return _classes([([], rows.column("block")[0].as_py(), len(places), items.tolist(), sheet.tobytes())])
+
+    return held.groupBy("block").applyInArrow(run, _CLASS_DDL)
+
+
+def _pair_counts(classes: DataFrame) -> DataFrame:
+    """(prefix, x, y, n): the baskets of all blocks that hold the prefix and both items."""
+    def run(batches):
+        for batch in batches:
+            for prefix, items, bits in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                sheet, own, held, some = _sheet(bits, len(items)), np.array(items, np.int32), [], 0
+                for x in range(len(items)):
+                    n = _shared(sheet, x)
+                    y = np.flatnonzero(n)
+                    held.append((np.full(len(y), own[x]), own[x + 1 + y], n[y]))
+                    some += len(y)
+                    if some and (some >= 1 << 16 or x == len(items) - 1):
+                        a, b, n = (np.concatenate(c) for c in zip(*held))
+                        yield pa.RecordBatch.from_arrays([pa.array([prefix] * len(a), _PAIR.field(0).type), pa.array(a), pa.array(b), pa.array(n)],
+                                                         schema=_PAIR)
+                        held, some = [], 0
+
+    rows = classes.where(F.size("items") > 1).select("prefix", "items", "bits")
+    return rows.mapInArrow(run, "prefix array<int>, x int, y int, n long").groupBy("prefix", "x", "y").agg(F.sum("n").alias("count"))
+
+
+def _subclasses(classes: DataFrame, level: DataFrame) -> DataFrame:
+    """The classes of the itemsets that ``level`` found frequent and that more than one
+    item may follow; bitmaps keep the baskets of the itemset only."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for prefix, block, n, items, bits, xs, follow in zip(*(batch.column(c).to_pylist() for c in range(7))):
+                sheet, place = _sheet(bits, len(items)), {v: i for i, v in enumerate(items)}
+                for x, ys in zip(xs, follow):
+                    if x not in place:
+                        continue
+                    left = [y for y in ys if y in place]
+                    at = np.unpackbits(sheet[place[x]], count=n, bitorder="little") == 1
+                    mine = np.unpackbits(sheet[[place[y] for y in left]], axis=1, count=n, bitorder="little")[:, at]
+                    some = mine.any(axis=1)
+                    if some.sum() > 1:
+                        out.append(([*prefix, x], block, mine.shape[1], [y for y, s in zip(left, some) if s], np.packbits(mine[some], axis=1, bitorder="little").tobytes()))
+                if len(out) > 256:
+                    yield from _classes(out).to_batches()
+                    out = []
+            if out:
+                yield from _classes(out).to_batches()
+
+    follow = level.groupBy("prefix", "x").agg(F.array_sort(F.collect_list("y")).alias("ys")).where(F.size("ys") > 1)
+    follow = follow.groupBy("prefix").agg(F.collect_list(F.struct("x", "ys")).alias("f"))
+    rows = classes.join(follow, "prefix").select("prefix", "block", "n_baskets", "items", "bits", F.col("f.x"), F.col("f.ys"))
+    return rows.mapInArrow(run, _CLASS_DDL)
+
+
+def frequent_itemsets(basket_arrays: DataFrame, min_count: int, block: int = BLOCK) -> DataFrame:
     """(items, size, count) of every itemset in at least ``min_count`` baskets."""
-    single = (basket_arrays.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("count"))
-              .where(F.col("count") >= min_count))
-    single = cut_lineage(single)
-    # infrequent items leave the arrays in a join on the item, then equal arrays are counted once
-    kept = (basket_arrays.select("basket_id", F.explode("items").alias("item")).join(single.select("item"), "item")
-            .groupBy("basket_id").agg(F.array_sort(F.collect_list("item")).alias("items"))
-            .where(F.size("items") >= 2).groupBy("items").agg(F.count(F.lit(1)).alias("n")))
-    kept = cut_lineage(kept)
-    levels = [single.select(F.array("item").alias("items"), "count")]
-    pair = (kept.select("n", "items", F.posexplode("items").alias("p", "a"))
-            .select("n", "a", F.explode(F.slice("items", F.col("p") + 2, F.size("items"))).alias("b")))
-    level = cut_lineage(pair.groupBy("a", "b").agg(F.sum("n").alias("count")).where(F.col("count") >= min_count)
-                        .select(F.array("a", "b").alias("items"), "count"))
-    # baskets by their frequent pairs: what all longer candidates are counted against
-    pairs = level.select(F.col("items")[0].alias("a"), F.col("items")[1].alias("b"))
-    held = (kept.where(F.size("items") >= 3).select("n", "items", F.posexplode("items").alias("p", "a"))
-            .select("n", "items", "a", F.explode(F.slice("items", F.col("p") + 2, F.size("items"))).alias("b"))
-            .join(pairs, ["a", "b"]))
-    size = 2
-    while level.limit(1).count():
-        levels.append(level)
-        size += 1
-        prefix = F.slice("items", 1, size - 2)
-        left = level.select(prefix.alias("prefix"), F.element_at("items", -1).alias("x"))
-        right = level.select(prefix.alias("prefix"), F.element_at("items", -1).alias("y"))
-        cand = (left.join(right, "prefix").where(F.col("x") < F.col("y"))
-                .select(F.concat("prefix", F.array("x", "y")).alias("cand")))
-        # every subset that lacks one item must be frequent
-        subset = (cand.select("cand", F.explode(F.sequence(F.lit(1), F.lit(size))).alias("drop"))
-                  .select("cand", F.filter("cand", lambda v, i: i != F.col("drop") - 1).alias("items")))
-        cand = (subset.join(level.select("items"), "items").groupBy("cand").agg(F.count(F.lit(1)).alias("k"))
-                .where(F.col("k") == size).select("cand", F.col("cand")[0].alias("a"), F.col("cand")[1].alias("b")))
-        met = held.join(cand, ["a", "b"]).where(F.size(F.array_intersect("items", "cand")) == size)
-        level = cut_lineage(met.groupBy(F.col("cand").alias("items")).agg(F.sum("n").alias("count")).where(F.col("count") >= min_count))
-    out = levels[0]
-    for more in levels[1:]:
-        out = out.unionByName(more)
-    return cut_lineage(out.select("items", F.size("items").cast("long").alias("size"), F.col("count").cast("long")))
+    held = basket_arrays.select("basket_id", F.explode("items").alias("item")).where(F.col("item").isNotNull())
+    single = cut_lineage(held.groupBy("item").agg(F.count(F.lit(1)).alias("count")).where(F.col("count") >= min_count))
+    # frequent items are numbered in their order; there are no more than all items over min_count
+    single = cut_lineage(single.withColumn("i", F.row_number().over(Window.orderBy("item")) - 1))
+    # baskets with two frequent items or more, numbered without gaps in each partition
+    kept = (held.join(single.select("item", "i"), "item").groupBy("basket_id").agg(F.collect_list("i").alias("is"))
+            .where(F.size("is") > 1).select("is"))
+    kept = cut_lineage(kept.withColumn("tid", F.monotonically_increasing_id()))
+    rows = kept.select(F.expr(f"tid div {block}").alias("block"), (F.col("tid") % block).cast("int").alias("place"), F.explode("is").alias("item"))
+    classes = cut_lineage(_blocks(rows))
+    found = single.select(F.array("i").alias("is"), "count")
+    while True:
+        level = cut_lineage(_pair_counts(classes).where(F.col("count") >= min_count))
+        found = found.unionByName(level.select(F.concat("prefix", F.array("x", "y")).alias("is"), "count"))
+        if not level.groupBy("prefix", "x").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+            break
+        classes = cut_lineage(_subclasses(classes, level))
+    named = (found.select("is", "count", F.posexplode("is").alias("p", "i")).join(single.select("i", "item"), "i")
+             .groupBy("is", "count").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "item"))), lambda v: v["item"]).alias("items")))
+    return cut_lineage(named.select("items", F.size("items").cast("long").alias("size"), F.col("count").cast("long")))
 
 
 def association_rules(itemsets: DataFrame, n_baskets: int, min_lift: float = 1.0) -> DataFrame:

@@ -15,6 +15,8 @@ from trolley.sources import adapter
 
 #: the test catalogue is uniform: even popular products share a basket once or twice
 DOMAIN, MIN_COUNT, TRAIN = 100, 1, 0.7
+#: baskets that make an itemset of the whole catalogue frequent
+CATALOGUE_COUNT = 2
 HASH = "CAST(('0x' || substr(md5(CAST(basket_id AS VARCHAR) || '|42'), 1, 8)) AS BIGINT) / 4294967296.0"
 
 
@@ -98,6 +100,22 @@ def q_itemsets(spark, d):
     return Products(spark, d).itemsets.select(W.text(F.col("items")).alias("itemset"), "size", "count")
 
 
+def _catalogue() -> str:
+    return "WITH RECURSIVE " + lines_cte("p_brand") + f""",
+d AS (SELECT DISTINCT basket_id, product_id AS item FROM lines),
+sub(basket_id, hi, items) AS (
+  SELECT basket_id, item, [item] FROM d
+  UNION ALL SELECT s.basket_id, d.item, list_append(s.items, d.item) FROM sub s JOIN d ON d.basket_id = s.basket_id AND d.item > s.hi)
+SELECT array_to_string(items, ', ') AS itemset, len(items) AS size, count(*) AS count FROM sub GROUP BY items HAVING count(*) >= {CATALOGUE_COUNT}"""
+
+
+@query("catalogue_itemsets", _catalogue())
+def catalogue_itemsets(spark, d):
+    """Itemsets over all products, no domain chosen beforehand."""
+    baskets = W.baskets(basket_items(adapter.lines(spark, d), "product_id"))
+    return W.frequent_itemsets(baskets, CATALOGUE_COUNT).select(W.text(F.col("items")).alias("itemset"), "size", "count")
+
+
 @query("product_itemsets_fpgrowth", _sql(False) + f"""
 SELECT {_TEXT.format('items')} AS itemset, CAST(len(items) AS BIGINT) AS size, cnt AS count FROM fi""")
 def q_fpgrowth(spark, d):
