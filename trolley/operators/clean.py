@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trolley.functions.labels import normalise_label
+from trolley.operators.quantile import median_of
+from trolley.session import cut_lineage
 
 
 def clean_rename(lineitem: DataFrame, mapping: dict, drop: tuple = ()) -> DataFrame:
@@ -123,9 +125,10 @@ def audit_baskets(lines: DataFrame) -> DataFrame:
                                          F.count_distinct("product_id").alias("products"),
                                          F.sum("quantity").alias("quantity"),
                                          F.count(F.lit(1)).alias("lines"))
+    per = cut_lineage(per)
     return per.agg(F.count(F.lit(1)).alias("baskets"),
                    F.round(F.avg("value"), 2).alias("mean_value"),
-                   F.round(F.median("value"), 2).alias("median_value"),
+                   F.round(F.lit(median_of(per, "value")).cast("double"), 2).alias("median_value"),
                    F.round(F.avg("products"), 6).alias("mean_products"),
                    F.count_if(F.col("products") == 1).alias("single_product_baskets"),
                    F.max("lines").alias("max_lines"),

@@ -7,34 +7,19 @@ result has been produced (and written, if the caller writes it).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOL = 0.011
+from trolley.operators.quantile import median_of
+from trolley.session import cut_lineage
 
+TOL = 0.011
 
-def median_of(df: DataFrame, value: str, width: float) -> DataFrame:
-    """Exact median of a column in one row, without gathering it in one task.
 
-    Values are counted in ranges of ``width``; only the range (or two) that holds
-    the middle is ordered row by row.
-    """
-    v = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    v = v.withColumn("b", F.floor(F.col("v") / F.lit(width)))
-    n = v.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    so_far = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
-    n = n.withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0))).withColumn("total", F.sum("n").over(Window.partitionBy()))
-    lo, hi = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1  # ranks of the middle
-    mid = n.filter((F.col("before") < hi) & (F.col("before") + F.col("n") >= lo)).select("b", "before", lo.alias("lo"), hi.alias("hi"))
-    rank = F.col("before") + F.row_number().over(Window.partitionBy("b").orderBy("v"))
-    return (v.join(F.broadcast(mid), "b").withColumn("rank", rank).filter(F.col("rank").between(F.col("lo"), F.col("hi")))
-            .agg(F.avg("v").alias("median")))
-
-
-def _stack(row: DataFrame, group: str, checks: list) -> DataFrame:
-    """checks: [(name, actual, expected, mode)] over one wide row; mode 'eq', 'tol' or 'text'."""
+def _stack(row: DataFrame, checks: list) -> DataFrame:
+    """checks: [(group, name, actual, expected, mode)] over one wide row; mode 'eq', 'tol' or 'text'."""
     cells = []
-    for name, actual, expected, mode in checks:
+    for group, name, actual, expected, mode in checks:
         if mode == "text":
             ok, number, text = actual == expected, [F.lit(None).cast("double")] * 2, [actual, expected]
         else:
@@ -57,7 +42,6 @@ class Figures:
     a handful of aggregates whatever the number of checks."""
 
     def __init__(self, star, raw):
-        from trolley.session import cut_lineage
         self.star, self.raw = star, raw
         self.fact, self.basket = cut_lineage(star.fact_sales), cut_lineage(star.dim_basket)
 
@@ -96,17 +80,18 @@ class Figures:
         dims = [s.dim_product.agg(F.count(F.lit(1)).alias("products")), s.dim_date.agg(F.count(F.lit(1)).alias("dates")),
                 s.dim_category.agg(F.count(F.lit(1)).alias("categories"), F.count_distinct("zone_assignment").alias("zones"),
                                    F.count_if(F.col("zone_assignment").isNull() | (F.col("zone_assignment") == "")).alias("no_zone")),
-                median_of(b, "basket_value", 500.0).select(F.round("median", 2).alias("median")),
                 _top(cat, "category_name", F.col("baskets"), "top_category"), _top(zone, "zone_assignment", F.col("a"), "top_zone"),
                 _top(day, "day", F.col("a"), "top_day"), _top(month, "month", F.col("a"), "top_month")]
-        return _beside(wide, dims)
+        return _beside(wide, dims).withColumn("median", F.round(F.lit(median_of(b, "basket_value")).cast("double"), 2))
 
     def of_source(self, edges) -> DataFrame:
         """The same figures recomputed from the raw tables (the expectation row)."""
         li, o, part = self.raw["lineitem"], self.raw["orders"], self.raw["part"]
         lo, hi = edges
-        per = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(18,6)")).alias("s"))
+        per = cut_lineage(li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(18,6)")).alias("s")))
+        # read by six figures
         j = per.join(o.select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day")), F.col("l_orderkey") == F.col("o_orderkey"))
+        j = cut_lineage(j.select("l_orderkey", "n", "s", "day", "o_totalprice"))
         v = F.col("s").cast("double")
         wide = j.agg(
             F.sum("n").alias("src_rows"), F.count(F.lit(1)).alias("src_baskets"), F.sum("s").alias("src_revenue"),
@@ -123,11 +108,10 @@ class Figures:
         month = j.groupBy(F.date_format("day", "yyyy-MM").alias("m")).agg(F.sum("s").alias("a"))
         dims = [part.agg(F.count(F.lit(1)).alias("src_products"), F.count_distinct("p_partkey").alias("src_product_keys"),
                          F.count_distinct("p_brand").alias("src_categories")),
-                li.agg(F.count(F.lit(1)).alias("src_lines"), F.count_distinct("l_orderkey").alias("src_keys")),
-                median_of(per, "s", 500.0).select(F.round("median", 2).alias("src_median")),
+                per.agg(F.sum("n").alias("src_lines"), F.count(F.lit(1)).alias("src_keys")),
                 _top(cat, "p_brand", F.col("baskets"), "src_top_category"), _top(zone, "zone_assignment", F.col("a"), "src_top_zone"),
                 _top(day, "d", F.col("a"), "src_top_day"), _top(month, "m", F.col("a"), "src_top_month")]
-        return _beside(wide, dims)
+        return _beside(wide, dims).withColumn("src_median", F.round(F.lit(median_of(per, "s")).cast("double"), 2))
 
     def checks(self, edges, groups=("completeness", "integrity", "consistency", "accuracy")) -> DataFrame:
         row = _beside(self.of_star(), [self.of_source(edges)])
@@ -157,11 +141,7 @@ class Figures:
                 ("top category by baskets", c("top_category"), c("src_top_category"), "text"),
                 ("highest revenue day", c("top_day"), c("src_top_day"), "text"), ("peak month", c("top_month"), c("src_top_month"), "text"),
                 ("top zone by revenue", c("top_zone"), c("src_top_zone"), "text")]}
-        out = None
-        for g in groups:
-            part = _stack(row, g.upper(), sets[g])
-            out = part if out is None else out.unionByName(part)
-        return out
+        return _stack(row, [(g.upper(), *check) for g in groups for check in sets[g]])
 
 
 def _beside(row: DataFrame, others: list) -> DataFrame:

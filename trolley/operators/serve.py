@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trolley import params
-from trolley.operators.quality import median_of
 from trolley.functions.labels import iso_weekday, season_of_month, year_month, clip
+from trolley.operators.quality import _beside
+from trolley.operators.quantile import median_of
+from trolley.session import cut_lineage
 
 
 
@@ -38,26 +40,20 @@ def _ratio(num, den, scale=2):
 # ---------------------------------------------------------------- F1 -----
 def kpi_summary(spark: SparkSession, dim_basket: DataFrame, dim_category: DataFrame,
                 dim_product: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """One row of headline figures.  Each figure is an uncorrelated scalar
-    subquery (Catalyst runs each aggregate once and inlines the value)."""
-    b = dim_basket
-    day_span = dim_date.agg((F.datediff(F.max("full_date"), F.min("full_date")) + 1)
-                            .cast("bigint"))
-    return spark.range(1).select(
-        b.agg(F.count(F.lit(1))).scalar().alias("total_transactions"),
-        b.agg(money(F.sum("basket_value"))).scalar().alias("total_revenue"),
-        b.agg(F.round(F.avg(F.col("basket_value").cast("double")), 2)).scalar()
-         .alias("avg_basket_value"),
-        median_of(b, "basket_value", 500.0).agg(F.round(F.first("median"), 2)).scalar()
-         .alias("median_basket_value"),
-        dim_category.agg(F.count(F.lit(1))).scalar().alias("n_categories"),
-        dim_product.agg(F.count(F.lit(1))).scalar().alias("n_products"),
-        dim_date.agg(F.count(F.lit(1))).scalar().alias("trading_days"),
-        day_span.scalar().alias("calendar_days"),
-    ).select("*",
-             F.round(F.col("total_revenue") / F.col("trading_days"), 2).alias("revenue_per_trading_day"),
-             F.round(F.col("total_transactions") / F.col("trading_days"), 4).alias("trips_per_trading_day"),
-             F.round(F.col("total_revenue") / F.col("calendar_days"), 2).alias("revenue_per_calendar_day"))
+    """One row of headline figures: an aggregate per table, side by side."""
+    b = cut_lineage(dim_basket.select("basket_value"))
+    row = _beside(
+        b.agg(F.count(F.lit(1)).alias("total_transactions"), money(F.sum("basket_value")).alias("total_revenue"),
+              F.round(F.avg(F.col("basket_value").cast("double")), 2).alias("avg_basket_value")),
+        [dim_category.agg(F.count(F.lit(1)).alias("n_categories")), dim_product.agg(F.count(F.lit(1)).alias("n_products")),
+         dim_date.agg(F.count(F.lit(1)).alias("trading_days"),
+                      (F.datediff(F.max("full_date"), F.min("full_date")) + 1).cast("bigint").alias("calendar_days"))])
+    median = F.round(F.lit(median_of(b, "basket_value")).cast("double"), 2)
+    return row.select("total_transactions", "total_revenue", "avg_basket_value", median.alias("median_basket_value"),
+                      "n_categories", "n_products", "trading_days", "calendar_days",
+                      F.round(F.col("total_revenue") / F.col("trading_days"), 2).alias("revenue_per_trading_day"),
+                      F.round(F.col("total_transactions") / F.col("trading_days"), 4).alias("trips_per_trading_day"),
+                      F.round(F.col("total_revenue") / F.col("calendar_days"), 2).alias("revenue_per_calendar_day"))
 
 
 # ---------------------------------------------------------------- F2 -----

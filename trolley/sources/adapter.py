@@ -11,9 +11,10 @@ Money is ``decimal(18,6)`` so sums are exact and order independent.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trolley.operators.scan import numbered
 from trolley.sources.tables import read_table
 
 MONEY = "decimal(18,6)"
@@ -46,8 +47,7 @@ def lines(spark: SparkSession, sf_dir: str, category: str = "p_brand",
                     F.col("l_extendedprice").cast(MONEY).alias("amount"),
                     F.col("l_tax").alias("tax")))
     if with_line_no:
-        w = Window.partitionBy("basket_id").orderBy("src_line", "product_id", "store_id")
-        df = df.withColumn("line_no", F.row_number().over(w))
+        df = numbered(df, ["basket_id"], ["src_line", "product_id", "store_id"], "line_no")
     return df
 
 
