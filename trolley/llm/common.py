@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -165,12 +166,20 @@ def words_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, np.searchsorted(off, start, "right") - 1
 
 
+#: longer spans are hashed by a library: polynomials modulo 2**64 collide by construction from some 1,000 symbols on
+POLYNOMIAL_BYTES = 256
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word's bytes."""
+    """64-bit hash of the bytes of each span (words, lines)."""
     if len(start) == 0:
         return np.zeros(0, np.uint64)
-    h = span_hash(prefix_hash(BYTE_CODE[data], BYTE_BASE), start, end)
-    return mix64(h ^ (end - start).astype(np.uint64))
+    h = mix64(span_hash(prefix_hash(BYTE_CODE[data], BYTE_BASE), start, end) ^ (end - start).astype(np.uint64))
+    long = np.flatnonzero(end - start > POLYNOMIAL_BYTES)
+    if len(long):
+        h[long] = [int.from_bytes(blake2b(data[x:y].tobytes(), digest_size=8).digest(), "little")
+                   for x, y in zip(start[long].tolist(), end[long].tolist())]
+    return h
 
 
 def window_hashes(codes: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -290,8 +290,6 @@ class Encoder:
 
     def __call__(self, data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
         """Ids of each row of the UTF-8 bytes."""
-        if self.n_units > _CACHE_SIZE:
-            self._forget()
         n = len(off) - 1
         if len(data) == 0:
             return [np.zeros(0, np.uint32)] * n
@@ -308,17 +306,25 @@ class Encoder:
         row = np.searchsorted(off, start, "right") - 1
         plain = ~whole[row]
         start, end, row = start[plain], end[plain], row[plain]
-        h = word_hashes(data, start, end) | np.uint64(1)
-        unit = self._find(h)
-        new = np.flatnonzero(unit < 0)
-        if len(new):
-            fresh, where = np.unique(h[new], return_index=True)
-            where = new[where]
-            self._learn(fresh, [raw[a:b].decode() for a, b in zip(start[where].tolist(), end[where].tolist())])
-            unit[new] = self._find(h[new])
-        size = self.size[unit]
-        stop = np.cumsum(size)
-        ids = self.ids[np.repeat(self.first[unit] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+        hashes = word_hashes(data, start, end) | np.uint64(1)
+        sizes, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        # a text may have more units than the table has slots: it is looked up in runs
+        for at in range(0, len(hashes), _CACHE_SIZE):
+            if self.n_units > _CACHE_SIZE:
+                self._forget()
+            h = hashes[at:at + _CACHE_SIZE]
+            unit = self._find(h)
+            new = np.flatnonzero(unit < 0)
+            if len(new):
+                fresh, where = np.unique(h[new], return_index=True)
+                where = at + new[where]
+                self._learn(fresh, [raw[a:b].decode() for a, b in zip(start[where].tolist(), end[where].tolist())])
+                unit[new] = self._find(h[new])
+            size = self.size[unit]
+            stop = np.cumsum(size)
+            found.append(self.ids[np.repeat(self.first[unit] - (stop - size), size) + np.arange(stop[-1])])
+            sizes.append(size)
+        ids, stop = np.concatenate(found), np.cumsum(np.concatenate(sizes))
         cut = np.append(0, stop)[np.searchsorted(row, np.arange(n + 1))]
         return [np.array(self.tok.encode(raw[off[i]:off[i + 1]].decode(), add_special_tokens=False).ids, np.uint32) if whole[i]
                 else ids[cut[i]:cut[i + 1]] for i in range(n)]
