@@ -54,14 +54,17 @@ ch AS (SELECT r, lang, ref, length(t) AS size, [
     length(regexp_replace(t, '[^\x20\x09-\x0D]', '', 'g')), length(regexp_replace(t, '[^.,;:!?''"()-]', '', 'g')),
     length(regexp_replace(t, '[^\x00-\x08\x0E-\x1F#$%&*+/<=>@\[\\\]^_`{{|}}~\x7F]', '', 'g')), length(regexp_replace(t, '[\x00-\x7F]', '', 'g'))] AS c FROM k),
 cl AS (SELECT r, ref, size, i, c[i] AS x FROM ch, range(1, 8) t(i)),
-cref0 AS (SELECT ref, i, sum(x) AS x FROM cl GROUP BY 1, 2 HAVING ref <> '*' UNION ALL SELECT '*', i, sum(x) FROM cl GROUP BY 2),
+once AS (SELECT min(r) AS r FROM k GROUP BY lang, t),
+cl1 AS (SELECT * FROM cl SEMI JOIN once USING (r)),
+cref0 AS (SELECT ref, i, sum(x) AS x FROM cl1 GROUP BY 1, 2 HAVING ref <> '*' UNION ALL SELECT '*', i, sum(x) FROM cl1 GROUP BY 2),
 cref AS (SELECT ref, i, x / greatest(sum(x) OVER (PARTITION BY ref), 1) AS q FROM cref0),
 cjs AS (SELECT r, any_value(size) AS size, sqrt(greatest(sum(
           (CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2), 0)) AS js
         FROM (SELECT cl.r, cl.size, cl.x / greatest(cl.size, 1) AS p, q FROM cl JOIN cref ON cref.ref = cl.ref AND cref.i = cl.i) GROUP BY 1),
 word AS (SELECT r, ref, n, p, ws[p] AS w FROM k, range(1, len(ws) + 1) t(p)),
 cnt AS (SELECT r, ref, w, count(*) AS x FROM word GROUP BY 1, 2, 3),
-tot AS (SELECT ref, w, sum(x) AS x FROM cnt GROUP BY 1, 2 HAVING ref <> '*' UNION ALL SELECT '*', w, sum(x) FROM cnt GROUP BY 2),
+cnt1 AS (SELECT * FROM cnt SEMI JOIN once USING (r)),
+tot AS (SELECT ref, w, sum(x) AS x FROM cnt1 GROUP BY 1, 2 HAVING ref <> '*' UNION ALL SELECT '*', w, sum(x) FROM cnt1 GROUP BY 2),
 sz AS (SELECT ref, sum(x) AS size FROM tot GROUP BY 1),
 common AS (SELECT tot.ref, w, x, size FROM tot JOIN sz USING (ref) WHERE x >= 0.002 * size),
 wref AS (SELECT ref, w, x / size AS q FROM common UNION ALL SELECT ref, NULL, (any_value(size) - sum(x)) / any_value(size) FROM common GROUP BY 1),

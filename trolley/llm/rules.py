@@ -9,17 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm.common import (
-    BYTE_BASE,
-    BYTE_CODE,
     append_struct,
     bytes_and_offsets,
     covered,
     cut_lineage,
     fresh_name,
     mix64,
-    prefix_hash,
     row_slices,
-    span_hash,
     text_column,
     window_hashes,
     word_hashes,
@@ -90,8 +86,7 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     worded = np.searchsorted(start, line_from) < np.searchsorted(start, line_to)
     line_from, line_to = line_from[worded], line_to[worded]
     line_row = np.searchsorted(off, line_from, "right") - 1
-    key = mix64(span_hash(prefix_hash(BYTE_CODE[data], BYTE_BASE), line_from, line_to) ^ (line_to - line_from).astype(np.uint64))
-    _, again = _repeats(line_row, key)
+    _, again = _repeats(line_row, word_hashes(data, line_from, line_to))
 
     n_words = np.bincount(row, minlength=n)
     n_repeat = np.bincount(row[in_repeat], minlength=n)
@@ -132,29 +127,36 @@ def _languages(part: pa.RecordBatch, known: set[str] | None = None) -> list[str]
     return names if known is None else [v if v in known else POOLED for v in names]
 
 
-def _local_counts(docs: DataFrame, known: list[str], wanted: dict[str, np.ndarray] | None) -> DataFrame:
-    """(lang, kind, code, n) of each task: kind 'c' character classes, 't' words in
-    all, 'w' counts of words: those of ``wanted``, or without it those that reach
-    half the common share of the task's words."""
+def _distinct_texts(docs: DataFrame) -> DataFrame:
+    """(lang, text): each text once in its language, so that copies weigh nothing."""
+    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
+    return rows.dropDuplicates(["lang", "h1", "h2"]).select("lang", "text")
+
+
+#: different words that a task adds up before it passes the sums on
+_HELD = 1 << 20
+
+
+def _local_counts(docs: DataFrame, known: list[str]) -> DataFrame:
+    """(lang, kind, code, n) of each task: kind 'c' character classes, 't' words in all, 'w' each word."""
     schema = pa.schema([("lang", pa.string()), ("kind", pa.string()), ("code", pa.int64()), ("n", pa.int64())])
     langs = [*known, POOLED]
 
-    def fold(sums, lang, code, n):
-        old_c, old_n = sums[lang]
-        u, inv = np.unique(np.concatenate([old_c, code]), return_inverse=True)
-        sums[lang] = (u, np.bincount(inv, np.concatenate([old_n, n])).astype(np.int64))
-
     def run(batches):
-        words = {v: (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for v in langs}
         total = dict.fromkeys(langs, 0)
         chars = {v: np.zeros(_CLASSES, np.int64) for v in langs}
-        pending = {v: [] for v in langs}
+        pending: dict[str, list[np.ndarray]] = {v: [] for v in langs}
+
+        def rows(v, kind, code, n):
+            return pa.RecordBatch.from_arrays([pa.array([v] * len(code)), pa.array([kind] * len(code)), pa.array(code, pa.int64()),
+                                               pa.array(n, pa.int64())], schema=schema)
 
         def flush(v):
-            if pending[v]:
-                u, n = np.unique(np.concatenate(pending[v]), return_counts=True)
-                fold(words, v, u, n)
-                pending[v] = []
+            u, n = np.unique(np.concatenate(pending[v]), return_counts=True)
+            pending[v] = []
+            return rows(v, "w", u.view(np.int64), n)
 
         for batch in batches:
             for part in row_slices(batch, "text"):
@@ -162,70 +164,52 @@ def _local_counts(docs: DataFrame, known: list[str], wanted: dict[str, np.ndarra
                 start, end, row = words_of(data, off)
                 code = word_hashes(data, start, end)
                 lang = np.array([langs.index(v) for v in _languages(part, set(known))])
-                if wanted is None:
-                    hist = _char_histogram(_CLASS[data], off)
+                hist = _char_histogram(_CLASS[data], off)
                 for k, v in enumerate(langs):
                     mine = lang == k
-                    if not mine.any() and v != POOLED:
+                    if v == POOLED:
+                        mine = np.ones(len(lang), bool)
+                    if not mine.any():
                         continue
-                    if wanted is None:
-                        chars[v] += hist[mine].sum(axis=0) if v != POOLED else hist.sum(axis=0)
-                    own = code if v == POOLED else code[mine[row]]
+                    chars[v] += hist[mine].sum(axis=0)
+                    own = code[mine[row]]
                     total[v] += len(own)
-                    if wanted is not None:
-                        own = own[np.isin(own, wanted.get(v, np.zeros(0, np.uint64)))]
                     pending[v].append(own)
-                    if sum(map(len, pending[v])) > 1 << 20:
-                        flush(v)
+                    if sum(map(len, pending[v])) > _HELD:
+                        yield flush(v)
         for v in langs:
-            flush(v)
-            code, n = words[v]
-            if wanted is None:
-                most = n >= COMMON_SHARE / 2 * total[v]
-                code, n = code[most], n[most]
-            rows = [("w", int(c), int(m)) for c, m in zip(code.view(np.int64), n)]
-            if wanted is None:
-                rows += [("t", 0, total[v])] + [("c", i, int(m)) for i, m in enumerate(chars[v])]
-            if rows:
-                kind, code, n = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array([v] * len(rows)), pa.array(kind), pa.array(code, pa.int64()),
-                                                  pa.array(n, pa.int64())], schema=schema)
-
-    return (docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "lang string, kind string, code long, n long"))
+            if pending[v]:
+                yield flush(v)
+            yield rows(v, "t", [0], [total[v]])
+            yield rows(v, "c", list(range(_CLASSES)), chars[v].tolist())
+
+    return docs.mapInArrow(run, "lang string, kind string, code long, n long")
 
 
 def references(docs: DataFrame) -> dict[str, dict]:
     """Per language: character-class counts, common words (by hash) and their counts
-    over all documents, and the number of words.
+    over all distinct texts, and the number of words.
 
-    Size bound: at most 1 / LANGUAGE_SHARE languages of 1 / COMMON_SHARE common
-    words.  A word that reaches the common share overall reaches half of it
-    summed over the tasks in which it reaches half, so the first pass finds
-    every candidate and at most twice as many as remain; the second counts
-    them exactly.
+    A text that occurs often counts once in its language: a group of copies,
+    however large, can't colour the references.  Size bound: at most
+    1 / LANGUAGE_SHARE languages of 1 / COMMON_SHARE common words.
     """
     by_lang = docs.groupBy(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
     by_lang = cut_lineage(by_lang, shrink=16)
     total = by_lang.agg(F.sum("n")).first()[0] or 0
     known = sorted(r.lang for r in by_lang.where((F.col("n") >= LANGUAGE_SHARE * total) & (F.col("lang") != POOLED)).collect())
-    first = cut_lineage(_local_counts(docs, known, None).groupBy("lang", "kind", "code").agg(F.sum("n").alias("n")), shrink=16)
-    sizes = first.where("kind = 't'").select("lang", F.col("n").alias("size"))
-    found = first.where("kind = 'w'").join(F.broadcast(sizes), "lang").where(F.col("n") >= COMMON_SHARE / 2 * F.col("size")).collect()
-    wanted: dict[str, np.ndarray] = {}
-    for v in {r.lang for r in found}:
-        wanted[v] = np.sort(np.array([r.code for r in found if r.lang == v], np.int64).view(np.uint64))
-    exact = _local_counts(docs, known, wanted).groupBy("lang", "code").agg(F.sum("n").alias("n")).collect()
+    counts = cut_lineage(_local_counts(_distinct_texts(docs), known).groupBy("lang", "kind", "code").agg(F.sum("n").alias("n")), shrink=8)
     out = {v: {"chars": np.zeros(_CLASSES, np.int64), "size": 0, "code": np.zeros(0, np.uint64), "n": np.zeros(0, np.int64)}
            for v in [*known, POOLED]}
-    for r in first.where("kind <> 'w'").collect():
+    for r in counts.where("kind <> 'w'").collect():
         if r.kind == "c":
             out[r.lang]["chars"][r.code] = r.n
         else:
             out[r.lang]["size"] = r.n
+    sizes = counts.where("kind = 't'").select("lang", F.col("n").alias("size"))  # a row per language
+    common = counts.where("kind = 'w'").join(F.broadcast(sizes), "lang").where(F.col("n") >= COMMON_SHARE * F.col("size")).collect()
     for v, ref in out.items():
-        mine = sorted((np.array([r.code], np.int64).view(np.uint64)[0], r.n) for r in exact
-                      if r.lang == v and r.n >= COMMON_SHARE * ref["size"])
+        mine = sorted((np.array([r.code], np.int64).view(np.uint64)[0], r.n) for r in common if r.lang == v)
         ref["code"] = np.array([c for c, _ in mine], np.uint64)
         ref["n"] = np.array([n for _, n in mine], np.int64)
     return out
