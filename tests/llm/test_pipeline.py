@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from trolley.llm import decontam, mixing
@@ -140,3 +141,16 @@ def test_stages_one_by_one(spark):
         before = out[name] if name != corpus_pipeline.STAGES[-1][0] else before
     assert sorted(ids(out["token-ID output"])) == sorted(ids(out["mixing to target weights"]))
     assert corpus_pipeline.run(spark, d).count() == out["token-ID output"].count()
+
+
+def test_templates_by_one_look_are_the_templates(spark):
+    """The codes that the windows use are those of the template rule, and null item ids are found."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    extra = spark.createDataFrame([("Three boys. Seven Of them. in 20 km. NASA two Paris 5 days\nAnna",), ("",), (None,)], "text string")
+    words = docs.unionByName(extra).select(decontam.template_tokens(F.col("text")).alias("w"))
+    narrow = decontam._narrow_hashes(F.col("w"))
+    assert words.where((narrow != decontam._template_hashes(F.col("w"), decontam._narrow))
+                       | (decontam._wide_hashes(F.col("w"), narrow) != decontam._template_hashes(F.col("w"), decontam._wide))).count() == 0
+    items = spark.createDataFrame([(None, ITEM), (4, ITEM)], "item_id int, text string")
+    found = decontam.contaminated(spark.createDataFrame([(1, f"x {ITEM} y")], "doc_id long, text string"), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found if r.item_id) == [(1, 4)] and {r.item_id for r in found} == {None, 4}

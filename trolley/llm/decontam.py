@@ -80,6 +80,23 @@ def _template_hashes(tokens: Column, kind) -> Column:
     return F.transform(tokens, lambda w: F.xxhash64(F.when(kind(w) != "", kind(w)).otherwise(_value(w))))
 
 
+def _narrow_hashes(tokens: Column) -> Column:
+    """``_template_hashes(tokens, _narrow)``, each token looked at once."""
+    return F.transform(tokens, lambda w: F.when(w >= _AFTER, F.xxhash64(w)).when(w >= _NAME, F.xxhash64(F.substring(w, 1, 1)))
+                       .otherwise(F.xxhash64(F.substring(w, 2, 1 << 30))))
+
+
+def _wide_hashes(tokens: Column, narrow: Column) -> Column:
+    """``_template_hashes(tokens, _wide)`` from the narrow ones, which most tokens share."""
+    def start(w, code):
+        bare = F.substring(w, 2, 1 << 30)
+        return (F.when(bare.isin(NUMBER_WORDS), F.xxhash64(F.lit(_NUMBER)))
+                .when((w != "") & ~bare.isin(FUNCTION_WORDS), F.xxhash64(F.lit(_NAME))).otherwise(code))
+
+    return F.zip_with(tokens, narrow, lambda w, code: F.when(w.isin(NUMBER_WORDS), F.xxhash64(F.lit(_NUMBER)))
+                      .when(w >= _NAME, code).otherwise(start(w, code)))
+
+
 def _windows(codes: Column) -> Column:
     n = F.size(codes)
     return F.when(n >= WIDTH, F.transform(F.sequence(F.lit(0), F.greatest(n - WIDTH, F.lit(0))),
@@ -103,10 +120,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     different names (of equally frequent ones each) is odd.  A window with an
     odd pair doesn't count; if a run has more odd than other name slots, only
     its windows with the item's own values do.  Null or empty texts, and texts or items of fewer than WIDTH words, match nothing;
-    repeated rows of documents give one row, repeated items one each by item_id;
+    repeated rows of documents give one row, repeated items one each by item_id (a null item_id is an id like others);
     an empty table on either side gives no rows; other columns are not looked at.
     """
-    items = cut_lineage(benchmark.select("item_id", template_tokens(F.col("text")).alias("words"))
+    items = cut_lineage(benchmark.select(F.struct("item_id").alias("item_id"), template_tokens(F.col("text")).alias("words"))
                         .where(F.size("words") >= WIDTH).distinct(), shrink=16)
     forms = []
     for kind in (_narrow, _wide, _untitled):
@@ -116,13 +133,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bench = cut_lineage(forms[0].unionByName(forms[1]).unionByName(forms[2]).distinct(), shrink=16)
 
     key = F.xxhash64("doc_id", "text")
-    codes = (docs.select("doc_id", key.alias("row_key"), template_tokens(F.col("text")).alias("words"))
-             .select("doc_id", "row_key", _template_hashes(F.col("words"), _narrow).alias("narrow"),
-                     _template_hashes(F.col("words"), _wide).alias("wide")))
-    # both templates' windows in turn, two for each place
-    windows = (codes.select("doc_id", "row_key", F.posexplode(F.flatten(F.zip_with(
-        _windows(F.col("narrow")), _windows(F.col("wide")), lambda a, b: F.array(a, b)))).alias("nth", "h"))
-        .withColumn("pos", F.shiftright("nth", 1)).drop("nth"))
+    codes = docs.select("doc_id", key.alias("row_key"), template_tokens(F.col("text")).alias("words"))
+    codes = codes.select("doc_id", "row_key", "words", _narrow_hashes(F.col("words")).alias("narrow"))
+    codes = codes.select("doc_id", "row_key", "narrow", _wide_hashes(F.col("words"), F.col("narrow")).alias("wide"))
+    codes = codes.select("doc_id", "row_key", _windows(F.col("narrow")).alias("narrow"), _windows(F.col("wide")).alias("wide"))
+    # the wide window only where it is another one
+    places = F.zip_with("narrow", "wide", lambda a, b: F.when(a == b, F.array(a)).otherwise(F.array(a, b)))
+    windows = (codes.select("doc_id", "row_key", F.posexplode(places).alias("pos", "hs"))
+               .select("doc_id", "row_key", "pos", F.explode("hs").alias("h")))
     if bench.count() <= BROADCAST_WINDOWS:
         found = windows.join(F.broadcast(bench), "h")
     else:  # a window may stand in a third of all documents: spread each over salts
@@ -175,11 +193,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     share = F.col("covered") / F.col("item_words")
     return (covered.join(sized, "item_id").withColumn("share", share)
             .where((F.col("share") >= MIN_SHARE) | (F.col("covered") >= MIN_RUN))
-            .select("doc_id", "item_id", "row_key", "covered", "item_words", "share", "n_slots", "reworded"))
+            .select("doc_id", "item_id.item_id", "row_key", "covered", "item_words", "share", "n_slots", "reworded"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with their columns unchanged."""
+    """The rows of ``docs`` that hold no benchmark item, with their columns unchanged.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together; a
+    null doc_id is an id like others.
+    """
     name = fresh_name(docs.columns, "row_key")
     found = cut_lineage(contaminated(docs.select("doc_id", "text"), benchmark).select(F.col("row_key").alias(name)).distinct(), shrink=8)
     return docs.withColumn(name, F.xxhash64("doc_id", "text")).join(found, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
