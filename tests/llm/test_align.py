@@ -110,15 +110,16 @@ def test_counts_span_units(spark, prose, plain, monkeypatch):
 
 
 def test_texts_in_segments_are_the_same(prose, plain, monkeypatch):
-    left, right = align._sides(tokenizer_file(A_FILE), tokenizer_file(B_FILE))
-    assert left.cuts and right.cuts
+    memory = align._memory(tokenizer_file(A_FILE), tokenizer_file(B_FILE))
+    assert memory.cuts
+    monkeypatch.setattr(align._Units, "LIMIT", 30)  # forgets now and then
     texts = [*ODD, prose(300, 1), prose(60, 2) + "  " + prose(30, 3) + " ▁x " + "a " * 50, ""]
     for limit in (1, 7, 40, 10**6):
         monkeypatch.setattr(align, "SEGMENT_CHARS", limit)
         monkeypatch.setattr(align, "SLICE_BYTES", 100)
         found = [align._Document(True) for _ in texts]
         for of, parts, begins in align._sliced(texts, True):
-            s = align._Aligned(left, right, parts, begins)
+            s = align._Aligned(memory, parts, begins)
             for k, i in enumerate(of):
                 found[i].add(s, k)
         want = {i: w for i, w in ((w[0], w) for w in expected(list(enumerate(texts)), plain))}

@@ -35,11 +35,13 @@ SEGMENT_CHARS = 1 << 16
 class _Side:
     """A vocabulary as bytes: of id i, blob[first[i]:first[i] + size[i]]."""
 
-    def __init__(self, pieces: list[bytes]):
+    def __init__(self, pieces: list[bytes], mark: bytes):
         self.size = np.array([len(p) for p in pieces], np.int64)
         self.first = np.cumsum(self.size) - self.size
         self.blob = np.frombuffer(b"".join(pieces), np.uint8)
-        self.comma = np.array([b"%d," % i for i in range(len(pieces))], object)
+        # a token within its group, and the group's last one
+        self.inner = np.array([b"%d," % i for i in range(len(pieces))], object)
+        self.outer = np.array([b"%d%s" % (i, mark) for i in range(len(pieces))], object)
 
     def spelled(self, ids: np.ndarray) -> np.ndarray:
         size = self.size[ids]
@@ -70,11 +72,10 @@ class ByteLevel(_Side):
                      and not before.get("add_prefix_space") and spec.get("normalizer") is None)
         letters, special = _byte_letters(), {t["id"]: t["content"].encode() for t in spec.get("added_tokens", [])}
         super().__init__([special.get(i) or bytes(letters[c] for c in self.tok.id_to_token(i) or "")
-                          for i in range(self.tok.get_vocab_size())])
+                          for i in range(self.tok.get_vocab_size())], b"|")
 
-    def encode(self, segments: list[str], begins: list[bool]) -> list[list[int]]:
-        texts = [f" {s}" if b else s for s, b in zip(segments, begins)]
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(self, units: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
 
 
 class Pieces(_Side):
@@ -86,15 +87,71 @@ class Pieces(_Side):
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.cuts = not any("▁" in n.lstrip("▁") for n in names)
         super().__init__([bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace("▁", " ").encode()
-                          for i, n in enumerate(names)])
-
-    def encode(self, segments: list[str], begins: list[bool]) -> list[list[int]]:
-        return self.model.encode([s if b else s[1:] for s, b in zip(segments, begins)], num_threads=1)
+                          for i, n in enumerate(names)], b";")
+
+    def encode(self, units: list[str]) -> list[list[int]]:
+        return self.model.encode([u[1:] for u in units], num_threads=1)
+
+
+def unit_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Where rows and, within them, single spaces between two other characters stand
+    (those of ASCII and U+00C0..U+00FF; beside others nothing is cut)."""
+    plain = (data >= 0x21) & (data <= 0x7E)
+    before = plain.copy()
+    before[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] < 0xC0)
+    start = np.zeros(len(data) + 1, bool)
+    start[1:-2] = before[:-2] & (data[1:-1] == 0x20) & (plain[2:] | (data[2:] == 0xC3))
+    ends = off[1:-1][np.diff(off)[:-1] > 0]
+    start[ends[ends > 0] - 1] = False  # a row's last byte has nothing after it
+    start[off[:-1][np.diff(off) > 0]] = True
+    return np.flatnonzero(start[:-1])
+
+
+class _Units:
+    """The ids of both sides of units of text (each begins with a space), remembered by their bytes."""
+
+    LIMIT = 300_000
+
+    def __init__(self, sides: tuple[ByteLevel, Pieces]):
+        self.sides = sides
+        self.cuts = sides[0].cuts and sides[1].cuts
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.flat, self.first, self.size = ([np.zeros(0, np.int64)] * 2 for _ in range(3))
+
+    def __call__(self, data: np.ndarray, off: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each side: the ids of all rows end to end, and how many each row has."""
+        if len(self.number) + len(self.flat[0]) // 8 > self.LIMIT:
+            self._forget()
+        raw = data.tobytes()
+        start = unit_starts(data, off) if self.cuts else off[:-1][np.diff(off) > 0]
+        keys = [raw[x:y] for x, y in zip(start.tolist(), [*start[1:].tolist(), len(raw)])]
+        fresh = [k for k in dict.fromkeys(keys) if k not in self.number]
+        if fresh:
+            texts = [k.decode() for k in fresh]
+            for k, side in enumerate(self.sides):
+                found = side.encode(texts)
+                size = np.array([len(f) for f in found], np.int64)
+                self.first[k] = np.append(self.first[k], len(self.flat[k]) + np.cumsum(size) - size)
+                self.size[k] = np.append(self.size[k], size)
+                self.flat[k] = np.append(self.flat[k], np.array([i for f in found for i in f], np.int64))
+            self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh))))
+        unit = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
+        row = np.searchsorted(off, start, "right") - 1
+        out = []
+        for flat, first, size in zip(self.flat, self.first, self.size):
+            n = size[unit]
+            stop = np.cumsum(n)
+            ids = flat[np.repeat(first[unit] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
+            out.append((ids, np.bincount(row, n, minlength=len(off) - 1).astype(np.int64)))
+        return out
 
 
 @lru_cache(maxsize=2)
-def _sides(a: str, b: str) -> tuple[ByteLevel, Pieces]:
-    return ByteLevel(a), Pieces(b)
+def _memory(a: str, b: str) -> _Units:
+    return _Units((ByteLevel(a), Pieces(b)))
 
 
 def segments(text: str, limit: int) -> list[str]:
@@ -109,7 +166,7 @@ def segments(text: str, limit: int) -> list[str]:
             if cut < 0 or cut + 1 >= len(text):
                 cut = len(text)
                 break
-            if not text[cut - 1].isspace() and not text[cut + 1].isspace() and text[cut + 1] != "▁":
+            if not text[cut - 1].isspace() and not text[cut + 1].isspace():
                 break
             cut += 1
         out.append(text[at:cut])
@@ -134,19 +191,15 @@ class _Aligned:
     """Per segment of a slice: validity, counts, the groups' text, and its distinct
     pairs (ascending) with how often each is linked."""
 
-    def __init__(self, a: ByteLevel, b: Pieces, texts: list[str], begins: list[bool]):
-        n = len(texts)
+    def __init__(self, memory: _Units, texts: list[str], begins: list[bool]):
+        n, (a, b) = len(texts), memory.sides
         raw = [(f" {t}" if f else t).encode() for t, f in zip(texts, begins)]
         want = np.frombuffer(b"".join(raw), np.uint8)
         length = np.array([len(r) for r in raw], np.int64)
         ids, doc, self.valid = [], [], np.ones(n, bool)
-        for side in (a, b):
-            found = side.encode(texts, begins)
-            size = np.array([len(f) for f in found], np.int64)
-            flat = np.fromiter((i for f in found for i in f), np.int64, int(size.sum()))
+        for side, (flat, size) in zip((a, b), memory(want, np.append(0, np.cumsum(length)))):
             of = np.repeat(np.arange(n), size)
-            total = np.bincount(of, side.size[flat], minlength=n).astype(np.int64)
-            same = total == length
+            same = np.bincount(of, side.size[flat], minlength=n).astype(np.int64) == length
             if same.all():
                 differ = np.flatnonzero(side.spelled(flat) != want)
                 same[np.searchsorted(np.cumsum(length), differ, "right")] = False
@@ -168,11 +221,9 @@ class _Aligned:
         group = [np.cumsum(x) - x for x in last]
         # tokens of a group: those of A, then those of B
         text = np.empty(len(ids[0]) + len(ids[1]), object)
-        for k, (side, mark) in enumerate(((a, b"|"), (b, b";"))):
+        for k, side in enumerate((a, b)):
             place = np.arange(len(ids[k])) + np.searchsorted(group[1 - k], group[k], "right" if k else "left")
-            words = side.comma[ids[k]]
-            words[last[k]] = [w[:-1] + mark for w in words[last[k]]]
-            text[place] = words
+            text[place] = np.where(last[k], side.outer[ids[k]], side.inner[ids[k]])
         cut = np.append(0, np.cumsum(self.n[0] + self.n[1])).tolist()
         self.groups = [b"".join(text[x:y].tolist())[:-1] for x, y in zip(cut, cut[1:])]
 
@@ -259,7 +310,7 @@ def _encoded(docs: DataFrame, a: str, b: str, keep_groups: bool) -> DataFrame:
     """A row per document with its counts and pairs, and a row per unit (``whole``)
     with its distinct pairs and in how many of its documents each is linked."""
     def run(batches):
-        left, right = _sides(a, b)
+        memory = _memory(a, b)
         part, nth, size, held = TaskContext.get().partitionId(), 0, 0, []
 
         def batch(rows):
@@ -278,8 +329,8 @@ def _encoded(docs: DataFrame, a: str, b: str, keep_groups: bool) -> DataFrame:
                     own += len(texts[to])
                     to += 1
                 found = [_Document(keep_groups) for _ in range(at, to)]
-                for of, parts, begins in _sliced(texts[at:to], left.cuts and right.cuts):
-                    s = _Aligned(left, right, parts, begins)
+                for of, parts, begins in _sliced(texts[at:to], memory.cuts):
+                    s = _Aligned(memory, parts, begins)
                     for k, i in enumerate(of):
                         found[i].add(s, k)
                 unit = (part << 32) | nth
@@ -343,7 +394,7 @@ def alignments(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bp
     id, which the vocabulary bounds.
     """
     a_file, b_file = tokenizer_file(a), tokenizer_file(b)
-    n_b = len(_sides(a_file, b_file)[1].size)
+    n_b = len(_memory(a_file, b_file).sides[1].size)
     made = _encoded(docs, a_file, b_file, keep_groups)
     sent = _sent(made)
     counts = sent.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("a", F.expr(f"pair div {n_b}"))
