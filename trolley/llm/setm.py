@@ -5,8 +5,10 @@ a frequent phrase of k words begins, and which one.  The next level merge-joins
 it with itself on the adjacent position of the same piece, counts the groups
 over the corpus, and semi-joins the occurrences with the groups that are
 frequent.  The relation lies in units, a row per language and about UNIT_BYTES
-of text: a unit joins in place and sends each of its phrases once, so a phrase
-has as many rows as there are units, however often it occurs.
+of text: a unit joins in place and sends each of its phrases once, packed by
+bucket; a bucket adds the units' counts, phrase by phrase (no hash stands for a
+phrase), and answers a bit for each.  However often a phrase occurs, it is as
+many records as there are units.
 """
 
 from __future__ import annotations
@@ -17,10 +19,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.llm.common import cut_lineage
+from trolley.llm.common import bytes_and_offsets, cut_lineage, mix64, word_hashes
 
 #: bytes of text in a unit; a text is cut between pieces where it would exceed that
 UNIT_BYTES = 1 << 24
+#: words of text to a bucket, in which phrases are counted
+BUCKET_WORDS = 1 << 20
 LONGEST, NO_LANG = 4, "und"
 
 #: fixed by the contract: ends of pieces, blanks between words
@@ -28,8 +32,8 @@ _ENDS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _FOLD = bytes(ord(".") if b in _ENDS else ord(" ") if b in _BLANKS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 _UNIT = pa.schema([("unit", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("seq", pa.binary()),
-                   ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
-_UNIT_DDL = "unit long, lang string, n_words long, seq binary, words array<string>, times array<long>"
+                   ("words", pa.list_(pa.string())), ("times", pa.binary())])
+_UNIT_DDL = "unit long, lang string, n_words long, seq binary, words array<string>, times binary"
 _LEVEL = pa.schema([("unit", pa.int64()), ("gap", pa.binary()), ("phrase", pa.binary()), ("words", pa.binary())])
 _LEVEL_DDL = "unit long, gap binary, phrase binary, words binary"
 
@@ -57,7 +61,7 @@ class _Buffer:
         seq = np.concatenate(self.parts)
         count = np.bincount(seq, minlength=len(self.numbers))[1:]
         columns = [[unit], [lang], [int(count.sum())], [seq.astype("<i4").tobytes()],
-                   [[w.decode() for w in list(self.numbers)[1:]]], [count.tolist()]]
+                   [[w.decode() for w in list(self.numbers)[1:]]], [count.astype("<i8").tobytes()]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _UNIT)], schema=_UNIT)
 
 
@@ -93,30 +97,118 @@ def _units(docs: DataFrame, unit_bytes: int) -> DataFrame:
     return cut_lineage(rows.mapInArrow(run, _UNIT_DDL))
 
 
-def _frequent(sent: DataFrame, key: list[str], least: int) -> DataFrame:
-    """The rows of ``sent`` (unit, i, key columns, n) whose key has n >= ``least`` in all, with that sum as f."""
-    whole = Window.partitionBy(*key)
-    return cut_lineage(sent.withColumn("f", F.sum("n").over(whole)).where(F.col("f") >= least), shrink=8)
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mix64(h) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _first_level(units: DataFrame, answers: DataFrame) -> DataFrame:
+def _dealt(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of records by bucket, and where each bucket begins and ends in it."""
+    order = np.argsort(bucket, kind="stable")
+    cut = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    return order, cut, np.append(cut[1:], len(order))
+
+
+def _planes(columns: list[np.ndarray]) -> bytes:
+    """The columns' bytes by significance: the shuffle's compression finds the equal ones."""
+    return b"".join(np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
+
+
+def _columns(planes: bytes, width: int) -> np.ndarray:
+    """One row per record."""
+    sheet = np.frombuffer(planes, np.uint8).reshape(width, 8, -1).transpose(0, 2, 1)
+    return np.ascontiguousarray(sheet).view("<i8")[:, :, 0].T
+
+
+# ------------------------------------------------------------------- first level
+_WORDS_DDL = "unit long, bucket long, lang string, words array<string>, times binary"
+_KNOWN = pa.schema([("unit", pa.int64()), ("bucket", pa.int64()), ("ranks", pa.binary()), ("lang", pa.string()),
+                    ("words", pa.list_(pa.string())), ("f", pa.list_(pa.int64()))])
+_KNOWN_DDL = "unit long, bucket long, ranks binary, lang string, words array<string>, f array<long>"
+#: an id is its bucket and the word's rank among the bucket's frequent words
+_RANK_BITS = 24
+
+
+def _order_of(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of each word of a unit, and the words in the order of their buckets."""
+    data, off = bytes_and_offsets(words)
+    bucket = _bucket(word_hashes(data, off[:-1], off[1:]), buckets)
+    return bucket, *_dealt(bucket)
+
+
+def _word_lists(units: DataFrame, buckets: int) -> DataFrame:
+    """A unit's distinct words and their counts, dealt into buckets by the word."""
+    def run(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                words = batch.column(2).slice(r, 1).flatten()
+                times = np.frombuffer(batch.column(3)[r].as_py(), "<i8")
+                bucket, order, start, end = _order_of(words, buckets)
+                for x in range(0, len(start), 4096):
+                    own = slice(x, x + 4096)
+                    at = [order[i:j] for i, j in zip(start[own], end[own])]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([batch.column(0)[r].as_py()] * len(at), pa.int64()), pa.array(bucket[order[start[own]]], pa.int64()),
+                        pa.array([batch.column(1)[r].as_py()] * len(at), pa.string()),
+                        pa.array([words.take(pa.array(i)).to_pylist() for i in at], pa.list_(pa.string())),
+                        pa.array([_planes([times[i]]) for i in at], pa.binary())],
+                        names=["unit", "bucket", "lang", "words", "times"])
+
+    return units.select("unit", "lang", "words", "times").mapInArrow(run, _WORDS_DDL)
+
+
+def _known_words(lists: DataFrame, least: int) -> DataFrame:
+    """For each list of a unit the ranks of its words in the bucket (0: not frequent);
+    and, once per bucket and language, the frequent words in the order of their ranks."""
+    def run(rows: pa.Table) -> pa.Table:
+        words, langs = rows.column("words").to_pylist(), rows.column("lang").to_pylist()
+        numbers: dict[tuple[str, str], int] = {}
+        which = [[numbers.setdefault((v, w), len(numbers)) for w in ws] for v, ws in zip(langs, words)]
+        times = [_columns(t, 1)[:, 0] for t in rows.column("times").to_pylist()]
+        total = np.zeros(len(numbers), np.int64)
+        for i, t in zip(which, times):
+            total[i] += t  # a list's words are distinct
+        rank = np.where(total >= least, np.cumsum(total >= least), 0)
+        bucket = rows.column("bucket")[0].as_py() if rows.num_rows else 0
+        out = [(u, bucket, rank[i].astype("<i4").tobytes(), None, None, None)
+               for u, i in zip(rows.column("unit").to_pylist(), which) if rank[i].any()]
+        kept = {}
+        for (v, w), r, f in zip(numbers, rank.tolist(), total.tolist()):
+            if r:
+                kept.setdefault(v, []).append((r, w, f))
+        # the rank goes with the word: (bucket, rank) is its id
+        out += [(r, bucket, None, v, [w], [f]) for v, found in kept.items() for r, w, f in found]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 6, _KNOWN)], schema=_KNOWN)
+
+    return cut_lineage(lists.groupBy("bucket").applyInArrow(run, _KNOWN_DDL))
+
+
+def _first_level(units: DataFrame, known: DataFrame, buckets: int) -> DataFrame:
     """Occurrences of frequent words: the step to the next (1 adjacent, 2 not), and which word."""
-    def run(unit: pa.Table, known: pa.Table) -> pa.Table:
-        i, ids = known.column("i").to_numpy(), known.column("id").to_numpy()
-        order = np.argsort(i)
+    def run(unit: pa.Table, found: pa.Table) -> pa.Table:
+        ranks = dict(zip(found.column("bucket").to_pylist(), found.column("ranks").to_pylist()))
         out = []
-        for number, seq, n in zip(unit.column("unit").to_pylist(), unit.column("seq").to_pylist(), unit.column("n_distinct").to_pylist()):
-            local = np.full(n + 1, -1, np.int64)
-            local[i[order] + 1] = np.arange(len(i))  # place i of the word list is number i + 1
-            word = local[np.frombuffer(seq, "<i4")]
+        for r in range(unit.num_rows):
+            words = unit.column("words").combine_chunks().slice(r, 1).flatten()
+            bucket, order, start, end = _order_of(words, buckets)
+            ids = np.full(len(words) + 1, -1, np.int64)  # of number i + 1: place i of the word list
+            for x, y in zip(start.tolist(), end.tolist()):
+                b = int(bucket[order[x]])
+                if b in ranks:
+                    rank = np.frombuffer(ranks[b], "<i4").astype(np.int64)
+                    ids[order[x:y] + 1] = np.where(rank > 0, (b << _RANK_BITS) | rank, -1)
+            local = np.where(ids >= 0, np.cumsum(ids >= 0) - 1, -1)
+            word = local[np.frombuffer(unit.column("seq")[r].as_py(), "<i4")]
             at = np.flatnonzero(word >= 0)
-            out.append(_level_row(number, at, word[at], ids[order]))
+            if len(at):
+                out.append(_level_row(unit.column("unit")[r].as_py(), at, word[at], ids[ids >= 0]))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, _LEVEL)], schema=_LEVEL)
 
-    rows = units.select("unit", "seq", F.size("words").alias("n_distinct"))
+    answers = known.where(F.col("ranks").isNotNull()).select("unit", "bucket", "ranks")
+    rows = units.select("unit", "seq", "words")
     return cut_lineage(rows.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(run, _LEVEL_DDL))
 
 
+# ------------------------------------------------------------------- further levels
 def _level_row(unit: int, at: np.ndarray, phrase: np.ndarray, words: np.ndarray) -> tuple:
     gap = np.minimum(np.diff(at, append=at[-1:] + 2), 2).astype(np.uint8)
     return unit, gap.tobytes(), phrase.astype("<i4").tobytes(), np.ascontiguousarray(words, "<i8").tobytes()
@@ -135,65 +227,119 @@ class _Joined:
         self.code, self.which, self.n = np.unique(code, return_inverse=True, return_counts=True)
         self.phrases = np.column_stack([self.words[self.code // many], self.words[self.code % many, -1:]])
 
+    def dealt(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        h = np.zeros(len(self.code), np.uint64)
+        for column in self.phrases.T:
+            h = mix64(h) + column.astype(np.uint64)
+        bucket = _bucket(h, buckets)
+        return bucket, *_dealt(bucket)
+
 
-def _sent(level: DataFrame, k: int) -> DataFrame:
-    """(unit, i, w1..., n): the distinct phrases of k + 1 words of each unit."""
-    names = [f"w{j}" for j in range(1, k + 2)]
-    schema = pa.schema([(c, pa.int64()) for c in ("unit", "i", *names, "n")])
+_COUNTED_DDL = "unit long, bucket long, flags binary, phrases binary"
+_COUNTED = pa.schema([("unit", pa.int64()), ("bucket", pa.int64()), ("flags", pa.binary()), ("phrases", pa.binary())])
 
+
+def _sent(level: DataFrame, k: int, buckets: int) -> DataFrame:
+    """(unit, bucket, planes): the words and counts of the distinct phrases of k + 1 words of each unit."""
     def run(batches):
         for batch in batches:
             for unit, gap, phrase, words in zip(*(batch.column(c).to_pylist() for c in range(4))):
                 j = _Joined(k, gap, phrase, words)
-                for x in range(0, len(j.code), 1 << 16):
-                    own = slice(x, x + (1 << 16))
-                    columns = [np.full(len(j.code[own]), unit), np.arange(len(j.code))[own], *j.phrases[own].T, j.n[own]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns], schema=schema)
+                bucket, order, start, end = j.dealt(buckets)
+                for x in range(0, len(start), 4096):
+                    own = slice(x, x + 4096)
+                    at = [order[a:b] for a, b in zip(start[own], end[own])]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([unit] * len(at), pa.int64()), pa.array(bucket[order[start[own]]], pa.int64()),
+                        pa.array([_planes([*j.phrases[i].T, j.n[i]]) for i in at], pa.binary())], names=["unit", "bucket", "planes"])
+
+    return level.select("unit", "gap", "phrase", "words").mapInArrow(run, "unit long, bucket long, planes binary")
+
+
+def _counted(sent: DataFrame, k: int, least: int) -> DataFrame:
+    """For each row of ``sent`` a bit per phrase: it occurs ``least`` times in all; and
+    once per bucket (unit -1) the planes of those phrases and their counts."""
+    def run(rows: pa.Table) -> pa.Table:
+        parts = [_columns(p, k + 2) for p in rows.column("planes").to_pylist()]
+        if not parts:
+            return _COUNTED.empty_table()
+        size = np.cumsum([len(p) for p in parts])
+        records = np.concatenate(parts)
+        order = np.lexsort(records[:, k::-1].T)
+        first = np.append(True, (np.diff(records[order, :k + 1], axis=0) != 0).any(axis=1))
+        total = np.add.reduceat(records[order, k + 1], np.flatnonzero(first))
+        often = np.zeros(len(records), bool)
+        often[order] = (total >= least)[np.cumsum(first) - 1]
+        units, bucket = rows.column("unit").to_pylist(), rows.column("bucket")[0].as_py()
+        flags = np.split(often, size[:-1])
+        out = [(u, bucket, np.packbits(f).tobytes(), None) for u, f in zip(units, flags) if f.any()]
+        if out:
+            kept = records[order][first][total >= least]
+            out.append((-1, bucket, None, _planes([*kept[:, :k + 1].T, total[total >= least]])))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, _COUNTED)], schema=_COUNTED)
+
+    return cut_lineage(sent.groupBy("bucket").applyInArrow(run, _COUNTED_DDL))
+
+
+def _phrases(counted: DataFrame, k: int) -> DataFrame:
+    """(key, f) of the frequent phrases of k + 1 words."""
+    def run(batches):
+        for batch in batches:
+            for planes in batch.column(0).to_pylist():
+                sheet = _columns(planes, k + 2)
+                key = pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(sheet[:, :k + 1]).ravel()), k + 1)
+                yield pa.RecordBatch.from_arrays([key.cast(pa.list_(pa.int64())), pa.array(np.ascontiguousarray(sheet[:, k + 1]))],
+                                                 names=["key", "f"])
 
-    return level.select("unit", "gap", "phrase", "words").mapInArrow(run, ", ".join(f"{f.name} long" for f in schema))
+    return counted.where(F.col("unit") < 0).select("phrases").mapInArrow(run, "key array<long>, f long")
 
 
-def _next_level(level: DataFrame, k: int, heard: DataFrame) -> DataFrame:
-    """The occurrences of the phrases of k + 1 words that ``heard`` says are frequent."""
+def _next_level(level: DataFrame, k: int, counted: DataFrame, buckets: int) -> DataFrame:
+    """The occurrences of the phrases of k + 1 words that are frequent."""
     def run(unit: pa.Table, known: pa.Table) -> pa.Table:
-        i = np.sort(known.column("i").to_numpy())
+        flags = dict(zip(known.column("bucket").to_pylist(), known.column("flags").to_pylist()))
         out = []
         for number, gap, phrase, words in zip(*(unit.column(c).to_pylist() for c in ("unit", "gap", "phrase", "words"))):
             j = _Joined(k, gap, phrase, words)
-            local = np.full(len(j.code), -1, np.int64)
-            local[i] = np.arange(len(i))
-            found = local[j.which]
+            bucket, order, start, end = j.dealt(buckets)
+            often = np.zeros(len(j.code), bool)
+            for x, y in zip(start.tolist(), end.tolist()):
+                own = flags.get(int(bucket[order[x]]))
+                if own is not None:
+                    often[order[x:y]] = np.unpackbits(np.frombuffer(own, np.uint8), count=y - x).astype(bool)
+            found = np.where(often, np.cumsum(often) - 1, -1)[j.which]
             at = j.at[j.left][found >= 0]
             if len(at):
-                out.append(_level_row(number, at, found[found >= 0], j.phrases[i]))
+                out.append(_level_row(number, at, found[found >= 0], j.phrases[often]))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, _LEVEL)], schema=_LEVEL)
 
-    rows = level.select("unit", "gap", "phrase", "words")
-    return cut_lineage(rows.groupBy("unit").cogroup(heard.select("unit", "i").groupBy("unit")).applyInArrow(run, _LEVEL_DDL))
+    rows, answers = level.select("unit", "gap", "phrase", "words"), counted.where(F.col("unit") >= 0).select("unit", "bucket", "flags")
+    return cut_lineage(rows.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(run, _LEVEL_DDL))
 
 
-def frequent_phrases(docs: DataFrame, least: int = 30, unit_bytes: int = UNIT_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, least: int = 30, unit_bytes: int = UNIT_BYTES,
+                     bucket_words: int = BUCKET_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Three tables: (lang, n) word occurrences; (id, lang, word) of the words that
     occur ``least`` times in their language; (key, f) of all phrases of up to
     LONGEST words that do, key being their words' ids.
 
     A phrase is as frequent as its rarest part at most, so the levels find all.
+    Phrases are counted in buckets, a bucket per ``bucket_words`` words of text,
+    so no bucket sees more than about that many records at any size.
     """
     units = _units(docs, unit_bytes)
-    sizes = units.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    sent = units.select("unit", "lang", F.posexplode(F.arrays_zip("words", "times")).alias("i", "w"))
-    sent = sent.select("unit", F.col("i").cast("long"), "lang", F.col("w.words").alias("word"), F.col("w.times").alias("n"))
-    heard = _frequent(sent, ["lang", "word"], least)
-    known = cut_lineage(heard.groupBy("lang", "word").agg(F.first("f").alias("f")), shrink=8)
-    words = cut_lineage(known.withColumn("id", F.monotonically_increasing_id()), shrink=8)
-    level = _first_level(units, heard.join(words.select("lang", "word", "id"), ["lang", "word"]).select("unit", "i", "id"))
+    sizes = cut_lineage(units.groupBy("lang").agg(F.sum("n_words").alias("n")), shrink=16)
+    buckets = max(64, (sizes.agg(F.sum("n")).first()[0] or 0) // bucket_words)
+    known = _known_words(_word_lists(units, buckets), least)
+    words = known.where(F.col("ranks").isNull()).select(
+        F.expr(f"shiftleft(bucket, {_RANK_BITS}) | unit").alias("id"), "lang", F.col("words")[0].alias("word"), F.col("f")[0].alias("f"))
+    level = _first_level(units, known, buckets)
     found = words.select(F.array("id").alias("key"), "f")
     for k in range(1, LONGEST):
-        names = [f"w{j}" for j in range(1, k + 2)]
-        heard = _frequent(_sent(level, k), names, least)
-        found = found.unionByName(heard.groupBy(*names).agg(F.first("f").alias("f")).select(F.array(*names).alias("key"), "f"))
+        counted = _counted(_sent(level, k, buckets), k, least)
+        found = found.unionByName(_phrases(counted, k))
         if k + 1 < LONGEST:
-            level = _next_level(level, k, heard)
+            level = _next_level(level, k, counted, buckets)
     return sizes, words, cut_lineage(found, shrink=8)
 
 
