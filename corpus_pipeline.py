@@ -47,7 +47,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("token-ID output", tokenised),
 ]
 
-#: SimHash classes and token ids are beyond SQL; the tests hold run() against brute force
+#: SimHash classes and token ids are beyond SQL; tests hold each stage against its operator, run() by its row count
 ORACLE_SQL = None
 
 
