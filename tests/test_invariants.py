@@ -1,5 +1,6 @@
 """Planted-truth fixtures and metamorphic invariants (no golden data needed)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from trolley.operators import classify as CF
@@ -91,6 +92,30 @@ def test_exact_layout_matches_brute_force(spark):
     assert abs(best - round(brute, 8)) < 1e-7
 
 
+@pytest.mark.parametrize("locked, forbidden", [({}, {}), ({"A": 2}, {"F": [1]}), ({"A": 1, "B": 3}, {"C": [1, 2], "D": [3]}), ({"A": 1, "B": 1, "C": 1}, {})])
+def test_exact_assignment_matches_brute_force(spark, locked, forbidden):
+    import itertools
+    spec = [("AB", 10), ("CD", 8), ("EF", 6), ("AC", 4), ("BDE", 5), ("A", 3), ("F", 2)]
+    idx, _, _, _, rules = _mine(spark, spec, 0.05)
+    strong = LY.strong_rule_table(rules, 1.0)
+    rl = [(set(r.rule_id.replace(" -> ", ", ").split(", ")), r.n_full) for r in strong.collect()]
+    items, best = "ABCDEF", None
+    for zones in itertools.product((1, 2, 3), repeat=6):
+        where = dict(zip(items, zones))
+        if any(zones.count(z) > 2 for z in (1, 2, 3)) or any(where[i] != z for i, z in locked.items()) or any(where[i] in zs for i, zs in forbidden.items()):
+            continue
+        groups = [{i for i in items if where[i] == z} for z in (1, 2, 3)]
+        n = sum(s for c, s in rl if any(c <= g for g in groups))
+        key = (-n, *[sum(1 << items.index(i) for i in g) for g in groups])
+        if best is None or key < best[0]:
+            best = key, where
+    got = LY.exact_assignment(spark, strong, idx, [2, 2, 2], locked, forbidden).collect()
+    assert {r.item: r.zone_no for r in got} == (best[1] if best else {})
+    if best:
+        assert len({r.support for r in got}) == 1
+        assert got[0].support == LY.exact_layout(spark, strong, idx, [2, 2, 2], locked=locked, forbidden=forbidden).first().best_support
+
+
 def test_segment_edges(spark):
     df = spark.createDataFrame([(499.99,), (500.0,), (2000.0,), (2000.01,)], "v double")
     got = [r[0] for r in df.select(segment("v", (500.0, 2000.0))).collect()]

@@ -43,3 +43,21 @@ def test_a_basket_with_the_whole_domain(spark):
 
 def test_no_baskets(spark):
     assert W.frequent_itemsets(W.baskets(spark.createDataFrame([], "basket_id long, item long")), 1).collect() == []
+
+
+@pytest.mark.parametrize("head", [2, 256])
+def test_top_pairs_against_brute_force(spark, head):
+    rng = random.Random(5)
+    baskets = [{int(rng.paretovariate(0.6)) % 60 for _ in range(rng.randint(0, 6))} for _ in range(200)]
+    # the best pair is of two rare items, so bounds from the head alone would miss it
+    baskets += [{900, 901} for _ in range(70)] + [{902 + i} for i in range(5)]
+    df = spark.createDataFrame([(i, v) for i, b in enumerate(baskets) for v in b] + [(7, None), (8, None)], "basket_id long, item long")
+    seen = Counter(p for b in baskets for p in combinations(sorted(b), 2))
+    for n in (1, 7, 20, 10_000):
+        got = [tuple(r) for r in W.top_pairs(df, n, head, block=16).collect()]
+        assert got == [(*p, c) for p, c in sorted(seen.items(), key=lambda v: (-v[1], v[0]))[:n]]
+
+
+def test_top_pairs_of_nothing(spark):
+    assert W.top_pairs(spark.createDataFrame([], "basket_id long, item long")).collect() == []
+    assert W.top_pairs(spark.createDataFrame([(1, 1), (2, 2)], "basket_id long, item long")).collect() == []

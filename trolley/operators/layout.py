@@ -152,49 +152,80 @@ def before_after(scores: DataFrame, before: str, after: str) -> DataFrame:
 
 
 # ---------------------------------------------------------- exact (L9) ----
+def _or_bits(array, among, cap):
+    """The masks of ``array`` with every subset of the bits ``among`` (a column) added, up to ``cap`` bits."""
+    return F.aggregate(set_bits(among), array, lambda acc, i: F.concat(
+        acc, F.transform(F.filter(acc, lambda m: F.bit_count(m) < cap), lambda m: m.bitwiseOR(shl(one(), i)))))
+
+
+def _mask(idxs) -> int:
+    return sum(1 << i for i in idxs)
+
+
+def _exact_states(spark: SparkSession, rules: DataFrame, index: DataFrame, capacities: list, locked: dict | None,
+                  forbidden: dict | None, max_items: int) -> tuple[DataFrame, dict]:
+    """(state, best) after the last zone: per set of placed items the best way there,
+    a struct of captured baskets, the zones' masks (negated) and captured support."""
+    from trolley.session import cut_lineage
+    names = {r["idx"]: r["item"] for r in index.collect()}  # at most 63 items
+    at = {v: k for k, v in names.items()}
+    locked, forbidden = locked or {}, forbidden or {}
+    bearing = rules.agg(F.coalesce(F.bit_or("mask"), F.lit(0).cast("bigint"))).first()[0]
+    placed = bearing | _mask({at[v] for v in (*locked, *forbidden)})
+    searched = {i: names[i] for i in sorted(names) if placed >> i & 1}
+    if len(searched) > max_items:
+        raise ValueError(f"{len(searched)} items in rules or constraints exceed the exact limit {max_items}")
+    lit = lambda m: F.lit(m).cast("bigint")
+    empty = spark.range(1)
+    blocks = empty.select(F.explode(_or_bits(F.array(lit(0)), lit(placed), max(capacities))).alias("block"))
+    sets = rules.groupBy("mask").agg(F.sum("n_full").alias("n"), F.sum("support").alias("s"))
+    met = Index(blocks, set_bits("block")).contained(sets, "mask", set_bits("mask"), F.col("mask").bitwiseAND(F.col("block")) == F.col("mask"))
+    value = met.groupBy("block").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    value = cut_lineage(blocks.join(value, "block", "left").select("block", F.coalesce("n", lit(0)).alias("n"), F.coalesce("s", F.lit(0.0)).alias("s")))
+    states = empty.select(lit(0).alias("state"), F.struct(lit(0).alias("n"), F.array().cast("array<bigint>").alias("path"), F.lit(0.0).alias("s")).alias("best"))
+    for zone, cap in enumerate(capacities, start=1):
+        must = _mask(at[v] for v, z in locked.items() if z == zone)
+        may = placed & ~_mask(at[v] for v in locked) & ~_mask(at[v] for v, zs in forbidden.items() if zone in zs)
+        rest = lit(may).bitwiseAND(F.bitwise_not("state"))
+        step = states.withColumn("block", F.explode(_or_bits(F.array(lit(must)), rest, cap))).where(F.bit_count("block") <= cap).join(value, "block")
+        path = F.concat("best.path", F.array(F.negative("block")))
+        step = step.select(F.col("state").bitwiseOR(F.col("block")).alias("state"),
+                           F.struct((F.col("best.n") + F.col("n")).alias("n"), path.alias("path"), (F.col("best.s") + F.col("s")).alias("s")).alias("best"))
+        states = cut_lineage(step.groupBy("state").agg(F.max("best").alias("best")))
+    return states, {"searched": searched, "placed": placed, "bearing": bearing}
+
+
 def exact_layout(spark: SparkSession, rules: DataFrame, index: DataFrame, capacities: list,
-                 max_items: int = 16) -> DataFrame:
+                 max_items: int = 16, locked: dict | None = None, forbidden: dict | None = None) -> DataFrame:
     """True maximum of captured support, dynamic programming over zones.
 
     Items that appear in no rule cannot change the score and are left out.
-    A zone takes a *block* (subset of the remaining items) of at most its
-    capacity; block value = support of rules contained in the block.
-    state = items used so far; DP step: state x block with state & block = 0.
-    Guarded to ``max_items`` rule-bearing items (3^16 transitions).
+    A zone takes a *block* of at most its capacity; a block's value is the
+    support of the rules inside it, found through the containment index.  A
+    state is the set of items placed so far; only the subsets of what it leaves
+    over are enumerated and joined with their values, 3^n over all states, so
+    ``max_items`` guards the searched items.  ``locked`` and ``forbidden`` as in
+    ``optimise_layout``.  Where the zones are too small for all items, the best
+    that fits is given.
     """
-    bearing = (rules.select(F.explode(set_bits("mask")).alias("idx")).distinct()
-               .join(index, "idx"))
-    items = [(r["idx"], r["item"]) for r in bearing.orderBy("idx").collect()]
-    if len(items) > max_items:
-        raise ValueError(f"{len(items)} rule-bearing items exceed the exact limit {max_items}")
-    full = 0
-    for i, _ in items:
-        full |= 1 << i
-    cap_max = max(capacities)
-    # all sub-masks of the rule-bearing set with popcount <= largest capacity
-    n = len(items)
-    sub = spark.range(1 << n).select(F.col("id").alias("code"))
-    pos = F.array(*[F.lit(i) for i, _ in items]) if items else F.array().cast("array<int>")
-    blk = F.aggregate(F.sequence(F.lit(0), F.lit(max(n - 1, 0))), F.lit(0).cast("bigint"),
-                      lambda acc, t: acc.bitwiseOR(F.when(
-                          F.call_function("shiftright", F.col("code"), t).bitwiseAND(one()) == 1,
-                          shl(one(), F.element_at(pos, t + 1))).otherwise(F.lit(0).cast("bigint"))))
-    blocks = (sub.select(blk.alias("block")).filter(F.bit_count("block") <= cap_max))
-    bval = (blocks.join(F.broadcast(rules.select("mask", "support")),
-                        F.col("block").bitwiseAND(F.col("mask")) == F.col("mask"), "left")
-            .groupBy("block").agg(F.coalesce(F.sum("support"), F.lit(0.0)).alias("value")))
-    from trolley.session import cut_lineage
-    bval = cut_lineage(bval)
-    states = spark.createDataFrame([(0, 0.0)], "state bigint, value double")
-    for z, cap in enumerate(capacities, start=1):
-        b = bval.filter(F.bit_count("block") <= cap)
-        step = (states.join(b.select("block", F.col("value").alias("bv")),
-                            F.col("state").bitwiseAND(F.col("block")) == 0)
-                .select((F.col("state").bitwiseOR(F.col("block"))).alias("state"),
-                        (F.col("value") + F.col("bv")).alias("value")))
-        states = cut_lineage(step.groupBy("state").agg(F.max("value").alias("value")))
-    return states.agg(F.round(F.max("value"), 8).alias("best_support"),
-                      F.lit(n).cast("bigint").alias("rule_bearing_items"))
+    states, known = _exact_states(spark, rules, index, capacities, locked, forbidden, max_items)
+    return states.agg(F.round(F.max("best.s"), 8).alias("best_support"),
+                      F.lit(known["bearing"].bit_count()).cast("bigint").alias("rule_bearing_items"))
+
+
+def exact_assignment(spark: SparkSession, rules: DataFrame, index: DataFrame, capacities: list,
+                     locked: dict | None = None, forbidden: dict | None = None, max_items: int = 16) -> DataFrame:
+    """(item, zone_no, support): one optimal layout of the items in rules or constraints.
+
+    Most captured baskets wins; among equals the smallest item set (as a mask)
+    of zone 1, then of zone 2, and so on.  No row if no layout holds all these
+    items under the constraints.  Other items fit wherever there is room.
+    """
+    states, known = _exact_states(spark, rules, index, capacities, locked, forbidden, max_items)
+    best = states.where(F.col("state") == known["placed"]).select("best.path", F.round("best.s", 8).alias("support"))
+    zones = best.select("support", F.posexplode("path").alias("z", "neg"))
+    items = zones.select("support", (F.col("z") + 1).cast("bigint").alias("zone_no"), F.explode(set_bits(F.negative("neg"))).alias("idx"))
+    return items.join(F.broadcast(index), "idx").select("item", "zone_no", "support")  # index: <= 63 rows
 
 
 # ------------------------------------------------------ local search (L8) --

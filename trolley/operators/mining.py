@@ -429,8 +429,8 @@ def rule_stability(rules: DataFrame, mc2: DataFrame, strong: float = params.STRO
     """Lift of each window-1 rule recomputed on window 2 without re-mining.
 
     The window-2 counts of antecedent, consequent and whole itemset are
-    containment counts over window-2 grouped masks.  Ratio is null when a side
-    has zero support in window 2.
+    containment counts over window-2 grouped masks.  The rule's support is given
+    in both windows.  Ratio is null when a side has zero support in window 2.
     """
     total2 = mc2.agg(F.sum("n")).scalar()
     sets = (rules.select(F.col("ante").alias("cand")).unionByName(rules.select(F.col("cons").alias("cand")))
@@ -442,7 +442,8 @@ def rule_stability(rules: DataFrame, mc2: DataFrame, strong: float = params.STRO
          .join(cnt.select(F.col("cand").alias("full"), F.col("c2").alias("f2")), "full"))
     lift2 = F.when((F.col("a2") > 0) & (F.col("k2") > 0),
                    (F.col("f2") / F.col("a2")) / (F.col("k2") / total2))
-    return r.select("antecedents", "consequents", F.col("lift").alias("lift_dev"), F.col("lift_raw").alias("lift_order"),
+    return r.select("antecedents", "consequents", F.round("support", 8).alias("support_dev"), F.round(F.col("f2") / total2, 8).alias("support_val"),
+                    F.col("lift").alias("lift_dev"), F.col("lift_raw").alias("lift_order"),
                     F.round(lift2, 8).alias("lift_val"),
                     F.round(lift2 / F.col("lift_raw"), 8).alias("ratio"),
                     (F.col("lift_raw") >= strong).alias("strong_dev"),

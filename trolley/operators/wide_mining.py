@@ -121,18 +121,23 @@ def _subclasses(classes: DataFrame, level: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _CLASS_DDL)
 
 
+def _root_classes(held: DataFrame, single: DataFrame, block: int) -> DataFrame:
+    """The class of the empty itemset over the items of ``single`` (item, i) in every block of baskets."""
+    # baskets with two frequent items or more, numbered without gaps in each partition
+    kept = (held.join(single.select("item", "i"), "item").groupBy("basket_id").agg(F.collect_list("i").alias("is"))
+            .where(F.size("is") > 1).select("is"))
+    kept = cut_lineage(kept.withColumn("tid", F.monotonically_increasing_id()))
+    rows = kept.select(F.expr(f"tid div {block}").alias("block"), (F.col("tid") % block).cast("int").alias("place"), F.explode("is").alias("item"))
+    return _blocks(rows)
+
+
 def frequent_itemsets(basket_arrays: DataFrame, min_count: int, block: int = BLOCK) -> DataFrame:
     """(items, size, count) of every itemset in at least ``min_count`` baskets."""
     held = basket_arrays.select("basket_id", F.explode("items").alias("item")).where(F.col("item").isNotNull())
     single = cut_lineage(held.groupBy("item").agg(F.count(F.lit(1)).alias("count")).where(F.col("count") >= min_count))
     # frequent items are numbered in their order; there are no more than all items over min_count
     single = cut_lineage(single.withColumn("i", F.row_number().over(Window.orderBy("item")) - 1))
-    # baskets with two frequent items or more, numbered without gaps in each partition
-    kept = (held.join(single.select("item", "i"), "item").groupBy("basket_id").agg(F.collect_list("i").alias("is"))
-            .where(F.size("is") > 1).select("is"))
-    kept = cut_lineage(kept.withColumn("tid", F.monotonically_increasing_id()))
-    rows = kept.select(F.expr(f"tid div {block}").alias("block"), (F.col("tid") % block).cast("int").alias("place"), F.explode("is").alias("item"))
-    classes = cut_lineage(_blocks(rows))
+    classes = cut_lineage(_root_classes(held, single, block))
     found = single.select(F.array("i").alias("is"), "count")
     while True:
         level = cut_lineage(_pair_counts(classes).where(F.col("count") >= min_count))
@@ -145,6 +150,40 @@ def frequent_itemsets(basket_arrays: DataFrame, min_count: int, block: int = BLO
     return cut_lineage(named.select("items", F.size("items").cast("long").alias("size"), F.col("count").cast("long")))
 
 
+def top_pairs(basket_items: DataFrame, n: int = 20, head: int = 256, block: int = BLOCK) -> DataFrame:
+    """(product_a, product_b, cooccurrences): the n pairs in most baskets, over all items.
+
+    ``basket_items`` has distinct (basket_id, item) rows.  A pair is in no more
+    baskets than the rarer of its items.  So the pairs of the ``head`` items in
+    most baskets are counted first; their n-th best count bounds the items that
+    can be in a better pair, and the head grows until it holds all of these.
+    Ties at the end go to the smaller items; null items are in no pair; where
+    fewer than n pairs share a basket, all of them come back.
+    """
+    held = basket_items.select("basket_id", "item").where(F.col("item").isNotNull())
+    counts = cut_lineage(held.groupBy("item").agg(F.count(F.lit(1)).alias("count")))
+    least, size, need = 1, head, counts.count()
+    while True:
+        able = counts.where(F.col("count") >= least)
+        if size < need:
+            able = able.orderBy(F.desc("count"), "item").limit(size)
+        single = cut_lineage(able.select("item", (F.row_number().over(Window.orderBy("item")) - 1).alias("i")))
+        pairs = cut_lineage(_pair_counts(_root_classes(held, single, block)).where(F.col("count") >= least))
+        best = pairs.select("count").orderBy(F.desc("count")).limit(n).agg(F.count(F.lit(1)).alias("pairs"), F.min("count").alias("worst")).first()
+        if size >= need:
+            break
+        if best["pairs"] == n:
+            least = max(least, best["worst"])
+        need = counts.where(F.col("count") >= least).count()
+        if size >= need:
+            break
+        size = min(4 * size, need)
+    name = single.select("i", "item")
+    return (pairs.join(name.toDF("x", "product_a"), "x").join(name.toDF("y", "product_b"), "y")
+            .select("product_a", "product_b", F.col("count").cast("long").alias("cooccurrences"))
+            .orderBy(F.desc("cooccurrences"), "product_a", "product_b").limit(n))
+
+
 def association_rules(itemsets: DataFrame, n_baskets: int, min_lift: float = 1.0) -> DataFrame:
     """Every split of every itemset into antecedent and consequent, with raw figures.
 

@@ -46,7 +46,7 @@ sup AS (SELECT s, sum(c) AS cnt FROM sub WHERE s > 0 GROUP BY s),
 fi AS (SELECT s, cnt FROM sup, tot WHERE cnt / n >= {min_support}),
 nm AS (SELECT s, string_agg(item, ', ' ORDER BY item) AS txt FROM fi JOIN idx ON (s >> idx) & 1 = 1 GROUP BY s),
 rules AS (
-  SELECT na.txt || ' -> ' || nc.txt AS rule_id, f.s AS mask, round(f.cnt / n, 8) AS support,
+  SELECT na.txt || ' -> ' || nc.txt AS rule_id, f.s AS mask, f.cnt AS n_full, round(f.cnt / n, 8) AS support,
          round((f.cnt / a.cnt) / (c.cnt / n), 8) AS lift, (f.cnt / a.cnt) / (c.cnt / n) AS lift_raw
   FROM fi f JOIN fi a ON (f.s & a.s) = a.s AND a.s <> f.s JOIN fi c ON c.s = f.s - a.s
   JOIN nm na ON na.s = a.s JOIN nm nc ON nc.s = f.s - a.s, tot WHERE bit_count(f.s) >= 2),
@@ -237,6 +237,34 @@ def q_exact(spark, d):
     return LY.exact_layout(spark, lt.rules, lt.index, list(EXACT_CAPS))
 
 
+ASSIGN_CAPS = (3, 2, 1)
+
+
+def _assignment_sql(caps=ASSIGN_CAPS) -> str:
+    z = len(caps)
+    masks = ", ".join(f"coalesce(bit_or(CAST(1 AS BIGINT) << idx) FILTER (WHERE zone = {k}), 0) AS m{k}" for k in range(z))
+    fits = " AND ".join(f"bit_count(m{k}) <= {c}" for k, c in enumerate(caps))
+    inside = " OR ".join(f"(s.mask & m{k}) = s.mask" for k in range(z))
+    return TYPE + f""",
+srch AS (SELECT idx, item, idx = min(idx) OVER () AS lock_it, idx = max(idx) OVER () AS ban_it FROM idx
+         QUALIFY lock_it OR ban_it OR EXISTS (SELECT 1 FROM strong s WHERE (s.mask >> idx.idx) & 1 = 1)),
+codes AS (SELECT range AS code FROM range(CAST(power({z}, (SELECT count(*) FROM idx)) AS BIGINT))),
+asg AS (SELECT code, i.idx, lock_it, ban_it, CAST((code // CAST(power({z}, i.idx) AS BIGINT)) % {z} AS BIGINT) AS zone FROM codes, srch i),
+lay AS (SELECT code, {masks} FROM asg GROUP BY code HAVING bool_and(NOT lock_it OR zone = 1) AND bool_and(NOT ban_it OR zone <> 0)),
+val AS (SELECT l.*, coalesce(sum(s.n_full), 0) AS n, coalesce(sum(s.support), 0.0) AS v FROM lay l LEFT JOIN strong s ON {inside}
+        WHERE {fits} GROUP BY ALL),
+best AS (SELECT * FROM val ORDER BY n DESC, {", ".join(f"m{k}" for k in range(z))}, code LIMIT 1)
+SELECT s.item, a.zone + 1 AS zone_no, round(b.v, 8) AS support FROM best b JOIN asg a USING (code) JOIN srch s USING (idx)"""
+
+
+@query("exact_assignment", _assignment_sql())
+def q_exact_assignment(spark, d):
+    """The optimal layout itself: the first type locked in zone 2, the last banned from zone 1."""
+    lt = Layouts(spark, d, "p_type")
+    names = [r["item"] for r in lt.index.orderBy("idx").collect()]
+    return LY.exact_assignment(spark, lt.rules, lt.index, list(ASSIGN_CAPS), {names[0]: 2}, {names[-1]: [1]})
+
+
 def _numbered(lt, sizes):
     """The reference layout: items by name into zones of the given sizes."""
     return LY.layout_in_order(lt.index, ["item"], sizes)

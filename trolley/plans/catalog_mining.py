@@ -287,13 +287,13 @@ fi AS (SELECT s, cnt FROM sup, tot WHERE cnt / n >= {MIN_SUPPORT}),
 nm AS (SELECT s, string_agg(item, ', ' ORDER BY item) AS txt FROM fi JOIN idx ON (s >> idx) & 1 = 1
        GROUP BY s),
 rules AS (
-  SELECT na.txt AS antecedents, nc.txt AS consequents, a.s AS ante, f.s - a.s AS cons, f.s AS full_,
+  SELECT na.txt AS antecedents, nc.txt AS consequents, a.s AS ante, f.s - a.s AS cons, f.s AS full_, f.cnt / n AS support,
          (f.cnt / a.cnt) / (c.cnt / n) AS lift_raw, round((f.cnt / a.cnt) / (c.cnt / n), 8) AS lift
   FROM fi f JOIN fi a ON (f.s & a.s) = a.s AND a.s <> f.s JOIN fi c ON c.s = f.s - a.s
   JOIN nm na ON na.s = a.s JOIN nm nc ON nc.s = f.s - a.s, tot
   WHERE bit_count(f.s) >= 2),
 st AS (
-  SELECT r.antecedents, r.consequents, r.lift AS lift_dev,
+  SELECT r.antecedents, r.consequents, round(r.support, 8) AS support_dev, round(sf.c2 / n2, 8) AS support_val, r.lift AS lift_dev,
          CASE WHEN sa.c2 > 0 AND sc.c2 > 0 THEN (sf.c2 / sa.c2) / (sc.c2 / n2) END AS l2, r.lift_raw
   FROM rules r JOIN sup2 sa ON sa.s = r.ante JOIN sup2 sc ON sc.s = r.cons JOIN sup2 sf ON sf.s = r.full_, tot2
   WHERE r.lift_raw >= 1.0)"""
@@ -324,7 +324,7 @@ def _stability(spark, d):
 
 
 @query("rule_stability", "WITH " + _STAB + f"""
-SELECT antecedents, consequents, lift_dev, round(l2, 8) AS lift_val, round(l2 / lift_raw, 8) AS ratio,
+SELECT antecedents, consequents, support_dev, support_val, lift_dev, round(l2, 8) AS lift_val, round(l2 / lift_raw, 8) AS ratio,
        lift_raw >= {FLOOR} AS strong_dev, l2 >= {FLOOR} AS strong_val FROM st""")
 def q_stability(spark, d):
     return _stability(spark, d).drop("lift_order")

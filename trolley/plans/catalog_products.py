@@ -17,6 +17,7 @@ from trolley.sources import adapter
 DOMAIN, MIN_COUNT, TRAIN = 100, 1, 0.7
 #: baskets that make an itemset of the whole catalogue frequent
 CATALOGUE_COUNT = 2
+TOP_PAIRS = 20
 HASH = "CAST(('0x' || substr(md5(CAST(basket_id AS VARCHAR) || '|42'), 1, 8)) AS BIGINT) / 4294967296.0"
 
 
@@ -116,6 +117,16 @@ def catalogue_itemsets(spark, d):
     return W.frequent_itemsets(baskets, CATALOGUE_COUNT).select(W.text(F.col("items")).alias("itemset"), "size", "count")
 
 
+@query("top_pairs_catalogue", "WITH " + lines_cte("p_brand") + f""",
+d AS (SELECT DISTINCT basket_id, product_id AS item FROM lines WHERE product_id IS NOT NULL)
+SELECT a.item AS product_a, b.item AS product_b, count(*) AS cooccurrences
+FROM d a JOIN d b ON a.basket_id = b.basket_id AND a.item < b.item
+GROUP BY 1, 2 ORDER BY cooccurrences DESC, product_a, product_b LIMIT {TOP_PAIRS}""")
+def top_pairs_catalogue(spark, d):
+    """The pairs of products in most baskets, over all products."""
+    return W.top_pairs(basket_items(adapter.lines(spark, d), "product_id"), TOP_PAIRS)
+
+
 @query("product_itemsets_fpgrowth", _sql(False) + f"""
 SELECT {_TEXT.format('items')} AS itemset, CAST(len(items) AS BIGINT) AS size, cnt AS count FROM fi""")
 def q_fpgrowth(spark, d):
