@@ -139,8 +139,9 @@ def _distinct_texts(docs: DataFrame) -> DataFrame:
 _HELD = 1 << 20
 
 
-def _local_counts(docs: DataFrame, known: list[str]) -> DataFrame:
-    """(lang, kind, code, n) of each task: kind 'c' character classes, 't' words in all, 'w' each word."""
+def _local_counts(docs: DataFrame, known: list[str], frequent: bool = False) -> DataFrame:
+    """(lang, kind, code, n) of each task: kind 'c' character classes, 't' words in all, 'w' each word,
+    or with ``frequent`` those that reach half the common share of the words added up together."""
     schema = pa.schema([("lang", pa.string()), ("kind", pa.string()), ("code", pa.int64()), ("n", pa.int64())])
     langs = [*known, POOLED]
 
@@ -156,6 +157,9 @@ def _local_counts(docs: DataFrame, known: list[str]) -> DataFrame:
         def flush(v):
             u, n = np.unique(np.concatenate(pending[v]), return_counts=True)
             pending[v] = []
+            if frequent:
+                most = n >= COMMON_SHARE / 2 * n.sum()
+                u, n = u[most], n[most]
             return rows(v, "w", u.view(np.int64), n)
 
         for batch in batches:
@@ -192,13 +196,22 @@ def references(docs: DataFrame) -> dict[str, dict]:
 
     A text that occurs often counts once in its language: a group of copies,
     however large, can't colour the references.  Size bound: at most
-    1 / LANGUAGE_SHARE languages of 1 / COMMON_SHARE common words.
+    1 / LANGUAGE_SHARE languages of 1 / COMMON_SHARE common words.  A word that
+    reaches the common share overall reaches half of it summed over the pieces
+    in which it reaches half; these candidates, at most twice as many, are
+    broadcast, and only their counts are shuffled.  Both looks at the texts
+    read one exchange.
     """
     by_lang = docs.groupBy(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
     by_lang = cut_lineage(by_lang, shrink=16)
     total = by_lang.agg(F.sum("n")).first()[0] or 0
     known = sorted(r.lang for r in by_lang.where((F.col("n") >= LANGUAGE_SHARE * total) & (F.col("lang") != POOLED)).collect())
-    counts = cut_lineage(_local_counts(_distinct_texts(docs), known).groupBy("lang", "kind", "code").agg(F.sum("n").alias("n")), shrink=8)
+    texts, key = _distinct_texts(docs), ["lang", "kind", "code"]
+    first = _local_counts(texts, known, frequent=True).groupBy(*key).agg(F.sum("n").alias("n"))
+    size = first.where("kind = 't'").select("lang", F.col("n").alias("size"))  # a row per language
+    wanted = first.join(F.broadcast(size), "lang").where((F.col("kind") != "w") | (F.col("n") >= COMMON_SHARE / 2 * F.col("size"))).select(*key)
+    exact = _local_counts(texts, known).join(F.broadcast(wanted), key, "left_semi")
+    counts = cut_lineage(exact.groupBy(*key).agg(F.sum("n").alias("n")), shrink=8)
     out = {v: {"chars": np.zeros(_CLASSES, np.int64), "size": 0, "code": np.zeros(0, np.uint64), "n": np.zeros(0, np.int64)}
            for v in [*known, POOLED]}
     for r in counts.where("kind <> 'w'").collect():
