@@ -153,6 +153,28 @@ def classifier_report(pred: DataFrame) -> DataFrame:
                     F.round(F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0), 6).alias("f1"))
 
 
+def recall_comparison(preds: dict) -> DataFrame:
+    """Recall per class of several models' predictions (name -> label, prediction) and
+    each one's gain over the first."""
+    first, *others = preds
+    out = None
+    for name, pred in preds.items():
+        r = pred.groupBy(F.col("label").alias("cls")).agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias(name))
+        out = r if out is None else out.join(r, "cls")  # a row per class
+    return out.select("cls", *[F.round(n, 6).alias(f"recall_{n}") for n in preds],
+                      *[(F.round(F.col(n) - F.col(first), 6) + F.lit(0.0)).alias(f"delta_{n}") for n in others])
+
+
+def ceiling_share(pred: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Accuracy beside the best that the features allow, and the share of it."""
+    # raw ratios: a share of rounded figures would be off in the last digits
+    a = pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("a"))
+    best = (patterns.groupBy("pattern", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("pattern")
+            .agg(F.max("n").alias("best"), F.sum("n").alias("tot")).agg((F.sum("best") / F.sum("tot")).alias("c")))
+    return a.join(F.broadcast(best), F.lit(True)).select(  # one row each
+        F.round("a", 6).alias("accuracy"), F.round("c", 6).alias("ceiling"), F.round(F.col("a") / F.col("c"), 6).alias("share_of_ceiling"))
+
+
 # ---------------------------------------------------------- pyspark.ml ----
 def _assemble(df: DataFrame, feats: list):
     from pyspark.ml.feature import StringIndexer, VectorAssembler

@@ -149,10 +149,8 @@ def fc_error_structure(fc: DataFrame, days: list) -> DataFrame:
     return a.join(b, ["series_id", "model"], "left")
 
 
-def fc_monthly_linear(lines: DataFrame, horizon: int = 3, test_fraction: float = TEST_FRACTION) -> DataFrame:
-    """Monthly revenue ~ month number (1..n), fitted on the first 80 % of
-    months (unshuffled); returns in-sample fit for all months and the
-    forecast for months n+1..n+horizon (numbering continues the series)."""
+def monthly_fit(lines: DataFrame, horizon: int = 3, test_fraction: float = TEST_FRACTION) -> DataFrame:
+    """month_no, year_month, actual, predicted (unrounded) and is_train, as ``fc_monthly_linear``."""
     m = (lines.groupBy(F.date_format("sale_date", "yyyy-MM").alias("year_month"))
          .agg(F.sum("amount").cast("double").alias("revenue")))
     w = Window.orderBy("year_month")  # one row per month: small
@@ -165,12 +163,28 @@ def fc_monthly_linear(lines: DataFrame, horizon: int = 3, test_fraction: float =
     fit = m.select("month_no", "year_month", "revenue")
     fut = (spark_range_months(m, horizon))
     allm = fit.unionByName(fut)
-    return allm.select("month_no", "year_month", F.round("revenue", 2).alias("actual"),
-                       F.round(coef.select("intercept").scalar() + coef.select("slope").scalar()
-                               * F.col("month_no"), 2).alias("predicted"),
+    return allm.select("month_no", "year_month", F.col("revenue").alias("actual"),
+                       (coef.select("intercept").scalar() + coef.select("slope").scalar() * F.col("month_no")).alias("predicted"),
                        (F.col("month_no") <= n_train).alias("is_train"))
 
 
+def fc_monthly_linear(lines: DataFrame, horizon: int = 3, test_fraction: float = TEST_FRACTION) -> DataFrame:
+    """Monthly revenue ~ month number (1..n), fitted on the first 80 % of
+    months (unshuffled); returns in-sample fit for all months and the
+    forecast for months n+1..n+horizon (numbering continues the series)."""
+    return monthly_fit(lines, horizon, test_fraction).select(
+        "month_no", "year_month", F.round("actual", 2).alias("actual"), F.round("predicted", 2).alias("predicted"), "is_train")
+
+
+def monthly_metrics(fit: DataFrame) -> DataFrame:
+    """MAE and RMSE of the monthly line over the months it was fitted on, those after, and all."""
+    err = F.col("actual") - F.col("predicted")
+    seen = (fit.filter(F.col("actual").isNotNull())
+            .withColumn("part", F.explode(F.array(F.lit("all"), F.when(F.col("is_train"), "train").otherwise("test")))))
+    return seen.groupBy("part").agg(F.count(F.lit(1)).alias("months"), F.round(F.avg(F.abs(err)), 2).alias("mae"),
+                                    F.round(F.sqrt(F.avg(err * err)), 2).alias("rmse"))
+
+
 def spark_range_months(m: DataFrame, horizon: int) -> DataFrame:
     last = m.agg(F.max("month_no").alias("last")).select(
         F.explode(F.sequence(F.col("last") + 1, F.col("last") + horizon)).alias("month_no"))

@@ -311,6 +311,17 @@ def itemset_agreement(a: DataFrame, b: DataFrame) -> DataFrame:
                  F.count_if(F.col("ca") != F.col("cb")).alias("count_differs"))
 
 
+def rule_agreement(a: DataFrame, b: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """Rules of two miners side by side: how many only one of them has, how many
+    differ in support or lift, and the largest difference of lifts."""
+    side = lambda r, s: r.select("ante", "cons", F.col("n_full").alias(f"n_{s}"), F.col("lift_raw").alias(f"l_{s}"))
+    j = side(a, "a").join(side(b, "b"), ["ante", "cons"], "full_outer")
+    off = F.abs(F.col("l_a") - F.col("l_b"))
+    return j.agg(F.count(F.lit(1)).alias("rules"), F.count_if(F.col("n_a").isNull()).alias("only_second"),
+                 F.count_if(F.col("n_b").isNull()).alias("only_first"), F.count_if(F.col("n_a") != F.col("n_b")).alias("support_differs"),
+                 F.count_if(off > tolerance).alias("lift_differs"), (F.round(F.max(off), 9) + 0.0).alias("max_lift_difference"))
+
+
 # ----------------------------------------------------------------- J5 ----
 def rule_significance(rules: DataFrame, n_baskets: int, alpha: float = 0.05) -> DataFrame:
     """Chi-square (Yates-corrected) on each rule's 2x2 table; flags at alpha
@@ -336,6 +347,12 @@ def rule_significance(rules: DataFrame, n_baskets: int, alpha: float = 0.05) ->
                     (F.col("_chi") > crit_b).alias("bonferroni_significant")))
 
 
+def significance_summary(tested: DataFrame) -> DataFrame:
+    """Rules tested, and those that pass the plain and the Bonferroni level."""
+    return tested.agg(F.count(F.lit(1)).alias("rules"), F.count_if("significant").alias("significant"),
+                      F.count_if("bonferroni_significant").alias("bonferroni_significant"))
+
+
 # ----------------------------------------------------------------- J6 ----
 def rule_revenue_impact(rules: DataFrame, n_baskets, avg_basket, n: int = 20) -> DataFrame:
     affected = F.col("n_full").cast("double")  # the count itself: a rounded support would be off by baskets

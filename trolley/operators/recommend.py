@@ -7,7 +7,7 @@ bit_or over its known items -- an aggregate, never a per-basket list join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.operators.mining import bit, mask_to_items, names_array, one, set_bits, shl, top_bit
@@ -55,8 +55,22 @@ def rec_masks(top: DataFrame, index: DataFrame) -> DataFrame:
             .agg(F.bit_or(bit("ridx")).alias("recmask")))
 
 
+def draw_rank(basket_id: Column, known: Column, target: Column, n_items: int, seed: str) -> Column:
+    """1-based place of the target in the basket's own seeded order of the items it does
+    not know yet: the first k of that order are a draw of k without replacement.  An
+    item's place follows a hash of basket, item and seed, so the draw is the same
+    wherever and however often the basket is evaluated."""
+    def at(item: Column) -> Column:
+        return F.substring(F.md5(F.concat_ws("|", basket_id.cast("string"), item.cast("string"), F.lit(seed))), 1, 16)
+
+    mine = at(target)
+    ahead = F.filter(F.sequence(F.lit(0), F.lit(n_items - 1)),
+                     lambda i: (known.bitwiseAND(shl(one(), i)) == 0) & (i != target) & ((at(i) < mine) | ((at(i) == mine) & (i < target))))
+    return F.size(ahead) + 1
+
+
 def evaluate(test_masks: DataFrame, recm: DataFrame, pop_rank: DataFrame, n_items: int,
-             top_n: int = 5) -> DataFrame:
+             top_n: int = 5, seed: str | None = None) -> DataFrame:
     """Per test basket with >= 2 items: hide the last item in sorted order,
     recommend from the known items, and score model and baselines.
 
@@ -64,7 +78,8 @@ def evaluate(test_masks: DataFrame, recm: DataFrame, pop_rank: DataFrame, n_item
       (known items excluded), budget = size of that union;
     * popularity (matched / top-n): rank of the target among non-known items
       = its popularity rank minus known items ranked above it; hit if <= budget;
-    * random (matched / top-n): expected hit = budget / pool size (closed form).
+    * random (matched / top-n): expected hit = budget / pool size (closed form); with
+      ``seed`` also whether a seeded draw of that many items holds the target.
     """
     # both tables have a row per domain item (<= 63): as literal arrays they make
     # the evaluation one pass over the baskets, without joins or shuffles
@@ -85,6 +100,10 @@ def evaluate(test_masks: DataFrame, recm: DataFrame, pop_rank: DataFrame, n_item
     budget = F.bit_count(recset)
     pool = F.lit(n_items) - F.bit_count("known")
     eff_rank = F.col("trank") - F.col("known_above")
+    drawn = []
+    if seed is not None:
+        e = e.withColumn("drawn", draw_rank(F.col("basket_id"), F.col("known"), F.col("tidx"), n_items, seed))
+        drawn = [(F.col("drawn") <= budget).alias("random_matched_hit"), (F.col("drawn") <= top_n).alias("random_top_hit")]
     return e.select(
         "basket_id", F.col("tidx").alias("target_idx"), budget.cast("bigint").alias("budget"),
         (budget > 0).alias("covered"),
@@ -92,7 +111,13 @@ def evaluate(test_masks: DataFrame, recm: DataFrame, pop_rank: DataFrame, n_item
         (eff_rank <= budget).alias("pop_matched_hit"),
         (eff_rank <= top_n).alias("pop_top_hit"),
         (F.least(budget, pool) / pool).alias("random_matched_p"),
-        (F.least(F.lit(top_n), pool) / pool).alias("random_top_p"))
+        (F.least(F.lit(top_n), pool) / pool).alias("random_top_p"), *drawn)
+
+
+def random_summary(ev: DataFrame) -> DataFrame:
+    """Hit rates of the seeded draws beside their closed forms."""
+    pct = lambda c: F.round(F.lit(100.0) * F.avg(F.col(c).cast("double")), 4).alias(c)
+    return ev.agg(F.count(F.lit(1)).alias("tested"), pct("random_matched_hit"), pct("random_matched_p"), pct("random_top_hit"), pct("random_top_p"))
 
 
 def summary(ev: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trolley.operators.clean import normalised_name
+from trolley.operators.textindex import pattern_hits, similar_names
+from trolley.session import cut_lineage
 
 RULE_SCHEMA = ("rule_no bigint, kind string, source string, pattern string, destination string, "
                "exclude string")
@@ -45,14 +47,14 @@ def name_matches(products: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def regex_matches(products: DataFrame, rules: DataFrame) -> DataFrame:
-    """Regex families (case-insensitive search, optional exclusion);
-    a broadcast nested-loop join of the catalogue with the rule list."""
+    """Regex families (case-insensitive search, optional exclusion); a rule's
+    regex runs only on names that hold one of the literals it requires."""
     r = rules.filter(F.col("kind") == "regex").select("rule_no", "source", "destination", "pattern", "exclude")
-    j = products.select("product_id", "product_name", "category").join(
-        F.broadcast(r), rlike(F.col("product_name"), F.concat(F.lit("(?i)"), F.col("pattern"))))
+    found = rlike(F.col("product_name"), F.concat(F.lit("(?i)"), F.col("pattern")))
     excl = F.col("exclude").isNotNull() & rlike(F.col("product_name"), F.concat(F.lit("(?i)"), F.col("exclude")))
-    return (j.filter(_src_ok() & ~F.coalesce(excl, F.lit(False)))
-            .select("rule_no", "product_id", "product_name", "category", "destination"))
+    j = pattern_hits(products.select("product_id", "product_name", "category"), "product_name", r, "pattern",
+                     _src_ok() & found & ~F.coalesce(excl, F.lit(False)))
+    return j.select("rule_no", "product_id", "product_name", "category", "destination")
 
 
 def all_matches(products: DataFrame, rules: DataFrame) -> DataFrame:
@@ -78,8 +80,33 @@ def resolve(matches: DataFrame) -> DataFrame:
                     "first_rule", status.alias("status"))
 
 
-def apply_remap(lines: DataFrame, resolved: DataFrame) -> DataFrame:
-    """C4: new category on every line (moves and duplicates apply)."""
+class RemapRefused(ValueError):
+    """The rules contradict each other or name products that do not exist."""
+
+
+def remap_refusals(resolved: DataFrame, unmatched: DataFrame) -> DataFrame:
+    """C4: what has to be mended in the rules before a remap may run: products that
+    rules send to several categories, name rules without a product."""
+    conflicts = resolved.filter(F.col("status") == "conflict").select(
+        F.lit("conflict").alias("reason"), F.col("first_rule").alias("rule_no"), F.col("product_name").alias("name"))
+    missing = unmatched.filter(F.col("kind") == "name").select(
+        F.lit("unmatched name").alias("reason"), "rule_no", F.col("pattern").alias("name"))
+    return conflicts.unionByName(missing)
+
+
+def apply_remap(lines: DataFrame, resolved: DataFrame, unmatched: DataFrame | None = None) -> DataFrame:
+    """C4: new category on every line (moves and duplicates apply).
+
+    With ``unmatched`` (see ``unmatched_rules``) nothing is applied while the rules
+    conflict or miss a product: RemapRefused names the counts and the first ones.
+    Without it conflicting products stay where they are.
+    """
+    if unmatched is not None:
+        refusals = remap_refusals(resolved, unmatched)
+        counts = {r["reason"]: r["count"] for r in refusals.groupBy("reason").count().collect()}  # two rows
+        if counts:
+            first = "; ".join(f"{r.reason}: rule {r.rule_no}, {r.name}" for r in refusals.orderBy("reason", "rule_no", "name").limit(5).collect())
+            raise RemapRefused(f"{counts} - {first}")
     mv = resolved.filter(F.col("status").isin("move", "duplicate")).select(
         "product_id", F.col("destination").alias("_dest"))
     return (lines.join(mv, "product_id", "left")
@@ -103,25 +130,43 @@ def unmatched_rules(products: DataFrame, rules: DataFrame, matches: DataFrame) -
 def near_misses(products: DataFrame, unmatched: DataFrame, floor: float = 0.72, top: int = 3) -> DataFrame:
     """For unmatched name rules, candidate product names: names equal after
     removing all whitespace first; otherwise up to ``top`` names with
-    Levenshtein similarity >= floor.  Every name is compared: the unmatched
-    rules are a bounded parameter list and are broadcast."""
+    Levenshtein similarity >= floor, found through their grams.  The unmatched
+    rules are a bounded parameter list."""
     names = products.select("product_name").distinct().select(
         "product_name", F.lower(F.regexp_replace("product_name", r"\s+", "")).alias("squash"))
     u = unmatched.filter(F.col("kind") == "name").select(
         "rule_no", "pattern", F.lower(F.regexp_replace("pattern", r"\s+", "")).alias("squash"))
-    squash = (u.join(names, "squash").select("rule_no", "pattern", "product_name",
-                                             F.lit(1.0).alias("similarity"), F.lit("squash").alias("how")))
-    rest = u.join(squash.select("rule_no").distinct(), "rule_no", "left_anti")
-    a, b = F.lower(F.col("pattern")), F.lower(F.col("product_name"))
-    sim = 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))
-    cand = (names.drop("squash").join(F.broadcast(rest), sim >= floor)
-            .withColumn("similarity", F.round(sim, 6)))
+    squash = (names.join(F.broadcast(u), "squash").select("rule_no", "pattern", "product_name",
+                                                          F.lit(1.0).alias("similarity"), F.lit("squash").alias("how")))
+    rest = cut_lineage(u.join(squash.select("rule_no").distinct(), "rule_no", "left_anti"))
+    cand = similar_names(rest.select("rule_no", "pattern", F.lower("pattern").alias("want")),
+                         names.select("product_name", F.lower("product_name").alias("name")), floor)
+    cand = cand.withColumn("similarity", F.round("similarity", 6))
     w = Window.partitionBy("rule_no").orderBy(F.desc("similarity"), "product_name")
     simi = (cand.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= top)
             .select("rule_no", "pattern", "product_name", "similarity", F.lit("similar").alias("how")))
     return squash.unionByName(simi)
 
 
+def block_near_misses(products: DataFrame, unmatched: DataFrame, floor: float = 0.72, top: int = 3) -> DataFrame:
+    """C6 as the study asks it: among the names of the rule's own category (all, for
+    '*'), those equal without whitespace; where there are none, up to ``top`` by the
+    ratio of matching blocks of the names as written, ties to the later name."""
+    squash = lambda c: F.lower(F.regexp_replace(c, r"\s+", ""))
+    pool = products.select("product_name", "category").distinct()
+    u = unmatched.filter(F.col("kind") == "name").select("rule_no", "source", "pattern")
+    spaced = (pool.withColumn("_key", squash("product_name")).join(F.broadcast(u.withColumn("_key", squash("pattern"))), "_key")
+              .filter(_src_ok()).select("rule_no", "pattern", "product_name", F.lit(1.0).alias("similarity")).distinct())
+    rest = cut_lineage(u.join(spaced.select("rule_no").distinct(), "rule_no", "left_anti").withColumn("want", F.col("pattern")))
+    near = similar_names(rest, products.select("product_name").distinct().withColumn("name", F.col("product_name")), floor, "blocks")
+    # a name that stands in several categories is one candidate
+    near = (near.join(pool, "product_name").filter(_src_ok())
+            .select("rule_no", "pattern", "product_name", F.round("similarity", 6).alias("similarity")).distinct())
+    w = Window.partitionBy("rule_no").orderBy(F.desc("similarity"), F.desc("product_name"))
+    ranked = near.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= top).drop("_rank")
+    return (spaced.withColumn("how", F.lit("squash"))).unionByName(ranked.withColumn("how", F.lit("blocks")))
+
+
 STAY_SCHEMA = "stay_no bigint, source string, pattern string"
 
 
@@ -188,11 +233,11 @@ def audit_flags(products: DataFrame, keywords: DataFrame, qualifiers: DataFrame)
     * qualifier: a word of the keyword's own list anywhere in the name
       neutralises that keyword and no other;
     * suggestion: the first expected category of the keyword.
-    Both lists are bounded parameter tables.
+    Both lists are bounded parameter tables; a keyword is looked for only in names
+    that hold its literals.
     """
-    hits = products.select("product_id", "product_name", "category").join(
-        F.broadcast(keywords),
-        rlike(F.col("product_name"), F.concat(F.lit("(?i)\\b"), F.col("keyword"), F.lit("\\b"))))
+    hits = pattern_hits(products.select("product_id", "product_name", "category"), "product_name", keywords, "keyword",
+                        rlike(F.col("product_name"), F.concat(F.lit("(?i)\\b"), F.col("keyword"), F.lit("\\b"))))
     anchored = hits.filter(F.array_contains("expected", F.col("category"))).select("product_id").distinct()
     named = F.lower(F.col("product_name")).contains(F.col("word"))
     neutral = hits.join(F.broadcast(qualifiers), "keyword").filter(named).select("product_id", "keyword").distinct()

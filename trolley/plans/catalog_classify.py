@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import cached_property
 
 from pyspark.sql import functions as F
@@ -189,6 +190,38 @@ def q_report(spark, d):
     return CF.classifier_report(_lookup(spark, d))
 
 
+def _named(features, name):
+    """The tables of a feature set under names of their own."""
+    sql = _set_sql(features)[len(BASE.rstrip()):]
+    return re.sub(r"\b(ft|fp|fmaj|fpred)\b", rf"\1_{name}", sql)
+
+
+_SETS = BASE.rstrip() + _named(_F1_SQL, "discrete") + _named(_F2_SQL, "full")
+
+
+@query("recall_comparison", _SETS + "".join(f""", r_{n} AS (SELECT label AS cls, avg(CAST(label = prediction AS DOUBLE)) AS r FROM {src} GROUP BY 1)"""
+                                            for n, src in (("binary", "pred"), ("discrete", "fpred_discrete"), ("full", "fpred_full"))) + """
+SELECT cls, round(b.r, 6) AS recall_binary, round(d.r, 6) AS recall_discrete, round(f.r, 6) AS recall_full,
+  round(d.r - b.r, 6) + 0.0 AS delta_discrete, round(f.r - b.r, 6) + 0.0 AS delta_full
+FROM r_binary b JOIN r_discrete d USING (cls) JOIN r_full f USING (cls)""")
+def q_recalls(spark, d):
+    from trolley.session import cut_lineage
+    c, preds = Cls(spark, d), {}
+    c.split = cut_lineage(c.split)  # read by all three
+    for which in ("binary", "discrete", "full"):
+        p = c.patterned(which)
+        preds[which] = CF.pattern_lookup(p.filter("is_train"), p.filter(~F.col("is_train")))
+    return CF.recall_comparison(preds)
+
+
+@query("ceiling_share", BASE.rstrip() + """, pl AS (SELECT pattern, label, count(*) AS n FROM lab GROUP BY 1, 2),
+pp AS (SELECT sum(best) / sum(tot) AS c FROM (SELECT max(n) AS best, sum(n) AS tot FROM pl GROUP BY pattern)),
+a AS (SELECT avg(CAST(label = prediction AS DOUBLE)) AS a FROM pred)
+SELECT round(a, 6) AS accuracy, round(c, 6) AS ceiling, round(a / c, 6) AS share_of_ceiling FROM a, pp""")
+def q_ceiling_share(spark, d):
+    return CF.ceiling_share(_lookup(spark, d), Cls(spark, d).lab)
+
+
 def _ml_frames(spark, d, which="binary"):
     from trolley.session import cut_lineage
     c = Cls(spark, d)

@@ -300,6 +300,20 @@ def q_near(spark, d):
     return RM.near_misses(r.products, RM.unmatched_rules(r.products, r.rules, r.matches))
 
 
+@query("remap_near_blocks")
+def q_near_blocks(spark, d):
+    r = Remap(spark, d)
+    return RM.block_near_misses(r.products, RM.unmatched_rules(r.products, r.rules, r.matches))
+
+
+@query("remap_refusals", with_(L, PRODS_SQL, RULES_SQL, MATCH_SQL, _UNMATCHED) + """
+SELECT 'conflict' AS reason, first_rule AS rule_no, product_name AS name FROM res WHERE status = 'conflict'
+UNION ALL SELECT 'unmatched name', rule_no, pattern FROM un WHERE kind = 'name'""")
+def q_refusals(spark, d):
+    r = Remap(spark, d)
+    return RM.remap_refusals(r.resolved, RM.unmatched_rules(r.products, r.rules, r.matches))
+
+
 _STAYS = "stays AS " + _values(STAYS, ["stay_no", "source", "pattern"], ["BIGINT", "VARCHAR", "VARCHAR"])
 
 

@@ -135,20 +135,31 @@ def q_errstruct(spark, d):
     return FC.fc_error_structure(FC.all_forecasts(_split(spark, d)), NAMED_DAYS)
 
 
-@query("fc_monthly_linear", with_(L, """m AS (SELECT strftime(sale_date, '%Y-%m') AS year_month,
+_MONTHS = with_(L, """m AS (SELECT strftime(sale_date, '%Y-%m') AS year_month,
        CAST(sum(amount) AS DOUBLE) AS revenue FROM lines GROUP BY 1)""", """mm AS (
   SELECT *, CAST(row_number() OVER (ORDER BY year_month) AS BIGINT) AS month_no FROM m)""",
-                              """k AS (SELECT count(*) AS n, count(*) - CAST(round(count(*) * 0.2) AS BIGINT) AS nt FROM mm)""",
-                              """coef AS (SELECT regr_slope(revenue, month_no) AS slope, regr_intercept(revenue, month_no) AS icpt
+                """k AS (SELECT count(*) AS n, count(*) - CAST(round(count(*) * 0.2) AS BIGINT) AS nt FROM mm)""",
+                """coef AS (SELECT regr_slope(revenue, month_no) AS slope, regr_intercept(revenue, month_no) AS icpt
           FROM mm, k WHERE month_no <= nt)""",
-                              """allm AS (SELECT month_no, year_month, revenue FROM mm
-          UNION ALL SELECT n + range, NULL, NULL FROM k, range(1, 4))""") + """
+                """allm AS (SELECT month_no, year_month, revenue FROM mm
+          UNION ALL SELECT n + range, NULL, NULL FROM k, range(1, 4))""")
+
+
+@query("fc_monthly_linear", _MONTHS + """
 SELECT month_no, year_month, round(revenue, 2) AS actual, round(icpt + slope * month_no, 2) AS predicted,
        month_no <= nt AS is_train FROM allm, coef, k""")
 def q_monthly_linear(spark, d):
     return FC.fc_monthly_linear(adapter.lines(spark, d))
 
 
+@query("fc_monthly_metrics", _MONTHS + """, e AS (SELECT revenue - (icpt + slope * month_no) AS err, month_no <= nt AS is_train
+  FROM allm, coef, k WHERE revenue IS NOT NULL),
+p AS (SELECT 'all' AS part, err FROM e UNION ALL SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END, err FROM e)
+SELECT part, count(*) AS months, round(avg(abs(err)), 2) AS mae, round(sqrt(avg(err * err)), 2) AS rmse FROM p GROUP BY 1""")
+def q_monthly_metrics(spark, d):
+    return FC.monthly_metrics(FC.monthly_fit(adapter.lines(spark, d)))
+
+
 @query("fc_additive")
 def q_additive(spark, d):
     """Per store: every series is a group of its own."""

@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import functions as F
 
 from trolley import params
+from trolley.functions.stats import chi2_critical
 from trolley.operators import mining as M
 from trolley.operators import serve
 from trolley.plans.registry import query
@@ -179,6 +180,28 @@ def q_signif(spark, d):
     return M.rule_significance(m.rules(), m.n_baskets).drop("p_value", "bonferroni_significant")
 
 
+# critical values for every number of rules that six items can have (3^6 - 2^7 + 1)
+_CRITS = "crits AS (SELECT * FROM (VALUES " + ", ".join(f"({n}, {chi2_critical(0.05 / n)!r})" for n in range(1, 603)) + ") v(n_rules, crit))"
+_FLAGS = "WITH " + MINE + f""", {_CRITS},
+r AS (SELECT *, ({_chi_sql()}) AS chi FROM rules, tot WHERE lift_raw >= 1.0),
+flagged AS (SELECT *, chi > {_CRIT} AS significant, chi > crit AS bonferroni_significant
+            FROM r, crits WHERE n_rules = (SELECT count(*) FROM r))
+"""
+
+
+@query("rule_bonferroni", _FLAGS + "SELECT antecedents, consequents, significant, bonferroni_significant FROM flagged")
+def q_bonferroni(spark, d):
+    m = Mining(spark, d)
+    return M.rule_significance(m.rules(), m.n_baskets).select("antecedents", "consequents", "significant", "bonferroni_significant")
+
+
+@query("significance_summary", _FLAGS + """SELECT count(*) AS rules, count(*) FILTER (WHERE significant) AS significant,
+  count(*) FILTER (WHERE bonferroni_significant) AS bonferroni_significant FROM flagged""")
+def q_signif_summary(spark, d):
+    m = Mining(spark, d)
+    return M.significance_summary(M.rule_significance(m.rules(), m.n_baskets))
+
+
 @query("rule_pvalues")
 def q_pvalues(spark, d):
     m = Mining(spark, d)
@@ -250,6 +273,24 @@ def q_nodes(spark, d):
     return M.network_nodes(M.rule_network(r, m.index, FLOOR, "cross"), M.item_penetration(m.mc, m.index))
 
 
+@query("rule_agreement", "WITH RECURSIVE " + MINE + f""",
+mc AS (SELECT mask, count(*) AS c FROM bm GROUP BY mask),
+below(m, c, s) AS (SELECT mask, c, mask FROM mc UNION ALL SELECT m, c, (s - 1) & m FROM below WHERE s > 0),
+fi2 AS (SELECT s, cnt FROM (SELECT s, sum(c) AS cnt FROM below WHERE s > 0 GROUP BY s), tot WHERE cnt / n >= {MIN_SUPPORT}),
+r2 AS (SELECT a.s AS ante, f.s - a.s AS cons, f.cnt AS n_full, f.cnt * n / (a.cnt * c.cnt) AS lift_raw
+       FROM fi2 f JOIN fi2 a ON (f.s & a.s) = a.s AND a.s <> f.s JOIN fi2 c ON c.s = f.s - a.s, tot),
+j AS (SELECT a.n_full AS n_a, b.n_full AS n_b, a.lift_raw AS l_a, b.lift_raw AS l_b
+      FROM rules a FULL OUTER JOIN r2 b ON a.ante = b.ante AND a.cons = b.cons)
+SELECT count(*) AS rules, count(*) FILTER (WHERE n_a IS NULL) AS only_second, count(*) FILTER (WHERE n_b IS NULL) AS only_first,
+       count(*) FILTER (WHERE n_a <> n_b) AS support_differs, count(*) FILTER (WHERE abs(l_a - l_b) > 1e-9) AS lift_differs,
+       round(max(abs(l_a - l_b)), 9) + 0.0 AS max_lift_difference FROM j""")
+def q_rule_agreement(spark, d):
+    """Rules from level-wise and from FP-Growth itemsets, lift floor off."""
+    m = Mining(spark, d)
+    fp = M.frequent_itemsets_fpgrowth(m.masks, m.index, MIN_SUPPORT)
+    return M.rule_agreement(*[M.association_rules(i, m.n_baskets, m.index, 0.0) for i in (m.itemsets_apriori, fp)])
+
+
 _BRAND = _mining_sql("p_brand").split(",\nsubs AS")[0]
 
 

@@ -36,11 +36,11 @@ class Rec:
     def recs(self):
         return R.rule_recs(self.rules, self.index)
 
-    def evaluation(self):
+    def evaluation(self, seed=None):
         top = R.recommend(self.recs, 5)
         recm = R.rec_masks(top, self.index)
         pop = R.popularity_rank(self.train, self.index)
-        return R.evaluate(self.test, recm, pop, self.index.count(), 5)
+        return R.evaluate(self.test, recm, pop, self.index.count(), 5, seed)
 
 
 SQL = "WITH RECURSIVE " + lines_cte("p_brand") + f""",
@@ -134,3 +134,24 @@ SELECT count(*) AS tested, count(*) FILTER (WHERE covered) AS covered, count(*)
 FROM ev""")
 def q_summary(spark, d):
     return R.summary(Rec(spark, d).evaluation())
+
+
+DRAW_SEED = "7"
+_DRAW = SQL + f""", h AS (SELECT t.basket_id, t.tidx, i.idx, substr(md5(t.basket_id || '|' || i.idx || '|{DRAW_SEED}'), 1, 16) AS hv
+      FROM t JOIN idx i ON (t.known >> i.idx) & 1 = 0),
+dr AS (SELECT basket_id, tidx, idx, row_number() OVER (PARTITION BY basket_id ORDER BY hv, idx) AS place FROM h),
+dw AS (SELECT ev.basket_id, ev.random_matched_p, ev.random_top_p, dr.place <= ev.budget AS random_matched_hit,
+              dr.place <= 5 AS random_top_hit FROM ev JOIN dr ON dr.basket_id = ev.basket_id AND dr.idx = dr.tidx)
+"""
+
+
+@query("recommender_random_draw", _DRAW + "SELECT basket_id, random_matched_hit, random_top_hit FROM dw")
+def q_draw(spark, d):
+    return Rec(spark, d).evaluation(DRAW_SEED).select("basket_id", "random_matched_hit", "random_top_hit")
+
+
+@query("recommender_random_summary", _DRAW + "SELECT count(*) AS tested, " + ", ".join(
+    f"round(100.0 * avg(CAST({c} AS DOUBLE)), 4) AS {c}"
+    for c in ("random_matched_hit", "random_matched_p", "random_top_hit", "random_top_p")) + " FROM dw")
+def q_draw_summary(spark, d):
+    return R.random_summary(Rec(spark, d).evaluation(DRAW_SEED))
