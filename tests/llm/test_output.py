@@ -196,3 +196,19 @@ def test_extraction_of_odd_rows(spark):
     got = {(r.page_id, r.url): r.text for r in extract.extract(pages).collect()}
     assert got[1, None] == got[None, "u"] == "" and len(got[2, "v"]) == 1_199_999 and got[4, "x"] == "deep"
     assert extract.extract(pages).count() == 6 and extract.extract(pages.limit(0)).collect() == []
+
+
+def test_inline_controls_formulas_and_topics_stay():
+    text = "It is long enough to count, and has marks. So it stays."
+    for page, want in ((f"<p>Press <button>OK</button> or <kbd>Enter</kbd>, then wait.</p><p>{text}</p>", f"Press OK or Enter, then wait.\n{text}"),
+                       (f"<p>Use <label>Name</label>.</p><p>{text}</p>", f"Use Name.\n{text}"),
+                       (f"<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds, as said.</p><p>{text}</p>", f"So x=1 holds, as said.\n{text}"),
+                       (f"<article><p>{text}</p><div class='social'><p>{text}</p></div></article>", f"{text}\n{text}"),
+                       (f"<article><p>{text}</p><div class='share'>Share this</div><p><button>Subscribe</button></p><button>Go</button></article>", text),
+                       (f"<article><p>{text}</p><div class='ad'><p>{text}</p></div></article>", text),
+                       (f"<article><p>{text}</p></article><ol class='commentlist'><li><p>{text}</p></li></ol><div class=navbar2><p>{text}</p></div>", text),
+                       (f"<p>{text}</p><form><p>Your <label>Name</label>, please.</p></form>", text)):
+        assert extract.main_text(page) == want, page
+    for word, stands in (("commentlist", True), ("navbar", True), ("sidebarright", True), ("advice", False), ("commentary", False), ("menus", False),
+                         ("readmore", False), ("bodies", False)):
+        assert extract._stands_for(word) == stands

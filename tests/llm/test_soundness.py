@@ -50,3 +50,26 @@ def test_copies_do_not_colour_the_references(spark, size):
     after = {r.doc_id for r in rules.quality_rules(docs.unionByName(copies)).collect() if r.kept}
     french = {r.doc_id for r in docs.where("lang = 'fr'").collect()} & before
     assert len(french & after) >= 0.98 * len(french)
+
+
+def test_repeats_of_a_row_spread_over_units(spark):
+    from trolley.llm import echo, substring, suffix
+    hot = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(-1 if i % 3 == 0 else i, hot if i % 3 == 0 else f"text {i}") for i in range(6000)], "doc_id long, text string").repartition(64)
+    rows, units, _ = echo.dealt(docs)
+    sizes = sorted(r["count"] for r in rows.groupBy("unit").count().collect())
+    # 2000 repeats over 64 partitions: a unit holds those of a few partitions, not all
+    assert sum(sizes) == 6000 and sizes[-1] < 250
+    got = substring.remove_repeats(docs).groupBy("doc_id", "n_removed").count().filter("doc_id = -1").collect()
+    assert [(r.n_removed, r["count"]) for r in got] == [(60, 2000)]
+    got = suffix.remove_repeats(docs, 100).groupBy("doc_id", "n_removed").count().filter("doc_id = -1").collect()
+    assert [(r.n_removed, r["count"]) for r in got] == [(len(hot), 2000)]
+
+
+def test_units_keep_their_size(spark, monkeypatch):
+    from trolley.llm import echo
+    docs = spark.createDataFrame([(i, "x" * 1000) for i in range(2000)], "doc_id long, text string")
+    monkeypatch.setattr(echo, "UNIT_BYTES", 1 << 12)
+    for n in (1, 2, 4):
+        more = docs.crossJoin(spark.range(n)).drop("id")
+        assert echo.dealt(more)[1] == max(256, n * 2_000_000 >> 12)

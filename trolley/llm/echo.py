@@ -1,6 +1,7 @@
 """Finding what repeats across a corpus without moving more than its hashes.
 
-Documents are dealt into units by a hash of their row.  A unit sends each
+Documents are dealt into units by a hash of their row and of the partition it is
+read in, so that repeats of a row spread like other rows.  A unit sends each
 distinct hash of its windows once, packed by hash range into buckets; a bucket
 compares the hashes of all units and echoes a few bits per hash back to the
 unit, which works its hashes out again and so knows where the bits belong.
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 from trolley.llm.common import bytes_and_offsets, text_column
 
+#: text of a unit, whatever the size of the corpus (smaller ones have 256 units)
+UNIT_BYTES = 1 << 20
 UNIT = pa.field("unit", pa.int32())
 _HASHES = pa.schema([UNIT, pa.field("bucket", pa.int32()), pa.field("planes", pa.binary())])
 _BITS = pa.schema([UNIT, pa.field("bucket", pa.int32()), pa.field("bits", pa.binary())])
@@ -27,15 +30,18 @@ _BITS = pa.schema([UNIT, pa.field("bucket", pa.int32()), pa.field("bits", pa.bin
 def dealt(docs: DataFrame) -> tuple[DataFrame, int, int]:
     """(unit, row_key, doc_id, text) rows, and the numbers of units and buckets.
 
-    Both numbers follow the corpus: units grow from 256 KB to 64 MB of text, so
-    that units times buckets, the most rows a shuffle can have, stays below the
-    number of windows at any size; a bucket sees at most a few million hashes.
+    Units hold about UNIT_BYTES of text, and as much as one long text besides.  Buckets grow from 1 to 16 MB of the
+    corpus's text, so that a unit's hashes for one bucket stay packed in one row up to some TB and a
+    bucket sees at most a few million hashes; beyond, a row holds few hashes.
+
+    The partition a row is read in, unlike its place there, is the same when a lost task is run again.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    units = max(256, size // min(max(size // 1024, 1 << 18), 1 << 26))
+    units = max(256, size // UNIT_BYTES)
     buckets = max(256, size // min(max(size // 2048, 1 << 20), 1 << 24))
     key = F.xxhash64("doc_id", "text")
-    rows = docs.select(F.pmod(key, F.lit(units)).cast("int").alias("unit"), key.alias("row_key"),
+    unit = F.pmod(F.xxhash64(key, F.spark_partition_id()), F.lit(units))
+    rows = docs.select(unit.cast("int").alias("unit"), key.alias("row_key"),
                        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return rows, int(units), int(buckets)
 
