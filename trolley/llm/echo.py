@@ -5,7 +5,7 @@ read in, so that repeats of a row spread like other rows.  A unit sends each
 distinct hash of its windows once, packed by hash range into buckets; a bucket
 compares the hashes of all units and echoes a few bits per hash back to the
 unit, which works its hashes out again and so knows where the bits belong.
-However often a hash occurs, a unit sends it once: no key can overfill a
+However often a hash occurs, a unit sends it once, so no hash can overfill a
 bucket, and no pairs are formed.
 """
 
