@@ -72,17 +72,16 @@ def pattern_hits(names: DataFrame, name: str, patterns: DataFrame, pattern: str,
     A pattern is posted under the first gram of each of its required literals, and
     ``found`` is asked only where one of the literals stands in the name; patterns
     without literals stand under the empty gram, which every name has.  ``patterns``
-    is a bounded list.  Null names match nothing.
+    is a bounded list.  Null names match nothing; equal rows of ``names`` count once.
     """
     literals = F.udf(required_literals, "array<string>")
-    posted = (patterns.withColumn("_literals", literals(F.col(pattern))).withColumn("_literal", F.explode("_literals"))
+    posted = (patterns.withColumn("_literal", F.explode(literals(F.col(pattern))))
               .withColumn("_gram", F.substring("_literal", 1, GRAM)))
     low = F.lower(F.col(name))
     probes = names.withColumn("_gram", F.explode(F.array_union(F.array(F.lit("")), grams(low, GRAM))))
-    # a name that holds several literals of one pattern meets it under the first of them
-    first = F.get(F.filter("_literals", lambda x: F.contains(low, x)), F.lit(0))
-    return (probes.join(F.broadcast(posted), "_gram").filter((first == F.col("_literal")) & found)
-            .drop("_gram", "_literal", "_literals"))
+    hits = probes.join(F.broadcast(posted), "_gram").filter(F.contains(low, F.col("_literal")) & found)
+    # a name that holds several literals of one pattern meets it under each of them
+    return hits.drop("_gram", "_literal").dropDuplicates()
 
 
 def _blocks(a: pd.Series, b: pd.Series) -> pd.Series:
