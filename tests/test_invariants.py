@@ -203,3 +203,13 @@ def test_partitioned_prefix_share_matches_running_sum(spark):
         cls = "A" if cum * 100 <= total * 70 else ("B" if cum * 100 <= total * 90 else "C")
         assert got[pid][1] == cls
         assert abs(got[pid][0] - float(cum * 100 / total)) < 1e-5
+
+
+def test_zone_breakdown_of_a_layout_that_captures_nothing(spark):
+    """Two items that no zone holds together: every share is 0, not a division by zero."""
+    from trolley.operators.star import zones_df
+    idx = spark.createDataFrame([("A", 0), ("B", 1)], "item string, idx int")
+    rules = spark.createDataFrame([("A -> B", 3, 0.5)], "rule_id string, mask long, support double")
+    apart = spark.createDataFrame([("x", "A", 1), ("x", "B", 2)], "layout_id string, item string, zone_no long")
+    got = LY.zone_breakdown(rules, apart, idx, zones_df(spark)).collect()
+    assert len(got) == 5 and {(r.rules_captured, r.support_captured, r.support_share_pct) for r in got} == {(0, 0.0, 0.0)}
