@@ -61,3 +61,29 @@ def test_top_pairs_against_brute_force(spark, head):
 def test_top_pairs_of_nothing(spark):
     assert W.top_pairs(spark.createDataFrame([], "basket_id long, item long")).collect() == []
     assert W.top_pairs(spark.createDataFrame([(1, 1), (2, 2)], "basket_id long, item long")).collect() == []
+
+
+@pytest.mark.parametrize("narrow", [0, 3])
+def test_narrow_and_wide_baskets_are_counted_together(spark, narrow):
+    rng = random.Random(11)
+    baskets = [{rng.choice("abcdefghij") for _ in range(rng.randint(0, 6))} for _ in range(60)]
+    df = spark.createDataFrame([(i, v) for i, b in enumerate(baskets) for v in b], "basket_id long, item string")
+    got = {tuple(r["items"]): r["count"] for r in W.frequent_itemsets(W.baskets(df), 3, 16, narrow).collect()}
+    assert got == brute(baskets, 3)
+    seen = Counter(p for b in baskets for p in combinations(sorted(b), 2))
+    pairs = [tuple(r) for r in W.top_pairs(df, 9, 4, 16, narrow).collect()]
+    assert pairs == [(*p, c) for p, c in sorted(seen.items(), key=lambda v: (-v[1], v[0]))[:9]]
+
+
+def test_narrow_baskets_meet_no_block(spark, monkeypatch):
+    """20,000 items, each in few baskets: a block would compare every item with every other."""
+    def never(*_):
+        raise AssertionError("a narrow basket in a block")
+    monkeypatch.setattr(W, "_blocks", never)
+    df = spark.range(12_000).select((F.col("id") % 4_000).alias("basket_id"), (F.col("id") * 7 % 10_000).alias("item")).distinct()
+    rows = df.collect()
+    held = {}
+    for r in rows:
+        held.setdefault(r.basket_id, set()).add(r.item)
+    seen = Counter(p for b in held.values() for p in combinations(sorted(b), 2))
+    assert [tuple(r) for r in W.top_pairs(df, 5).collect()] == [(*p, c) for p, c in sorted(seen.items(), key=lambda v: (-v[1], v[0]))[:5]]

@@ -5,8 +5,12 @@ bitmap of its baskets per item.  The bitmaps lie in prefix classes: the class of
 an itemset holds, restricted to the itemset's baskets, the bitmaps of the items
 that may follow.  A class intersects its bitmaps pair by pair in every block,
 the counts are added over the blocks, and what is frequent makes the classes of
-the next level.  No basket emits its pairs, and no item, class or basket is
-ever in one task as a whole.
+the next level.  No item, class or basket is ever in one task as a whole.
+
+That costs a block the square of its items, so it is for wide baskets.  A basket
+of at most ``NARROW`` items emits its pairs instead, NARROW / 2 times its rows at
+most, and stays a row (basket, prefix, items) on the further levels.  Both
+kinds' counts are added on every level.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trolley.operators.scan import numbered
 from trolley.session import cut_lineage
 
 
@@ -36,6 +41,8 @@ def top_domain(basket_items: DataFrame, n: int) -> DataFrame:
 
 #: baskets to a block
 BLOCK = 1 << 13
+#: items of a basket that emits its pairs
+NARROW = 32
 _CLASS_DDL = "prefix array<int>, block long, n_baskets int, items array<int>, bits binary"
 _CLASS = pa.schema([("prefix", pa.list_(pa.int32())), ("block", pa.int64()), ("n_baskets", pa.int32()),
                     ("items", pa.list_(pa.int32())), ("bits", pa.binary())])
@@ -121,63 +128,97 @@ def _subclasses(classes: DataFrame, level: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _CLASS_DDL)
 
 
-def _root_classes(held: DataFrame, single: DataFrame, block: int) -> DataFrame:
-    """The class of the empty itemset over the items of ``single`` (item, i) in every block of baskets."""
-    # baskets with two frequent items or more, numbered without gaps in each partition
-    kept = (held.join(single.select("item", "i"), "item").groupBy("basket_id").agg(F.collect_list("i").alias("is"))
-            .where(F.size("is") > 1).select("is"))
-    kept = cut_lineage(kept.withColumn("tid", F.monotonically_increasing_id()))
-    rows = kept.select(F.expr(f"tid div {block}").alias("block"), (F.col("tid") % block).cast("int").alias("place"), F.explode("is").alias("item"))
-    return _blocks(rows)
-
-
-def frequent_itemsets(basket_arrays: DataFrame, min_count: int, block: int = BLOCK) -> DataFrame:
+def _numbered_items(counts: DataFrame) -> DataFrame:
+    """The items of ``counts`` with ``i``: 0, 1, ... in their order, numbered by ranges and never in one task."""
+    return cut_lineage(numbered(counts, [], ["item"], "i").withColumn("i", F.col("i") - 1))
+
+
+class _Held:
+    """The baskets of two or more items of ``single`` (item, i): narrow ones as rows
+    (tid, prefix, items), wide ones as the class of the empty itemset, None if there are none."""
+
+    def __init__(self, held: DataFrame, single: DataFrame, block: int, narrow: int):
+        kept = (held.join(single.select("item", "i"), "item").groupBy("basket_id").agg(F.array_sort(F.collect_list("i")).alias("items"))
+                .where(F.size("items") > 1).select("items"))
+        kept = cut_lineage(kept.withColumn("tid", F.monotonically_increasing_id()))
+        self.rows = kept.where(F.size("items") <= narrow).select("tid", F.array().cast("array<int>").alias("prefix"), "items")
+        self.classes = None
+        wide = kept.where(F.size("items") > narrow).select("items")
+        if wide.limit(1).count():
+            # numbered without gaps in each partition
+            wide = cut_lineage(wide.withColumn("tid", F.monotonically_increasing_id()))
+            self.classes = cut_lineage(_blocks(wide.select(F.expr(f"tid div {block}").alias("block"),
+                                                           (F.col("tid") % block).cast("int").alias("place"), F.explode("items").alias("item"))))
+
+    def _pairs(self) -> DataFrame:
+        """(tid, prefix, x, y): every pair of items of every narrow row."""
+        at = self.rows.select("tid", "prefix", "items", F.posexplode("items").alias("p", "x"))
+        return at.select("tid", "prefix", "x", F.explode(F.slice("items", F.col("p") + 2, F.size("items"))).alias("y"))
+
+    def counted(self, least: int) -> DataFrame:
+        """(prefix, x, y, count) of the pairs in at least ``least`` baskets that hold the prefix."""
+        n = self._pairs().groupBy("prefix", "x", "y").agg(F.count(F.lit(1)).alias("count"))
+        if self.classes is not None:
+            n = n.unionByName(_pair_counts(self.classes)).groupBy("prefix", "x", "y").agg(F.sum("count").alias("count"))
+        return cut_lineage(n.where(F.col("count") >= least))
+
+    def descend(self, level: DataFrame) -> None:
+        """On to the itemsets (prefix, x) that ``level`` found frequent and that more than one item may follow."""
+        # counted by a join: no list of what follows is carried to a basket
+        many = level.groupBy("prefix", "x").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix", "x")
+        rows = self._pairs().join(level.select("prefix", "x", "y").join(many, ["prefix", "x"]), ["prefix", "x", "y"])
+        rows = rows.groupBy("tid", "prefix", "x").agg(F.array_sort(F.collect_list("y")).alias("items")).where(F.size("items") > 1)
+        self.rows = cut_lineage(rows.select("tid", F.concat("prefix", F.array("x")).alias("prefix"), "items"))
+        if self.classes is not None:
+            self.classes = cut_lineage(_subclasses(self.classes, level))
+
+
+def frequent_itemsets(basket_arrays: DataFrame, min_count: int, block: int = BLOCK, narrow: int = NARROW) -> DataFrame:
     """(items, size, count) of every itemset in at least ``min_count`` baskets."""
-    held = basket_arrays.select("basket_id", F.explode("items").alias("item")).where(F.col("item").isNotNull())
-    single = cut_lineage(held.groupBy("item").agg(F.count(F.lit(1)).alias("count")).where(F.col("count") >= min_count))
-    # frequent items are numbered in their order; there are no more than all items over min_count
-    single = cut_lineage(single.withColumn("i", F.row_number().over(Window.orderBy("item")) - 1))
-    classes = cut_lineage(_root_classes(held, single, block))
+    held = cut_lineage(basket_arrays.select("basket_id", F.explode("items").alias("item")).where(F.col("item").isNotNull()))
+    single = _numbered_items(held.groupBy("item").agg(F.count(F.lit(1)).alias("count")).where(F.col("count") >= min_count))
+    baskets_ = _Held(held, single, block, narrow)
     found = single.select(F.array("i").alias("is"), "count")
     while True:
-        level = cut_lineage(_pair_counts(classes).where(F.col("count") >= min_count))
+        level = baskets_.counted(min_count)
         found = found.unionByName(level.select(F.concat("prefix", F.array("x", "y")).alias("is"), "count"))
         if not level.groupBy("prefix", "x").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
             break
-        classes = cut_lineage(_subclasses(classes, level))
+        baskets_.descend(level)
     named = (found.select("is", "count", F.posexplode("is").alias("p", "i")).join(single.select("i", "item"), "i")
              .groupBy("is", "count").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "item"))), lambda v: v["item"]).alias("items")))
     return cut_lineage(named.select("items", F.size("items").cast("long").alias("size"), F.col("count").cast("long")))
 
 
-def top_pairs(basket_items: DataFrame, n: int = 20, head: int = 256, block: int = BLOCK) -> DataFrame:
+def top_pairs(basket_items: DataFrame, n: int = 20, head: int = 256, block: int = BLOCK, narrow: int = NARROW) -> DataFrame:
     """(product_a, product_b, cooccurrences): the n pairs in most baskets, over all items.
 
     ``basket_items`` has distinct (basket_id, item) rows.  A pair is in no more
     baskets than the rarer of its items.  So the pairs of the ``head`` items in
-    most baskets are counted first; their n-th best count bounds the items that
-    can be in a better pair, and the head grows until it holds all of these.
-    Ties at the end go to the smaller items; null items are in no pair; where
-    fewer than n pairs share a basket, all of them come back.
+    most baskets are counted first, then those of 64 times as many; their n-th
+    best count bounds the items that can be in a better pair, and the last
+    round holds all of these.  Ties at the end go to the smaller items; null
+    items are in no pair; where fewer than n pairs share a basket, all of
+    them come back.
     """
-    held = basket_items.select("basket_id", "item").where(F.col("item").isNotNull())
+    held = cut_lineage(basket_items.select("basket_id", "item").where(F.col("item").isNotNull()))
     counts = cut_lineage(held.groupBy("item").agg(F.count(F.lit(1)).alias("count")))
-    least, size, need = 1, head, counts.count()
-    while True:
+    least, need = 1, counts.count()
+    for size in (head, 64 * head, None):
         able = counts.where(F.col("count") >= least)
-        if size < need:
+        last = size is None or size >= need
+        if not last:
             able = able.orderBy(F.desc("count"), "item").limit(size)
-        single = cut_lineage(able.select("item", (F.row_number().over(Window.orderBy("item")) - 1).alias("i")))
-        pairs = cut_lineage(_pair_counts(_root_classes(held, single, block)).where(F.col("count") >= least))
-        best = pairs.select("count").orderBy(F.desc("count")).limit(n).agg(F.count(F.lit(1)).alias("pairs"), F.min("count").alias("worst")).first()
-        if size >= need:
+        single = _numbered_items(able.select("item"))
+        pairs = _Held(held, single, block, narrow).counted(least)
+        if last:
             break
+        best = pairs.select("count").orderBy(F.desc("count")).limit(n).agg(F.count(F.lit(1)).alias("pairs"), F.min("count").alias("worst")).first()
         if best["pairs"] == n:
             least = max(least, best["worst"])
         need = counts.where(F.col("count") >= least).count()
         if size >= need:
             break
-        size = min(4 * size, need)
     name = single.select("i", "item")
     return (pairs.join(name.toDF("x", "product_a"), "x").join(name.toDF("y", "product_b"), "y")
             .select("product_a", "product_b", F.col("count").cast("long").alias("cooccurrences"))
