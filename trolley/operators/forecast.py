@@ -199,6 +199,67 @@ ADDITIVE_SCHEMA = ("series_id string, model string, framing string, date date, a
                    "lower double, upper double")
 
 
+#: cells of (test day, day) that the rolling refits hold at once
+_CELLS = 1 << 18
+#: days before which a rolling refit is fitted on its own
+_FEW = 32
+
+
+def _quantile_places(n, q):
+    """Where numpy's linear quantile ``q`` of ``n`` ascending values lies: the two places beside it and the share of the second."""
+    import numpy as np
+    v = np.asarray((n - 1) * q, float)
+    low = np.floor(v).astype(int)
+    return low, np.minimum(low + 1, n - 1), v - low
+
+
+def _between(a, b, share):
+    import numpy as np
+    return np.where(share >= 0.5, b - (b - a) * (1 - share), a + (b - a) * share)
+
+
+def rolling_refits(ts, base, y, test, probs, penalty):
+    """(prediction, low, high) of each day in ``test`` by the ridge fitted to all days before it.
+
+    ``ts`` ascends; ``base`` holds the unpenalised columns; the hinges stand at the
+    quantiles ``probs`` of the days before.  The refits' normal equations come from
+    running sums (a hinge's part of a sum is a difference of two of them) and are
+    solved together, so a refit doesn't read its days again for them.
+    """
+    import numpy as np
+    n, nb, nh = len(ts), base.shape[1], len(probs)
+    run = lambda v: np.concatenate([np.zeros((1, *v.shape[1:])), np.cumsum(v, axis=0)])
+    bb, b1, bt = run(base[:, :, None] * base[:, None, :]), run(base), run(base * ts[:, None])
+    by, y1, yt, s1, st, stt = run(base * y[:, None]), run(y), run(y * ts), run(np.ones(n)), run(ts), run(ts * ts)
+    pen = np.concatenate([np.full(nb, 1e-9), np.full(nh, penalty)])
+    out = np.empty((len(test), 3))
+    for at in range(0, len(test), max(1, _CELLS // max(n, 1))):
+        i = test[at:at + max(1, _CELLS // max(n, 1))]
+        end = i[:, None]
+        low, high, share = _quantile_places(end, probs[None, :])
+        c = _between(ts[low], ts[high], share)
+        pos = np.minimum(np.searchsorted(ts, c, side="right"), end)
+        gram = np.empty((len(i), nb + nh, nb + nh))
+        gram[:, :nb, :nb] = bb[i]
+        cross = (bt[end] - bt[pos]) - c[:, :, None] * (b1[end] - b1[pos])
+        gram[:, nb:, :nb], gram[:, :nb, nb:] = cross, cross.transpose(0, 2, 1)
+        last = np.maximum(pos[:, :, None], pos[:, None, :])
+        k, m, e = c[:, :, None], c[:, None, :], i[:, None, None]
+        gram[:, nb:, nb:] = (stt[e] - stt[last]) - (k + m) * (st[e] - st[last]) + k * m * (s1[e] - s1[last])
+        right = np.concatenate([by[i], (yt[end] - yt[pos]) - c * (y1[end] - y1[pos])], axis=1)
+        beta = np.linalg.solve(gram + np.diag(pen), right[:, :, None])[:, :, 0]
+        fit = beta[:, :nb] @ base.T
+        for h in range(nh):
+            fit += beta[:, nb + h, None] * np.maximum(ts[None, :] - c[:, h, None], 0.0)
+        row = np.arange(len(i))
+        out[at:at + len(i), 0] = fit[row, i]
+        rest = np.sort(np.where(np.arange(n)[None, :] < end, y[None, :] - fit, np.inf), axis=1)
+        for col, q in ((1, 0.1), (2, 0.9)):
+            low, high, share = _quantile_places(i, q)
+            out[at:at + len(i), col] = _between(rest[row, low], rest[row, high], share)
+    return out
+
+
 def fc_additive(split: DataFrame, n_changepoints: int = 10) -> DataFrame:
     """Trend with hinge changepoints + weekly seasonality, ridge-fitted per series:
     fixed with a stiff and a flexible trend, and rolling (the stiff one refitted on
@@ -226,18 +287,24 @@ def fc_additive(split: DataFrame, n_changepoints: int = 10) -> DataFrame:
             low, high = np.quantile(rest, [0.1, 0.9]) if len(rest) else (0.0, 0.0)
             return x[at] @ beta, low, high
 
-        test, rows = np.flatnonzero(~train), []
+        test, fits = np.flatnonzero(~train), []
         for model, penalty in PENALTY.items():
             p, low, high = predict(train, test, penalty)
-            rows += [(model, "fixed", i, v, v + low, v + high) for i, v in zip(test, p)]
-        for i in test:
+            fits.append(np.column_stack([p, np.full(len(p), low), np.full(len(p), high)]))
+        # running sums serve well-determined fits only: with few days each is made on its own
+        early, later = test[test < _FEW], test[test >= _FEW]
+        for i in early:
             p, low, high = predict(np.arange(len(y)) < i, [i], PENALTY["additive"])
-            rows.append(("additive_rolling", "rolling", i, p[0], p[0] + low, p[0] + high))
-        out = pd.DataFrame(rows, columns=["model", "framing", "i", "predicted", "lower", "upper"])
-        at = out["i"].to_numpy(dtype=int)
-        out["series_id"] = pdf["series_id"].iloc[0]
-        out["date"], out["actual"] = pdf["date"].to_numpy()[at], y[at]
-        return out[["series_id", "model", "framing", "date", "actual", "predicted", "lower", "upper"]]
+            fits.append(np.array([[p[0], low, high]]))
+        if len(later):
+            base = np.column_stack([np.ones_like(ts), ts, *season])
+            fits.append(rolling_refits(ts, base, y, later, np.linspace(0, 0.8, n_changepoints + 2)[1:-1], PENALTY["additive"]))
+        p, low, high = np.concatenate(fits).T if fits else np.empty((3, 0))
+        names, at = [*PENALTY, "additive_rolling"], np.concatenate([test] * (len(PENALTY) + 1))
+        return pd.DataFrame({
+            "series_id": pdf["series_id"].iloc[0], "model": np.repeat(np.array(names, dtype=object), len(test)),
+            "framing": np.repeat(np.array(["fixed"] * len(PENALTY) + ["rolling"], dtype=object), len(test)),
+            "date": pdf["date"].to_numpy()[at], "actual": y[at], "predicted": p, "lower": p + low, "upper": p + high})
 
     return (split.select("series_id", "date", "revenue", "is_train", "weekday", "day_index")
             .groupBy("series_id").applyInPandas(fit, ADDITIVE_SCHEMA))
