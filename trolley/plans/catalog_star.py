@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trolley import params
 from trolley.operators import serve, star
 from trolley.plans.registry import query
+from trolley.sources import adapter
 from trolley.plans.sqlbase import baskets_cte, dim_category_cte, lines_cte, with_
 
 L = lines_cte()
@@ -172,7 +173,7 @@ SELECT l.product_id, l.product_name, l.category AS category_name, c.zone_assignm
 FROM lines l JOIN dim_category c ON l.category = c.category_name GROUP BY 1, 2, 3, 4""")
 def q_topprod(spark, d):
     s = _star(spark, d)
-    return serve.top_products(s.lines, s.dim_category)
+    return serve.top_products(adapter.spread(spark, d, s.lines, "product_id", "basket_id"), s.dim_category)
 
 
 @query("monthly_category_mix", with_(L) + """
