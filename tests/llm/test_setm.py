@@ -63,3 +63,28 @@ def test_a_word_in_a_third_of_all_places(spark):
     rows = [("en", "hot hot " * 200 + ". " + f"w{i} tail " * 3) for i in range(40)]
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(8)
     assert got(setm.collocations(docs)) == expected(rows, 30, 2000)
+
+
+def test_what_passes_through_the_jvm_is_compressed(spark, prose):
+    """An executor's memory follows the cells: 4 bytes a word and 8 (k + 2) a phrase were too many."""
+    docs = spark.createDataFrame([("en", prose(60_000, 5))], "lang string, text string")
+    unit, = setm._units(docs, 1 << 24).collect()
+    assert unit.n_words == 60_000
+    assert len(unit.seq) < 2 * unit.n_words
+    phrase = setm._columns(unit.seq, 1, "<i4")[:, 0]
+    words = setm._opened(unit.words).split()
+    assert " ".join(words[i - 1].decode() for i in phrase[phrase > 0][:9]) == prose(9, 5).rstrip(".")
+    at = phrase.nonzero()[0]
+    level = spark.createDataFrame([setm._level_row(7, at, phrase[at] - 1, setm.np.arange(len(words))[:, None])], setm._LEVEL_DDL)
+    j = setm._Joined(1, *level.first()[1:])
+    sent = setm._sent(level, 1, 4).collect()
+    assert sorted(tuple(r) for s in sent for r in setm._columns(s.planes, 3)) == sorted(zip(*j.phrases.T, j.n))
+    assert sum(len(s.planes) for s in sent) < 24 * len(j.code) / 3
+
+
+@pytest.mark.parametrize("size", [0, 1, setm.PACKED_BYTES - 1, setm.PACKED_BYTES, 100_000])
+def test_cells_come_back_as_they_were(size):
+    cell = bytes(i * i % 251 for i in range(size))
+    assert setm._opened(setm._packed(cell)) == cell
+    column = setm.np.arange(size, dtype=setm.np.int64) * -(1 << 40)
+    assert (setm._columns(setm._planes([column, column + 1]), 2) == setm.np.column_stack([column, column + 1])).all()

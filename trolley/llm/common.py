@@ -42,18 +42,22 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, shrink: int = 1) -> DataFrame:
+#: how tables of few, wide rows that are compressed already are written: a reader or writer holds a few rows at once
+WIDE_ROWS = {"compression": "none", "parquet.block.row.count.limit": "4"}
+
+
+def cut_lineage(df: DataFrame, shrink: int = 1, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: lost executors lose nothing.
 
     Tables much smaller than the corpus are written in ``shrink`` times fewer
     files than there are shuffle partitions, which spares the folder (and
-    every later read) thousands of tiny files.
+    every later read) thousands of tiny files.  ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = shared_folder(spark)
     if shrink > 1:
         df = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // shrink))
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

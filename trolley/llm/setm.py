@@ -8,7 +8,8 @@ frequent.  The relation lies in units, a row per language and about UNIT_BYTES
 of text: a unit joins in place and sends each of its phrases once, packed by
 bucket; a bucket adds the units' counts, phrase by phrase (no hash stands for a
 phrase), and answers a bit for each.  However often a phrase occurs, it is as
-many records as there are units.
+many records as there are units.  Cells are compressed where they are made and
+opened where they are read, so files, shuffles and the JVM hold fewer bytes.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.llm.common import bytes_and_offsets, cut_lineage, mix64, word_hashes
+from trolley.llm.common import WIDE_ROWS, cut_lineage, mix64, word_hashes
 
 #: bytes of text in a unit; a text is cut between pieces where it would exceed that
 UNIT_BYTES = 1 << 24
 #: words of text to a bucket, in which phrases are counted
 BUCKET_WORDS = 1 << 20
+#: shorter cells stay as they are
+PACKED_BYTES = 256
 LONGEST, NO_LANG = 4, "und"
 
 #: fixed by the contract: ends of pieces, blanks between words
@@ -32,12 +35,36 @@ _ENDS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _FOLD = bytes(ord(".") if b in _ENDS else ord(" ") if b in _BLANKS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 _UNIT = pa.schema([("unit", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("seq", pa.binary()),
-                   ("words", pa.list_(pa.string())), ("times", pa.binary())])
-_UNIT_DDL = "unit long, lang string, n_words long, seq binary, words array<string>, times binary"
+                   ("words", pa.binary()), ("times", pa.binary())])
+_UNIT_DDL = "unit long, lang string, n_words long, seq binary, words binary, times binary"
 _LEVEL = pa.schema([("unit", pa.int64()), ("gap", pa.binary()), ("phrase", pa.binary()), ("words", pa.binary())])
 _LEVEL_DDL = "unit long, gap binary, phrase binary, words binary"
 
 
+# ------------------------------------------------------------------- cells
+def _packed(cell: bytes) -> bytes:
+    """The cell compressed, its size in front."""
+    return len(cell).to_bytes(8, "little") + (pa.Codec("zstd", 1).compress(cell, asbytes=True) if len(cell) >= PACKED_BYTES else cell)
+
+
+def _opened(packed: bytes) -> bytes:
+    size, body = int.from_bytes(packed[:8], "little"), memoryview(packed)[8:]
+    return pa.decompress(body, size, codec="zstd", asbytes=True) if size >= PACKED_BYTES else bytes(body)
+
+
+def _planes(columns: list[np.ndarray], kind: str = "<i8") -> bytes:
+    """The columns' bytes by significance: the compression finds the equal ones."""
+    return _packed(b"".join(np.ascontiguousarray(c.astype(kind, copy=False).view(np.uint8).reshape(len(c), -1).T).tobytes()
+                            if len(c) else b"" for c in map(np.ascontiguousarray, columns)))
+
+
+def _columns(planes: bytes, width: int, kind: str = "<i8") -> np.ndarray:
+    """One row per record."""
+    sheet = np.frombuffer(_opened(planes), np.uint8).reshape(width, np.dtype(kind).itemsize, -1).transpose(0, 2, 1)
+    return np.ascontiguousarray(sheet).view(kind)[:, :, 0].T
+
+
+# ------------------------------------------------------------------- units
 class _Numbers(dict):
     """Numbers words in the order in which they are met; 0 ends a piece."""
 
@@ -60,8 +87,8 @@ class _Buffer:
     def row(self, unit: int, lang: str) -> pa.RecordBatch:
         seq = np.concatenate(self.parts)
         count = np.bincount(seq, minlength=len(self.numbers))[1:]
-        columns = [[unit], [lang], [int(count.sum())], [seq.astype("<i4").tobytes()],
-                   [[w.decode() for w in list(self.numbers)[1:]]], [count.astype("<i8").tobytes()]]
+        columns = [[unit], [lang], [int(count.sum())], [_planes([seq], "<i4")],
+                   [_packed(b" ".join(list(self.numbers)[1:]))], [_planes([count])]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _UNIT)], schema=_UNIT)
 
 
@@ -94,7 +121,7 @@ def _units(docs: DataFrame, unit_bytes: int) -> DataFrame:
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return cut_lineage(rows.mapInArrow(run, _UNIT_DDL))
+    return cut_lineage(rows.mapInArrow(run, _UNIT_DDL), options=WIDE_ROWS)
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -108,19 +135,8 @@ def _dealt(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, cut, np.append(cut[1:], len(order))
 
 
-def _planes(columns: list[np.ndarray]) -> bytes:
-    """The columns' bytes by significance: the shuffle's compression finds the equal ones."""
-    return b"".join(np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
-
-
-def _columns(planes: bytes, width: int) -> np.ndarray:
-    """One row per record."""
-    sheet = np.frombuffer(planes, np.uint8).reshape(width, 8, -1).transpose(0, 2, 1)
-    return np.ascontiguousarray(sheet).view("<i8")[:, :, 0].T
-
-
 # ------------------------------------------------------------------- first level
-_WORDS_DDL = "unit long, bucket long, lang string, words array<string>, times binary"
+_WORDS_DDL = "unit long, bucket long, lang string, words binary, times binary"
 _KNOWN = pa.schema([("unit", pa.int64()), ("bucket", pa.int64()), ("ranks", pa.binary()), ("lang", pa.string()),
                     ("words", pa.list_(pa.string())), ("f", pa.list_(pa.int64()))])
 _KNOWN_DDL = "unit long, bucket long, ranks binary, lang string, words array<string>, f array<long>"
@@ -128,10 +144,12 @@ _KNOWN_DDL = "unit long, bucket long, ranks binary, lang string, words array<str
 _RANK_BITS = 24
 
 
-def _order_of(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of each word of a unit, and the words in the order of their buckets."""
-    data, off = bytes_and_offsets(words)
-    bucket = _bucket(word_hashes(data, off[:-1], off[1:]), buckets)
+def _order_of(words: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of each word of a unit (a space stands between two), and the words in the order of their buckets."""
+    data = np.frombuffer(words, np.uint8)
+    blank = np.flatnonzero(data == 0x20)
+    start, end = (np.append(0, blank + 1), np.append(blank, len(data))) if len(data) else (blank, blank)
+    bucket = _bucket(word_hashes(data, start, end), buckets)
     return bucket, *_dealt(bucket)
 
 
@@ -140,16 +158,16 @@ def _word_lists(units: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for r in range(batch.num_rows):
-                words = batch.column(2).slice(r, 1).flatten()
-                times = np.frombuffer(batch.column(3)[r].as_py(), "<i8")
-                bucket, order, start, end = _order_of(words, buckets)
+                own_words, times = _opened(batch.column(2)[r].as_py()), _columns(batch.column(3)[r].as_py(), 1)[:, 0]
+                bucket, order, start, end = _order_of(own_words, buckets)
+                words = np.array(own_words.split(), object)
                 for x in range(0, len(start), 4096):
                     own = slice(x, x + 4096)
                     at = [order[i:j] for i, j in zip(start[own], end[own])]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([batch.column(0)[r].as_py()] * len(at), pa.int64()), pa.array(bucket[order[start[own]]], pa.int64()),
                         pa.array([batch.column(1)[r].as_py()] * len(at), pa.string()),
-                        pa.array([words.take(pa.array(i)).to_pylist() for i in at], pa.list_(pa.string())),
+                        pa.array([_packed(b" ".join(words[i])) for i in at], pa.binary()),
                         pa.array([_planes([times[i]]) for i in at], pa.binary())],
                         names=["unit", "bucket", "lang", "words", "times"])
 
@@ -160,9 +178,10 @@ def _known_words(lists: DataFrame, least: int) -> DataFrame:
     """For each list of a unit the ranks of its words in the bucket (0: not frequent);
     and, once per bucket and language, the frequent words in the order of their ranks."""
     def run(rows: pa.Table) -> pa.Table:
-        words, langs = rows.column("words").to_pylist(), rows.column("lang").to_pylist()
-        numbers: dict[tuple[str, str], int] = {}
-        which = [[numbers.setdefault((v, w), len(numbers)) for w in ws] for v, ws in zip(langs, words)]
+        langs = rows.column("lang").to_pylist()
+        numbers: dict[tuple[str, bytes], int] = {}
+        which = [[numbers.setdefault((v, w), len(numbers)) for w in _opened(ws).split()]
+                 for v, ws in zip(langs, rows.column("words").to_pylist())]
         times = [_columns(t, 1)[:, 0] for t in rows.column("times").to_pylist()]
         total = np.zeros(len(numbers), np.int64)
         for i, t in zip(which, times):
@@ -174,12 +193,12 @@ def _known_words(lists: DataFrame, least: int) -> DataFrame:
         kept = {}
         for (v, w), r, f in zip(numbers, rank.tolist(), total.tolist()):
             if r:
-                kept.setdefault(v, []).append((r, w, f))
+                kept.setdefault(v, []).append((r, w.decode(), f))
         # the rank goes with the word: (bucket, rank) is its id
         out += [(r, bucket, None, v, [w], [f]) for v, found in kept.items() for r, w, f in found]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 6, _KNOWN)], schema=_KNOWN)
 
-    return cut_lineage(lists.groupBy("bucket").applyInArrow(run, _KNOWN_DDL))
+    return cut_lineage(lists.groupBy("bucket").applyInArrow(run, _KNOWN_DDL), shrink=2)
 
 
 def _first_level(units: DataFrame, known: DataFrame, buckets: int) -> DataFrame:
@@ -188,30 +207,29 @@ def _first_level(units: DataFrame, known: DataFrame, buckets: int) -> DataFrame:
         ranks = dict(zip(found.column("bucket").to_pylist(), found.column("ranks").to_pylist()))
         out = []
         for r in range(unit.num_rows):
-            words = unit.column("words").combine_chunks().slice(r, 1).flatten()
-            bucket, order, start, end = _order_of(words, buckets)
-            ids = np.full(len(words) + 1, -1, np.int64)  # of number i + 1: place i of the word list
+            bucket, order, start, end = _order_of(_opened(unit.column("words")[r].as_py()), buckets)
+            ids = np.full(len(bucket) + 1, -1, np.int64)  # of number i + 1: place i of the word list
             for x, y in zip(start.tolist(), end.tolist()):
                 b = int(bucket[order[x]])
                 if b in ranks:
                     rank = np.frombuffer(ranks[b], "<i4").astype(np.int64)
                     ids[order[x:y] + 1] = np.where(rank > 0, (b << _RANK_BITS) | rank, -1)
-            local = np.where(ids >= 0, np.cumsum(ids >= 0) - 1, -1)
-            word = local[np.frombuffer(unit.column("seq")[r].as_py(), "<i4")]
+            local = np.where(ids >= 0, np.cumsum(ids >= 0) - 1, -1).astype(np.int32)
+            word = local[_columns(unit.column("seq")[r].as_py(), 1, "<i4")[:, 0]]
             at = np.flatnonzero(word >= 0)
             if len(at):
-                out.append(_level_row(unit.column("unit")[r].as_py(), at, word[at], ids[ids >= 0]))
+                out.append(_level_row(unit.column("unit")[r].as_py(), at, word[at], ids[ids >= 0][:, None]))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, _LEVEL)], schema=_LEVEL)
 
     answers = known.where(F.col("ranks").isNotNull()).select("unit", "bucket", "ranks")
     rows = units.select("unit", "seq", "words")
-    return cut_lineage(rows.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(run, _LEVEL_DDL))
+    return cut_lineage(rows.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(run, _LEVEL_DDL), shrink=2, options=WIDE_ROWS)
 
 
 # ------------------------------------------------------------------- further levels
 def _level_row(unit: int, at: np.ndarray, phrase: np.ndarray, words: np.ndarray) -> tuple:
     gap = np.minimum(np.diff(at, append=at[-1:] + 2), 2).astype(np.uint8)
-    return unit, gap.tobytes(), phrase.astype("<i4").tobytes(), np.ascontiguousarray(words, "<i8").tobytes()
+    return unit, _packed(gap.tobytes()), _planes([phrase], "<i4"), _planes([*words.T])
 
 
 class _Joined:
@@ -219,11 +237,12 @@ class _Joined:
     next position: the distinct phrases of k + 1 words and where they occur."""
 
     def __init__(self, k: int, gap: bytes, phrase: bytes, words: bytes):
-        self.at = np.cumsum(np.append(0, np.frombuffer(gap, np.uint8)[:-1].astype(np.int64))) if gap else np.zeros(0, np.int64)
-        known, self.words = np.frombuffer(phrase, "<i4").astype(np.int64), np.frombuffer(words, "<i8").reshape(-1, k)
-        self.left = np.flatnonzero(self.at[1:] == self.at[:-1] + 1)
+        gap = np.frombuffer(_opened(gap), np.uint8)
+        known, self.words = _columns(phrase, 1, "<i4")[:, 0], _columns(words, k)
+        self.at = np.cumsum(np.append(np.zeros(1, np.uint8), gap[:-1]), dtype=np.int32)[:len(gap)]  # of the unit's words
+        self.left = np.flatnonzero(gap[:-1] == 1)
         many = max(len(self.words), 1)
-        code = known[self.left] * many + known[self.left + 1]
+        code = known[self.left].astype(np.int64) * many + known[self.left + 1]
         self.code, self.which, self.n = np.unique(code, return_inverse=True, return_counts=True)
         self.phrases = np.column_stack([self.words[self.code // many], self.words[self.code % many, -1:]])
 
@@ -278,7 +297,10 @@ def _counted(sent: DataFrame, k: int, least: int) -> DataFrame:
             out.append((-1, bucket, None, _planes([*kept[:, :k + 1].T, total[total >= least]])))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, _COUNTED)], schema=_COUNTED)
 
-    return cut_lineage(sent.groupBy("bucket").applyInArrow(run, _COUNTED_DDL))
+    made = sent.groupBy("bucket").applyInArrow(run, _COUNTED_DDL)
+    # many tasks count, few write: bits are a small part of what they answer
+    few = max(1, int(made.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+    return cut_lineage(made.repartition(few))
 
 
 def _phrases(counted: DataFrame, k: int) -> DataFrame:
@@ -314,7 +336,7 @@ def _next_level(level: DataFrame, k: int, counted: DataFrame, buckets: int) -> D
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, _LEVEL)], schema=_LEVEL)
 
     rows, answers = level.select("unit", "gap", "phrase", "words"), counted.where(F.col("unit") >= 0).select("unit", "bucket", "flags")
-    return cut_lineage(rows.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(run, _LEVEL_DDL))
+    return cut_lineage(rows.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(run, _LEVEL_DDL), shrink=2, options=WIDE_ROWS)
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30, unit_bytes: int = UNIT_BYTES,
