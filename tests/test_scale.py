@@ -1,5 +1,7 @@
 """Steps that must not grow with the table, or that stand for a plainer one."""
 
+import datetime
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -19,6 +21,20 @@ def test_a_task_holds_a_bounded_number_of_lines(spark, tmp_path, monkeypatch):
     assert {(r.basket_id, r.q) for r in per.collect()} == {(r.l_orderkey, r.q) for r in lines.groupBy("l_orderkey").agg(F.sum("q").alias("q")).collect()}
 
 
+def test_many_orders_are_no_broadcast(spark, tmp_path, monkeypatch):
+    d = str(tmp_path)
+    spark.range(100).select(F.col("id").alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"), F.lit(datetime.datetime(1999, 5, 1)).alias("o_orderdate")).write.parquet(f"{d}/orders.parquet")
+    spark.range(5).select(F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type")).write.parquet(f"{d}/part.parquet")
+    spark.range(400).select((F.col("id") % 110).alias("l_orderkey"), (F.col("id") % 5).alias("l_partkey"), F.lit(1).cast("long").alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+                            F.lit(1.0).alias("l_quantity"), F.lit(1.0).alias("l_extendedprice"), F.lit(0.1).alias("l_tax")).write.parquet(f"{d}/lineitem.parquet")
+    few = adapter.lines(spark, d).select("basket_id", "category")
+    monkeypatch.setattr(adapter, "BROADCAST_ORDERS", 50)
+    many = adapter.lines(spark, d).select("basket_id", "category")
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1  # the catalogue's stays
+    assert sorted(many.collect()) == sorted(few.collect()) and many.count() == 370
+
+
 def test_patterns_tell_apart_what_their_rows_do(spark):
     rows = [(1, 0, 1, 0.0), (2, 0, 1, 0.0), (3, 1, 0, 0.0), (4, None, 1, 0.0), (5, 0, 1, 0.1), (6, 0, 11, 0.1), (7, 0, 1, 1.1), (8, 0, 0, 0.0)]
     f = spark.createDataFrame(rows, "basket_id long, a int, b int, q double")

@@ -207,10 +207,34 @@ def fitted_tree(train: DataFrame, feats: list, depth: int, seed: int = 42):
     return Pipeline(stages=[lab, vec, dt]).fit(train if "w" in train.columns else weighted(train, feats))
 
 
-def decision_tree(train: DataFrame, test: DataFrame, feats: list, depth: int = 5, seed: int = 42) -> DataFrame:
-    model = fitted_tree(train, feats, depth, seed)
-    return model.transform(test).select("basket_id", "label", F.col("y").cast("int").alias("y"),
-                                        F.col("prediction").cast("int").alias("p"))
+def _mask(flags: list):
+    """The flags' bits, the first lowest; only 0 and 1 are flags."""
+    out = F.lit(0).cast("bigint")
+    for i, c in enumerate(flags):
+        out = out.bitwiseOR(F.when(F.col(c) == 1, bit(F.lit(i))).when(F.col(c) == 0, F.lit(0).cast("bigint"))
+                            .otherwise(F.raise_error(F.lit(f"{c} is no flag")).cast("bigint")))
+    return out.alias("mask")
+
+
+def tree_paths(train: DataFrame, test: DataFrame, feats: list, depth: int) -> DataFrame:
+    """Test baskets with their class ``y`` and ``path``, the class that a tree of presence flags predicts at
+    each of its depths up to ``depth``, a character each.  A tree cut at a depth is the tree grown to it."""
+    from trolley.operators import flagtree
+    from trolley.session import written
+    lab = _assemble(train, feats)[0].fit(train)
+    train = train if "w" in train.columns else weighted(train, feats)
+    counts = [F.sum(F.when(F.col("label") == x, F.col("w")).otherwise(0.0)).alias(f"c{k}") for k, x in enumerate(lab.labels)]
+    test = lab.transform(test.select("basket_id", "label", _mask(feats))).withColumn("y", F.col("y").cast("int"))
+    rows = train.select(_mask(feats), "label", "w", F.lit(False).alias("asked")).unionByName(
+        test.select("mask", "label", F.lit(0.0).alias("w"), F.lit(True).alias("asked")))
+    rows = written(rows.groupBy("mask").agg(*counts, F.max("asked").alias("asked")))  # read once a level
+    return test.join(flagtree.paths(rows, len(feats), len(lab.labels), depth), "mask").select("basket_id", "label", "y", "path")
+
+
+def decision_tree(train: DataFrame, test: DataFrame, feats: list, depth: int = 5, deeper: DataFrame = None) -> DataFrame:
+    """Predictions of a tree of presence flags; ``deeper``: the paths of one that is at least as deep."""
+    grown = tree_paths(train, test, feats, depth) if deeper is None else deeper
+    return grown.select("basket_id", "label", "y", (F.ascii(F.substring("path", depth + 1, 1)) - ord("0")).cast("int").alias("p"))
 
 
 def mlp(train: DataFrame, test: DataFrame, feats: list, hidden=(64, 32), max_iter: int = 50,

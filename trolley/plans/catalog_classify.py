@@ -276,11 +276,11 @@ def q_tree_conf(spark, d):
 @query("tree_depth_sweep")
 def q_sweep(spark, d):
     tr, te, feats = _ml_frames(spark, d)
-    from trolley.session import cut_lineage
-    tr = cut_lineage(CF.weighted(tr, feats))  # read by all depths
-    out = None
-    for depth in (5, 8, 10, 12, 15, 20, 30):
-        a = CF.accuracy(CF.decision_tree(tr, te, feats, depth)).withColumn("max_depth", F.lit(depth))
+    from trolley.session import written
+    depths, out = (5, 8, 10, 12, 15, 20, 30), None
+    deepest = written(CF.tree_paths(CF.weighted(tr, feats), te, feats, max(depths)))  # read by all depths
+    for depth in depths:
+        a = CF.accuracy(CF.decision_tree(tr, te, feats, depth, deepest)).withColumn("max_depth", F.lit(depth))
         out = a if out is None else out.unionByName(a)
     return out
 
