@@ -30,6 +30,17 @@ def test_the_split_reads_the_lines_once(spark, tmp_path):
     assert train.filter("not is_train").count() == test.filter("is_train").count() == 0
 
 
+def test_kept_lines_are_read_by_every_feature_set(spark, tmp_path):
+    d = _tables(spark, str(tmp_path))
+    kept, plain = Cls(spark, d, ("basket_id", "product_id", "category", "sale_date", "quantity", "amount")), Cls(spark, d)
+    for which in ("binary", "discrete", "full"):
+        got, want = kept.features(which), plain.features(which)
+        assert "InMemoryTableScan" in got._jdf.queryExecution().executedPlan().toString()
+        assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+    assert sorted(kept.split.select("basket_id", "label", "is_train", "mask").collect()) == sorted(plain.split.select("basket_id", "label", "is_train", "mask").collect())
+    kept.m.lines.unpersist()
+
+
 def test_the_gate_writes_only_what_its_checks_read(spark, tmp_path):
     d = _tables(spark, str(tmp_path))
     star = Star(spark, d)
